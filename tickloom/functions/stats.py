@@ -2,43 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.params import AnomalyParams
 
-WIDE = "decimal(38,0)"
-
-
 def to_units(value: Column, scale: int) -> Column:
     """A number as a whole count of 10**-scale, so that sums are exact in any order."""
     return F.rint(value * F.lit(float(10**scale))).cast("bigint")
 
 
-def stats_struct(n: str, s1: str, s2: str, pv: str, qv: str, price_scale: int, window_seconds: float) -> Column:
-    """Statistics from count, sum of price, price squared, price*quantity and quantity (in units).
+def with_stats(df: DataFrame, price_scale: int, window_seconds: float) -> DataFrame:
+    """Replace exact window sums by a ``stats`` struct.
 
-    The spread n*s2 - s1*s1 is taken about the whole-number mean first, which leaves the value
-    unchanged and keeps the products small. Where it still outgrows DECIMAL(38) the part that is
-    subtracted is negligible, so the double form is accurate there.
+    ``df`` holds _n, _s1, _s2, _pv, _qv: count and sums of price, price squared, price*quantity and
+    quantity, in units. The spread n*s2 - s1*s1 is taken about the whole-number mean first, which
+    leaves its value unchanged and keeps the products small. Where n times that still outgrows
+    DECIMAL(38), what is subtracted from it is negligible and the double form is accurate.
     """
     unit = f"{float(10 ** price_scale)!r}D"
-    count = f"cast({n} as double)"
-    mean = f"cast({s1} as double) / {count} / {unit}"
-    centre = f"({s1} div {n})"
-    rest = f"({s1} - {n} * {centre})"
-    about = f"({s2} - {centre} * ({s1} + {rest}))"
-    exact = f"cast(try_subtract(try_multiply(cast({n} as {WIDE}), cast({about} as {WIDE})), cast({rest} * {rest} as {WIDE})) as double)"
-    rough = f"({count} * cast({about} as double) - cast({rest} as double) * cast({rest} as double))"
-    stdev = f"sqrt(greatest(0.0D, coalesce({exact}, {rough}))) / {count} / {unit}"
-    vwap = f"cast({pv} as double) / cast({qv} as double) / {unit}"
-    return F.expr(
-        f"""named_struct(
-            'vwap', case when {n} = 0 then 0.0D when {qv} > 0 then {vwap} else {mean} end,
-            'mean_price', case when {n} = 0 then 0.0D else {mean} end,
-            'stdev_price', case when {n} > 1 then {stdev} else 0.0D end,
-            'sample_count', cast({n} as bigint),
-            'window_seconds', cast({float(window_seconds)!r} as double))"""
-    )
+    # One step per column, so that each is computed once.
+    steps = {
+        "_count": "cast(_n as double)",
+        "_mean": f"case when _n = 0 then 0.0D else cast(_s1 as double) / cast(_n as double) / {unit} end",
+        "_centre": "case when _n > 1 then cast(_s1 div _n as decimal(18,0)) end",
+        "_rest": "cast(_s1 - _n * _centre as decimal(19,0))",
+        "_about": "cast(_s2 - _centre * cast(_s1 + _rest as decimal(28,0)) as decimal(38,0))",
+        "_rest2": "cast(_rest * _rest as decimal(38,0))",
+        "_exact": "cast(try_subtract(try_multiply(cast(_n as decimal(19,0)), _about), _rest2) as double)",
+        "_rough": "_count * cast(_about as double) - cast(_rest2 as double)",
+        "stats": f"""named_struct(
+            'vwap', case when _qv > 0 then cast(_pv as double) / cast(_qv as double) / {unit} else _mean end,
+            'mean_price', _mean,
+            'stdev_price', case when _n > 1
+                then sqrt(greatest(0.0D, coalesce(_exact, _rough))) / _count / {unit} else 0.0D end,
+            'sample_count', cast(_n as bigint),
+            'window_seconds', cast({float(window_seconds)!r} as double))""",
+    }
+    return _stepwise(df, steps)
+
+
+def with_stats_narrow(df: DataFrame, price_scale: int, window_seconds: float) -> DataFrame:
+    """``with_stats`` for sums known to fit BIGINT: same values, less decimal arithmetic."""
+    unit = f"{float(10 ** price_scale)!r}D"
+    steps = {
+        "_count": "cast(_n as double)",
+        "_mean": f"case when _n = 0 then 0.0D else cast(_s1 as double) / cast(_n as double) / {unit} end",
+        "_spread": "cast(cast(_n as decimal(19,0)) * cast(_s2 as decimal(19,0))"
+        " - cast(_s1 as decimal(19,0)) * cast(_s1 as decimal(19,0)) as double)",
+        "stats": f"""named_struct(
+            'vwap', case when _qv > 0 then cast(_pv as double) / cast(_qv as double) / {unit} else _mean end,
+            'mean_price', _mean,
+            'stdev_price', case when _n > 1 then sqrt(_spread) / _count / {unit} else 0.0D end,
+            'sample_count', cast(_n as bigint),
+            'window_seconds', cast({float(window_seconds)!r} as double))""",
+    }
+    return _stepwise(df, steps)
+
+
+def _stepwise(df: DataFrame, steps: dict[str, str]) -> DataFrame:
+    for name, text in steps.items():
+        df = df.withColumn(name, F.expr(text))
+    helpers = [name for name in steps if name != "stats"]
+    return df.drop("_n", "_s1", "_s2", "_pv", "_qv", *helpers)
 
 
 def zscore(price: Column, mean: Column, stdev: Column) -> Column:

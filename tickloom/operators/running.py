@@ -15,7 +15,6 @@ def _running(
     places = df.select(
         key,
         F.col(position).cast("bigint").alias("position"),
-        F.lit(0).alias("kind"),
         F.lit(0).cast("bigint").alias("tie"),
     )
     slicing = plan_slices(places, key, rows_per_slice, max_slices)

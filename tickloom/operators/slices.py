@@ -18,7 +18,7 @@ The cuts only move work between tasks; any cuts give the same results.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -31,6 +31,8 @@ class Slicing:
     """Where the hot keys are cut; ``hot`` is None when every key is small."""
 
     key: str
+    most: int = 0  # rows of the largest key
+    peaks: dict[str, int] = field(default_factory=dict)
     hot: DataFrame | None = None
     crowded: DataFrame | None = None
     cut_steps: int = 0
@@ -89,46 +91,70 @@ def _cuts_at_or_below(cuts: Column, place: Column, steps: int) -> Column:
 
 
 def plan_slices(
-    events: DataFrame, key: str, rows_per_slice: int, max_slices: int, seed: int = 17
+    rows: DataFrame, key: str, rows_per_slice: int, max_slices: int,
+    shifts: tuple[int, ...] = (0,), peaks: tuple[str, ...] = (), seed: int = 17,
 ) -> Slicing:
-    """Choose the cuts for ``events(key, position, kind, tie)``.
+    """Choose the cuts for ``rows(key, position, tie)``; also note the largest ``peaks`` values.
 
-    One small aggregation per step: rows per key, then rows per cell of hot keys, then a sample of
-    crowded cells. What reaches the driver is bounded by ``max_slices``.
+    Every row stands for one event per shift, at position + shift; the index of the shift is the
+    event's kind. One small aggregation per step: rows per key, then events per cell of hot keys,
+    then a sample of crowded cells. What reaches the driver is bounded by ``max_slices``.
     """
-    spark = events.sparkSession
-    per_key = events.groupBy(key).agg(
-        F.count("*").alias("rows"),
+    spark = rows.sparkSession
+    per_key = rows.groupBy(key).agg(
+        (F.count("*") * len(shifts)).alias("events"),
         F.min("position").alias("low"),
-        F.max("position").alias("high"),
-        F.max(F.when(F.col("kind") == 0, F.col("position"))).alias("last"),
+        F.max("position").alias("last"),
+        *[F.max(name).alias(f"peak_{name}") for name in peaks],
     )
-    largest = (
-        per_key.filter(F.col("rows") > rows_per_slice)
-        .orderBy(F.desc("rows"), key).limit(max_slices).collect()
+    large = F.when(F.col("events") > rows_per_slice, F.struct("events", F.col(key).alias("key"), "low", "last"))
+    summary = per_key.agg(
+        F.max("events").alias("most"),
+        F.slice(F.sort_array(F.collect_list(large), asc=False), 1, max_slices).alias("largest"),
+        *[F.max(f"peak_{name}").alias(f"peak_{name}") for name in peaks],
+    ).first()
+    plan = Slicing(
+        key,
+        most=(summary["most"] or 0) // len(shifts),
+        peaks={name: summary[f"peak_{name}"] or 0 for name in peaks},
     )
-    target = max(rows_per_slice, math.ceil(sum(r["rows"] for r in largest) / max_slices))
-    hot_keys = [r for r in largest if r["rows"] > target]
+    largest = summary["largest"]
+    target = max(rows_per_slice, math.ceil(sum(r["events"] for r in largest) / max_slices))
+    hot_keys = [r for r in largest if r["events"] > target]
     if not hot_keys:
-        return Slicing(key)
-    key_type = events.schema[key].dataType.simpleString()
-    widths = [
-        (r[key], r["low"], math.ceil((r["high"] - r["low"] + 1) / math.ceil(r["rows"] / target)), r["last"])
-        for r in hot_keys
-    ]
-    hot = spark.createDataFrame(widths, f"{key} {key_type}, _origin bigint, _width bigint, _last bigint")
-
-    in_hot = events.join(F.broadcast(hot), key).withColumn("cell", _cell(F.col("position")))
+        return plan
+    key_type = rows.schema[key].dataType.simpleString()
+
+    def width(r) -> int:
+        span = r["last"] + max(shifts) - r["low"] + 1
+        return math.ceil(span / math.ceil(r["events"] / target))
+
+    hot = spark.createDataFrame(
+        [(r["key"], r["low"], width(r), r["last"]) for r in hot_keys],
+        f"{key} {key_type}, _origin bigint, _width bigint, _last bigint",
+    )
+    events = F.array(
+        *[
+            F.struct((F.col("position") + shift).alias("position"), F.lit(kind).alias("kind"), F.col("tie"))
+            for kind, shift in enumerate(shifts)
+        ]
+    )
+    in_hot = (
+        rows.join(F.broadcast(hot), key)
+        .select(key, "_origin", "_width", F.inline(events))
+        .select(key, "position", "kind", "tie", _cell(F.col("position")).alias("cell"))
+    )
     crowded_cells = (
-        in_hot.groupBy(key, "cell").agg(F.count("*").alias("rows"))
-        .filter(F.col("rows") > CROWDED * target).collect()
+        in_hot.groupBy(key, "cell").agg(F.count("*").alias("events"))
+        .filter(F.col("events") > CROWDED * target).collect()
     )
     if not crowded_cells:
-        return Slicing(key, hot)
+        return replace(plan, hot=hot)
 
     cells = spark.createDataFrame(
         [(r[key], r["cell"]) for r in crowded_cells], f"{key} {key_type}, cell bigint"
     )
+    # At most SAMPLES_PER_CUT * max_slices events are sampled; every such step becomes a cut.
     fraction = min(1.0, SAMPLES_PER_CUT / target)
     sampled = (
         in_hot.join(F.broadcast(cells), [key, "cell"], "left_semi")
@@ -138,16 +164,16 @@ def plan_slices(
         .select(key, "cell", F.expr(f"filter(picks, (p, i) -> i % {SAMPLES_PER_CUT} = 0 and i > 0)").alias("cuts"))
         .select(key, "cell", F.array_distinct("cuts").alias("cuts"))
     )
-    # Fixed from here on: a later pass must see the same cuts, so they are held as literal rows.
-    rows = [(r[key], r["cell"], [tuple(c) for c in r["cuts"]]) for r in sampled.collect()]
-    if not rows:
-        return Slicing(key, hot)
+    # Fixed from here on: every later pass must see the same cuts, so they are literal rows.
+    found = [(r[key], r["cell"], [tuple(c) for c in r["cuts"]]) for r in sampled.collect()]
+    if not found:
+        return replace(plan, hot=hot)
     crowded = spark.createDataFrame(
-        rows,
+        found,
         f"{key} {key_type}, cell bigint, cuts array<struct<position:bigint,kind:int,tie:bigint>>",
     )
-    steps = max(len(cuts) for _, _, cuts in rows).bit_length()
-    return Slicing(key, hot, crowded, steps)
+    steps = max(len(cuts) for _, _, cuts in found).bit_length()
+    return replace(plan, hot=hot, crowded=crowded, cut_steps=steps)
 
 
 def carry_in(totals: DataFrame, key: str, sums: dict[str, str]) -> DataFrame:

@@ -1,38 +1,51 @@
 """Trailing time window per symbol: count, mean, VWAP and population deviation at every tick.
 
-Each tick enters its symbol's window at its own time and leaves just after time + window. Sorted
-together, the running sum of entries minus exits *is* the window content, so the cost per tick
-does not depend on the window length. Ticks of equal time count in arrival order, and a tick
-exactly one window old still counts, because exits sort behind all entries of their instant.
-
-One shuffle carries each tick to its slice. A tick whose exit falls into the same slice produces
-the exit there, after the shuffle; only exits into a later slice travel as rows of their own.
+With the ticks of a symbol in order, the window of a tick is what has come in so far minus what came
+in more than one window ago: a running sum, less that same running sum as it stood one window
+earlier. Both are single passes, so the cost per tick does not depend on the window length. Ticks
+of equal time count in arrival order, and a tick exactly one window old still counts. The sums are
+whole-number sums, so the subtraction loses nothing.
+
+A hot symbol is cut into slices (see ``slices``). Ticks that leave the window inside their own
+slice need nothing more. A tick that outlasts its slice is part of the total carried into the
+later slices, and a second, narrow row takes it out again in the slice where it leaves. One
+shuffle brings these rows together.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.stats import stats_struct, to_units
+from tickloom.functions.stats import to_units, with_stats, with_stats_narrow
 from tickloom.operators.running import running_max
 from tickloom.operators.slices import Slicing, carry_in, plan_slices
 from tickloom.params import ARRIVAL, WindowParams
 from tickloom.session import materialise
 
-ENTRY, EXIT = 0, 1
-SUMS = ("n", "s1", "s2", "pv", "qv")
+ENTRY, EXIT, CARRIED = 0, 1, 2
+WIDE = {
+    "n": "bigint",
+    "s1": "decimal(28,0)",
+    "s2": "decimal(38,0)",
+    "pv": "decimal(38,0)",
+    "qv": "decimal(28,0)",
+}
+NARROW = dict.fromkeys(WIDE, "bigint")
+
+
+def _measures(types: dict[str, str]) -> dict[str, Column]:
+    """What one tick adds to each sum; the types leave room for the totals."""
+    price, quantity = F.col("_p"), F.col("_q")
+    if types is WIDE:
+        price, quantity = price.cast("decimal(18,0)"), quantity.cast("decimal(18,0)")
+    values = {"n": F.lit(1), "s1": price, "s2": price * price, "pv": price * quantity, "qv": quantity}
+    return {name: values[name].cast(kind) for name, kind in types.items()}
 
 
-def _measures(sign: Column) -> list[Column]:
-    """Signed contribution of one tick; widths leave room for the sums."""
-    price, quantity = F.col("_p").cast("decimal(19,0)"), F.col("_q").cast("decimal(19,0)")
-    return [
-        sign.cast("bigint").alias("n"),
-        (sign * price).cast("decimal(28,0)").alias("s1"),
-        (sign * price * price).cast("decimal(38,0)").alias("s2"),
-        (sign * price * quantity).cast("decimal(38,0)").alias("pv"),
-        (sign * quantity).cast("decimal(28,0)").alias("qv"),
-    ]
+def _sum_types(slicing: Slicing) -> dict[str, str]:
+    """BIGINT where no sum over a whole symbol can outgrow it, else DECIMAL."""
+    peak = max(1, slicing.peaks["_p"], slicing.peaks["_q"])
+    return NARROW if slicing.most * peak * peak < 2**63 else WIDE
 
 
 def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataFrame:
@@ -78,58 +91,67 @@ def _rolling(clocked: DataFrame, columns: list[str], params: WindowParams) -> Da
         to_units(F.col("quantity"), params.quantity_scale).alias("_q"),
     )
     leaves = F.col("_at") + F.lit(params.window_us)
-    entries_and_exits = ticks.select(
+    slicing = plan_slices(
+        ticks.select("symbol", F.col("_at").alias("position"), F.col("_seq").alias("tie"), "_p", "_q"),
         "symbol",
-        F.inline(
-            F.array(
-                F.struct(F.col("_at").alias("position"), F.lit(ENTRY).alias("kind"), F.col("_seq").alias("tie")),
-                F.struct(leaves.alias("position"), F.lit(EXIT).alias("kind"), F.col("_seq").alias("tie")),
-            )
-        ),
+        params.rows_per_slice,
+        params.max_slices,
+        shifts=(0, params.window_us),  # kinds ENTRY and EXIT
+        peaks=("_p", "_q"),
     )
-    slicing = plan_slices(entries_and_exits, "symbol", params.rows_per_slice, params.max_slices)
+    types = _sum_types(slicing)
     if slicing.is_cut:
-        rows, by = _sliced_rows(ticks, leaves, slicing), ["symbol", "cell", "part"]
+        rows, by = _sliced_rows(ticks, leaves, slicing, types), ["symbol", "cell", "part"]
     else:
-        rows = ticks.select("*", F.array(F.lit(ENTRY), F.lit(EXIT)).alias("_kinds"), F.lit(None).cast(_carry_type()).alias("_carry"))
-        by = ["symbol"]
-
-    # After the shuffle: one row per entry, exit or carried-in total.
-    moves = rows.repartition(*by).select("*", F.explode("_kinds").alias("_kind"))
-    sign = F.when(F.col("_kind") == ENTRY, F.lit(1)).otherwise(F.lit(-1))
-    carried = F.col("_carry").isNotNull()
-    moves = moves.select(
-        *by,
-        F.when(F.col("_kind") == ENTRY, F.col("tick")).alias("tick"),
-        F.when(F.col("_kind") == ENTRY, F.col("_at")).otherwise(leaves).alias("_move"),
-        "_kind",
-        "_seq",
-        *[
-            F.when(carried, F.col(f"_carry.{name}")).otherwise(value).alias(name)
-            for name, value in zip(SUMS, _measures(sign))
-        ],
-    )
-    # A carried-in total has no time of its own; nulls sort first.
-    so_far = Window.partitionBy(*by).orderBy("_move", "_kind", "_seq").rowsBetween(
+        rows, by = ticks.withColumn("_kind", F.lit(ENTRY)), ["symbol"]
+    rows = rows.repartition(*by)
+
+    # In order: the total carried in (no time; nulls sort first), then at each instant the ticks
+    # coming in before those going out.
+    so_far = Window.partitionBy(*by).orderBy("_at", "_kind", "_seq").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    summed = moves.select(
-        "symbol", "tick", "_kind", *[F.sum(name).over(so_far).alias(name) for name in SUMS]
-    ).filter((F.col("_kind") == ENTRY) & F.col("tick").isNotNull())
-    stats = stats_struct(*SUMS, params.price_scale, params.window_seconds)
-    return summed.select(
-        *[F.col(c if c == "symbol" else f"tick.{c}") for c in columns], stats.alias("stats")
+    measures = _measures(types)
+    came_in = F.struct(
+        *[
+            F.sum(F.when(F.col("_kind") == ENTRY, value)).over(so_far).alias(name)
+            for name, value in measures.items()
+        ]
     )
+    summed = rows.withColumn("_in", came_in)
+    if slicing.is_cut:
+        from_before = F.struct(
+            *[
+                F.sum(
+                    F.when(F.col("_kind") == CARRIED, F.col(f"_carry.{name}"))
+                    .when(F.col("_kind") == EXIT, -value)
+                ).over(so_far).alias(name)
+                for name, value in measures.items()
+            ]
+        )
+        summed = summed.withColumn("_before", from_before).filter(F.col("_kind") == ENTRY)
 
-
-def _carry_type() -> str:
-    return "struct<n:bigint,s1:decimal(28,0),s2:decimal(38,0),pv:decimal(38,0),qv:decimal(28,0)>"
-
-
-def _sliced_rows(ticks: DataFrame, leaves: Column, slicing: Slicing) -> DataFrame:
-    """Ticks sent to the slices where they enter and leave, plus one carried-in row per slice."""
-    placed = slicing.with_widths(ticks)
-    placed = placed.select(
+    # The running sum one window ago is the largest (by count) among the ticks before that time.
+    one_window_ago = Window.partitionBy(*by).orderBy("_at").rangeBetween(
+        Window.unboundedPreceding, -params.window_us - 1
+    )
+    windowed = summed.withColumn("_gone", F.max("_in").over(one_window_ago))
+    zero = F.lit(0)
+    content = []
+    for name, kind in types.items():
+        total = F.col(f"_in.{name}") - F.coalesce(F.col(f"_gone.{name}"), zero.cast(kind))
+        if slicing.is_cut:
+            total = total + F.coalesce(F.col(f"_before.{name}"), zero.cast(kind))
+        content.append(total.alias(f"_{name}"))
+    out = [F.col(c if c == "symbol" else f"tick.{c}") for c in columns]
+    finish = with_stats_narrow if types is NARROW else with_stats
+    windowed = windowed.select("symbol", "tick", *content)
+    return finish(windowed, params.price_scale, params.window_seconds).select(*out, "stats")
+
+
+def _sliced_rows(ticks: DataFrame, leaves: Column, slicing: Slicing, types: dict[str, str]) -> DataFrame:
+    """Each tick in its slice, its exit where that is another one, and the carried-in totals."""
+    placed = slicing.with_widths(ticks).select(
         *ticks.columns,
         slicing.cell(F.col("_at")).alias("_cell_in"),
         slicing.cell(leaves).alias("_cell_out"),
@@ -139,45 +161,38 @@ def _sliced_rows(ticks: DataFrame, leaves: Column, slicing: Slicing) -> DataFram
     placed = slicing.with_part(placed, "_cell_out", "_part_out", leaves, F.lit(EXIT), F.col("_seq"))
     stays = (F.col("_cell_in") == F.col("_cell_out")) & (F.col("_part_in") == F.col("_part_out"))
 
-    def stop(cell: str, part: str, *kinds: int) -> Column:
+    def stop(suffix: str, kind: int) -> Column:
         return F.struct(
-            F.col(cell).alias("cell"),
-            F.col(part).alias("part"),
-            F.array(*[F.lit(k) for k in kinds]).alias("_kinds"),
+            F.col(f"_cell_{suffix}").alias("cell"),
+            F.col(f"_part_{suffix}").alias("part"),
+            F.lit(kind).alias("_kind"),
         )
 
-    stops = (
-        F.when(stays, F.array(stop("_cell_in", "_part_in", ENTRY, EXIT)))
-        .when(F.col("_outlives"), F.array(stop("_cell_in", "_part_in", ENTRY)))  # no tick follows its exit
-        .otherwise(F.array(stop("_cell_in", "_part_in", ENTRY), stop("_cell_out", "_part_out", EXIT)))
-    )
-    sent = placed.select(*ticks.columns, F.inline(stops)).withColumn(
-        "tick", F.when(F.array_contains("_kinds", ENTRY), F.col("tick"))
+    both = F.array(stop("in", ENTRY), stop("out", EXIT))
+    # No exit is needed behind the symbol's last tick.
+    stops = F.when(stays | F.col("_outlives"), F.array(stop("in", ENTRY))).otherwise(both)
+    sent = placed.select(*ticks.columns, F.inline(stops)).withColumns(
+        {
+            "tick": F.when(F.col("_kind") == ENTRY, F.col("tick")),
+            "_at": F.when(F.col("_kind") == ENTRY, F.col("_at")).otherwise(leaves),
+        }
     )
 
-    crossing = placed.filter(~stays).select(
-        "symbol",
-        "_p",
-        "_q",
-        F.inline(
-            F.array(
-                F.struct(F.col("_cell_in").alias("cell"), F.col("_part_in").alias("part"), F.lit(1).alias("_sign")),
-                F.struct(F.col("_cell_out").alias("cell"), F.col("_part_out").alias("part"), F.lit(-1).alias("_sign")),
-            )
-        ),
-    )
+    measures = _measures(types)
     totals = (
-        crossing.select("symbol", "cell", "part", *_measures(F.col("_sign")))
+        placed.filter(~stays)
+        .select("symbol", "_p", "_q", F.inline(both))
         .groupBy("symbol", "cell", "part")
-        .agg(*[F.sum(name).alias(name) for name in SUMS])
+        .agg(
+            *[
+                F.sum(F.when(F.col("_kind") == ENTRY, value).otherwise(-value)).alias(name)
+                for name, value in measures.items()
+            ]
+        )
     )
-    carried = carry_in(totals, "symbol", dict.fromkeys(SUMS, "sum")).filter(F.col("n") != 0)
-    carry = F.struct(*[F.col(n).cast(t).alias(n) for n, t in _carry_fields()])
+    carried = carry_in(totals, "symbol", dict.fromkeys(types, "sum")).filter(F.col("n") != 0)
+    carry = F.struct(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()])
     carry_rows = carried.select(
-        "symbol", "cell", "part", carry.alias("_carry"), F.array(F.lit(ENTRY)).alias("_kinds")
+        "symbol", "cell", "part", carry.alias("_carry"), F.lit(CARRIED).alias("_kind")
     )
     return sent.unionByName(carry_rows, allowMissingColumns=True)
-
-
-def _carry_fields() -> list[tuple[str, str]]:
-    return [("n", "bigint"), ("s1", "decimal(28,0)"), ("s2", "decimal(38,0)"), ("pv", "decimal(38,0)"), ("qv", "decimal(28,0)")]
