@@ -33,7 +33,7 @@ WIDE = {
 NARROW = dict.fromkeys(WIDE, "bigint")
 
 
-def _measures(types: dict[str, str]) -> dict[str, Column]:
+def tick_measures(types: dict[str, str]) -> dict[str, Column]:
     """What one tick adds to each sum; the types leave room for the totals."""
     price, quantity = F.col("_p"), F.col("_q")
     if types is WIDE:
@@ -63,7 +63,7 @@ def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataF
             clocked = materialise(clocked, "arrival")
     else:
         clocked = ticks.withColumn("_at", F.unix_micros("trade_time"))
-    return _rolling(clocked, ticks.columns, params)
+    return rolling_by_clock(clocked, ticks.columns, params)
 
 
 def arrival_clock(ticks: DataFrame, params: WindowParams) -> tuple[DataFrame, bool]:
@@ -81,7 +81,8 @@ def arrival_clock(ticks: DataFrame, params: WindowParams) -> tuple[DataFrame, bo
     return clocked.drop("_time"), cut
 
 
-def _rolling(clocked: DataFrame, columns: list[str], params: WindowParams) -> DataFrame:
+def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParams) -> DataFrame:
+    """``rolling_stats`` over ticks that already carry their clock ``_at`` in microseconds."""
     ticks = clocked.select(
         "symbol",
         F.struct(*[c for c in columns if c != "symbol"]).alias("tick"),
@@ -111,7 +112,7 @@ def _rolling(clocked: DataFrame, columns: list[str], params: WindowParams) -> Da
     so_far = Window.partitionBy(*by).orderBy("_at", "_kind", "_seq").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    measures = _measures(types)
+    measures = tick_measures(types)
     came_in = F.struct(
         *[
             F.sum(F.when(F.col("_kind") == ENTRY, value)).over(so_far).alias(name)
@@ -178,7 +179,7 @@ def _sliced_rows(ticks: DataFrame, leaves: Column, slicing: Slicing, types: dict
         }
     )
 
-    measures = _measures(types)
+    measures = tick_measures(types)
     totals = (
         placed.filter(~stays)
         .select("symbol", "_p", "_q", F.inline(both))
