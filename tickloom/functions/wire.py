@@ -6,6 +6,8 @@ number 5 from the text "5", which the validation rules need.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, functions as F
 
 # What counts as blank around a symbol (Unicode white space and separators 1C-1F).
@@ -24,90 +26,113 @@ FIRST_INSTANT_US = -62135596800000000  # 0001-01-01
 LAST_INSTANT_US = 253402300799999999  # 9999-12-31 23:59:59.999999
 
 
-def parse_message(text: Column) -> Column:
-    """The message as a VARIANT array of one element; null unless it is exactly one JSON value.
+@dataclass(frozen=True)
+class JsonValue:
+    """One JSON value: the VARIANT, and the name of its type.
 
-    The parser stops after the first complete value, so text behind it would go unnoticed.
-    Parsing inside brackets turns such text into an error. A stray closing bracket could still
-    end the array early; where one follows an object, a second form must parse as well.
+    The type is STRING, BIGINT, DOUBLE, DECIMAL(p,s), BOOLEAN, VOID, ARRAY<..> or OBJECT<..>; both
+    are null for an absent field. Each rule below looks at both several times, so they should be
+    columns computed once.
     """
-    bracketed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    single = F.try_variant_get(bracketed, "$[1]", "variant").isNull()
-    doubtful = text.rlike(r"\}\s*\]")
-    braced = F.try_parse_json(F.concat(F.lit('{"m":'), text, F.lit("}")))
-    return F.when(single & (~doubtful | braced.isNotNull()), bracketed)
 
+    value: Column
+    kind: Column
 
-def field(message: Column, name: str) -> Column:
-    """A field of the message as VARIANT; null when absent."""
-    return F.try_variant_get(message, f"$[0].{name}", "variant")
+    def cast(self, type_name: str) -> Column:
+        return F.try_variant_get(self.value, "$", type_name)
+
+    @property
+    def is_number(self) -> Column:
+        return self.kind.isin("BIGINT", "DOUBLE", "FLOAT") | self.kind.startswith("DECIMAL")
 
+    @property
+    def is_boolean(self) -> Column:
+        return self.kind == "BOOLEAN"
 
-def content(message: Column) -> Column:
-    """The message's one JSON value; null if there is none."""
-    return F.try_variant_get(message, "$[0]", "variant")
 
+def in_brackets(text: Column) -> Column:
+    """A message parsed as the only element of an array, as VARIANT; null if that fails.
 
-def kind(value: Column) -> Column:
-    """STRING, BIGINT, DOUBLE, DECIMAL(p,s), BOOLEAN, VOID, ARRAY<..> or OBJECT<..>."""
-    return F.schema_of_variant(value)
+    The parser stops after the first complete value, so text behind it would go unnoticed. Inside
+    brackets such text is an error.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
-def _as(value: Column, type_name: str) -> Column:
-    return F.try_variant_get(value, "$", type_name)
+def only_value(bracketed: Column, text: Column) -> Column:
+    """The message's value as VARIANT; null unless the text is exactly one JSON value.
 
+    A stray closing bracket could end the array early. Where one follows an object, the message
+    must parse inside an object as well.
+    """
+    single = F.try_variant_get(bracketed, "$[1]", "variant").isNull()
+    doubtful = text.rlike(r"\}\s*\]")
+    braced = F.try_parse_json(F.concat(F.lit('{"m":'), text, F.lit("}")))
+    return F.when(single & (~doubtful | braced.isNotNull()), F.try_variant_get(bracketed, "$[0]", "variant"))
 
-def is_number(value: Column) -> Column:
-    return kind(value).rlike(r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
 
+def field(message: Column, name: str) -> Column:
+    """A field of the message as VARIANT; null when absent."""
+    return F.try_variant_get(message, f"$.{name}", "variant")
 
-def text(value: Column) -> Column:
+
+def text(json: JsonValue) -> Column:
     """The text of a JSON string; null for any other type."""
-    return F.when(kind(value) == "STRING", _as(value, "string"))
+    return F.when(json.kind == "STRING", json.cast("string"))
 
 
-def number(value: Column) -> Column:
-    """A finite DOUBLE from a JSON number, boolean or decimal text; null otherwise."""
-    content = text(value)
-    parsed = F.when(
-        is_number(value) | (kind(value) == "BOOLEAN"), _as(value, "double")
-    ).when(content.rlike(DECIMAL_TEXT), content.try_cast("double"))
-    return F.when(~F.isnan(parsed) & (F.abs(parsed) < float("inf")), parsed)
+def number(json: JsonValue) -> Column:
+    """A DOUBLE from a JSON number, boolean or decimal text; null otherwise. May overflow to infinity."""
+    return F.when(json.is_number | json.is_boolean, json.cast("double")).when(
+        (json.kind == "STRING") & json.cast("string").rlike(DECIMAL_TEXT), json.cast("string").try_cast("double")
+    )
 
 
 def normal_symbol(value: Column) -> Column:
     return F.upper(F.btrim(value, F.lit(BLANKS)))
 
 
-def truthy(value: Column) -> Column:
+def truthy(json: JsonValue) -> Column:
     """Whether a JSON value counts as true: not absent, null, false, zero or empty."""
     return (
-        F.when(value.isNull(), F.lit(False))
-        .when(kind(value) == "BOOLEAN", _as(value, "boolean"))
-        .when(is_number(value), _as(value, "double") != 0)
-        .otherwise(~F.to_json(value).isin("null", '""', "[]", "{}"))
+        F.when(json.value.isNull(), F.lit(False))
+        .when(json.is_boolean, json.cast("boolean"))
+        .when(json.is_number, json.cast("double") != 0)
+        .otherwise(~F.to_json(json.value).isin("null", '""', "[]", "{}"))
     )
 
 
-def _instant(micros: Column) -> Column:
-    """A timestamp from microseconds given as DOUBLE; null outside years 1 to 9999."""
-    inside = micros.between(float(FIRST_INSTANT_US), float(LAST_INSTANT_US))
-    return F.timestamp_micros(F.when(inside, F.rint(micros)).cast("bigint"))
+def epoch_number(json: JsonValue) -> Column:
+    """An epoch given as JSON number, or as a boolean, which counts as 0 or 1."""
+    return F.when(json.is_number | json.is_boolean, json.cast("double"))
 
 
-def trade_time_from_millis(value: Column) -> Column:
-    """Epoch milliseconds, as a JSON number (a boolean counts as 0 or 1); null otherwise."""
-    millis = F.when(is_number(value) | (kind(value) == "BOOLEAN"), _as(value, "double"))
-    return _instant(millis * 1000.0)
+def epoch_lax(json: JsonValue) -> Column:
+    """An epoch given as JSON number or as digits in text."""
+    return F.when(json.is_number, json.cast("double")).when(
+        (json.kind == "STRING") & json.cast("string").rlike(EPOCH_TEXT), json.cast("string").try_cast("double")
+    )
 
 
-def trade_time_lax(value: Column) -> Column:
-    """ISO-8601 text (no zone means UTC), or epoch seconds / milliseconds as number or text."""
-    content = text(value)
-    epoch = F.when(is_number(value), _as(value, "double")).when(
-        content.rlike(EPOCH_TEXT), content.try_cast("double")
-    )
-    epoch_us = F.when(F.abs(epoch) > MILLISECONDS_FROM, epoch * 1000.0).otherwise(epoch * 1000000.0)
+def micros_from_millis(epoch: Column) -> Column:
+    return F.rint(epoch * 1e3)
+
+
+def micros_by_size(epoch: Column) -> Column:
+    """Small epoch numbers are seconds, large ones milliseconds."""
+    return F.rint(epoch * F.when(F.abs(epoch) > MILLISECONDS_FROM, F.lit(1e3)).otherwise(F.lit(1e6)))
+
+
+def instant(micros: Column) -> Column:
+    """A timestamp from microseconds given as DOUBLE; null outside years 1 to 9999."""
+    inside = (micros >= float(FIRST_INSTANT_US)) & (micros <= float(LAST_INSTANT_US))
+    return F.timestamp_micros(F.when(inside, micros).cast("bigint"))
+
+
+def iso_time(json: JsonValue) -> Column:
+    """A timestamp from ISO-8601 text; no zone means UTC."""
+    content = json.cast("string")
     spelled = F.regexp_replace(F.translate(content, "t_,z", "T .Z"), r"(:.*[+-][0-9]{2})([0-9]{2})$", "$1:$2")
-    iso = F.when(content.rlike(ISO_TEXT) & (F.substring(content, 1, 4) != "0000"), spelled.try_cast("timestamp"))
-    return F.when(epoch.isNotNull(), _instant(epoch_us)).otherwise(iso)
+    return F.when(
+        (json.kind == "STRING") & content.rlike(ISO_TEXT) & ~content.startswith("0000"), spelled.try_cast("timestamp")
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import wire
@@ -24,22 +26,23 @@ REASONS = (
 )
 
 
-def _first_failure(fields: dict[str, Column], limits: WindowParams) -> Column:
-    symbol, price, quantity = fields["symbol"], fields["price"], fields["quantity"]
+def _reason(limits: WindowParams) -> Column:
+    """The first rule a message breaks, over its raw field values."""
+    symbol, price, quantity = F.col("_symbol"), F.col("_price"), F.col("_quantity")
     failures = {
         "null_value": F.col("value").isNull(),
-        "bad_utf8": ~F.is_valid_utf8(F.col("value").cast("string")),
+        "bad_utf8": ~F.col("_utf8"),
         "bad_json": F.col("_kind").isNull(),
         "not_object": ~F.col("_kind").startswith("OBJECT"),
         "symbol_invalid": symbol.isNull() | (F.length(symbol) < 1),
-        "symbol_blank": wire.normal_symbol(symbol) == "",
-        "price_invalid": price.isNull() | (price >= limits.max_price),
+        "symbol_blank": F.col("_normal") == "",
+        "price_invalid": price.isNull() | ~price.between(-limits.max_price, limits.max_price),
         "price_nonpositive": price <= 0,
-        "quantity_invalid": quantity.isNull() | (quantity >= limits.max_quantity),
+        "quantity_invalid": quantity.isNull() | ~quantity.between(-limits.max_quantity, limits.max_quantity),
         "quantity_nonpositive": quantity <= 0,
-        "time_invalid": fields["trade_time"].isNull(),
-        "side_invalid": fields["side"].isNull() | ~fields["side"].isin("buy", "sell"),
-        "source_invalid": fields["source"].isNull(),
+        "time_invalid": F.col("_time").isNull(),
+        "side_invalid": F.col("_side").isNull() | ~F.col("_side").isin("buy", "sell"),
+        "source_invalid": F.col("_source").isNull(),
     }
     reason = F.lit(None).cast("string")
     for name in reversed(REASONS):
@@ -47,18 +50,50 @@ def _first_failure(fields: dict[str, Column], limits: WindowParams) -> Column:
     return reason
 
 
-def _parse(records: DataFrame, fields: dict[str, Column], limits: WindowParams | None) -> DataFrame:
-    message = wire.parse_message(F.col("value").cast("string"))
-    names = {name: f"_{name}" for name in fields}
+Fields = dict[str, wire.JsonValue]
+
+
+def _parse(
+    records: DataFrame, names: list[str], epoch: Callable[[Fields], Column], micros: Callable[[Column], Column],
+    read: Callable[[Fields], dict[str, Column]], limits: WindowParams | None,
+) -> DataFrame:
+    """Parse each message once, step by step, then judge it.
+
+    The steps end in a generator of one row. It keeps the optimizer from substituting the parsing
+    into the filters on ``reject_reason``, where it would run once per mention.
+    """
+    utf8 = F.is_valid_utf8(F.col("value").cast("string"))
     parsed = (
-        records.withColumn("_m", message)
-        .withColumn("_kind", wire.kind(wire.content(F.col("_m"))))
-        .withColumns({names[n]: c for n, c in fields.items()})
+        records.withColumn("_utf8", utf8)
+        .withColumn("_text", F.when(F.col("_utf8"), F.col("value").cast("string")))
+        .withColumn("_array", wire.in_brackets(F.col("_text")))
+        .withColumn("_message", wire.only_value(F.col("_array"), F.col("_text")))
+        .withColumns({f"_f_{n}": wire.field(F.col("_message"), n) for n in names})
+        .withColumns({f"_k_{n}": F.schema_of_variant(f"_f_{n}") for n in names})
+    )
+    fields = {n: wire.JsonValue(F.col(f"_f_{n}"), F.col(f"_k_{n}")) for n in names}
+    parsed = parsed.withColumn("_epoch", epoch(fields)).withColumn("_micros", micros(F.col("_epoch")))
+    found = read(fields)
+    raw = F.struct(
+        F.col("_utf8"),
+        F.schema_of_variant("_message").alias("_kind"),
+        *[column.alias(f"_{name}") for name, column in found.items()],
+    )
+    judged = (
+        parsed.select(*records.columns, F.inline(F.array(raw)))
+        .withColumn("_normal", wire.normal_symbol(F.col("_symbol")))
+        .withColumn("reject_reason", _reason(limits or WindowParams()))
+    )
+    return judged.select(
+        *records.columns,
+        F.col("_normal").alias("symbol"),
+        F.col("_price").alias("price"),
+        F.col("_quantity").alias("quantity"),
+        F.col("_time").alias("trade_time"),
+        F.col("_side").alias("side"),
+        F.col("_source").alias("source"),
+        "reject_reason",
     )
-    held = {name: F.col(column) for name, column in names.items()}
-    parsed = parsed.withColumn("reject_reason", _first_failure(held, limits or WindowParams()))
-    parsed = parsed.withColumns({**held, "symbol": wire.normal_symbol(held["symbol"])})
-    return parsed.drop("_m", "_kind", *names.values())
 
 
 def parse_exchange(records: DataFrame, limits: WindowParams | None = None) -> DataFrame:
@@ -67,37 +102,36 @@ def parse_exchange(records: DataFrame, limits: WindowParams | None = None) -> Da
     ``reject_reason`` is null for a valid tick. ``limits`` bounds prices and quantities to what the
     window's sums can hold. Other input columns (such as ``seq``) are kept.
     """
-    message = F.col("_m")
-    return _parse(
-        records,
-        {
-            "symbol": wire.text(wire.field(message, "s")),
-            "price": wire.number(wire.field(message, "p")),
-            "quantity": wire.number(wire.field(message, "q")),
-            "trade_time": wire.trade_time_from_millis(wire.field(message, "T")),
-            "side": F.when(wire.truthy(wire.field(message, "m")), F.lit("sell")).otherwise(F.lit("buy")),
+
+    def read(json: Fields) -> dict[str, Column]:
+        return {
+            "symbol": wire.text(json["s"]),
+            "price": wire.number(json["p"]),
+            "quantity": wire.number(json["q"]),
+            "time": wire.instant(F.col("_micros")),
+            "side": F.when(wire.truthy(json["m"]), F.lit("sell")).otherwise(F.lit("buy")),
             "source": F.lit(DEFAULT_SOURCE),
-        },
-        limits,
-    )
+        }
+
+    return _parse(records, ["s", "p", "q", "T", "m"], lambda json: wire.epoch_number(json["T"]), wire.micros_from_millis, read, limits)
 
 
 def parse_canonical(records: DataFrame, limits: WindowParams | None = None) -> DataFrame:
     """``parse_exchange`` for messages that carry ticks under their own field names."""
-    message = F.col("_m")
-    source = wire.field(message, "source")
-    return _parse(
-        records,
-        {
-            "symbol": wire.text(wire.field(message, "symbol")),
-            "price": wire.number(wire.field(message, "price")),
-            "quantity": wire.number(wire.field(message, "quantity")),
-            "trade_time": wire.trade_time_lax(wire.field(message, "trade_time")),
-            "side": wire.text(wire.field(message, "side")),
-            "source": F.when(source.isNull(), F.lit(DEFAULT_SOURCE)).otherwise(wire.text(source)),
-        },
-        limits,
-    )
+
+    def read(json: Fields) -> dict[str, Column]:
+        absent = json["source"].value.isNull()
+        return {
+            "symbol": wire.text(json["symbol"]),
+            "price": wire.number(json["price"]),
+            "quantity": wire.number(json["quantity"]),
+            "time": F.coalesce(wire.instant(F.col("_micros")), wire.iso_time(json["trade_time"])),
+            "side": wire.text(json["side"]),
+            "source": F.when(absent, F.lit(DEFAULT_SOURCE)).otherwise(wire.text(json["source"])),
+        }
+
+    names = ["symbol", "price", "quantity", "trade_time", "side", "source"]
+    return _parse(records, names, lambda json: wire.epoch_lax(json["trade_time"]), wire.micros_by_size, read, limits)
 
 
 def valid_ticks(parsed: DataFrame, *keep: str) -> DataFrame:

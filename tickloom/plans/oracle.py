@@ -8,7 +8,7 @@ EVENT_TICKS = """
 ticks AS (
   SELECT upper(event_type) AS symbol, value AS price, json_extract_string(props, '$.k')::DOUBLE AS quantity,
          ts AS trade_time, CASE WHEN event_id % 2 = 1 THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source,
-         event_id AS seq, epoch_us(ts) AS at
+         event_id AS seq, epoch_us(ts) AS at_us
   FROM events
   WHERE value > 0 AND json_extract_string(props, '$.k')::DOUBLE > 0
 )"""
@@ -16,7 +16,7 @@ ticks AS (
 ORDER_TICKS = """
 ticks AS (
   SELECT upper(o_orderpriority) AS symbol, o_totalprice AS price, 1.0::DOUBLE AS quantity,
-         o_orderdate AS trade_time, o_orderkey AS seq, epoch_us(o_orderdate) AS at
+         o_orderdate AS trade_time, o_orderkey AS seq, epoch_us(o_orderdate) AS at_us
   FROM orders
 )"""
 
@@ -26,7 +26,7 @@ arrived AS (
   SELECT * REPLACE ((seq // 16) * 16 + ((seq % 16) * 5 + 3) % 16 AS seq) FROM in_order
 ),
 ticks AS (
-  SELECT * REPLACE (max(at) OVER (PARTITION BY symbol ORDER BY seq) AS at), at AS own_time FROM arrived
+  SELECT * REPLACE (max(at_us) OVER (PARTITION BY symbol ORDER BY seq) AS at_us), at_us AS own_time FROM arrived
 )"""
 
 
@@ -44,8 +44,8 @@ def windowed(ticks: str, window_us: int) -> str:
     return f"""{ticks},
 ranked AS (
   SELECT *, round(price * 100)::HUGEINT AS pc, round(quantity)::HUGEINT AS qc,
-         at::HUGEINT * 65536 + row_number() OVER (PARTITION BY symbol ORDER BY at, seq)
-           - rank() OVER (PARTITION BY symbol ORDER BY at) AS place
+         at_us::HUGEINT * 65536 + row_number() OVER (PARTITION BY symbol ORDER BY at_us, seq)
+           - rank() OVER (PARTITION BY symbol ORDER BY at_us) AS place
   FROM ticks
 ),
 sums AS (
@@ -174,8 +174,8 @@ WHERE symbol = 'PURCHASE' AND trade_time BETWEEN TIMESTAMP '2024-01-10 06:00:00'
 SELECT trade_time AS "timestamp", symbol, price, quantity, vwap AS rolling_vwap, mean_price AS rolling_mean,
        stdev_price AS rolling_std, is_anomaly, anomaly_zscore AS z_score, seq FROM p""",
     "snapshot": f"""WITH {EVENT_TICKS},
-{_snapshot(f'''SELECT t.* FROM ticks t JOIN (SELECT symbol, max(at) AS newest FROM ticks GROUP BY symbol) USING (symbol)
-  WHERE at >= newest - {DAY_US}''')},
+{_snapshot(f'''SELECT t.* FROM ticks t JOIN (SELECT symbol, max(at_us) AS newest FROM ticks GROUP BY symbol) USING (symbol)
+  WHERE at_us >= newest - {DAY_US}''')},
 wanted(symbol) AS (VALUES ('PURCHASE'), ('VIEW'), ('CLICK'), ('ETHUSDT'))
 SELECT symbol, coalesce(vwap, 0.0::DOUBLE) AS vwap, coalesce(mean_price, 0.0::DOUBLE) AS mean_price,
        coalesce(stdev_price, 0.0::DOUBLE) AS stdev_price, coalesce(sample_count, 0) AS sample_count,
@@ -185,8 +185,8 @@ FROM wanted LEFT JOIN (SELECT symbol, {stats()} FROM got) USING (symbol)""",
 SELECT symbol, {STAT_COLUMNS} FROM w QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY seq DESC) = 1""",
     "latency_percentiles": f"""WITH {SHUFFLED_TICKS},
 late AS (
-  SELECT symbol, at - own_time AS late_us, count(*) OVER (PARTITION BY symbol) AS n,
-         row_number() OVER (PARTITION BY symbol ORDER BY at - own_time) - 1 AS place
+  SELECT symbol, at_us - own_time AS late_us, count(*) OVER (PARTITION BY symbol) AS n,
+         row_number() OVER (PARTITION BY symbol ORDER BY at_us - own_time) - 1 AS place
   FROM ticks
 )
 SELECT symbol, n, {_percentile(0.5)} AS p50, {_percentile(0.95)} AS p95, {_percentile(0.99)} AS p99
