@@ -11,48 +11,50 @@ def to_units(value: Column, scale: int) -> Column:
     return F.rint(value * F.lit(float(10**scale))).cast("bigint")
 
 
-def with_stats(df: DataFrame, price_scale: int, window_seconds: float) -> DataFrame:
+WIDE = {
+    "n": "bigint",
+    "s1": "decimal(28,0)",
+    "s2": "decimal(38,0)",
+    "pv": "decimal(38,0)",
+    "qv": "decimal(28,0)",
+}
+
+
+def with_stats(df: DataFrame, types: dict[str, str], price_scale: int, window_seconds: float) -> DataFrame:
     """Replace exact window sums by a ``stats`` struct.
 
     ``df`` holds _n, _s1, _s2, _pv, _qv: count and sums of price, price squared, price*quantity and
-    quantity, in units. The spread n*s2 - s1*s1 is taken about the whole-number mean first, which
-    leaves its value unchanged and keeps the products small. Where n times that still outgrows
-    DECIMAL(38), what is subtracted from it is negligible and the double form is accurate.
+    quantity, in units, of the given ``types``. The spread n*s2 - s1*s1 is taken about the
+    whole-number mean first, which leaves its value unchanged and keeps the products small. Where n
+    times that still outgrows DECIMAL(38), what is subtracted from it is negligible and the double
+    form is accurate.
     """
     unit = f"{float(10 ** price_scale)!r}D"
+    product = "_n * _centre"
+    if types["s1"] != "bigint":
+        product = "cast(_n as decimal(19,0)) * cast(_centre as decimal(18,0))"
+    if types["s2"] == "bigint":
+        about = "_s2 - _centre * cast(_s1 + _rest as bigint)"
+        spread = "cast(cast(_n as decimal(19,0)) * cast(_about as decimal(19,0)) - _rest2 as double)"
+    else:
+        about = "cast(_s2 - cast(_centre as decimal(18,0)) * cast(_s1 + _rest as decimal(28,0)) as decimal(38,0))"
+        spread = (
+            "coalesce(cast(try_subtract(try_multiply(cast(_n as decimal(19,0)), _about), _rest2) as double),"
+            " _count * cast(_about as double) - cast(_rest2 as double))"
+        )
     # One step per column, so that each is computed once.
     steps = {
         "_count": "cast(_n as double)",
         "_mean": f"case when _n = 0 then 0.0D else cast(_s1 as double) / cast(_n as double) / {unit} end",
-        "_centre": "case when _n > 1 then cast(_s1 div _n as decimal(18,0)) end",
-        "_rest": "cast(_s1 - _n * _centre as decimal(19,0))",
-        "_about": "cast(_s2 - _centre * cast(_s1 + _rest as decimal(28,0)) as decimal(38,0))",
-        "_rest2": "cast(_rest * _rest as decimal(38,0))",
-        "_exact": "cast(try_subtract(try_multiply(cast(_n as decimal(19,0)), _about), _rest2) as double)",
-        "_rough": "_count * cast(_about as double) - cast(_rest2 as double)",
-        "stats": f"""named_struct(
-            'vwap', case when _qv > 0 then cast(_pv as double) / cast(_qv as double) / {unit} else _mean end,
-            'mean_price', _mean,
-            'stdev_price', case when _n > 1
-                then sqrt(greatest(0.0D, coalesce(_exact, _rough))) / _count / {unit} else 0.0D end,
-            'sample_count', cast(_n as bigint),
-            'window_seconds', cast({float(window_seconds)!r} as double))""",
-    }
-    return _stepwise(df, steps)
-
-
-def with_stats_narrow(df: DataFrame, price_scale: int, window_seconds: float) -> DataFrame:
-    """``with_stats`` for sums known to fit BIGINT: same values, less decimal arithmetic."""
-    unit = f"{float(10 ** price_scale)!r}D"
-    steps = {
-        "_count": "cast(_n as double)",
-        "_mean": f"case when _n = 0 then 0.0D else cast(_s1 as double) / cast(_n as double) / {unit} end",
-        "_spread": "cast(cast(_n as decimal(19,0)) * cast(_s2 as decimal(19,0))"
-        " - cast(_s1 as decimal(19,0)) * cast(_s1 as decimal(19,0)) as double)",
+        "_centre": "case when _n > 1 then _s1 div _n end",
+        "_rest": f"cast(_s1 - {product} as bigint)",
+        "_rest2": "cast(_rest as decimal(19,0)) * cast(_rest as decimal(19,0))",
+        "_about": about,
+        "_spread": spread,
         "stats": f"""named_struct(
             'vwap', case when _qv > 0 then cast(_pv as double) / cast(_qv as double) / {unit} else _mean end,
             'mean_price', _mean,
-            'stdev_price', case when _n > 1 then sqrt(_spread) / _count / {unit} else 0.0D end,
+            'stdev_price', case when _n > 1 then sqrt(greatest(0.0D, _spread)) / _count / {unit} else 0.0D end,
             'sample_count', cast(_n as bigint),
             'window_seconds', cast({float(window_seconds)!r} as double))""",
     }

@@ -44,9 +44,9 @@ def _reason(limits: WindowParams) -> Column:
         "side_invalid": F.col("_side").isNull() | ~F.col("_side").isin("buy", "sell"),
         "source_invalid": F.col("_source").isNull(),
     }
-    reason = F.lit(None).cast("string")
-    for name in reversed(REASONS):
-        reason = F.when(failures[name], F.lit(name)).otherwise(reason)
+    reason = F.when(failures[REASONS[0]], REASONS[0])
+    for name in REASONS[1:]:
+        reason = reason.when(failures[name], name)
     return reason
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.functions.stats import to_units, with_stats
-from tickloom.operators.window import WIDE, tick_measures
+from tickloom.functions.stats import WIDE, to_units, with_stats
+from tickloom.operators.window import tick_measures
 from tickloom.params import ARRIVAL, WindowParams
 from tickloom.session import materialise
 
@@ -44,4 +44,4 @@ def snapshot(ticks: DataFrame, params: WindowParams | None = None, symbols: list
         sums = wanted.join(sums, "symbol", "left").select(
             "symbol", *[F.coalesce(f"_{n}", F.lit(0).cast(t)).alias(f"_{n}") for n, t in WIDE.items()]
         )
-    return with_stats(sums, params.price_scale, params.window_seconds)
+    return with_stats(sums, WIDE, params.price_scale, params.window_seconds)

@@ -16,36 +16,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.stats import to_units, with_stats, with_stats_narrow
+from tickloom.functions.stats import WIDE, to_units, with_stats
 from tickloom.operators.running import running_max
 from tickloom.operators.slices import Slicing, carry_in, plan_slices
 from tickloom.params import ARRIVAL, WindowParams
 from tickloom.session import materialise
 
 ENTRY, EXIT, CARRIED = 0, 1, 2
-WIDE = {
-    "n": "bigint",
-    "s1": "decimal(28,0)",
-    "s2": "decimal(38,0)",
-    "pv": "decimal(38,0)",
-    "qv": "decimal(28,0)",
-}
-NARROW = dict.fromkeys(WIDE, "bigint")
-
-
 def tick_measures(types: dict[str, str]) -> dict[str, Column]:
-    """What one tick adds to each sum; the types leave room for the totals."""
+    """What one tick adds to each sum, in the sum's type."""
     price, quantity = F.col("_p"), F.col("_q")
-    if types is WIDE:
-        price, quantity = price.cast("decimal(18,0)"), quantity.cast("decimal(18,0)")
-    values = {"n": F.lit(1), "s1": price, "s2": price * price, "pv": price * quantity, "qv": quantity}
+
+    def product(left: Column, right: Column, kind: str) -> Column:
+        if kind == "bigint":
+            return left * right
+        return left.cast("decimal(18,0)") * right.cast("decimal(18,0)")
+
+    values = {
+        "n": F.lit(1),
+        "s1": price,
+        "s2": product(price, price, types["s2"]),
+        "pv": product(price, quantity, types["pv"]),
+        "qv": quantity,
+    }
     return {name: values[name].cast(kind) for name, kind in types.items()}
 
 
 def _sum_types(slicing: Slicing) -> dict[str, str]:
-    """BIGINT where no sum over a whole symbol can outgrow it, else DECIMAL."""
-    peak = max(1, slicing.peaks["_p"], slicing.peaks["_q"])
-    return NARROW if slicing.most * peak * peak < 2**63 else WIDE
+    """BIGINT for the sums that cannot outgrow it over a whole symbol, DECIMAL for the others."""
+    price, quantity = slicing.peaks["_p"], slicing.peaks["_q"]
+    largest = {"n": 1, "s1": price, "s2": price * price, "pv": price * quantity, "qv": quantity}
+    return {
+        name: "bigint" if slicing.most * largest[name] < 2**62 else wide for name, wide in WIDE.items()
+    }
 
 
 def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataFrame:
@@ -143,11 +146,10 @@ def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParam
         total = F.col(f"_in.{name}") - F.coalesce(F.col(f"_gone.{name}"), zero.cast(kind))
         if slicing.is_cut:
             total = total + F.coalesce(F.col(f"_before.{name}"), zero.cast(kind))
-        content.append(total.alias(f"_{name}"))
+        content.append(total.cast(kind).alias(f"_{name}"))
     out = [F.col(c if c == "symbol" else f"tick.{c}") for c in columns]
-    finish = with_stats_narrow if types is NARROW else with_stats
     windowed = windowed.select("symbol", "tick", *content)
-    return finish(windowed, params.price_scale, params.window_seconds).select(*out, "stats")
+    return with_stats(windowed, types, params.price_scale, params.window_seconds).select(*out, "stats")
 
 
 def _sliced_rows(ticks: DataFrame, leaves: Column, slicing: Slicing, types: dict[str, str]) -> DataFrame:
