@@ -104,13 +104,13 @@ def random_rows(seed, n, shape):
 
 @pytest.mark.parametrize("shape", ["ordered", "late", "burst", "random"])
 @pytest.mark.parametrize("mode", ["event_time", "arrival"])
-@pytest.mark.parametrize("rows_per_slice", [7, 60, 10_000])
+@pytest.mark.parametrize("rows_per_slice", [7, 10_000])
 def test_matches_simulation(spark, shape, mode, rows_per_slice):
     rows = random_rows(len(shape) * 7 + len(mode), 500, shape)
     df = spark.createDataFrame(
         [(s, p, float(q), T0 + timedelta(microseconds=t), n) for s, p, q, t, n in rows], SCHEMA
     )
-    window = {7: 10.0, 60: 25.5, 10_000: 3.0}[rows_per_slice]
+    window = {7: 10.0, 10_000: 3.0}[rows_per_slice]
     params = WindowParams(window_seconds=window, mode=mode, rows_per_slice=rows_per_slice)
     got = {
         (r["symbol"], r["seq"]): r["stats"] for r in rolling_stats(df, params).collect()
