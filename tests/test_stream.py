@@ -131,9 +131,36 @@ def test_triggers():
     assert trigger_options(FlushParams()) == {"processingTime": "2.0 seconds"}
 
 
-def test_a_stream_needs_arrival_mode(tmp_path):
+@pytest.mark.parametrize("lateness", [0.0, 30.0])
+def test_time_order_with_allowed_lateness(spark, tmp_path, lateness):
+    rows = late_rows(60)
+    window = WindowParams(window_seconds=10.0)
+    run = Setup(spark, tmp_path, window=window, lateness_seconds=lateness)
+    newest, mark, emitted, refused = {}, {}, [], 0
+    for first in (0, 20, 40):
+        chunk = rows[first : first + 20]
+        run.drain(chunk)
+        for row in chunk:
+            if row[3] < mark.get(row[0], -(10**18)):
+                refused += 1
+            else:
+                emitted.append(row)
+                newest[row[0]] = max(newest.get(row[0], row[3]), row[3])
+        mark = {s: t - round(lateness * 1e6) for s, t in newest.items()}
+    want = simulate(emitted, window.window_us, arrival=False)
+    ready = [r for r in emitted if r[3] <= mark[r[0]]]
+    assert run.counts() == sorted(
+        (s, (T0 + timedelta(microseconds=t)).replace(tzinfo=None), p, want[s, n][0]) for s, p, q, t, n in ready
+    )
+    found = spark.read.schema("value binary, reject_reason string, batch_id int").parquet(f"{run.out}/rejects") if refused else None
+    assert (found.filter("reject_reason = 'too_late'").count() if found else 0) == refused
+    assert len(ready) < len(rows) if lateness else refused > 0
+
+
+@pytest.mark.parametrize("mode, lateness", [("event_time", None), ("arrival", 1.0), ("event_time", -1.0)])
+def test_lateness_goes_with_time_order(mode, lateness):
     with pytest.raises(ValueError):
-        StreamJob(Sinks(), WindowTail("x"), Job(window=WindowParams()))
+        StreamJob(Sinks(), WindowTail("x"), Job(window=WindowParams(mode=mode)), lateness_seconds=lateness)
 
 
 def test_handler_sees_every_message(spark, tmp_path):

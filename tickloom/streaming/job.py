@@ -26,8 +26,10 @@ from tickloom.plans.pipeline import Job, Sinks
 
 TAIL_SCHEMA = (
     "symbol string, price double, quantity double, trade_time timestamp, side string, source string, "
-    "seq bigint, seen timestamp, batch_id bigint"
+    "seq bigint, seen timestamp, held boolean, batch_id bigint"
 )
+# What a micro-batch does with a tick: use it as context, put it out, keep it back, or refuse it.
+CONTEXT, EMIT, HOLD, TOO_LATE = "context", "emit", "hold", "too_late"
 
 
 @dataclass(frozen=True)
@@ -55,51 +57,94 @@ class WindowTail:
 
 @dataclass(frozen=True)
 class StreamJob:
-    """What one micro-batch does. ``idle_seconds`` frees symbols that stay silent that long."""
+    """What one micro-batch does.
+
+    In ``arrival`` mode every tick is put out at once. In ``event_time`` mode a tick is held until
+    its symbol has seen a tick ``lateness_seconds`` newer, ticks leave in time order, and one that
+    comes even later is set aside as ``too_late``. ``idle_seconds`` frees the window of symbols
+    that stay silent that long.
+    """
 
     sinks: Sinks
     tail: WindowTail
     job: Job = field(default_factory=Job)
     idle_seconds: float | None = None
+    lateness_seconds: float | None = None
 
     def __post_init__(self) -> None:
         if self.idle_seconds is not None and not self.idle_seconds > 0:
             raise ValueError(f"idle_seconds must be > 0, got {self.idle_seconds!r}")
-        if self.job.window.mode != ARRIVAL:
-            raise ValueError("a stream is windowed in arrival mode")
+        if (self.job.window.mode == ARRIVAL) != (self.lateness_seconds is None):
+            raise ValueError("lateness_seconds belongs to event_time mode, and is needed there")
+        if self.lateness_seconds is not None and not self.lateness_seconds >= 0:
+            raise ValueError(f"lateness_seconds must be >= 0, got {self.lateness_seconds!r}")
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         """Process the records of one micro-batch (``value``, ``seq``)."""
-        spark = records.sparkSession
         window, now = self.job.window, datetime.now(timezone.utc)
         parsed = self.job.parse(records).persist()
-        ticks = valid_ticks(parsed, "seq").withColumn("seen", F.lit(now))
-        before = self.tail.before(spark, batch_id).drop("batch_id")
-        both = before.withColumn("_new", F.lit(False)).unionByName(ticks.withColumn("_new", F.lit(True)))
-        # A stored point keeps its clock as its time, so the running maximum goes on from there.
-        clocked = arrival_clock(both, window)[0].persist()
+        before = self.tail.before(records.sparkSession, batch_id).drop("batch_id")
+        place = self._in_arrival_order if window.mode == ARRIVAL else self._in_time_order
+        placed = place(before, parsed, now).persist()
         try:
-            self.sinks.rejects(rejects(parsed), batch_id)
-            windowed = rolling_by_clock(clocked, both.columns, window).filter("_new")
+            refused = rejects(parsed)
+            if window.mode != ARRIVAL:
+                late = placed.filter(F.col("role") == TOO_LATE).select("value", F.col("role").alias("reject_reason"))
+                refused = refused.unionByName(late)
+            self.sinks.rejects(refused, batch_id)
+
+            in_window = placed.filter(F.col("role").isin(CONTEXT, EMIT))
+            columns = ["symbol", "price", "quantity", "trade_time", "side", "source", "seq", "role"]
+            windowed = rolling_by_clock(in_window, columns, window).filter(F.col("role") == EMIT)
             processed = processed_ticks(zscore_anomaly(windowed, self.job.anomaly)).persist()
             try:
                 self.sinks.processed(processed, batch_id)
                 self.sinks.anomalies(anomaly_events(processed, self.job.anomaly), batch_id)
             finally:
                 processed.unpersist()
-            self.tail.keep(self._still_open(clocked, now), batch_id)
+            self.tail.keep(self._next_tail(placed, now), batch_id)
         finally:
-            clocked.unpersist()
+            placed.unpersist()
             parsed.unpersist()
 
-    def _still_open(self, clocked: DataFrame, now: datetime) -> DataFrame:
-        last = clocked.groupBy("symbol").agg(F.max("_at").alias("_last"), F.max("seen").alias("_seen"))
+    def _in_arrival_order(self, before: DataFrame, parsed: DataFrame, now: datetime) -> DataFrame:
+        """Stored points as context, new ticks to put out; ``_at`` is the arrival clock."""
+        new = valid_ticks(parsed, "seq").withColumns({"seen": F.lit(now), "role": F.lit(EMIT)})
+        both = before.drop("held").withColumn("role", F.lit(CONTEXT)).unionByName(new)
+        # A stored point keeps its clock as its time, so the running maximum goes on from there.
+        return arrival_clock(both, self.job.window)[0]
+
+    def _in_time_order(self, before: DataFrame, parsed: DataFrame, now: datetime) -> DataFrame:
+        """Ticks judged against their symbol's newest time; ``_at`` is the trade time."""
+        new = valid_ticks(parsed, "seq", "value").withColumns(
+            {"seen": F.lit(now), "held": F.lit(False), "_new": F.lit(True)}
+        )
+        both = before.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
+        both = both.withColumn("_at", F.unix_micros("trade_time"))
+        lateness = round(self.lateness_seconds * 1_000_000)
+        marks = both.groupBy("symbol").agg(
+            (F.max("_at") - lateness).alias("_mark"),
+            (F.max(F.when(~F.col("_new"), F.col("_at"))) - lateness).alias("_mark_before"),
+        )
+        role = (
+            F.when(~F.col("_new") & ~F.col("held"), CONTEXT)
+            .when(F.col("_new") & (F.col("_at") < F.col("_mark_before")), TOO_LATE)
+            .when(F.col("_at") <= F.col("_mark"), EMIT)
+            .otherwise(HOLD)
+        )
+        return both.join(marks, "symbol").withColumn("role", role).drop("_mark", "_mark_before", "_new", "held")
+
+    def _next_tail(self, placed: DataFrame, now: datetime) -> DataFrame:
+        """Points a later tick's window can still hold, and the ticks held back."""
+        out = F.col("role").isin(CONTEXT, EMIT)
+        last = placed.filter(out).groupBy("symbol").agg(F.max("_at").alias("_last"), F.max("seen").alias("_seen"))
+        open_still = out & (F.col("_at") >= F.col("_last") - F.lit(self.job.window.window_us))
         if self.idle_seconds is not None:
-            last = last.filter(F.col("_seen") >= F.lit(now - timedelta(seconds=self.idle_seconds)))
-        inside = F.col("_at") >= F.col("_last") - F.lit(self.job.window.window_us)
-        return clocked.join(last, "symbol").filter(inside).select(
+            open_still = open_still & (F.col("_seen") >= F.lit(now - timedelta(seconds=self.idle_seconds)))
+        held = F.col("role") == HOLD
+        return placed.join(last, "symbol", "left").filter(held | open_still).select(
             "symbol", "price", "quantity", F.timestamp_micros("_at").alias("trade_time"),
-            "side", "source", "seq", "seen",
+            "side", "source", "seq", "seen", held.alias("held"),
         )
 
 
