@@ -13,7 +13,8 @@ from tickloom.sinks.topic import topic_records, write_topic
 from tickloom.sources.messages import stream_messages
 from tickloom.sources.table import read_table
 from tickloom.sources.topic import as_arrivals, stream_topic
-from tickloom.streaming.job import StreamJob, WindowTail, publish, start, trigger_options
+from tickloom.sinks.table import write_batch
+from tickloom.streaming.job import IngestJob, StreamJob, WindowTail, publish, start, trigger_options
 
 WINDOW = WindowParams(window_seconds=10.0, mode="arrival")
 
@@ -179,3 +180,16 @@ def test_rows_leave_one_for_one(spark, tmp_path):
     run = Setup(spark, tmp_path)
     run.drain([("X", 1, 1, 0, n) for n in range(5)])
     assert [c[3] for c in run.counts()] == [1, 2, 3, 4, 5]
+
+
+def test_messages_are_published_and_rejects_set_aside(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"s":"btcusdt","p":"0.5","q":"2","T":1672515782136,"m":true}\nnope\n')
+    job = IngestJob(
+        lambda rows, _: rows.write.mode("append").parquet(f"{tmp_path}/topic"),
+        lambda rows, batch_id: write_batch(rows, f"{tmp_path}/rejects", batch_id),
+    )
+    publish(stream_messages(spark, str(tmp_path / "in")), job, str(tmp_path / "checkpoint"), drain=True).awaitTermination()
+    (record,) = spark.read.parquet(f"{tmp_path}/topic").collect()
+    assert record["key"] == b"BTCUSDT" and b'"trade_time":"2022-12-31T19:43:02.136000Z"' in record["value"]
+    assert [r["reject_reason"] for r in spark.read.parquet(f"{tmp_path}/rejects").collect()] == ["bad_json"]

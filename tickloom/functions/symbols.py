@@ -11,7 +11,8 @@ INLINE_LIMIT = 1000
 
 def symbol_list(text: str) -> list[str]:
     """A comma list as given in a job's settings: trimmed, upper case, without empty entries."""
-    return [part.strip().upper() for part in text.split(",") if part.strip()]
+    trimmed = map(str.strip, text.upper().split(","))
+    return [symbol for symbol in trimmed if symbol]
 
 
 def symbol_list_column(text: Column) -> Column:

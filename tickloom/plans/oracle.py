@@ -137,6 +137,11 @@ ORACLE: dict[str, str] = {
 SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity, date_trunc('milliseconds', ts) AS trade_time,
        CASE WHEN bad OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source, seq
 FROM r WHERE reject_reason IS NULL""",
+    "landed_messages": f"""WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON}
+SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity, date_trunc('milliseconds', ts) AS trade_time,
+       CASE WHEN bad OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source
+FROM r WHERE reject_reason IS NULL""",
+    "quarantine": f"WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON} SELECT seq, reject_reason FROM r WHERE reject_reason IS NOT NULL",
     "parse_canonical": f"""WITH {MESSAGE_FIELDS}, {CANONICAL_REASON}
 SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity,
        CASE WHEN event_type = 'signup' THEN date_trunc('milliseconds', ts) ELSE ts END AS trade_time,

@@ -74,9 +74,11 @@ class Job:
         return FORMS[self.form](records, self.window)
 
 
-def run_batch(records: DataFrame, sinks: Sinks, job: Job | None = None, batch_id: int = 0) -> None:
+def run_batch(records: DataFrame, sinks: Sinks, batch_id: int, job: Job | None = None) -> None:
     """Process ``records`` (``value``, ``seq``) once and write every output.
 
+    Give each run its own ``batch_id``: running one again replaces what it wrote before.
+
     The parsed messages, and then the processed ticks, are written out before they are read more
     than once, so nothing is parsed or windowed twice.
     """

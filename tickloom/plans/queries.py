@@ -23,6 +23,7 @@ from tickloom.plans.tables import (
 from tickloom.session import prepare, shared_folder
 from tickloom.sinks.table import market_ticks, stored_rows, with_iso_time, write_days
 from tickloom.sinks.topic import topic_records, write_topic
+from tickloom.sources.messages import read_messages
 from tickloom.sources.table import anomaly_scan, range_scan
 from tickloom.sources.table import read_table as read_day_table
 from tickloom.sources.topic import as_arrivals, read_topic, stream_topic
@@ -63,6 +64,19 @@ def parse_exchange_query(spark, folder):
     return _flat(valid_ticks(parse_exchange(exchange_messages(spark, folder)), "seq"))
 
 
+def landed_messages(spark, folder):
+    """Messages written as text, one per line, read back and parsed."""
+    path = _scratch(spark, "landed")
+    exchange_messages(spark, folder).select("value").write.text(path)
+    return _flat(valid_ticks(parse_exchange(read_messages(spark, path))))
+
+
+def quarantine(spark, folder):
+    """Rejected messages as set aside, with their arrival number."""
+    parsed = parse_exchange(exchange_messages(spark, folder))
+    return parsed.filter(F.col("reject_reason").isNotNull()).select("seq", "reject_reason")
+
+
 def parse_canonical_query(spark, folder):
     return _flat(valid_ticks(parse_canonical(canonical_messages(spark, folder)), "seq"))
 
@@ -209,6 +223,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for name, query in {
         "parse_exchange": parse_exchange_query,
         "parse_canonical": parse_canonical_query,
+        "landed_messages": landed_messages,
+        "quarantine": quarantine,
         "reject_counts": reject_counts_query,
         "topic_records": topic_records_query,
         "topic_roundtrip": topic_roundtrip,

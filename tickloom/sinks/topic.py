@@ -19,6 +19,15 @@ def tick_json(zone: str = "Z") -> Column:
     )
 
 
+def _key() -> Column:
+    return F.when(F.col("symbol") != "", F.col("symbol").cast("binary")).alias("key")
+
+
+def keyed_values(ticks: DataFrame) -> DataFrame:
+    """What a Kafka sink needs: key (null for an empty symbol) and JSON value."""
+    return ticks.select(_key(), tick_json().cast("binary").alias("value"))
+
+
 def topic_records(ticks: DataFrame, topic: str = DEFAULT_TOPIC, partitions: int = PARTITIONS) -> DataFrame:
     """Key (null for an empty symbol), JSON value, and the place in the topic.
 
@@ -26,7 +35,7 @@ def topic_records(ticks: DataFrame, topic: str = DEFAULT_TOPIC, partitions: int
     records stay in order without any shuffle.
     """
     return ticks.select(
-        F.when(F.col("symbol") != "", F.col("symbol").cast("binary")).alias("key"),
+        _key(),
         tick_json().cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod(F.hash("symbol"), F.lit(partitions)).alias("partition"),

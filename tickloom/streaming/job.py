@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.anomaly import anomaly_events, processed_ticks, zscore_anomaly
-from tickloom.operators.quality import rejects, valid_ticks
+from tickloom.operators.quality import parse_exchange, rejects, valid_ticks
 from tickloom.operators.window import arrival_clock, rolling_by_clock
-from tickloom.params import ARRIVAL, FlushParams
-from tickloom.plans.pipeline import Job, Sinks
+from tickloom.params import ARRIVAL, FlushParams, WindowParams
+from tickloom.plans.pipeline import Job, Sink, Sinks
+from tickloom.sinks.topic import keyed_values
 
 TAIL_SCHEMA = (
     "symbol string, price double, quantity double, trade_time timestamp, side string, source string, "
@@ -148,6 +149,27 @@ class StreamJob:
         )
 
 
+@dataclass(frozen=True)
+class IngestJob:
+    """Exchange messages to topic records; malformed messages are set aside.
+
+    The topic sink gets ``key`` and ``value`` per tick. Kafka places records by key and numbers them.
+    """
+
+    topic: Sink
+    rejects: Sink
+    limits: WindowParams = field(default_factory=WindowParams)
+
+    def __call__(self, messages: DataFrame, batch_id: int) -> None:
+        """Publish one micro-batch of messages (``value``)."""
+        parsed = parse_exchange(messages, self.limits).persist()
+        try:
+            self.rejects(rejects(parsed), batch_id)
+            self.topic(keyed_values(valid_ticks(parsed)), batch_id)
+        finally:
+            parsed.unpersist()
+
+
 def trigger_options(flush: FlushParams | None = None, drain: bool = False) -> dict:
     """Trigger arguments: a batch every ``flush.seconds``, or process what is there and stop.
 
