@@ -13,8 +13,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # Generated methods beyond this size are never compiled by the JVM and would run interpreted.
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
