@@ -1,16 +1,20 @@
 import pytest
 
 import __spark_entry__ as registry
+from tickloom.plans.oracle import ORACLE
+from tickloom.plans.queries import QUERIES
 from tests.compare import differences
 
 FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= registry.queries().keys()
+    assert registry.oracle_sql().keys() <= registry.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, name):
     assert differences(spark, registry.queries()[name], registry.oracle_sql()[name], FOLDER) == []
 
