@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import materialise, parts, private
+from tickloom.llm.tables import keep_rows, materialise, parts, private
 
 #: Bits of a fingerprint. Suspects are verified, so a chance match costs time and nothing else.
 BITS = 48
@@ -139,7 +139,6 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = exact_groups(docs)
-    kept = groups.filter("kept").select(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_sha256").alias("_key"))
-    sha = F.sha2(normal_text(docs["text"]), 256)
-    keyed = docs.withColumn("_key", F.concat_ws(":", F.coalesce(docs["doc_id"].cast("string"), F.lit("-")), sha))
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key").select(*docs.columns)
+    key = F.concat_ws(":", F.coalesce(docs["doc_id"].cast("string"), F.lit("-")), F.sha2(normal_text(docs["text"]), 256))
+    kept = groups.filter("kept").select(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_sha256").alias("key"))
+    return keep_rows(docs, kept, key)

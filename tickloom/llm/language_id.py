@@ -151,7 +151,7 @@ def sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` (text last) with lang_pred, score and rejected in place of text."""
     fields = [f for f in docs.schema if f.name != "text"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logits = None if model is None else model.logits.astype(np.float32)
@@ -202,3 +202,9 @@ def language_id(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected for each row."""
     rows = private(docs, doc_id="doc_id", held_out=held_out(docs["doc_id"]), text="text")
     return predict(rows, learned(docs))
+
+
+def recognised(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language isn't rejected, with all their columns as they are."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
+    return predict(rows, learned(docs)).filter(~F.col("rejected")).select("row.*")

@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.llm import substring_dedup, suffix_dedup
+from tickloom.llm.embedding_dedup import near_vectors
 from tickloom.llm.exact_dedup import exact_groups
 from tickloom.llm.language_id import language_id
 from tickloom.llm.licenses import license_scan
+from tickloom.llm.minhash import near_groups
 from tickloom.llm.mixing import mixed
 from tickloom.llm.packing import best_fit_packing
 from tickloom.llm.secrets import secret_scan
-from tickloom.llm.tables import documents
+from tickloom.llm.tables import documents, embeddings
+
+
+def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +40,14 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(documents(spark, sf_dir))
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(embeddings(spark, sf_dir))
+
+
+def near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "kept")
+
+
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
@@ -40,10 +61,14 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": suffixes,
     "op2_language_id": language,
     "op3_secret_scan": secrets,
     "op4_source_mixing": mixture,
+    "op5_embedding_dedup": vectors,
+    "op6_minhash_dedup": near,
     "op7_license_scan": licenses,
     "op8_exact_dedup": exact,
     "op9_best_fit_packing": packing,
+    "op10_substring_dedup": substrings,
 }

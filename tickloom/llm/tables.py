@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.session import materialise
 
-__all__ = ["documents", "embeddings", "materialise", "parts", "private"]
+__all__ = ["documents", "embeddings", "keep_rows", "materialise", "parts", "private", "row_key"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,13 @@ def private(df: DataFrame, **columns: Column | str) -> DataFrame:
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
 
 
-def text_key(text: Column) -> Column:
-    """128 bits that stand for a text in joins of its row with what was found about it."""
-    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(7), text).alias("b"))
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Stands for (doc_id, whole text) in joins; rows with equal keys are equal in both."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), F.xxhash64(text).cast("string"), F.xxhash64(F.lit(7), text).cast("string"))
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is in ``keys`` (column "key"), one of each repeated row."""
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key.alias("key"))
+    kept = keyed.join(keys.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    return kept.select("row.*")
