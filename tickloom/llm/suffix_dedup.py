@@ -36,7 +36,8 @@ _DEPTH = 512
 def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in order of their first ``_DEPTH`` bytes, and their ranks after the first half of that.
 
-    ends: for each byte, where its stretch ends; every stretch ends in a letter of its own, above all.
+    ends: for each byte, where its stretch ends. Suffixes are compared by blocks of 8 bytes; less than 8
+    bytes at the end of a stretch are a letter of its own, above all others.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
@@ -77,27 +78,39 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, rank if h <= _DEPTH // 2 else half
 
 
-def common_prefixes(data: np.ndarray, ends: np.ndarray, at: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Common prefix of each suffix ``at`` (ascending) with its neighbour ``before`` in suffix order.
-
-    Kasai: where both move on by one byte, one byte less is common. Only the first of such a chain is compared.
-    """
-    head = np.ones(len(at), dtype=bool)
-    head[1:] = (at[1:] != at[:-1] + 1) | (before[1:] != before[:-1] + 1)
-    heads = np.flatnonzero(head)
-    x, y = at[heads], before[heads]
+def _compared(data: np.ndarray, ends: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bytes that the suffixes x and y have in common, compared 64 at a time."""
     limit = np.minimum(ends[x] - x, ends[y] - y)
     size, active = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-    padded = np.concatenate([data, np.zeros(64, np.uint8)])
-    steps = np.arange(64)
+    padded, steps = np.concatenate([data, np.zeros(64, np.uint8)]), np.arange(64)
     while len(active):
         here = size[active]
         same = padded[(x[active] + here)[:, None] + steps] == padded[(y[active] + here)[:, None] + steps]
         run = np.where(same.all(axis=1), 64, same.argmin(axis=1))
         size[active] = np.minimum(here + run, limit[active])
         active = active[(run == 64) & (here + 64 < limit[active])]
-    chain = np.cumsum(head) - 1
-    return size[chain] - (at - x[chain])
+    return size
+
+
+def common_prefixes(data: np.ndarray, ends: np.ndarray, at: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Common prefix of each suffix ``at`` (ascending) with its neighbour ``before`` in suffix order.
+
+    Kasai: where both move on by one byte, one byte less is common. So only the first of such a chain is
+    compared, and the one behind the place where nothing is left.
+    """
+    head = np.zeros(len(at), dtype=bool)
+    head[:1] = True
+    for x in (at, before):
+        head[1:] |= (x[1:] != x[:-1] + 1) | (ends[x[1:]] != ends[x[:-1]])
+    while True:
+        first = np.flatnonzero(head)
+        chain = np.cumsum(head) - 1
+        common = _compared(data, ends, at[first], before[first])[chain] - (at - at[first][chain])
+        over = common < 0
+        over[1:] &= ~over[:-1] | head[1:]
+        if not over.any():
+            return common
+        head |= over
 
 
 class Shard:
