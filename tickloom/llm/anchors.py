@@ -49,8 +49,9 @@ class Windows:
 
 
 def _held(own: np.ndarray) -> bytes:
-    """A text's distinct anchors; those that it has more than once, twice."""
-    values, counts = np.unique(own, return_counts=True)
+    """A text's distinct anchors; those that it has more than once, twice. Minima are small numbers, so
+    they are mixed again: owners take ranges of keys."""
+    values, counts = np.unique(rolling.mix(own), return_counts=True)
     return np.concatenate([values, values[counts > 1]]).astype("<u8").tobytes()
 
 
@@ -155,5 +156,6 @@ def candidates(docs: DataFrame, kind: Windows) -> tuple[DataFrame, DataFrame]:
 def repeated_windows(rows: pa.RecordBatch, low: np.ndarray) -> np.ndarray:
     """Which windows have an anchor that is repeated. rows: with ``anchors``; low: anchor of each window."""
     known = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("anchors").to_pylist()]))
-    at = np.minimum(np.searchsorted(known, low), len(known) - 1)
-    return (known[at] == low) & (low > 0)
+    mixed = rolling.mix(low)
+    at = np.minimum(np.searchsorted(known, mixed), len(known) - 1)
+    return (known[at] == mixed) & (low > 0)
