@@ -30,7 +30,7 @@ from tickloom.llm.tables import materialise, parts
 SIZE, GRAM = 400, 200
 #: Bytes of text and of possible repeats in a shard (one text may be longer).
 SHARD_TEXT, SHARD_REPEATS = 4_000_000, 1_500_000
-_DEPTH = 512
+_DEPTH, _PAIRS = 512, 1 << 13
 
 
 def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,16 +79,18 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _compared(data: np.ndarray, ends: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Bytes that the suffixes x and y have in common, compared 64 at a time."""
+    """Bytes that the suffixes x and y have in common, compared 64 at a time, some thousand pairs at once."""
     limit = np.minimum(ends[x] - x, ends[y] - y)
-    size, active = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    size = np.zeros(len(x), dtype=np.int64)
     padded, steps = np.concatenate([data, np.zeros(64, np.uint8)]), np.arange(64)
-    while len(active):
-        here = size[active]
-        same = padded[(x[active] + here)[:, None] + steps] == padded[(y[active] + here)[:, None] + steps]
-        run = np.where(same.all(axis=1), 64, same.argmin(axis=1))
-        size[active] = np.minimum(here + run, limit[active])
-        active = active[(run == 64) & (here + 64 < limit[active])]
+    for low in range(0, len(x), _PAIRS):
+        active = np.arange(low, min(low + _PAIRS, len(x)))
+        while len(active):
+            here = size[active]
+            same = padded[(x[active] + here)[:, None] + steps] == padded[(y[active] + here)[:, None] + steps]
+            run = np.where(same.all(axis=1), 64, same.argmin(axis=1))
+            size[active] = np.minimum(here + run, limit[active])
+            active = active[(run == 64) & (here + 64 < limit[active])]
     return size
 
 
@@ -114,42 +116,42 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, at: np.ndarray, before:
 
 
 class Shard:
-    """The strings of ``SIZE`` bytes in a shard's row that may be repeated, and their fingerprints."""
+    """The strings of ``SIZE`` bytes in a shard's row that may be repeated: the stretches of text that
+    hold them, one behind the other, and where each string starts in them and in the text."""
 
     def __init__(self, row: dict) -> None:
         self.rids = np.frombuffer(row["rids"], "<i8")
         self.bounds = np.frombuffer(row["bounds"], "<i8")
         self.text = np.frombuffer(row["text"], np.uint8)
-        self.runs = np.frombuffer(row["runs"], "<i8").reshape(-1, 2)
-        sizes = self.runs[:, 1] - self.runs[:, 0]
-        first = np.cumsum(sizes) - sizes
-        #: Where each string starts in the shard's text.
-        self.starts = np.repeat(self.runs[:, 0] - first, sizes) + np.arange(sizes.sum())
+        runs = np.frombuffer(row["runs"], "<i8").reshape(-1, 2)
+        strings = runs[:, 1] - runs[:, 0]
+        sizes = strings + SIZE - 1
+        last = np.cumsum(sizes)
+        self.ends = np.repeat(last, sizes)
+        self.data = self.text[np.repeat(runs[:, 0] - last + sizes, sizes) + np.arange(sizes.sum())]
+        within = np.arange(strings.sum()) - np.repeat(np.cumsum(strings) - strings, strings)
+        self.starts = np.repeat(runs[:, 0], strings) + within
+        self.places = np.repeat(last - sizes, strings) + within
 
     def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
         out = []
         for seed in (11, 12):
-            sums = rolling.prefix(rolling.byte_codes(self.text, seed))
-            out.append(rolling.span(sums, self.starts, self.starts + SIZE))
+            sums = rolling.prefix(rolling.byte_codes(self.data, seed))
+            out.append(rolling.span(sums, self.places, self.places + SIZE))
         return out[0], (out[1] >> np.uint64(32)).astype("<u4")
 
     def repeats(self) -> np.ndarray:
         """Which strings stand more than once in this shard, from its suffix array."""
-        sizes = self.runs[:, 1] - self.runs[:, 0] + SIZE - 1
-        first = np.cumsum(sizes) - sizes
-        place = np.repeat(self.runs[:, 0] - first, sizes) + np.arange(sizes.sum())
-        ends = np.repeat(first + sizes, sizes)
-        data = self.text[place]
-        order, half = suffix_order(data, ends)
-        number = np.full(len(data), -1, dtype=np.int64)
-        number[ends - np.arange(len(data)) >= SIZE] = np.arange(len(self.starts))
+        order, half = suffix_order(self.data, self.ends)
+        number = np.full(len(self.data), -1, dtype=np.int64)
+        number[self.places] = np.arange(len(self.places))
         order = order[number[order] >= 0]
         tied = np.flatnonzero(half[order[1:]] == half[order[:-1]])
         at, before = order[tied + 1], order[tied]
         by = np.argsort(at)
         at, before = at[by], before[by]
-        long = common_prefixes(data, ends, at, before) >= SIZE
-        flags = np.zeros(len(self.starts), dtype=bool)
+        long = common_prefixes(self.data, self.ends, at, before) >= SIZE
+        flags = np.zeros(len(self.places), dtype=bool)
         flags[number[at[long]]] = True
         flags[number[before[long]]] = True
         return flags
