@@ -1,10 +1,15 @@
 """The shape of physical plans: one shuffle of the ticks, nothing in Python, pushdown to the scan."""
 
+from pyspark.sql import functions as F
+
+from tickloom.functions.instants import day_key
 from tickloom.operators.quality import parse_exchange, valid_ticks
+from tickloom.operators.snapshot import snapshot
 from tickloom.operators.window import rolling_stats
 from tickloom.params import WindowParams
 from tickloom.plans.tables import event_ticks, exchange_messages
 from tickloom.sinks.topic import topic_records
+from tickloom.sources.table import read_table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,12 +25,26 @@ def test_window_shuffles_ticks_once(spark):
     assert "Python" not in plan and "PushedFilters: [IsNotNull(value), GreaterThan(value,0.0)]" in plan
 
 
-def test_sliced_window_shuffles_ticks_once(spark):
-    plan = plan_of(rolling_stats(event_ticks(spark, FOLDER), WindowParams(price_scale=2, rows_per_slice=100)))
-    # The ticks, the partially aggregated slice totals, and the running total over those.
+def test_sliced_window_plan(spark):
+    plan = plan_of(rolling_stats(event_ticks(spark, FOLDER), WindowParams(price_scale=2, quantity_scale=0, rows_per_slice=100)))
+    # The stored moves, the partially aggregated slice totals, and the running total over those.
     assert plan.count("Exchange hashpartitioning") == 3
-    assert plan.count("REPARTITION_BY_COL") == 1
+    # Twice 986 ticks over slices of 100: the number of partitions follows the rows.
+    assert "hashpartitioning(symbol" in plan and ", 20), REPARTITION_BY_NUM" in plan
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "aggregate(" not in plan and "transform(" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_snapshot_filters_reach_the_scan(spark, tmp_path):
+    path = f"{tmp_path}/days"
+    ticks = event_ticks(spark, FOLDER)
+    ticks.withColumn("partition_key", day_key(F.col("trade_time"))).write.partitionBy("partition_key").parquet(path)
+    window = WindowParams(window_seconds=86_400.0, price_scale=2, quantity_scale=0)
+    found = snapshot(read_table(spark, path), window, ["PURCHASE", "VIEW"])
+    plan = plan_of(found)
+    assert "In(symbol, [PURCHASE,VIEW])" in plan and "GreaterThanOrEqual(trade_time" in plan
+    assert "PartitionFilters: [isnotnull(partition_key" in plan
+    assert found.exceptAll(snapshot(ticks, window, ["PURCHASE", "VIEW"])).isEmpty()
 
 
 def test_parsing_is_one_pass(spark):

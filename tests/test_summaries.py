@@ -61,15 +61,17 @@ def test_running_aggregates_over_slices(spark):
     df = spark.createDataFrame(rows, "k string, at bigint, v bigint")
     so_far = Window.partitionBy("k").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     for function, plain in ((running_max, F.max), (running_sum, F.sum)):
-        got, cut = function(df, "k", "at", "v", "out", 4, 1000)
+        got, cut = function(df, "k", "at", "v", "out", 4)
         want = df.withColumn("out", plain("v").over(so_far))
         assert cut and sorted(got.collect()) == sorted(want.collect())
 
 
-def test_slices_are_bounded(spark):
-    from tickloom.operators.slices import plan_slices
+def test_slices_follow_the_rows(spark):
+    """Ten times the rows, ten times the slices; one instant and one key spread over them."""
+    from tickloom.operators.slices import cut
 
-    rows = spark.range(2000).select(F.lit("K").alias("k"), F.col("id").alias("position"), F.col("id").alias("tie"))
-    plan = plan_slices(rows, "k", rows_per_slice=1, max_slices=10)
-    width = plan.hot.first()["_width"]
-    assert 2000 / width <= 10
+    for n in (1000, 10_000):
+        rows = spark.range(n).select(F.lit("K").alias("k"), F.lit(0).alias("at"), F.col("id").alias("seq"))
+        placed, slices = cut(rows, ["k", "at", "seq"], n, 100, "test")
+        sizes = [r["count"] for r in placed.groupBy("slice").count().collect()]
+        assert slices == n // 100 and sum(sizes) == n and max(sizes) < 400

@@ -83,6 +83,37 @@ def test_large_prices_do_not_lose_precision(spark):
     assert got[399]["stdev_price"] == pytest.approx(0.005, rel=1e-12)
 
 
+@pytest.mark.parametrize("price_unit", [1e-10, 1.0, 1e9])
+@pytest.mark.parametrize("quantity_unit", [1e-10, 1.0, 1e9])
+def test_vwap_of_any_size(spark, price_unit, quantity_unit):
+    rows = [("X", 100 * price_unit, quantity_unit, 0, 1), ("X", 200 * price_unit, 3 * quantity_unit, 0, 2)]
+    got = stats_by_seq(rolling_stats(frame(spark, rows)))
+    assert got[2]["vwap"] == pytest.approx(175 * price_unit, rel=1e-13)
+    assert got[2]["mean_price"] == pytest.approx(150 * price_unit, rel=1e-13)
+    assert got[2]["stdev_price"] == pytest.approx(50 * price_unit, rel=1e-13)
+
+
+def test_symbols_have_their_own_scale(spark):
+    """Very large and very small symbols side by side, and quantities far below any common unit."""
+    rows = [("TINY", 2.5, 1e-9, 0, 1), ("TINY", 7.5, 3e-9, 0, 2), ("DUST", 4e-9, 1, 0, 3), ("HUGE", 1.5e12, 5e7, 0, 4)]
+    got = stats_by_seq(rolling_stats(frame(spark, rows)))
+    assert got[2]["vwap"] == pytest.approx(6.25, rel=1e-13)
+    assert got[3]["mean_price"] == got[3]["vwap"] == 4e-9
+    assert got[4]["vwap"] == 1.5e12
+
+
+@pytest.mark.parametrize("rows_per_slice", [7, 10_000])
+def test_scale_hint_does_not_change_results(spark, rows_per_slice):
+    rows = [(s, p * 1.0001, float(q) / 3, t / 1e6, n) for s, p, q, t, n in random_rows(8, 200, "ordered")]
+    got = [stats_by_seq(rolling_stats(frame(spark, rows), WindowParams(price_scale=k, quantity_scale=k, rows_per_slice=rows_per_slice))) for k in (0, 8)]
+    assert got[0] == got[1]
+    want = simulate([(s, p, q, round(t * 1e6), n) for s, p, q, t, n in rows], 10_000_000, False)
+    for (_, n), (count, mean, stdev, vwap) in want.items():
+        assert got[0][n]["sample_count"] == count
+        assert got[0][n]["vwap"] == pytest.approx(vwap, rel=1e-12)
+        assert got[0][n]["stdev_price"] == pytest.approx(stdev, rel=1e-9, abs=1e-11)
+
+
 def random_rows(seed, n, shape):
     rnd = random.Random(seed)
     rows, clock = [], 0
@@ -137,7 +168,7 @@ def test_slices_do_not_change_results(spark):
 
 @pytest.mark.parametrize("bad", [
     {"window_seconds": 0.0}, {"window_seconds": -1.0}, {"window_seconds": float("nan")},
-    {"mode": "other"}, {"price_scale": -1}, {"rows_per_slice": 0}, {"max_slices": 0},
+    {"mode": "other"}, {"price_scale": -1}, {"rows_per_slice": 0},
 ])
 def test_bad_parameters_are_refused(bad):
     with pytest.raises(ValueError):

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tickloom.functions.units import Units
 from tickloom.params import AnomalyParams
 
-def to_units(value: Column, scale: int) -> Column:
-    """A number as a whole count of 10**-scale, so that sums are exact in any order."""
-    return F.rint(value * F.lit(float(10**scale))).cast("bigint")
-
 
 WIDE = {
     "n": "bigint",
@@ -20,52 +17,39 @@ WIDE = {
 }
 
 
-def with_stats(df: DataFrame, types: dict[str, str], price_scale: int, window_seconds: float) -> DataFrame:
+def with_stats(df: DataFrame, types: dict[str, str], units: Units, window_seconds: float) -> DataFrame:
     """Replace exact window sums by a ``stats`` struct.
 
     ``df`` holds _n, _s1, _s2, _pv, _qv: count and sums of price, price squared, price*quantity and
-    quantity, in units, of the given ``types``. The spread n*s2 - s1*s1 is taken about the
-    whole-number mean first, which leaves its value unchanged and keeps the products small. Where n
-    times that still outgrows DECIMAL(38), what is subtracted from it is negligible and the double
-    form is accurate.
+    quantity, in units, of the given ``types``. The squares are taken about the whole-number mean,
+    exactly; only the last steps are in floating point: with r the rest of s1 over n, the variance is
+    (sum of squares about the whole mean) / n - (r / n)^2. A flat window gives exactly 0.
     """
-    unit = f"{float(10 ** price_scale)!r}D"
     product = "_n * _centre"
     if types["s1"] != "bigint":
         product = "cast(_n as decimal(19,0)) * cast(_centre as decimal(18,0))"
-    if types["s2"] == "bigint":
-        about = "_s2 - _centre * cast(_s1 + _rest as bigint)"
-        spread = "cast(cast(_n as decimal(19,0)) * cast(_about as decimal(19,0)) - _rest2 as double)"
-    else:
+    about = "_s2 - _centre * cast(_s1 + _rest as bigint)"
+    if types["s2"] != "bigint":
         about = "cast(_s2 - cast(_centre as decimal(18,0)) * cast(_s1 + _rest as decimal(28,0)) as decimal(38,0))"
-        spread = (
-            "coalesce(cast(try_subtract(try_multiply(cast(_n as decimal(19,0)), _about), _rest2) as double),"
-            " _count * cast(_about as double) - cast(_rest2 as double))"
-        )
     # One step per column, so that each is computed once.
     steps = {
         "_count": "cast(_n as double)",
-        "_mean": f"case when _n = 0 then 0.0D else cast(_s1 as double) / cast(_n as double) / {unit} end",
+        "_mean": f"case when _n = 0 then 0.0D else {units.scaled('cast(_s1 as double) / cast(_n as double)')} end",
         "_centre": "case when _n > 1 then _s1 div _n end",
         "_rest": f"cast(_s1 - {product} as bigint)",
-        "_rest2": "cast(_rest as decimal(19,0)) * cast(_rest as decimal(19,0))",
+        "_part": "cast(_rest as double) / _count",
         "_about": about,
-        "_spread": spread,
+        "_variance": "cast(_about as double) / _count - _part * _part",
         "stats": f"""named_struct(
-            'vwap', case when _qv > 0 then cast(_pv as double) / cast(_qv as double) / {unit} else _mean end,
+            'vwap', case when _qv > 0 then {units.scaled('cast(_pv as double) / cast(_qv as double)')} else _mean end,
             'mean_price', _mean,
-            'stdev_price', case when _n > 1 then sqrt(greatest(0.0D, _spread)) / _count / {unit} else 0.0D end,
+            'stdev_price', case when _n > 1 then {units.scaled('sqrt(greatest(0.0D, _variance))')} else 0.0D end,
             'sample_count', cast(_n as bigint),
             'window_seconds', cast({float(window_seconds)!r} as double))""",
     }
-    return _stepwise(df, steps)
-
-
-def _stepwise(df: DataFrame, steps: dict[str, str]) -> DataFrame:
     for name, text in steps.items():
         df = df.withColumn(name, F.expr(text))
-    helpers = [name for name in steps if name != "stats"]
-    return df.drop("_n", "_s1", "_s2", "_pv", "_qv", *helpers)
+    return df.drop("_n", "_s1", "_s2", "_pv", "_qv", "_times", "_over", *[name for name in steps if name != "stats"])
 
 
 def zscore(price: Column, mean: Column, stdev: Column) -> Column:

@@ -13,7 +13,7 @@ DEFAULT_QUANTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 def percentiles(
     df: DataFrame, key: str, value: str, quantiles: dict[str, float] | None = None,
-    rows_per_slice: int = WindowParams.rows_per_slice, max_slices: int = WindowParams.max_slices,
+    rows_per_slice: int = WindowParams.rows_per_slice,
 ) -> DataFrame:
     """Per key the number of values and, per quantile q, the sorted value at 0-based index int(n*q).
 
@@ -30,7 +30,7 @@ def percentiles(
         "value-counts",
     )
     totals = materialise(counts.groupBy(key).agg(F.sum("_rows").alias("n")), "value-totals")
-    ranked, _ = running_sum(counts, key, "_value", "_rows", "_upto", rows_per_slice, max_slices)
+    ranked, _ = running_sum(counts, key, "_value", "_rows", "_upto", rows_per_slice)
     picks = [
         F.min(F.when(F.col("_upto") > F.floor(F.col("n") * F.lit(float(q))), F.col("_value"))).alias(name)
         for name, q in quantiles.items()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import wire
-from tickloom.params import DEFAULT_SOURCE, WindowParams
+from tickloom.params import DEFAULT_SOURCE
 
 REASONS = (
     "null_value",
@@ -26,7 +26,11 @@ REASONS = (
 )
 
 
-def _reason(limits: WindowParams) -> Column:
+def _finite(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+
+
+def _reason() -> Column:
     """The first rule a message breaks, over its raw field values."""
     symbol, price, quantity = F.col("_symbol"), F.col("_price"), F.col("_quantity")
     failures = {
@@ -36,9 +40,9 @@ def _reason(limits: WindowParams) -> Column:
         "not_object": ~F.col("_kind").startswith("OBJECT"),
         "symbol_invalid": symbol.isNull() | (F.length(symbol) < 1),
         "symbol_blank": F.col("_normal") == "",
-        "price_invalid": price.isNull() | ~price.between(-limits.max_price, limits.max_price),
+        "price_invalid": ~_finite(price),
         "price_nonpositive": price <= 0,
-        "quantity_invalid": quantity.isNull() | ~quantity.between(-limits.max_quantity, limits.max_quantity),
+        "quantity_invalid": ~_finite(quantity),
         "quantity_nonpositive": quantity <= 0,
         "time_invalid": F.col("_time").isNull(),
         "side_invalid": F.col("_side").isNull() | ~F.col("_side").isin("buy", "sell"),
@@ -55,7 +59,7 @@ Fields = dict[str, wire.JsonValue]
 
 def _parse(
     records: DataFrame, names: list[str], epoch: Callable[[Fields], Column], micros: Callable[[Column], Column],
-    read: Callable[[Fields], dict[str, Column]], limits: WindowParams | None,
+    read: Callable[[Fields], dict[str, Column]],
 ) -> DataFrame:
     """Parse each message once, step by step, then judge it.
 
@@ -82,7 +86,7 @@ def _parse(
     judged = (
         parsed.select(*records.columns, F.inline(F.array(raw)))
         .withColumn("_normal", wire.normal_symbol(F.col("_symbol")))
-        .withColumn("reject_reason", _reason(limits or WindowParams()))
+        .withColumn("reject_reason", _reason())
     )
     return judged.select(
         *records.columns,
@@ -96,11 +100,11 @@ def _parse(
     )
 
 
-def parse_exchange(records: DataFrame, limits: WindowParams | None = None) -> DataFrame:
+def parse_exchange(records: DataFrame) -> DataFrame:
     """Add tick columns and ``reject_reason`` to exchange messages (``value``: s, p, q, T, m).
 
-    ``reject_reason`` is null for a valid tick. ``limits`` bounds prices and quantities to what the
-    window's sums can hold. Other input columns (such as ``seq``) are kept.
+    ``reject_reason`` is null for a valid tick. Any finite price and quantity above 0 is valid. Other
+    input columns (such as ``seq``) are kept.
     """
 
     def read(json: Fields) -> dict[str, Column]:
@@ -113,10 +117,10 @@ def parse_exchange(records: DataFrame, limits: WindowParams | None = None) -> Da
             "source": F.lit(DEFAULT_SOURCE),
         }
 
-    return _parse(records, ["s", "p", "q", "T", "m"], lambda json: wire.epoch_number(json["T"]), wire.micros_from_millis, read, limits)
+    return _parse(records, ["s", "p", "q", "T", "m"], lambda json: wire.epoch_number(json["T"]), wire.micros_from_millis, read)
 
 
-def parse_canonical(records: DataFrame, limits: WindowParams | None = None) -> DataFrame:
+def parse_canonical(records: DataFrame) -> DataFrame:
     """``parse_exchange`` for messages that carry ticks under their own field names."""
 
     def read(json: Fields) -> dict[str, Column]:
@@ -131,7 +135,7 @@ def parse_canonical(records: DataFrame, limits: WindowParams | None = None) -> D
         }
 
     names = ["symbol", "price", "quantity", "trade_time", "side", "source"]
-    return _parse(records, names, lambda json: wire.epoch_lax(json["trade_time"]), wire.micros_by_size, read, limits)
+    return _parse(records, names, lambda json: wire.epoch_lax(json["trade_time"]), wire.micros_by_size, read)
 
 
 def valid_ticks(parsed: DataFrame, *keep: str) -> DataFrame:

@@ -1,56 +1,40 @@
-"""Running aggregates over one ordered key, cut into slices where the key is hot."""
+"""Running aggregates over one ordered key, cut into slices where a key is hot."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickloom.operators.slices import carry_in, plan_slices
+from tickloom.operators.slices import carry_in, cut
 
 
 def _running(
-    df: DataFrame, key: str, position: str, value: str, out: str, how: str,
-    rows_per_slice: int, max_slices: int,
+    df: DataFrame, key: str, position: str, value: str, out: str, how: str, rows_per_slice: int
 ) -> tuple[DataFrame, bool]:
     combine = getattr(F, how)
-    places = df.select(
-        key,
-        F.col(position).cast("bigint").alias("position"),
-        F.lit(0).cast("bigint").alias("tie"),
-    )
-    slicing = plan_slices(places, key, rows_per_slice, max_slices)
-    if not slicing.is_cut:
+    sizes = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    if (sizes["most"] or 0) <= rows_per_slice:
         so_far = Window.partitionBy(key).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, combine(value).over(so_far)), False
 
-    placed = slicing.with_widths(df).withColumn("cell", slicing.cell(F.col(position)))
-    placed = slicing.with_part(
-        placed, "cell", "part", F.col(position), F.lit(0), F.lit(0)
-    ).select(key, "cell", "part", F.struct(*df.columns).alias("_row"),
-             F.col(position).alias("_position"), F.col(value).alias("_value"))
-    totals = placed.groupBy(key, "cell", "part").agg(combine("_value").alias("_value"))
-    value_type = placed.schema["_value"].dataType
-    carry_rows = carry_in(totals, key, {"_value": how}).withColumn(
-        "_value", F.col("_value").cast(value_type)
-    )
+    rows = df.select(key, F.struct(*df.columns).alias("_row"), F.col(position).alias("_position"), F.col(value).alias("_value"))
+    placed, slices = cut(rows, [key, "_position"], sizes["rows"], rows_per_slice, "running-slices")
+    totals = placed.groupBy(key, "slice").agg(combine("_value").alias("_value"))
+    carried = carry_in(totals, key, {"_value": how}).withColumn("_value", F.col("_value").cast(placed.schema["_value"].dataType))
     # A carried-in row has no position; nulls sort first.
-    so_far = Window.partitionBy(key, "cell", "part").orderBy("_position").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    joined = placed.unionByName(carry_rows, allowMissingColumns=True)
+    so_far = Window.partitionBy(key, "slice").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
+    joined = placed.unionByName(carried, allowMissingColumns=True).repartition(slices, key, "slice")
     summed = joined.withColumn(out, combine("_value").over(so_far)).filter(F.col("_row").isNotNull())
     return summed.select("_row.*", out), True
 
 
-def running_max(df: DataFrame, key: str, position: str, value: str, out: str,
-                rows_per_slice: int, max_slices: int) -> tuple[DataFrame, bool]:
+def running_max(df: DataFrame, key: str, position: str, value: str, out: str, rows_per_slice: int) -> tuple[DataFrame, bool]:
     """Largest value so far per key, in order of ``position`` (unique per key).
 
     Also tells whether any key was cut into slices, i.e. whether the data is large.
     """
-    return _running(df, key, position, value, out, "max", rows_per_slice, max_slices)
+    return _running(df, key, position, value, out, "max", rows_per_slice)
 
 
-def running_sum(df: DataFrame, key: str, position: str, value: str, out: str,
-                rows_per_slice: int, max_slices: int) -> tuple[DataFrame, bool]:
+def running_sum(df: DataFrame, key: str, position: str, value: str, out: str, rows_per_slice: int) -> tuple[DataFrame, bool]:
     """Sum so far per key, in order of ``position`` (unique per key)."""
-    return _running(df, key, position, value, out, "sum", rows_per_slice, max_slices)
+    return _running(df, key, position, value, out, "sum", rows_per_slice)

@@ -1,188 +1,34 @@
 """Cutting hot keys into consecutive slices.
 
-A running computation over one key needs that key's rows in order, which for a hot symbol would
-mean one huge task. Here every key with many rows is cut along its position column (a time, an
-arrival number, a value) into slices that hash to different tasks; what earlier slices
-contribute is a small total per slice, carried in as one extra row (see ``carry_in``).
-
-* Keys below ``rows_per_slice`` stay whole: slice (0, 0).
-* Larger keys get equal-width cells along the position, about ``rows_per_slice`` rows each.
-* Cells that still hold far more (a burst, or many rows at one instant) are cut again by
-  (position, kind, tie) at sampled points.
-
-Only the tables of hot keys and crowded cells are broadcast. Both are bounded by ``max_slices``,
-since the slice size grows once the data would need more slices than that.
-The cuts only move work between tasks; any cuts give the same results.
+A running computation over one key needs that key's rows in order, which for a hot symbol would mean
+one huge task. Once any key has more than ``rows_per_slice`` rows, all rows are range-partitioned by key
+and position and written once with the number of their range: the slice. A key that spans several
+slices hands its totals on, one small row per slice (see ``carry_in``). The number of slices follows
+the number of rows, and Spark's range partitioner picks the bounds, also within one instant. Cuts only
+move work between tasks; any cuts give the same results.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field, replace
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-CROWDED = 8  # a cell this many times over the slice size is cut again
-SAMPLES_PER_CUT = 16
-
-
-@dataclass(frozen=True)
-class Slicing:
-    """Where the hot keys are cut; ``hot`` is None when every key is small."""
-
-    key: str
-    most: int = 0  # rows of the largest key
-    peaks: dict[str, int] = field(default_factory=dict)
-    hot: DataFrame | None = None
-    crowded: DataFrame | None = None
-    cut_steps: int = 0
-
-    @property
-    def is_cut(self) -> bool:
-        return self.hot is not None
-
-    def with_widths(self, df: DataFrame) -> DataFrame:
-        """Add the cell geometry of each row's key (nulls for whole keys)."""
-        return df.join(F.broadcast(self.hot), self.key, "left")
-
-    def cell(self, position: Column) -> Column:
-        """Cell number of a position; needs the columns of ``with_widths``."""
-        return F.coalesce(_cell(position), F.lit(0).cast("bigint"))
-
-    def with_part(self, df: DataFrame, cell: str, part: str, position: Column, kind: Column, tie: Column) -> DataFrame:
-        """Add the sub-slice number inside a crowded cell (0 elsewhere)."""
-        if self.crowded is None:
-            return df.withColumn(part, F.lit(0))
-        cuts = self.crowded.select(
-            F.col(self.key), F.col("cell").alias(cell), F.col("cuts").alias("_cuts")
-        )
-        joined = df.join(F.broadcast(cuts), [self.key, cell], "left")
-        place = F.struct(
-            position.cast("bigint").alias("position"),
-            kind.cast("int").alias("kind"),
-            tie.cast("bigint").alias("tie"),
-        )
-        number = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-            _cuts_at_or_below(F.col("_cuts"), place, self.cut_steps)
-        )
-        return joined.withColumn(part, number).drop("_cuts")
-
-
-def _cell(position: Column) -> Column:
-    return F.floor((position - F.col("_origin")) / F.col("_width"))
-
-
-def _cuts_at_or_below(cuts: Column, place: Column, steps: int) -> Column:
-    """How many of the sorted cuts are <= place, by halving steps."""
-    sizes = F.array(*[F.lit(2**k) for k in range(steps - 1, -1, -1)])
-
-    def search(target: Column) -> Column:
-        return F.aggregate(
-            sizes,
-            F.lit(0),
-            lambda found, step: F.when(
-                (found + step <= F.size(cuts))
-                & (F.element_at(cuts, F.least(found + step, F.size(cuts))) <= target),
-                found + step,
-            ).otherwise(found),
-        )
-
-    return F.transform(F.array(place), search)[0]
-
-
-def plan_slices(
-    rows: DataFrame, key: str, rows_per_slice: int, max_slices: int,
-    shifts: tuple[int, ...] = (0,), peaks: tuple[str, ...] = (), seed: int = 17,
-) -> Slicing:
-    """Choose the cuts for ``rows(key, position, tie)``; also note the largest ``peaks`` values.
-
-    Every row stands for one event per shift, at position + shift; the index of the shift is the
-    event's kind. One small aggregation per step: rows per key, then events per cell of hot keys,
-    then a sample of crowded cells. What reaches the driver is bounded by ``max_slices``.
-    """
-    spark = rows.sparkSession
-    per_key = rows.groupBy(key).agg(
-        (F.count("*") * len(shifts)).alias("events"),
-        F.min("position").alias("low"),
-        F.max("position").alias("last"),
-        *[F.max(name).alias(f"peak_{name}") for name in peaks],
-    )
-    large = F.when(F.col("events") > rows_per_slice, F.struct("events", F.col(key).alias("key"), "low", "last"))
-    summary = per_key.agg(
-        F.max("events").alias("most"),
-        F.slice(F.sort_array(F.collect_list(large), asc=False), 1, max_slices).alias("largest"),
-        *[F.max(f"peak_{name}").alias(f"peak_{name}") for name in peaks],
-    ).first()
-    plan = Slicing(
-        key,
-        most=(summary["most"] or 0) // len(shifts),
-        peaks={name: summary[f"peak_{name}"] or 0 for name in peaks},
-    )
-    largest = summary["largest"]
-    target = max(rows_per_slice, math.ceil(sum(r["events"] for r in largest) / max_slices))
-    hot_keys = [r for r in largest if r["events"] > target]
-    if not hot_keys:
-        return plan
-    key_type = rows.schema[key].dataType.simpleString()
+from pyspark.sql import DataFrame, Window, functions as F
 
-    def width(r) -> int:
-        span = r["last"] + max(shifts) - r["low"] + 1
-        return math.ceil(span / math.ceil(r["events"] / target))
+from tickloom.session import materialise
 
-    hot = spark.createDataFrame(
-        [(r["key"], r["low"], width(r), r["last"]) for r in hot_keys],
-        f"{key} {key_type}, _origin bigint, _width bigint, _last bigint",
-    )
-    events = F.array(
-        *[
-            F.struct((F.col("position") + shift).alias("position"), F.lit(kind).alias("kind"), F.col("tie"))
-            for kind, shift in enumerate(shifts)
-        ]
-    )
-    in_hot = (
-        rows.join(F.broadcast(hot), key)
-        .select(key, "_origin", "_width", F.inline(events))
-        .select(key, "position", "kind", "tie", _cell(F.col("position")).alias("cell"))
-    )
-    crowded_cells = (
-        in_hot.groupBy(key, "cell").agg(F.count("*").alias("events"))
-        .filter(F.col("events") > CROWDED * target).collect()
-    )
-    if not crowded_cells:
-        return replace(plan, hot=hot)
 
-    cells = spark.createDataFrame(
-        [(r[key], r["cell"]) for r in crowded_cells], f"{key} {key_type}, cell bigint"
-    )
-    # At most SAMPLES_PER_CUT * max_slices events are sampled; every such step becomes a cut.
-    fraction = min(1.0, SAMPLES_PER_CUT / target)
-    sampled = (
-        in_hot.join(F.broadcast(cells), [key, "cell"], "left_semi")
-        .sample(fraction, seed)
-        .groupBy(key, "cell")
-        .agg(F.sort_array(F.collect_list(F.struct("position", "kind", "tie"))).alias("picks"))
-        .select(key, "cell", F.expr(f"filter(picks, (p, i) -> i % {SAMPLES_PER_CUT} = 0 and i > 0)").alias("cuts"))
-        .select(key, "cell", F.array_distinct("cuts").alias("cuts"))
-    )
-    # Fixed from here on: every later pass must see the same cuts, so they are literal rows.
-    found = [(r[key], r["cell"], [tuple(c) for c in r["cuts"]]) for r in sampled.collect()]
-    if not found:
-        return replace(plan, hot=hot)
-    crowded = spark.createDataFrame(
-        found,
-        f"{key} {key_type}, cell bigint, cuts array<struct<position:bigint,kind:int,tie:bigint>>",
-    )
-    steps = max(len(cuts) for _, _, cuts in found).bit_length()
-    return replace(plan, hot=hot, crowded=crowded, cut_steps=steps)
+def cut(rows: DataFrame, by: list[str], count: int, rows_per_slice: int, name: str) -> tuple[DataFrame, int]:
+    """``rows`` with their ``slice``, stored, and the number of slices. ``by`` starts with the key."""
+    slices = max(2, -(-count // rows_per_slice))
+    placed = rows.repartitionByRange(slices, *by).withColumn("slice", F.spark_partition_id())
+    return materialise(placed, name), slices
 
 
 def carry_in(totals: DataFrame, key: str, sums: dict[str, str]) -> DataFrame:
-    """Total of all earlier slices of the key, per slice: ``totals(key, cell, part, *sums)``.
+    """Total of all earlier slices of the key, per slice: ``totals(key, slice, *sums)``.
 
-    One row per slice of a hot key, so the ordered pass over a key is bounded by ``max_slices``.
-    ``sums`` maps each column to the aggregate that combines it (``sum`` or ``max``).
+    ``sums`` maps each column to the aggregate that combines it (``sum`` or ``max``). One row per slice
+    of a key, so the ordered pass over a key is as long as its number of slices.
     """
-    before = Window.partitionBy(key).orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = [getattr(F, how)(name).over(before).alias(name) for name, how in sums.items()]
     first = next(iter(sums))
-    return totals.select(key, "cell", "part", *carried).filter(F.col(first).isNotNull())
+    return totals.select(key, "slice", *carried).filter(F.col(first).isNotNull())

@@ -6,23 +6,25 @@ earlier. Both are single passes, so the cost per tick does not depend on the win
 of equal time count in arrival order, and a tick exactly one window old still counts. The sums are
 whole-number sums, so the subtraction loses nothing.
 
-A hot symbol is cut into slices (see ``slices``). Ticks that leave the window inside their own
-slice need nothing more. A tick that outlasts its slice is part of the total carried into the
-later slices, and a second, narrow row takes it out again in the slice where it leaves. One
-shuffle brings these rows together.
+When a symbol is hot, ticks are cut into slices (see ``slices``). There every tick is two rows, one when
+it comes in and one when it leaves, and the window is a single running sum over both, on top of what
+earlier slices hand on.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.stats import WIDE, to_units, with_stats
+from tickloom.functions.stats import WIDE, with_stats
+from tickloom.functions.units import Units, in_units
 from tickloom.operators.running import running_max
-from tickloom.operators.slices import Slicing, carry_in, plan_slices
+from tickloom.operators.slices import carry_in, cut
 from tickloom.params import ARRIVAL, WindowParams
 from tickloom.session import materialise
 
 ENTRY, EXIT, CARRIED = 0, 1, 2
+
+
 def tick_measures(types: dict[str, str]) -> dict[str, Column]:
     """What one tick adds to each sum, in the sum's type."""
     price, quantity = F.col("_p"), F.col("_q")
@@ -42,13 +44,11 @@ def tick_measures(types: dict[str, str]) -> dict[str, Column]:
     return {name: values[name].cast(kind) for name, kind in types.items()}
 
 
-def _sum_types(slicing: Slicing) -> dict[str, str]:
+def _sum_types(units: Units) -> dict[str, str]:
     """BIGINT for the sums that cannot outgrow it over a whole symbol, DECIMAL for the others."""
-    price, quantity = slicing.peaks["_p"], slicing.peaks["_q"]
+    price, quantity = units.top_price, units.top_quantity
     largest = {"n": 1, "s1": price, "s2": price * price, "pv": price * quantity, "qv": quantity}
-    return {
-        name: "bigint" if slicing.most * largest[name] < 2**62 else wide for name, wide in WIDE.items()
-    }
+    return {name: "bigint" if units.most * largest[name] < 2**62 else wide for name, wide in WIDE.items()}
 
 
 def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataFrame:
@@ -58,11 +58,14 @@ def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataF
     order). ``event_time`` mode orders by (trade_time, seq). ``arrival`` mode orders by seq and
     never lets a late tick move the window back: there the window of a tick holds the earlier
     arrivals whose running maximum time is within the window of its own running maximum.
+
+    The call itself runs small planning jobs over ``ticks`` (and writes the slices of hot symbols), and
+    the result reads them again: give it a stored table, or something that reads the same every time.
     """
     params = params or WindowParams()
     if params.mode == ARRIVAL:
-        clocked, cut = arrival_clock(ticks, params)
-        if cut:
+        clocked, sliced = arrival_clock(ticks, params)
+        if sliced:
             clocked = materialise(clocked, "arrival")
     else:
         clocked = ticks.withColumn("_at", F.unix_micros("trade_time"))
@@ -78,124 +81,65 @@ def arrival_clock(ticks: DataFrame, params: WindowParams) -> tuple[DataFrame, bo
     serves as the clock of an ordinary trailing window.
     """
     timed = ticks.withColumn("_time", F.unix_micros("trade_time"))
-    clocked, cut = running_max(
-        timed, "symbol", "seq", "_time", "_at", params.rows_per_slice, params.max_slices
-    )
-    return clocked.drop("_time"), cut
+    clocked, sliced = running_max(timed, "symbol", "seq", "_time", "_at", params.rows_per_slice)
+    return clocked.drop("_time"), sliced
 
 
 def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParams) -> DataFrame:
     """``rolling_stats`` over ticks that already carry their clock ``_at`` in microseconds."""
-    ticks = clocked.select(
+    counted, units = in_units(clocked, params)
+    scale = [] if units.fixed is not None else ["_times", "_over"]
+    ticks = counted.select(
         "symbol",
         F.struct(*[c for c in columns if c != "symbol"]).alias("tick"),
-        F.col("_at"),
+        "_at",
         F.col("seq").cast("bigint").alias("_seq"),
-        to_units(F.col("price"), params.price_scale).alias("_p"),
-        to_units(F.col("quantity"), params.quantity_scale).alias("_q"),
+        "_p",
+        "_q",
+        *scale,
     )
-    leaves = F.col("_at") + F.lit(params.window_us)
-    slicing = plan_slices(
-        ticks.select("symbol", F.col("_at").alias("position"), F.col("_seq").alias("tie"), "_p", "_q"),
-        "symbol",
-        params.rows_per_slice,
-        params.max_slices,
-        shifts=(0, params.window_us),  # kinds ENTRY and EXIT
-        peaks=("_p", "_q"),
-    )
-    types = _sum_types(slicing)
-    if slicing.is_cut:
-        rows, by = _sliced_rows(ticks, leaves, slicing, types), ["symbol", "cell", "part"]
-    else:
-        rows, by = ticks.withColumn("_kind", F.lit(ENTRY)), ["symbol"]
-    rows = rows.repartition(*by)
+    types = _sum_types(units)
+    windowed = _whole(ticks, types, params) if units.most <= params.rows_per_slice else _sliced(ticks, units, types, params)
+    windowed = windowed.select("symbol", "tick", *scale, *[F.col(f"_{name}") for name in types])
+    out = [F.col(c if c == "symbol" else f"tick.{c}") for c in columns]
+    return with_stats(windowed, types, units, params.window_seconds).select(*out, "stats")
 
-    # In order: the total carried in (no time; nulls sort first), then at each instant the ticks
-    # coming in before those going out.
-    so_far = Window.partitionBy(*by).orderBy("_at", "_kind", "_seq").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    measures = tick_measures(types)
-    came_in = F.struct(
-        *[
-            F.sum(F.when(F.col("_kind") == ENTRY, value)).over(so_far).alias(name)
-            for name, value in measures.items()
-        ]
-    )
-    summed = rows.withColumn("_in", came_in)
-    if slicing.is_cut:
-        from_before = F.struct(
-            *[
-                F.sum(
-                    F.when(F.col("_kind") == CARRIED, F.col(f"_carry.{name}"))
-                    .when(F.col("_kind") == EXIT, -value)
-                ).over(so_far).alias(name)
-                for name, value in measures.items()
-            ]
-        )
-        summed = summed.withColumn("_before", from_before).filter(F.col("_kind") == ENTRY)
 
+def _whole(ticks: DataFrame, types: dict[str, str], params: WindowParams) -> DataFrame:
+    """Window sums where every symbol is one group: what came in, less what had by one window ago."""
+    rows = ticks.repartition("symbol")
+    so_far = Window.partitionBy("symbol").orderBy("_at", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    came_in = F.struct(*[F.sum(value).over(so_far).alias(name) for name, value in tick_measures(types).items()])
     # The running sum one window ago is the largest (by count) among the ticks before that time.
-    one_window_ago = Window.partitionBy(*by).orderBy("_at").rangeBetween(
-        Window.unboundedPreceding, -params.window_us - 1
+    one_window_ago = Window.partitionBy("symbol").orderBy("_at").rangeBetween(Window.unboundedPreceding, -params.window_us - 1)
+    summed = rows.withColumn("_in", came_in).withColumn("_gone", F.max("_in").over(one_window_ago))
+    none = F.lit(0)
+    return summed.withColumns(
+        {f"_{name}": (F.col(f"_in.{name}") - F.coalesce(F.col(f"_gone.{name}"), none.cast(kind))).cast(kind) for name, kind in types.items()}
     )
-    windowed = summed.withColumn("_gone", F.max("_in").over(one_window_ago))
-    zero = F.lit(0)
-    content = []
-    for name, kind in types.items():
-        total = F.col(f"_in.{name}") - F.coalesce(F.col(f"_gone.{name}"), zero.cast(kind))
-        if slicing.is_cut:
-            total = total + F.coalesce(F.col(f"_before.{name}"), zero.cast(kind))
-        content.append(total.cast(kind).alias(f"_{name}"))
-    out = [F.col(c if c == "symbol" else f"tick.{c}") for c in columns]
-    windowed = windowed.select("symbol", "tick", *content)
-    return with_stats(windowed, types, params.price_scale, params.window_seconds).select(*out, "stats")
 
 
-def _sliced_rows(ticks: DataFrame, leaves: Column, slicing: Slicing, types: dict[str, str]) -> DataFrame:
-    """Each tick in its slice, its exit where that is another one, and the carried-in totals."""
-    placed = slicing.with_widths(ticks).select(
-        *ticks.columns,
-        slicing.cell(F.col("_at")).alias("_cell_in"),
-        slicing.cell(leaves).alias("_cell_out"),
-        (leaves > F.col("_last")).alias("_outlives"),
-    )
-    placed = slicing.with_part(placed, "_cell_in", "_part_in", F.col("_at"), F.lit(ENTRY), F.col("_seq"))
-    placed = slicing.with_part(placed, "_cell_out", "_part_out", leaves, F.lit(EXIT), F.col("_seq"))
-    stays = (F.col("_cell_in") == F.col("_cell_out")) & (F.col("_part_in") == F.col("_part_out"))
-
-    def stop(suffix: str, kind: int) -> Column:
-        return F.struct(
-            F.col(f"_cell_{suffix}").alias("cell"),
-            F.col(f"_part_{suffix}").alias("part"),
-            F.lit(kind).alias("_kind"),
-        )
-
-    both = F.array(stop("in", ENTRY), stop("out", EXIT))
-    # No exit is needed behind the symbol's last tick.
-    stops = F.when(stays | F.col("_outlives"), F.array(stop("in", ENTRY))).otherwise(both)
-    sent = placed.select(*ticks.columns, F.inline(stops)).withColumns(
-        {
-            "tick": F.when(F.col("_kind") == ENTRY, F.col("tick")),
-            "_at": F.when(F.col("_kind") == ENTRY, F.col("_at")).otherwise(leaves),
-        }
+def _sliced(ticks: DataFrame, units: Units, types: dict[str, str], params: WindowParams) -> DataFrame:
+    """Window sums over slices: ticks coming in count up, ticks going out count down."""
+    moves = F.array(
+        F.struct(F.col("_at"), F.lit(ENTRY).alias("_kind"), F.col("tick")),
+        # A tick exactly one window old still counts: at equal times it leaves behind those coming in.
+        F.struct((F.col("_at") + params.window_us).alias("_at"), F.lit(EXIT).alias("_kind"), F.lit(None).alias("tick")),
     )
-
+    others = [c for c in ticks.columns if c not in ("_at", "tick")]
+    moved = ticks.select(*others, F.inline(moves))
+    placed, slices = cut(moved, ["symbol", "_at", "_kind", "_seq"], 2 * units.rows, params.rows_per_slice, "window-slices")
     measures = tick_measures(types)
-    totals = (
-        placed.filter(~stays)
-        .select("symbol", "_p", "_q", F.inline(both))
-        .groupBy("symbol", "cell", "part")
-        .agg(
-            *[
-                F.sum(F.when(F.col("_kind") == ENTRY, value).otherwise(-value)).alias(name)
-                for name, value in measures.items()
-            ]
-        )
-    )
-    carried = carry_in(totals, "symbol", dict.fromkeys(types, "sum")).filter(F.col("n") != 0)
-    carry = F.struct(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()])
-    carry_rows = carried.select(
-        "symbol", "cell", "part", carry.alias("_carry"), F.lit(CARRIED).alias("_kind")
-    )
-    return sent.unionByName(carry_rows, allowMissingColumns=True)
+    signed = {name: F.when(F.col("_kind") == EXIT, -value).otherwise(value) for name, value in measures.items()}
+    totals = placed.groupBy("symbol", "slice").agg(*[F.sum(value).alias(name) for name, value in signed.items()])
+    carried = carry_in(totals, "symbol", dict.fromkeys(types, "sum"))
+    carry = F.struct(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()]).alias("_carry")
+    carried = carried.select("symbol", "slice", carry, F.lit(CARRIED).alias("_kind"))
+    rows = placed.unionByName(carried, allowMissingColumns=True).repartition(slices, "symbol", "slice")
+    # In order: the total carried in (no time; nulls sort first), then the ticks.
+    so_far = Window.partitionBy("symbol", "slice").orderBy("_at", "_kind", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {
+        f"_{name}": F.sum(F.when(F.col("_kind") == CARRIED, F.col(f"_carry.{name}")).otherwise(value)).over(so_far).cast(types[name])
+        for name, value in signed.items()
+    }
+    return rows.select("*", *[value.alias(name) for name, value in sums.items()]).filter(F.col("_kind") == ENTRY)

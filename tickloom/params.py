@@ -19,10 +19,6 @@ DEFAULT_SERVERS = "localhost:9092"
 DEFAULT_GROUP = "processing-service"
 DEFAULT_SOURCE = "binance"
 
-# Prices and quantities are summed as whole numbers of 10**-scale. Below this many units a window
-# of a hundred million ticks still fits the DECIMAL(38) sum of squares.
-MAX_UNITS = 10**15
-
 
 def _positive(name: str, value: float) -> None:
     if isinstance(value, bool) or not isinstance(value, (int, float)):
@@ -38,10 +34,12 @@ def _at_least(name: str, value: int, low: int) -> None:
 
 @dataclass(frozen=True)
 class WindowParams:
-    """What a trailing window covers and how finely its sums are kept.
+    """What a trailing window covers.
 
-    ``rows_per_slice`` only steers parallelism: a symbol with more events than that is cut into
-    time slices that run as separate tasks. Results do not depend on it.
+    The scales are a hint: if all values are whole multiples of 10**-scale, sums count in those units,
+    which is fastest. Otherwise each symbol gets a scale of its own. ``rows_per_slice`` only steers
+    parallelism: once a symbol has more rows than that, rows are cut into slices that run as separate
+    tasks. Results do not depend on it.
     """
 
     window_seconds: float = DEFAULT_WINDOW_SECONDS
@@ -49,7 +47,6 @@ class WindowParams:
     price_scale: int = 8
     quantity_scale: int = 8
     rows_per_slice: int = 2_000_000
-    max_slices: int = 50_000
 
     def __post_init__(self) -> None:
         _positive("window_seconds", self.window_seconds)
@@ -62,20 +59,11 @@ class WindowParams:
             if getattr(self, name) > 15:
                 raise ValueError(f"{name} must be <= 15")
         _at_least("rows_per_slice", self.rows_per_slice, 1)
-        _at_least("max_slices", self.max_slices, 1)
 
     @property
     def window_us(self) -> int:
         return round(self.window_seconds * 1_000_000)
 
-    @property
-    def max_price(self) -> float:
-        return float(MAX_UNITS / 10**self.price_scale)
-
-    @property
-    def max_quantity(self) -> float:
-        return float(MAX_UNITS / 10**self.quantity_scale)
-
 
 @dataclass(frozen=True)
 class AnomalyParams:

@@ -30,12 +30,22 @@ ticks AS (
 )"""
 
 
+SMALL_TICKS = EVENT_TICKS.replace("ticks AS", "usual AS") + """,
+ticks AS (SELECT * REPLACE (price * 1e-10::DOUBLE AS price, quantity * 1e-9::DOUBLE AS quantity) FROM usual)"""
+
+
+def deviation(n="n", s1="s1", s2="s2") -> str:
+    """Population deviation in units: squares about the whole-number mean, less the rest of that mean squared."""
+    return f"""sqrt(greatest(0.0::DOUBLE, ({s2} - ({s1}::HUGEINT // {n}) * ({s1} + {s1}::HUGEINT % {n}))::DOUBLE / {n}::DOUBLE
+            - ({s1}::HUGEINT % {n})::DOUBLE / {n}::DOUBLE * (({s1}::HUGEINT % {n})::DOUBLE / {n}::DOUBLE)))"""
+
+
 def stats(n="n", s1="s1", s2="s2", pv="pv", qv="qv", seconds=86400.0) -> str:
     """Statistics columns from sums of cents and whole quantities."""
     return f"""
        CASE WHEN {qv} > 0 THEN {pv}::DOUBLE / {qv}::DOUBLE / 100.0::DOUBLE ELSE {s1}::DOUBLE / {n}::DOUBLE / 100.0::DOUBLE END AS vwap,
        {s1}::DOUBLE / {n}::DOUBLE / 100.0::DOUBLE AS mean_price,
-       sqrt(({n}::HUGEINT * {s2} - {s1}::HUGEINT * {s1})::DOUBLE) / {n}::DOUBLE / 100.0::DOUBLE AS stdev_price,
+       {deviation(n, s1, s2)} / 100.0::DOUBLE AS stdev_price,
        {n}::BIGINT AS sample_count, {float(seconds)}::DOUBLE AS window_seconds"""
 
 
@@ -58,6 +68,32 @@ sums AS (
 w AS (SELECT *, {stats(seconds=window_us / 1e6)} FROM sums)"""
 
 
+def own_scale(ticks: str, window_us: int) -> str:
+    """``w`` where each symbol counts in units of its own: 15 digits of its largest price and quantity."""
+    power = "('1e' || (14 - floor(log10(max({}) OVER (PARTITION BY symbol)))::INTEGER))::DOUBLE"
+    seconds = window_us / 1e6
+    return f"""{ticks},
+scaled AS (SELECT *, {power.format("price")} AS pu, {power.format("quantity")} AS qu FROM ticks),
+ranked AS (
+  SELECT *, round_even(price * pu, 0)::HUGEINT AS pc, round_even(quantity * qu, 0)::HUGEINT AS qc,
+         at_us::HUGEINT * 65536 + row_number() OVER (PARTITION BY symbol ORDER BY at_us, seq)
+           - rank() OVER (PARTITION BY symbol ORDER BY at_us) AS place
+  FROM scaled
+),
+sums AS (
+  SELECT *, count(*) OVER win AS n, sum(pc) OVER win AS s1, sum(pc * pc) OVER win AS s2,
+         sum(pc * qc) OVER win AS pv, sum(qc) OVER win AS qv
+  FROM ranked
+  WINDOW win AS (PARTITION BY symbol ORDER BY place
+                 RANGE BETWEEN {window_us}::HUGEINT * 65536 + 32768 PRECEDING AND CURRENT ROW)
+),
+w AS (
+  SELECT *, pv::DOUBLE / qv::DOUBLE / pu AS vwap, s1::DOUBLE / n::DOUBLE / pu AS mean_price, {deviation()} / pu AS stdev_price,
+         n::BIGINT AS sample_count, {seconds}::DOUBLE AS window_seconds
+  FROM sums
+)"""
+
+
 STAT_COLUMNS = "vwap, mean_price, stdev_price, sample_count, window_seconds"
 
 SCORED = windowed(EVENT_TICKS, DAY_US) + """,
@@ -160,6 +196,9 @@ SELECT symbol, price, quantity, trade_time, side, source, seq FROM ticks WHERE s
     "rolling_stats_events": f"WITH {windowed(EVENT_TICKS, DAY_US)} SELECT symbol, seq, {STAT_COLUMNS} FROM w",
     "rolling_stats_short": f"WITH {windowed(EVENT_TICKS, HOUR_US)} SELECT symbol, seq, {STAT_COLUMNS} FROM w",
     "rolling_stats_orders": f"WITH {windowed(ORDER_TICKS, WEEK_US)} SELECT symbol, seq, {STAT_COLUMNS} FROM w",
+    "rolling_stats_large": f"""WITH {own_scale(ORDER_TICKS.replace("o_totalprice AS price", "o_totalprice * 1e6::DOUBLE AS price"), WEEK_US)}
+SELECT symbol, seq, {STAT_COLUMNS} FROM w""",
+    "rolling_stats_small": f"""WITH {own_scale(SMALL_TICKS, DAY_US)} SELECT symbol, seq, {STAT_COLUMNS} FROM w""",
     "arrival_stats": f"WITH {windowed(SHUFFLED_TICKS, DAY_US)} SELECT symbol, seq, {STAT_COLUMNS} FROM w",
     "zscore": f"WITH {SCORED} SELECT symbol, seq, zscore, is_anomaly FROM p",
     "processed_ticks": PROCESSED,
@@ -198,3 +237,9 @@ SELECT symbol, n, {_percentile(0.5)} AS p50, {_percentile(0.95)} AS p95, {_perce
 FROM late GROUP BY symbol, n""",
     "stream_processed": f"WITH {SCORED} SELECT {STORED_COLUMNS}, trade_time FROM p",
 }
+# How rows are cut into slices changes no result.
+ORACLE |= {
+    "rolling_stats_sliced": ORACLE["rolling_stats_events"],
+    "arrival_stats_sliced": ORACLE["arrival_stats"],
+    "percentiles_sliced": ORACLE["latency_percentiles"],
+}

@@ -11,7 +11,7 @@ from tickloom.operators.anomaly import anomaly_events, processed_ticks, zscore_a
 from tickloom.operators.quality import parse_canonical, parse_exchange, rejects, valid_ticks
 from tickloom.operators.window import rolling_stats
 from tickloom.params import AnomalyParams, WindowParams
-from tickloom.session import materialise
+from tickloom.session import materialise, passing_tables
 from tickloom.sinks.table import stored_rows, write_batch, write_days
 
 Sink = Callable[[DataFrame, int], None]
@@ -71,7 +71,7 @@ class Job:
             raise ValueError(f"form must be one of {sorted(FORMS)}, got {self.form!r}")
 
     def parse(self, records: DataFrame) -> DataFrame:
-        return FORMS[self.form](records, self.window)
+        return FORMS[self.form](records)
 
 
 def run_batch(records: DataFrame, sinks: Sinks, batch_id: int, job: Job | None = None) -> None:
@@ -80,11 +80,12 @@ def run_batch(records: DataFrame, sinks: Sinks, batch_id: int, job: Job | None =
     Give each run its own ``batch_id``: running one again replaces what it wrote before.
 
     The parsed messages, and then the processed ticks, are written out before they are read more
-    than once, so nothing is parsed or windowed twice.
+    than once, so nothing is parsed or windowed twice. They are deleted at the end.
     """
     job = job or Job()
-    parsed = materialise(job.parse(records), "parsed")
-    sinks.rejects(rejects(parsed), batch_id)
-    processed = materialise(process(valid_ticks(parsed, "seq"), job.window, job.anomaly), "processed")
-    sinks.processed(processed, batch_id)
-    sinks.anomalies(anomaly_events(processed, job.anomaly), batch_id)
+    with passing_tables(records.sparkSession):
+        parsed = materialise(job.parse(records), "parsed")
+        sinks.rejects(rejects(parsed), batch_id)
+        processed = materialise(process(valid_ticks(parsed, "seq"), job.window, job.anomaly), "processed")
+        sinks.processed(processed, batch_id)
+        sinks.anomalies(anomaly_events(processed, job.anomaly), batch_id)

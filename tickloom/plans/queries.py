@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import wraps
 
@@ -20,7 +20,7 @@ from tickloom.plans.pipeline import Job, process, table_sinks
 from tickloom.plans.tables import (
     canonical_messages, event_ticks, exchange_messages, order_ticks, read_table, shuffled_event_ticks,
 )
-from tickloom.session import prepare, shared_folder
+from tickloom.session import prepare, scratch
 from tickloom.sinks.table import market_ticks, stored_rows, with_iso_time, write_days
 from tickloom.sinks.topic import topic_records, write_topic
 from tickloom.sources.messages import read_messages
@@ -33,6 +33,7 @@ DAY, WEEK = 86_400.0, 7 * 86_400.0
 EVENTS = WindowParams(window_seconds=DAY, price_scale=2, quantity_scale=0)
 EVENTS_ARRIVAL = WindowParams(window_seconds=DAY, price_scale=2, quantity_scale=0, mode=ARRIVAL)
 ORDERS = WindowParams(window_seconds=WEEK, price_scale=2, quantity_scale=0)
+SLICE = 500
 SCAN_SYMBOL = "PURCHASE"
 SCAN_FROM, SCAN_TO = datetime(2024, 1, 10, 6), datetime(2024, 1, 12, 18)
 SETTINGS_SYMBOLS = " purchase, view ,,Click"
@@ -52,10 +53,6 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tickloom/{name}-{uuid.uuid4().hex}"
-
-
 def _processed(spark: SparkSession, folder: str) -> DataFrame:
     return process(event_ticks(spark, folder), EVENTS, None, "seq")
 
@@ -66,7 +63,7 @@ def parse_exchange_query(spark, folder):
 
 def landed_messages(spark, folder):
     """Messages written as text, one per line, read back and parsed."""
-    path = _scratch(spark, "landed")
+    path = scratch(spark, "landed")
     exchange_messages(spark, folder).select("value").write.text(path)
     return _flat(valid_ticks(parse_exchange(read_messages(spark, path))))
 
@@ -103,7 +100,7 @@ def topic_records_query(spark, folder):
 
 
 def topic_roundtrip(spark, folder):
-    path = _scratch(spark, "topic")
+    path = scratch(spark, "topic")
     write_topic(topic_records(event_ticks(spark, folder)), path)
     return _flat(valid_ticks(parse_canonical(as_arrivals(read_topic(spark, path))), "seq"))
 
@@ -137,6 +134,26 @@ def arrival_stats(spark, folder):
     return _flat(rolling_stats(shuffled_event_ticks(spark, folder), EVENTS_ARRIVAL).select("symbol", "seq", "stats"))
 
 
+def rolling_stats_large(spark, folder):
+    """Prices of a million times the usual size."""
+    ticks = order_ticks(spark, folder).withColumn("price", F.col("price") * 1e6)
+    return _flat(rolling_stats(ticks, WindowParams(window_seconds=WEEK)).select("symbol", "seq", "stats"))
+
+
+def rolling_stats_small(spark, folder):
+    """Prices and quantities far below any common unit."""
+    ticks = event_ticks(spark, folder).withColumns({"price": F.col("price") * 1e-10, "quantity": F.col("quantity") * 1e-9})
+    return _flat(rolling_stats(ticks, WindowParams(window_seconds=DAY)).select("symbol", "seq", "stats"))
+
+
+def rolling_stats_sliced(spark, folder):
+    return _flat(rolling_stats(event_ticks(spark, folder), replace(EVENTS, rows_per_slice=SLICE)).select("symbol", "seq", "stats"))
+
+
+def arrival_stats_sliced(spark, folder):
+    return _flat(rolling_stats(shuffled_event_ticks(spark, folder), replace(EVENTS_ARRIVAL, rows_per_slice=SLICE)).select("symbol", "seq", "stats"))
+
+
 def zscore_query(spark, folder):
     scored = zscore_anomaly(rolling_stats(event_ticks(spark, folder), EVENTS))
     return scored.select("symbol", "seq", "zscore", "is_anomaly")
@@ -159,7 +176,7 @@ def stored_rows_query(spark, folder):
 
 
 def _day_table(spark: SparkSession, folder: str) -> DataFrame:
-    path = _scratch(spark, "days")
+    path = scratch(spark, "days")
     write_days(stored_rows(_processed(spark, folder), "seq"), path)
     return read_day_table(spark, path)
 
@@ -196,9 +213,15 @@ def latency_percentiles(spark, folder):
     return percentiles(late, "symbol", "late_us")
 
 
+def percentiles_sliced(spark, folder):
+    clocked, _ = arrival_clock(shuffled_event_ticks(spark, folder), replace(EVENTS_ARRIVAL, rows_per_slice=SLICE))
+    late = clocked.withColumn("late_us", F.col("_at") - F.unix_micros("trade_time"))
+    return percentiles(late, "symbol", "late_us", rows_per_slice=SLICE)
+
+
 def stream_processed(spark, folder):
     """The streaming job over a topic folder that grows in three steps, drained after each."""
-    topic, out, checkpoint = (_scratch(spark, name) for name in ("topic", "out", "checkpoint"))
+    topic, out, checkpoint = (scratch(spark, name) for name in ("topic", "out", "checkpoint"))
     ticks = event_ticks(spark, folder)
     job = StreamJob(table_sinks(out), WindowTail(f"{checkpoint}/window-tail"), Job(window=EVENTS_ARRIVAL))
     at = F.col("trade_time").cast("timestamp_ntz")
@@ -233,7 +256,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "rolling_stats_events": rolling_stats_events,
         "rolling_stats_short": rolling_stats_short,
         "rolling_stats_orders": rolling_stats_orders,
+        "rolling_stats_large": rolling_stats_large,
+        "rolling_stats_small": rolling_stats_small,
+        "rolling_stats_sliced": rolling_stats_sliced,
         "arrival_stats": arrival_stats,
+        "arrival_stats_sliced": arrival_stats_sliced,
         "zscore": zscore_query,
         "processed_ticks": processed_ticks_query,
         "anomaly_events": anomaly_events_query,
@@ -246,6 +273,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "snapshot": snapshot_query,
         "snapshot_arrival": snapshot_arrival,
         "latency_percentiles": latency_percentiles,
+        "percentiles_sliced": percentiles_sliced,
         "stream_processed": stream_processed,
     }.items()
 }

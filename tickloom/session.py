@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_held: ContextVar[list[str] | None] = ContextVar("held", default=None)
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the run-time options every plan here assumes."""
+    """Set the run-time options every plan here assumes, for the rest of the caller's session: UTC, ANSI
+    SQL and adaptive execution."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -17,17 +23,34 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a private one only if none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    folder = spark.sparkContext.getCheckpointDir()
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
+
+    On a cluster it must be set. Where driver and executors are one process, a private folder will do.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickloom-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
+def _path(spark: SparkSession, path: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table. All of an application's are deleted when it ends."""
+    folder = f"{shared_folder(spark)}/tickloom/{spark.sparkContext.applicationId}"
+    path, files = _path(spark, folder)
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -35,6 +58,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     re-read instead of the whole upstream plan.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tickloom/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.mode("errorifexists").parquet(path)
+    if (held := _held.get()) is not None:
+        held.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside are deleted at the end; nothing lazy may outlive it."""
+    token = _held.set([])
+    try:
+        yield
+    finally:
+        for name in _held.get():
+            path, files = _path(spark, name)
+            files.delete(path, True)
+        _held.reset(token)

@@ -158,11 +158,10 @@ class IngestJob:
 
     topic: Sink
     rejects: Sink
-    limits: WindowParams = field(default_factory=WindowParams)
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         """Publish one micro-batch of messages (``value``)."""
-        parsed = parse_exchange(messages, self.limits).persist()
+        parsed = parse_exchange(messages).persist()
         try:
             self.rejects(rejects(parsed), batch_id)
             self.topic(keyed_values(valid_ticks(parsed)), batch_id)
