@@ -6,8 +6,6 @@ reads it. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.exact_dedup import exact_dedup
@@ -15,7 +13,7 @@ from tickloom.llm.language_id import recognised
 from tickloom.llm.minhash import near_dedup
 from tickloom.llm.mixing import sample_mixture
 from tickloom.llm.packing import best_fit_packing
-from tickloom.session import shared_folder
+from tickloom.session import scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/tickloom/pipeline-{uuid.uuid4().hex}"
+    folder = scratch(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         done = stage(spark, docs, sf_dir)
         done.write.parquet(f"{folder}/{number}-{name}")
