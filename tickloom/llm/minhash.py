@@ -9,8 +9,11 @@
    tiles of bounded size, and any pair of different clusters is verified, so no link is lost to the
    star. Tiles return links that join clusters, at most one per member.
 
-A shingle is five words as they stand (all words of a shorter text); its weight is its count in the
-text times its inverse document frequency.
+A shingle is five words as they stand (all words of a shorter text). Its weight is TF-IDF with both
+parts damped: 1 + ln(count) times 1 to 1.25 by rarity, so that neither one shingle repeated a thousand
+times nor the words that a large group of copies shares decide alone. Two texts are near if their
+weighted Jaccard similarity is ``THRESHOLD`` or more; or if the plain one is, since what many near copies
+share weighs a little less than what each has for itself.
 
 Defined cases: a null text and one without words link with nothing; equal texts are one class; a group
 is named by its smallest doc_id, nulls last, and of rows with that id one is kept; an empty table gives
@@ -32,12 +35,12 @@ from tickloom.llm.components import components
 from tickloom.llm.tables import keep_rows, materialise, private, row_key
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
 #: Entries of the table of document frequencies, and entries that one row of it holds in a shuffle.
 TABLE, BLOCK = 1 << 20, 1 << 14
-#: Samples that two texts of similarity ``THRESHOLD`` share at least, but for 2 in 100,000 such pairs.
-LEAST = 20
+#: Samples that two texts of similarity ``THRESHOLD`` share at least, but for one in a million such pairs.
+LEAST = 24
 #: Members of one band that meet in one task at a time.
 TILE = 256
 
@@ -101,12 +104,13 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def rarity(frequencies: np.ndarray, documents: int) -> np.ndarray:
-    """Inverse document frequencies, between 1 (in all documents) and 2 (in one)."""
-    return (1 + np.log((documents + 1) / (np.minimum(frequencies, documents) + 1)) / np.log(documents + 1.0)).astype(np.float32)
+    """Inverse document frequencies, between 1 (in all documents) and 1.25 (in one)."""
+    rare = np.log((documents + 1) / (np.minimum(frequencies, documents) + 1)) / np.log(documents + 1.0)
+    return (1 + 0.25 * rare).astype(np.float32)
 
 
 def weights(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return counts.astype(np.float32) * idf[hashes & np.uint32(TABLE - 1)]
+    return (1 + np.log(counts.astype(np.float32))) * idf[hashes & np.uint32(TABLE - 1)]
 
 
 def weighted_samples(hashes: np.ndarray, weight: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -130,12 +134,17 @@ def weighted_samples(hashes: np.ndarray, weight: np.ndarray, cuts: np.ndarray) -
     return out
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two texts: (sorted hashes, weights) each."""
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
+    """Weighted and plain Jaccard similarity of two texts: (sorted hashes, weights) each."""
     at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
     both = b[0][at] == a[0]
-    shared = float(np.minimum(a[1][both], b[1][at[both]]).sum(dtype=np.float64))
-    return shared / (float(a[1].sum(dtype=np.float64)) + float(b[1].sum(dtype=np.float64)) - shared)
+    shared, same = float(np.minimum(a[1][both], b[1][at[both]]).sum(dtype=np.float64)), int(both.sum())
+    every = float(a[1].sum(dtype=np.float64)) + float(b[1].sum(dtype=np.float64)) - shared
+    return shared / every, same / (len(a[0]) + len(b[0]) - same)
+
+
+def near(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+    return max(similarity(a, b)) >= THRESHOLD
 
 
 def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -192,7 +201,7 @@ def _verified(pairs: DataFrame, idf: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("a_hashes", "a_counts", "b_hashes", "b_counts")]
-            good = [similarity(_read(p, q, idf), _read(r, s, idf)) >= THRESHOLD for p, q, r, s in zip(*columns, strict=True)]
+            good = [near(_read(p, q, idf), _read(r, s, idf)) for p, q, r, s in zip(*columns, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -224,14 +233,14 @@ def _across(members: DataFrame, idf: np.ndarray) -> DataFrame:
         sets, links, read = _Sets(), [], {}
         for i in range(len(group) - 1):
             shared = (drawn[i + 1 :] == drawn[i]).sum(axis=1)
-            near = np.flatnonzero((shared >= LEAST) & (clusters[i + 1 :] != clusters[i]) & ((tiles[i + 1 :] != tiles[i]) | (key[1] == key[2])))
-            for j in i + 1 + near[np.argsort(-shared[near], kind="stable")]:
+            close = np.flatnonzero((shared >= LEAST) & (clusters[i + 1 :] != clusters[i]) & ((tiles[i + 1 :] != tiles[i]) | (key[1] == key[2])))
+            for j in i + 1 + close[np.argsort(-shared[close], kind="stable")]:
                 if sets.find(clusters[i]) == sets.find(clusters[j]):
                     continue
                 for k in (i, j):
                     if k not in read:
                         read[k] = _read(group["hashes"].iloc[k], group["counts"].iloc[k], idf)
-                if similarity(read[i], read[j]) >= THRESHOLD:
+                if near(read[i], read[j]):
                     sets.join(clusters[i], clusters[j])
                     links.append((nodes[i], nodes[j]))
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
