@@ -1,3 +1,6 @@
+import glob
+import json
+import os
 import random
 from datetime import timedelta
 
@@ -14,7 +17,7 @@ from tickloom.sources.messages import stream_messages
 from tickloom.sources.table import read_table
 from tickloom.sources.topic import as_arrivals, stream_topic
 from tickloom.sinks.table import write_batch
-from tickloom.streaming.job import IngestJob, StreamJob, WindowTail, publish, start, trigger_options
+from tickloom.streaming.job import TAIL_SCHEMA, IngestJob, StreamJob, WindowTail, publish, run, start, trigger_options
 
 WINDOW = WindowParams(window_seconds=10.0, mode="arrival")
 
@@ -48,6 +51,8 @@ class Setup:
         query.awaitTermination()
 
     def counts(self):
+        if not glob.glob(f"{self.out}/processed_ticks/*/*/*.parquet"):
+            return []
         table = read_table(self.spark, f"{self.out}/processed_ticks")
         return sorted((r["symbol"], r["trade_time"], r["price"], r["sample_count"]) for r in table.collect())
 
@@ -158,6 +163,78 @@ def test_time_order_with_allowed_lateness(spark, tmp_path, lateness):
     assert len(ready) < len(rows) if lateness else refused > 0
 
 
+def test_everything_leaves_after_the_last_drain(spark, tmp_path):
+    """Late ticks, a quiet symbol, and a symbol whose only tick would wait for ever."""
+    rows = late_rows(60) + [("QUIET", 5.0, 1, 3_000_000, 1000)]
+    window = WindowParams(window_seconds=10.0)
+    run = Setup(spark, tmp_path, window=window, lateness_seconds=60.0)
+    for chunk in (rows[:20], rows[20:40], rows[40:]):
+        run.drain(chunk)
+    held = len(rows) - len(run.counts())
+    assert held > 0
+    run.job.release(spark)
+    run.job.release(spark)  # a second time changes nothing
+    want = simulate(rows, window.window_us, arrival=False)
+    every = sorted((s, (T0 + timedelta(microseconds=t)).replace(tzinfo=None), p, want[s, n][0]) for s, p, q, t, n in rows)
+    assert run.counts() == every
+    # The stream goes on; what is older than what has left is too late.
+    run.drain([("QUIET", 6.0, 1, 2_000_000, 1001), ("QUIET", 7.0, 1, 9_000_000, 1002)])
+    run.job.release(spark)
+    assert run.counts() == sorted([*every, ("QUIET", (T0 + timedelta(seconds=9)).replace(tzinfo=None), 7.0, 2)])
+    assert [r["reject_reason"] for r in spark.read.parquet(f"{run.out}/rejects").collect()] == ["too_late"]
+
+
+def test_idle_symbol_lets_go_of_what_it_holds(spark, tmp_path):
+    run = Setup(spark, tmp_path, window=WindowParams(window_seconds=10.0), lateness_seconds=60.0, idle_seconds=0.000001)
+    run.drain([("X", 1, 1, 0, 1), ("X", 2, 1, 1_000_000, 2)])
+    assert run.counts() == []
+    run.drain([("Y", 1, 1, 0, 3)])
+    assert [c[3] for c in run.counts()] == [1, 2]
+    run.drain([("Y", 1, 1, 1, 4)])
+    run.drain([("X", 3, 1, 2_000_000, 5)])
+    run.job.release(spark)
+    assert [c[3] for c in run.counts() if c[0] == "X"] == [1, 2, 1]  # its window had been freed
+
+
+def test_retry_has_the_clock_of_the_first_attempt(spark, tmp_path):
+    tail = WindowTail(f"{tmp_path}/tail")
+    assert tail.clock(spark, 4) == tail.clock(spark, 4) != tail.clock(spark, 6)
+
+
+def test_missing_tail_is_an_error(spark, tmp_path):
+    tail = WindowTail(f"{tmp_path}/tail")
+    assert tail.before(spark, 0).count() == 0
+    with pytest.raises(ValueError, match="no tail"):
+        tail.before(spark, 4)
+    tail.keep(spark.createDataFrame([], TAIL_SCHEMA), 0)
+    assert tail.before(spark, 2).count() == 0
+    with pytest.raises(ValueError, match="can't go on"):
+        tail.before(spark, 6)
+
+
+def test_exchange_text_streams_to_the_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    message = lambda p, t: json.dumps({"s": "btcusdt", "p": p, "q": "1", "T": t, "m": False}) + "\n"
+    (tmp_path / "in" / "b.txt").write_text(message("1", 1_700_000_000_000) + "nope\n" + message("2", 1_700_000_000_000))
+    os.utime(tmp_path / "in" / "b.txt", (1_700_000_000, 1_700_000_000))
+    (tmp_path / "in" / "a.txt").write_text(message("3", 1_700_000_000_000))
+    job = StreamJob(table_sinks(f"{tmp_path}/out"), WindowTail(f"{tmp_path}/tail"), Job(form="exchange", window=WINDOW))
+    run(stream_messages(spark, f"{tmp_path}/in"), job, f"{tmp_path}/checkpoint")
+    (tmp_path / "in" / "0.txt").write_text(message("4", 1_700_000_001_000))
+    run(stream_messages(spark, f"{tmp_path}/in"), job, f"{tmp_path}/checkpoint")
+    table = read_table(spark, f"{tmp_path}/out/processed_ticks")
+    assert sorted((r["price"], r["sample_count"]) for r in table.collect()) == [(1.0, 1), (2.0, 2), (3.0, 3), (4.0, 4)]
+    assert spark.read.parquet(f"{tmp_path}/out/rejects").count() == 1
+
+
+def test_a_key_that_moves_within_a_batch_is_refused(spark, tmp_path):
+    stream = Setup(spark, tmp_path)
+    both = topic_records(ticks(spark, [("X", 1, 1, 0, 1), ("X", 1, 1, 1, 2)])).withColumn("partition", F.col("offset").cast("int"))
+    write_topic(both, stream.topic)
+    with pytest.raises(Exception, match="two partitions"):
+        stream.drain()
+
+
 @pytest.mark.parametrize("mode, lateness", [("event_time", None), ("arrival", 1.0), ("event_time", -1.0)])
 def test_lateness_goes_with_time_order(mode, lateness):
     with pytest.raises(ValueError):

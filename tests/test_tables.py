@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,10 +8,12 @@ from pyspark.sql import functions as F
 from tests.conftest import T0, seconds
 from tickloom.functions.symbols import allow_symbols, symbol_list, symbol_list_column
 from tickloom.operators.quality import parse_canonical, valid_ticks
-from tickloom.params import WindowParams
+from tickloom.params import FlushParams, WindowParams
 from tickloom.plans.pipeline import Job, process, run_batch, sinks_from_settings
-from tickloom.schema import STORED, TICK, TOPIC
-from tickloom.sinks.table import market_ticks, stored_rows, with_iso_time, write_days
+from tickloom import files
+from tickloom.schema import REJECT, STORED, TICK, TOPIC
+from tickloom.session import scratch, shared_folder
+from tickloom.sinks.table import compact, compact_days, market_ticks, replace_batch, stored_rows, with_iso_time, write_batch, write_days
 from tickloom.sinks.topic import kafka_sink_options, topic_records, write_topic
 from tickloom.sources.messages import read_messages
 from tickloom.sources.table import anomaly_scan, range_scan, read_table
@@ -60,9 +63,9 @@ def test_topic_roundtrip(spark, ticks, tmp_path):
 
 
 def test_kafka_options():
-    source = kafka_source_options(max_records=50)
+    source = kafka_source_options(flush=FlushParams(rows=70))
     assert source["startingOffsets"] == "latest" and source["subscribe"] == "market-data-raw"
-    assert source["maxOffsetsPerTrigger"] == "50" and source["groupIdPrefix"] == "processing-service"
+    assert source["maxOffsetsPerTrigger"] == "70" and kafka_source_options()["maxOffsetsPerTrigger"] == "50" and source["groupIdPrefix"] == "processing-service"
     assert kafka_sink_options()["kafka.acks"] == "all"
 
 
@@ -107,7 +110,48 @@ def test_rewritten_batch_replaces_itself(spark, processed, tmp_path):
     for _ in range(2):
         write_days(stored_rows(processed), path, 0)
     write_days(stored_rows(processed), path, 1)
-    assert read_table(spark, path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 120), (1, 120)]
+    assert read_table(spark, path).count() == 240
+    names = [p.name for p in (tmp_path / "days").rglob("*.parquet")]
+    assert {n[:18] for n in names} == {"batch-000000000000", "batch-000000000001"}
+    assert not list((tmp_path / "days").rglob("*batch_id*")) and not list((tmp_path / "days").rglob("_pending*"))
+
+
+def test_files_of_a_day_are_bounded(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    row = spark.createDataFrame([("X", 1.0, "2026-01-01", 0)], "symbol string, price double, partition_key string, is_anomaly int")
+    for batch in range(20):
+        replace_batch(row.withColumn("price", F.lit(float(batch))), path, batch, ["partition_key", "is_anomaly"], most_files=5)
+        replace_batch(row.withColumn("price", F.lit(float(batch))), path, batch, ["partition_key", "is_anomaly"], most_files=5)  # a retry
+        assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 6
+        assert sorted(r["price"] for r in spark.read.parquet(path).collect()) == [float(b) for b in range(batch + 1)]
+    compact_days(spark, path, "2026-01-01")
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) > 1
+    compact_days(spark, path, "2026-01-02")
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 1
+    assert spark.read.parquet(path).count() == 20
+
+
+def test_interrupted_merge_is_finished(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    rows = spark.createDataFrame([(1,), (2,)], "v int")
+    for batch in range(4):
+        write_batch(rows, path, batch)
+    monkeypatch.setattr(files, "move", lambda *_: (_ for _ in ()).throw(OSError("down")))
+    with pytest.raises(OSError):
+        compact(spark, path)
+    monkeypatch.undo()
+    compact(spark, path)
+    assert spark.read.parquet(path).count() == 8 and len(list((tmp_path / "t").rglob("*.parquet"))) == 1
+
+
+def test_anomaly_scan_reads_flagged_files_only(spark, processed, tmp_path):
+    path = f"{tmp_path}/days"
+    write_days(stored_rows(processed), path)
+    found = anomaly_scan(read_table(spark, path))
+    read = [f for f in found.inputFiles() if "is_anomaly=1" not in f]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(is_anomaly" in plan and "DataFilters: []" in plan
+    assert found.count() == 2 and read != []
 
 
 def test_batch_job_writes_every_output(spark, ticks, tmp_path):
@@ -119,7 +163,44 @@ def test_batch_job_writes_every_output(spark, ticks, tmp_path):
         run_batch(records, sinks, 7, job)
     assert read_table(spark, f"{tmp_path}/processed_ticks").count() == 120
     assert spark.read.parquet(f"{tmp_path}/anomaly_events").count() == 2
-    assert sorted(r["reject_reason"] for r in spark.read.parquet(f"{tmp_path}/rejects").collect()) == ["bad_json", "null_value"]
+    refused = spark.read.parquet(f"{tmp_path}/rejects")
+    assert refused.dtypes == [(f.name, f.dataType.simpleString()) for f in REJECT]
+    assert sorted((r["reject_reason"], r["value"]) for r in refused.collect()) == [("bad_json", b"nope"), ("null_value", None)]
+    left = files.names(spark, os.path.dirname(scratch(spark, "x")))
+    assert not [n for n in left if n.startswith(("parsed-", "processed-"))]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
+
+
+@pytest.mark.parametrize("size", ["128m", "1k"])
+def test_landed_lines_keep_their_order(spark, tmp_path, size):
+    """A small old file, then a large one, then a small one whose name sorts first: by time, whatever the splits."""
+    for n, (name, rows) in enumerate([("m.txt", 2), ("z.txt", 700), ("a.txt", 3)]):
+        (tmp_path / name).write_text("".join(f"{n}-{i:04d}\n" for i in range(rows)))
+        os.utime(tmp_path / name, (1_700_000_000 + n, 1_700_000_000 + n))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        rows = read_messages(spark, str(tmp_path)).orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["seq"] for r in rows] == list(range(705))
+    assert [r["value"] for r in rows] == [f"{n}-{i:04d}" for n, k in enumerate((2, 700, 3)) for i in range(k)]
+
+
+def test_a_key_that_moves_keeps_its_order(spark):
+    rows = [(b"K", b"1", "t", 0, 5, T0), (b"K", b"2", "t", 0, 9, T0 + seconds(1)), (b"K", b"3", "t", 4, 0, T0 + seconds(2)), (b"L", b"4", "t", 1, 3, T0)]
+    got = as_arrivals(spark.createDataFrame(rows, TOPIC)).filter("key = 'K'").orderBy("seq").collect()
+    assert [r["value"] for r in got] == [b"1", b"2", b"3"]
+    still = as_arrivals(spark.createDataFrame(rows[:2], TOPIC)).collect()
+    assert sorted(r["seq"] for r in still) == [5, 9]
 
 
 def test_unknown_settings_are_refused():

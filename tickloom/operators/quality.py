@@ -146,8 +146,8 @@ def valid_ticks(parsed: DataFrame, *keep: str) -> DataFrame:
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    """The messages set aside, as received, with the first rule they break."""
-    return parsed.filter(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
+    """The messages set aside, byte by byte as received, with the first rule they break (REJECT)."""
+    return parsed.filter(F.col("reject_reason").isNotNull()).select(F.col("value").cast("binary"), "reject_reason")
 
 
 def reject_counts(parsed: DataFrame) -> DataFrame:

@@ -96,7 +96,9 @@ w AS (
 
 STAT_COLUMNS = "vwap, mean_price, stdev_price, sample_count, window_seconds"
 
-SCORED = windowed(EVENT_TICKS, DAY_US) + """,
+def scored(ticks: str) -> str:
+    """``p``: every tick with statistics of a day, z-score, flag and day."""
+    return windowed(ticks, DAY_US) + """,
 z AS (
   SELECT *, CASE WHEN sample_count < 5 OR stdev_price <= 0 THEN 0.0::DOUBLE ELSE (price - mean_price) / stdev_price END AS zscore
   FROM w
@@ -107,6 +109,9 @@ p AS (
   FROM z
 )"""
 
+
+SCORED = scored(EVENT_TICKS)
+
 PROCESSED = f"""WITH {SCORED}
 SELECT symbol, price, quantity, trade_time, side, {STAT_COLUMNS}, is_anomaly, anomaly_zscore, seq FROM p"""
 
@@ -175,9 +180,23 @@ SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity, date_trunc('mi
 FROM r WHERE reject_reason IS NULL""",
     "landed_messages": f"""WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON}
 SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity, date_trunc('milliseconds', ts) AS trade_time,
-       CASE WHEN bad OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source
+       CASE WHEN bad OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source,
+       row_number() OVER (PARTITION BY upper(event_type) ORDER BY seq) AS arrival
 FROM r WHERE reject_reason IS NULL""",
-    "quarantine": f"WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON} SELECT seq, reject_reason FROM r WHERE reject_reason IS NOT NULL",
+    "quarantine": f"""WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON},
+f AS (
+  SELECT *, CASE WHEN bad AND k BETWEEN 30 AND 39 THEN '5' WHEN bad AND k BETWEEN 40 AND 49 THEN '"  "' ELSE '"' || event_type || '"' END AS s,
+         CASE WHEN bad AND k BETWEEN 50 AND 59 THEN 'abc' ELSE price::VARCHAR END AS p,
+         CASE WHEN bad AND k BETWEEN 60 AND 69 THEN 'null' ELSE k::VARCHAR END AS q,
+         CASE WHEN bad AND k BETWEEN 70 AND 79 THEN '"' || (epoch_us(ts) // 1000) || '"' ELSE (epoch_us(ts) // 1000)::VARCHAR END AS t,
+         CASE WHEN bad AND k >= 90 THEN '"false"' WHEN sell THEN 'true' ELSE 'false' END AS m
+  FROM r
+),
+g AS (SELECT *, '{{"s":' || s || ',"p":"' || p || '","q":' || q || ',"T":' || t || ',"m":' || m || '}}' AS message FROM f)
+SELECT seq, reject_reason,
+       CASE WHEN bad AND k < 10 THEN 'not json' WHEN bad AND k < 20 THEN NULL WHEN bad AND k < 30 THEN message || ' x'
+            WHEN bad AND k BETWEEN 80 AND 89 THEN '[' || message || ']' ELSE message END AS value
+FROM g WHERE reject_reason IS NOT NULL""",
     "parse_canonical": f"""WITH {MESSAGE_FIELDS}, {CANONICAL_REASON}
 SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity,
        CASE WHEN event_type = 'signup' THEN date_trunc('milliseconds', ts) ELSE ts END AS trade_time,
@@ -187,7 +206,8 @@ FROM r WHERE reject_reason IS NULL""",
     + "\nUNION ALL\n"
     + REJECT_COUNT.format(form="canonical", body=f"WITH {MESSAGE_FIELDS}, {CANONICAL_REASON} SELECT * FROM r"),
     "topic_records": f"""WITH {EVENT_TICKS}
-SELECT symbol AS key, symbol, price, quantity, {ISO} || 'Z' AS trade_time, side, 'market-data-raw' AS topic, seq AS "offset"
+SELECT symbol AS key, symbol, price, quantity, {ISO} || 'Z' AS trade_time, side, source, 'market-data-raw' AS topic, seq AS "offset",
+       trade_time AS "timestamp", true AS one_partition, true AS known_partition
 FROM ticks""",
     "topic_roundtrip": f"WITH {EVENT_TICKS} SELECT symbol, price, quantity, trade_time, side, source, seq FROM ticks",
     "symbol_filter": f"""WITH {EVENT_TICKS}
@@ -237,6 +257,26 @@ SELECT symbol, n, {_percentile(0.5)} AS p50, {_percentile(0.95)} AS p95, {_perce
 FROM late GROUP BY symbol, n""",
     "stream_processed": f"WITH {SCORED} SELECT {STORED_COLUMNS}, trade_time FROM p",
 }
+CANONICAL_TICKS = f"""{MESSAGE_FIELDS}, {CANONICAL_REASON},
+stamped AS (SELECT *, CASE WHEN event_type = 'signup' THEN date_trunc('milliseconds', ts) ELSE ts END AS trade_time FROM r),
+ticks AS (
+  SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity, trade_time, seq, epoch_us(trade_time) AS at_us,
+         CASE WHEN sell THEN 'sell' ELSE 'buy' END AS side
+  FROM stamped WHERE reject_reason IS NULL
+)"""
+
+LATE_TICKS = SHUFFLED_TICKS.replace("(seq // 16) * 16 + ((seq % 16) * 5 + 3) % 16 AS seq", "(seq % 3) * 1000000000 + seq AS seq")
+
+ORACLE |= {
+    "stream_event_time": ORACLE["stream_processed"],
+    "stream_retry": ORACLE["stream_processed"],
+    "stream_late": f"WITH {scored(LATE_TICKS)} SELECT {STORED_COLUMNS}, trade_time FROM p",
+    "batch_outputs": f"""WITH {scored(CANONICAL_TICKS)}
+SELECT 'tick' AS kind, symbol AS name, trade_time AS "at", price, anomaly_zscore AS z FROM p
+UNION ALL SELECT 'event', symbol, trade_time, price, anomaly_zscore FROM p WHERE is_anomaly
+UNION ALL SELECT 'reject', reject_reason, NULL, count(*)::DOUBLE, NULL FROM r WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+}
+
 # How rows are cut into slices changes no result.
 ORACLE |= {
     "rolling_stats_sliced": ORACLE["rolling_stats_events"],

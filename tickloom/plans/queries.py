@@ -7,7 +7,8 @@ from dataclasses import replace
 from datetime import datetime
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tickloom.functions.symbols import allow_symbols, symbol_list, symbol_list_column
 from tickloom.operators.anomaly import anomaly_events, anomaly_log, zscore_anomaly
@@ -16,7 +17,7 @@ from tickloom.operators.quality import parse_canonical, parse_exchange, reject_c
 from tickloom.operators.snapshot import snapshot
 from tickloom.operators.window import arrival_clock, rolling_stats
 from tickloom.params import ARRIVAL, WindowParams
-from tickloom.plans.pipeline import Job, process, table_sinks
+from tickloom.plans.pipeline import Job, process, run_batch, table_sinks
 from tickloom.plans.tables import (
     canonical_messages, event_ticks, exchange_messages, order_ticks, read_table, shuffled_event_ticks,
 )
@@ -62,16 +63,21 @@ def parse_exchange_query(spark, folder):
 
 
 def landed_messages(spark, folder):
-    """Messages written as text, one per line, read back and parsed."""
-    path = scratch(spark, "landed")
-    exchange_messages(spark, folder).select("value").write.text(path)
-    return _flat(valid_ticks(parse_exchange(read_messages(spark, path))))
+    """Messages landed as text in files of different sizes, read back in order of arrival and parsed."""
+    path, messages = scratch(spark, "landed"), exchange_messages(spark, folder)
+    edges = [F.col("seq") < 20, (F.col("seq") >= 20) & (F.col("seq") < 500), F.col("seq") >= 500]
+    for edge in edges:
+        chunk = messages.filter(edge).repartitionByRange(1, "seq").sortWithinPartitions("seq")
+        chunk.select(F.coalesce("value", F.lit("")).alias("value")).write.mode("append").text(path)
+    ticks = valid_ticks(parse_exchange(read_messages(spark, path)), "seq")
+    arrival = F.row_number().over(Window.partitionBy("symbol").orderBy("seq")).cast("bigint")
+    return _flat(ticks.withColumn("arrival", arrival).drop("seq"))
 
 
 def quarantine(spark, folder):
     """Rejected messages as set aside, with their arrival number."""
     parsed = parse_exchange(exchange_messages(spark, folder))
-    return parsed.filter(F.col("reject_reason").isNotNull()).select("seq", "reject_reason")
+    return parsed.filter(F.col("reject_reason").isNotNull()).select("seq", "value", "reject_reason")
 
 
 def parse_canonical_query(spark, folder):
@@ -85,8 +91,9 @@ def reject_counts_query(spark, folder):
 
 
 def topic_records_query(spark, folder):
+    """Records as published; a key has one of three partitions."""
     records = topic_records(event_ticks(spark, folder))
-    value = F.col("value").cast("string")
+    value, key = F.col("value").cast("string"), Window.partitionBy("key")
     return records.select(
         F.col("key").cast("string").alias("key"),
         F.get_json_object(value, "$.symbol").alias("symbol"),
@@ -94,8 +101,12 @@ def topic_records_query(spark, folder):
         F.get_json_object(value, "$.quantity").cast("double").alias("quantity"),
         F.get_json_object(value, "$.trade_time").alias("trade_time"),
         F.get_json_object(value, "$.side").alias("side"),
+        F.get_json_object(value, "$.source").alias("source"),
         "topic",
         "offset",
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        (F.min("partition").over(key) == F.max("partition").over(key)).alias("one_partition"),
+        F.col("partition").between(0, 2).alias("known_partition"),
     )
 
 
@@ -219,18 +230,99 @@ def percentiles_sliced(spark, folder):
     return percentiles(late, "symbol", "late_us", rows_per_slice=SLICE)
 
 
-def stream_processed(spark, folder):
-    """The streaming job over a topic folder that grows in three steps, drained after each."""
-    topic, out, checkpoint = (scratch(spark, name) for name in ("topic", "out", "checkpoint"))
-    ticks = event_ticks(spark, folder)
-    job = StreamJob(table_sinks(out), WindowTail(f"{checkpoint}/window-tail"), Job(window=EVENTS_ARRIVAL))
+class _Stream:
+    """A topic folder that grows step by step, and a streaming job over it that is drained after each step."""
+
+    def __init__(self, spark: SparkSession, window: WindowParams, **options):
+        self.spark = spark
+        self.topic, self.out, self.checkpoint = (scratch(spark, name) for name in ("topic", "out", "checkpoint"))
+        self.job = StreamJob(table_sinks(self.out), WindowTail(f"{self.checkpoint}/window-tail"), Job(window=window), **options)
+
+    def add(self, ticks: DataFrame, job: StreamJob | None = None) -> None:
+        write_topic(topic_records(ticks), self.topic)
+        self.drain(job)
+
+    def drain(self, job: StreamJob | None = None) -> None:
+        records = as_arrivals(stream_topic(self.spark, self.topic))
+        start(records, job or self.job, f"{self.checkpoint}/query", drain=True).awaitTermination()
+
+    def stored(self) -> DataFrame:
+        return _flat(read_day_table(self.spark, f"{self.out}/processed_ticks"))
+
+
+def _by_time(ticks: DataFrame) -> list[DataFrame]:
     at = F.col("trade_time").cast("timestamp_ntz")
     edges = [F.lit(end).cast("timestamp_ntz") for end in CHUNK_ENDS]
-    for chunk in (at < edges[0], (at >= edges[0]) & (at < edges[1]), at >= edges[1]):
-        write_topic(topic_records(ticks.filter(chunk)), topic)
-        query = start(as_arrivals(stream_topic(spark, topic)), job, f"{checkpoint}/query", drain=True)
-        query.awaitTermination()
-    return _flat(read_day_table(spark, f"{out}/processed_ticks").drop("batch_id"))
+    return [ticks.filter(chunk) for chunk in (at < edges[0], (at >= edges[0]) & (at < edges[1]), at >= edges[1])]
+
+
+def stream_processed(spark, folder):
+    """Ticks in three steps, in arrival mode."""
+    stream = _Stream(spark, EVENTS_ARRIVAL)
+    for chunk in _by_time(event_ticks(spark, folder)):
+        stream.add(chunk)
+    return stream.stored()
+
+
+def stream_event_time(spark, folder):
+    """Ticks out of order in three steps, put into order; what is held at the end leaves then."""
+    stream = _Stream(spark, EVENTS, lateness_seconds=WEEK)
+    for chunk in _by_time(shuffled_event_ticks(spark, folder)):
+        stream.add(chunk)
+    stream.job.release(spark)
+    return stream.stored()
+
+
+def late_event_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every third event first, then the second third, then the rest."""
+    return event_ticks(spark, folder).withColumn("seq", (F.col("seq") % 3) * 1_000_000_000 + F.col("seq"))
+
+
+def stream_late(spark, folder):
+    """In arrival mode, steps whose ticks are older than those of earlier steps."""
+    stream, ticks = _Stream(spark, EVENTS_ARRIVAL), late_event_ticks(spark, folder)
+    for third in range(3):
+        stream.add(ticks.filter(F.floor(F.col("seq") / 1_000_000_000) == third))
+    return stream.stored()
+
+
+def stream_retry(spark, folder):
+    """The sinks fail after the ticks were written; the batch runs again."""
+
+    def fails(*_):
+        raise RuntimeError("sink down")
+
+    stream = _Stream(spark, EVENTS_ARRIVAL)
+    first, second, third = _by_time(event_ticks(spark, folder))
+    stream.add(first)
+    broken = replace(stream.job, sinks=replace(stream.job.sinks, anomalies=fails))
+    try:
+        stream.add(second, broken)
+    except StreamingQueryException as failure:
+        if "sink down" not in str(failure):
+            raise
+    stream.drain()
+    stream.add(third)
+    return stream.stored()
+
+
+def batch_outputs(spark, folder):
+    """The batch job over canonical messages: ticks, anomaly events and rejects as read back."""
+    out = scratch(spark, "outputs")
+    run_batch(canonical_messages(spark, folder), table_sinks(out), 1, Job(window=EVENTS))
+    empty = F.lit(None)
+
+    def shaped(rows: DataFrame, kind: str, name: Column, at: Column, price: Column, z: Column) -> DataFrame:
+        at = at.cast("timestamp").cast("timestamp_ntz")
+        return rows.select(F.lit(kind).alias("kind"), name.alias("name"), at.alias("at"), price.cast("double").alias("price"), z.cast("double").alias("z"))
+
+    ticks, events, refused = (spark.read.parquet(f"{out}/{name}") for name in ("processed_ticks", "anomaly_events", "rejects"))
+    counts = refused.groupBy("reject_reason").count()
+    return (
+        shaped(ticks, "tick", F.col("symbol"), F.col("trade_time"), F.col("price"), F.col("anomaly_zscore"))
+        .union(shaped(events, "event", F.col("symbol"), F.col("timestamp"), F.col("triggering_price"), F.col("deviation_zscore")))
+        .union(shaped(counts, "reject", F.col("reject_reason"), empty, F.col("count"), empty))
+    )
 
 
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -275,5 +367,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "latency_percentiles": latency_percentiles,
         "percentiles_sliced": percentiles_sliced,
         "stream_processed": stream_processed,
+        "stream_event_time": stream_event_time,
+        "stream_late": stream_late,
+        "stream_retry": stream_retry,
+        "batch_outputs": batch_outputs,
     }.items()
 }

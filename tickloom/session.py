@@ -10,6 +10,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom import files
+
 _held: ContextVar[list[str] | None] = ContextVar("held", default=None)
 
 
@@ -36,18 +38,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def _path(spark: SparkSession, path: str):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table. All of an application's are deleted when it ends."""
     folder = f"{shared_folder(spark)}/tickloom/{spark.sparkContext.applicationId}"
-    path, files = _path(spark, folder)
-    if not files.exists(path):
-        files.mkdirs(path)
-        files.deleteOnExit(path)
+    if not files.exists(spark, folder):
+        files.make_folder(spark, folder)
+        files.delete_at_end(spark, folder)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
@@ -73,6 +69,5 @@ def passing_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for name in _held.get():
-            path, files = _path(spark, name)
-            files.delete(path, True)
+            files.delete(spark, name)
         _held.reset(token)

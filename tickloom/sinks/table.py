@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom import files
 from tickloom.functions.instants import day_key, iso_text
 
+#: Small files of one partition folder from which on those of earlier batches are merged, and what is small.
+MOST_FILES, SMALL = 16, 64 << 20
+
 
 def stored_rows(processed: DataFrame, *keep: str) -> DataFrame:
     """STORED rows: statistics flattened, flag as 0/1, day key added."""
@@ -38,26 +42,79 @@ def market_ticks(processed: DataFrame, *keep: str) -> DataFrame:
 
 
 def write_days(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append rows to a table partitioned by day.
+    """Append rows to a table partitioned by day and anomaly flag.
 
     REBALANCE lets Spark size the files: small days share a task and a day holding much of the
     data is split over many. With ``batch_id`` the rows replace whatever an earlier attempt of the
     same batch wrote, so a retried batch leaves no duplicates.
     """
-    sized = rows.hint("rebalance", "partition_key").sortWithinPartitions("partition_key", "symbol", "trade_time")
+    by = ["partition_key", "is_anomaly"]
+    sized = rows.hint("rebalance", *by).sortWithinPartitions(*by, "symbol", "trade_time")
     if batch_id is None:
-        sized.write.mode("append").partitionBy("partition_key").parquet(path)
+        sized.write.mode("append").partitionBy(*by).parquet(path)
     else:
-        _replace(sized.withColumn("batch_id", F.lit(batch_id)), path, "partition_key", "batch_id")
+        replace_batch(sized, path, batch_id, by)
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch to a table partitioned by batch, replacing an earlier attempt."""
-    _replace(rows.withColumn("batch_id", F.lit(batch_id)), path, "batch_id")
+    """Write one batch to a table, replacing an earlier attempt."""
+    replace_batch(rows, path, batch_id, [])
 
 
-def _replace(rows: DataFrame, path: str, *by: str) -> None:
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by).parquet(path)
-    )
+def replace_batch(rows: DataFrame, path: str, batch_id: int, by: list[str], most_files: int = MOST_FILES) -> None:
+    """Write a batch as files that carry its number, in the place of any that do already.
+
+    Rows go to a hidden folder first and are moved in by name, so there is no folder per batch. A
+    partition with more than ``most_files`` small files has those of earlier batches, which are
+    committed, merged (see ``compact``).
+    """
+    spark = rows.sparkSession
+    pending, prefix = f"{path}/_pending-{batch_id}", f"batch-{batch_id:012d}-"
+    levels = "/*" * len(by)
+    rows.write.mode("overwrite").partitionBy(*by).parquet(pending)
+    for old in files.matching(spark, f"{path}{levels}/{prefix}*"):
+        files.delete(spark, old)
+    touched = set()
+    for number, new in enumerate(files.matching(spark, f"{pending}{levels}/part-*")):
+        folder = new.rpartition("/")[0].partition(f"/_pending-{batch_id}")[2]
+        if folder not in touched:
+            files.make_folder(spark, f"{path}{folder}")
+            touched.add(folder)
+        files.move(spark, new, f"{path}{folder}/{prefix}{number:05d}.parquet")
+    files.delete(spark, pending)
+    for folder in sorted(touched):
+        if sum(size < SMALL for size in files.sizes(spark, f"{path}{folder}").values()) > most_files:
+            compact(spark, f"{path}{folder}", before=batch_id)
+
+
+def compact(spark: SparkSession, folder: str, before: int | None = None) -> None:
+    """Merge the small files of one partition folder that batches below ``before`` wrote (all, if not given).
+
+    The merged rows are written aside under a list of the files they replace. With that list in place
+    the step can be finished by whoever comes next, so a crash neither loses nor repeats rows.
+    """
+    aside, ready = f"{folder}/_merged", f"{folder}/_merged-ready"
+    if not files.exists(spark, ready):
+        small = [n for n, size in files.sizes(spark, folder).items() if n.endswith(".parquet") and size < SMALL]
+        merged = sorted(n for n in small if before is None or n < f"batch-{before:012d}-")
+        if len(merged) < 2:
+            return
+        rows = spark.read.parquet(*[f"{folder}/{n}" for n in merged])
+        order = [c for c in ("symbol", "trade_time") if c in rows.columns]
+        rows = rows.hint("rebalance")
+        (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite").parquet(aside)
+        files.write_text(spark, ready, "\n".join(merged))
+    for old in files.read_text(spark, ready).split("\n"):
+        files.delete(spark, f"{folder}/{old}")
+    for new in files.matching(spark, f"{aside}/part-*"):
+        files.move(spark, new, f"{folder}/batch-{0:012d}-merged-{new.rpartition('/')[2]}")
+    files.delete(spark, aside)
+    files.delete(spark, ready)
+
+
+def compact_days(spark: SparkSession, path: str, before_day: str) -> None:
+    """Merge the files of all days before ``before_day`` (as text, like the day key). Give it only days
+    whose batches are committed."""
+    for folder in files.matching(spark, f"{path}/partition_key=*/is_anomaly=*"):
+        if folder.rpartition("/")[0].rpartition("partition_key=")[2] < before_day:
+            compact(spark, folder)

@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.params import DEFAULT_GROUP, DEFAULT_SERVERS, DEFAULT_TOPIC
+from tickloom.params import DEFAULT_GROUP, DEFAULT_SERVERS, DEFAULT_TOPIC, FlushParams
 from tickloom.schema import TOPIC
+from tickloom.session import materialise
 
 
 def kafka_source_options(
     servers: str = DEFAULT_SERVERS, topic: str = DEFAULT_TOPIC, group: str = DEFAULT_GROUP,
-    starting: str = "latest", max_records: int | None = None,
+    starting: str = "latest", flush: FlushParams | None = None,
 ) -> dict[str, str]:
-    """Start position, group and batch bound; progress lives in the query's checkpoint."""
-    options = {
+    """Start position, group and the row bound of a batch; progress lives in the query's checkpoint."""
+    return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "groupIdPrefix": group,
         "startingOffsets": starting,
+        "maxOffsetsPerTrigger": str((flush or FlushParams()).rows),
     }
-    if max_records:
-        options["maxOffsetsPerTrigger"] = str(max_records)
-    return options
 
 
 def stream_kafka(spark: SparkSession, **options) -> DataFrame:
@@ -41,5 +40,24 @@ def stream_topic(spark: SparkSession, path: str, max_files: int | None = None) -
 
 
 def as_arrivals(records: DataFrame) -> DataFrame:
-    """Records with ``seq``: a key always has one partition, whose offsets give arrival order."""
-    return records.withColumn("seq", F.col("offset"))
+    """Records with ``seq``, their order of arrival by key.
+
+    A key has one partition at a time, whose offsets count up. Where a key has moved to another one (the
+    topic was given more partitions), the partition it was seen in first comes first. A streaming query
+    numbers each micro-batch by offset alone and refuses a key that moves within it (see ``unmoved``).
+    """
+    if records.isStreaming:
+        return records.withColumn("seq", F.col("offset"))
+    if unmoved(records):
+        return records.withColumn("seq", F.col("offset"))
+    places = records.groupBy("key", "partition").agg(F.min("timestamp").alias("_since"), F.max("offset").alias("_last"))
+    shift = "sum(_last + 1) over (partition by key order by _since, partition) - _last - 1 as _shift"
+    places = materialise(places.selectExpr("key as _key", "partition as _partition", shift), "topic-places")
+    same = records["key"].eqNullSafe(places["_key"]) & (records["partition"] == places["_partition"])
+    return records.join(places, same).withColumn("seq", F.col("offset") + F.col("_shift")).drop("_key", "_partition", "_shift")
+
+
+def unmoved(records: DataFrame) -> bool:
+    """Whether every key has one partition."""
+    places = records.groupBy("key").agg(F.min("partition").alias("low"), F.max("partition").alias("high"))
+    return places.filter("low <> high and key is not null").isEmpty()

@@ -4,10 +4,10 @@ Every micro-batch runs the batch operators over its ticks together with the stor
 still inside each symbol's window. So the window code is the same as for batches, and a hot symbol
 is cut into slices here as well instead of being one task's state.
 
-The tail is written per batch into one of two alternating folders of the checkpoint. A batch only
-reads the other one, so a retried batch starts from the same state; sinks replace what an earlier
-attempt of the same batch wrote. Offsets are committed by Spark after the batch function returns,
-i.e. after every write.
+The tail is written once per step, to a folder that carries the step's number; a step reads the
+latest one before it. So a retried batch starts from the same state, with the clock of its first
+attempt, and sinks replace what that attempt wrote. Offsets are committed by Spark after the batch
+function returns, i.e. after every write.
 """
 
 from __future__ import annotations
@@ -18,42 +18,64 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom import files
 from tickloom.operators.anomaly import anomaly_events, processed_ticks, zscore_anomaly
 from tickloom.operators.quality import parse_exchange, rejects, valid_ticks
 from tickloom.operators.window import arrival_clock, rolling_by_clock
 from tickloom.params import ARRIVAL, FlushParams, WindowParams
 from tickloom.plans.pipeline import Job, Sink, Sinks
+from tickloom.session import passing_tables
 from tickloom.sinks.topic import keyed_values
+from tickloom.sources.messages import BATCH_SPAN, numbered
+from tickloom.sources.topic import unmoved
 
 TAIL_SCHEMA = (
     "symbol string, price double, quantity double, trade_time timestamp, side string, source string, "
-    "seq bigint, seen timestamp, held boolean, batch_id bigint"
+    "seq bigint, seen timestamp, held boolean"
 )
 # What a micro-batch does with a tick: use it as context, put it out, keep it back, or refuse it.
 CONTEXT, EMIT, HOLD, TOO_LATE = "context", "emit", "hold", "too_late"
+_COLUMNS = ["symbol", "price", "quantity", "trade_time", "side", "source", "seq", "role"]
 
 
 @dataclass(frozen=True)
 class WindowTail:
-    """Points still in a window, between micro-batches."""
+    """Points still in a window, between steps. Batch n is step 2n; releasing what it held is step 2n + 1."""
 
     folder: str
 
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.folder}/slot-{batch_id % 2}"
+    def _tails(self, spark: SparkSession) -> list[int]:
+        return [int(name.rpartition("-")[2]) for name in files.names(spark, self.folder) if name.startswith("step-")]
 
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], TAIL_SCHEMA)
-        # A slot is only ever read for the batch right behind the one that wrote it.
-        return spark.read.schema(TAIL_SCHEMA).parquet(self._slot(batch_id - 1)).filter(
-            F.col("batch_id") == batch_id - 1
-        )
+    def last(self, spark: SparkSession) -> int | None:
+        return max(self._tails(spark), default=None)
 
-    def keep(self, rows: DataFrame, batch_id: int) -> None:
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            self._slot(batch_id)
-        )
+    def before(self, spark: SparkSession, step: int) -> DataFrame:
+        """The tail that ``step`` goes on from."""
+        earlier = [s for s in self._tails(spark) if s < step]
+        if not earlier:
+            if step > 1:
+                raise ValueError(f"{self.folder} holds no tail from before step {step}; the stream can't go on from it")
+            return spark.createDataFrame([], TAIL_SCHEMA)
+        if max(earlier) < step - 2:
+            raise ValueError(f"{self.folder} ends at step {max(earlier)}; step {step} can't go on from it")
+        return spark.read.schema(TAIL_SCHEMA).parquet(f"{self.folder}/step-{max(earlier):012d}")
+
+    def keep(self, rows: DataFrame, step: int) -> None:
+        """Store the tail of a step. Those that no retry can need any more are deleted."""
+        spark = rows.sparkSession
+        rows.write.mode("overwrite").parquet(f"{self.folder}/step-{step:012d}")
+        for old in self._tails(spark):
+            if old < step - 3:
+                files.delete(spark, f"{self.folder}/step-{old:012d}")
+                files.delete(spark, f"{self.folder}/clock-{old:012d}")
+
+    def clock(self, spark: SparkSession, step: int) -> datetime:
+        """When a step was first tried."""
+        name = f"{self.folder}/clock-{step:012d}"
+        if not files.exists(spark, name):
+            files.write_text(spark, name, datetime.now(timezone.utc).isoformat())
+        return datetime.fromisoformat(files.read_text(spark, name))
 
 
 @dataclass(frozen=True)
@@ -62,8 +84,9 @@ class StreamJob:
 
     In ``arrival`` mode every tick is put out at once. In ``event_time`` mode a tick is held until
     its symbol has seen a tick ``lateness_seconds`` newer, ticks leave in time order, and one that
-    comes even later is set aside as ``too_late``. ``idle_seconds`` frees the window of symbols
-    that stay silent that long.
+    comes even later is set aside as ``too_late``. A symbol that stays silent for ``idle_seconds`` has
+    its held ticks put out, and its window freed with the batch after that. ``release`` puts out all
+    that is held; ``run`` does so after it has drained its source.
     """
 
     sinks: Sinks
@@ -81,32 +104,54 @@ class StreamJob:
             raise ValueError(f"lateness_seconds must be >= 0, got {self.lateness_seconds!r}")
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
-        """Process the records of one micro-batch (``value``, ``seq``)."""
-        window, now = self.job.window, datetime.now(timezone.utc)
-        parsed = self.job.parse(records).persist()
-        before = self.tail.before(records.sparkSession, batch_id).drop("batch_id")
-        place = self._in_arrival_order if window.mode == ARRIVAL else self._in_time_order
-        placed = place(before, parsed, now).persist()
+        """Process the records of one micro-batch: ``value`` and ``seq``, or lines of ``stream_messages``."""
+        spark, step = records.sparkSession, 2 * batch_id
+        now = self.tail.clock(spark, step)
+        with passing_tables(spark):
+            if "seq" not in records.columns:
+                records = numbered(records, batch_id * BATCH_SPAN)
+            if {"key", "partition"} <= set(records.columns) and not unmoved(records):
+                raise ValueError("a key has records in two partitions of one batch; their order isn't known")
+            parsed = self.job.parse(records).persist()
+            try:
+                self._step(parsed, step, now)
+            finally:
+                parsed.unpersist()
+
+    def release(self, spark: SparkSession) -> None:
+        """Put out all held ticks. A tick that comes later and is older than these is too late."""
+        last = self.tail.last(spark)
+        if self.job.window.mode == ARRIVAL or last is None or last % 2:
+            return
+        step = last + 1
+        nothing = spark.createDataFrame([], "value string, seq bigint")
+        with passing_tables(spark):
+            self._step(self.job.parse(nothing), step, self.tail.clock(spark, step), release=True)
+
+    def _step(self, parsed: DataFrame, step: int, now: datetime, release: bool = False) -> None:
+        window = self.job.window
+        before = self.tail.before(parsed.sparkSession, step)
+        if window.mode == ARRIVAL:
+            placed = self._in_arrival_order(before, parsed, now).persist()
+        else:
+            placed = self._in_time_order(before, parsed, now, release).persist()
         try:
             refused = rejects(parsed)
             if window.mode != ARRIVAL:
-                late = placed.filter(F.col("role") == TOO_LATE).select("value", F.col("role").alias("reject_reason"))
+                late = placed.filter(F.col("role") == TOO_LATE).select(F.col("value").cast("binary"), F.col("role").alias("reject_reason"))
                 refused = refused.unionByName(late)
-            self.sinks.rejects(refused, batch_id)
-
+            self.sinks.rejects(refused, step)
             in_window = placed.filter(F.col("role").isin(CONTEXT, EMIT))
-            columns = ["symbol", "price", "quantity", "trade_time", "side", "source", "seq", "role"]
-            windowed = rolling_by_clock(in_window, columns, window).filter(F.col("role") == EMIT)
+            windowed = rolling_by_clock(in_window, _COLUMNS, window).filter(F.col("role") == EMIT)
             processed = processed_ticks(zscore_anomaly(windowed, self.job.anomaly)).persist()
             try:
-                self.sinks.processed(processed, batch_id)
-                self.sinks.anomalies(anomaly_events(processed, self.job.anomaly), batch_id)
+                self.sinks.processed(processed, step)
+                self.sinks.anomalies(anomaly_events(processed, self.job.anomaly), step)
             finally:
                 processed.unpersist()
-            self.tail.keep(self._next_tail(placed, now), batch_id)
+            self.tail.keep(self._next_tail(placed, now), step)
         finally:
             placed.unpersist()
-            parsed.unpersist()
 
     def _in_arrival_order(self, before: DataFrame, parsed: DataFrame, now: datetime) -> DataFrame:
         """Stored points as context, new ticks to put out; ``_at`` is the arrival clock."""
@@ -115,7 +160,7 @@ class StreamJob:
         # A stored point keeps its clock as its time, so the running maximum goes on from there.
         return arrival_clock(both, self.job.window)[0]
 
-    def _in_time_order(self, before: DataFrame, parsed: DataFrame, now: datetime) -> DataFrame:
+    def _in_time_order(self, before: DataFrame, parsed: DataFrame, now: datetime, release: bool) -> DataFrame:
         """Ticks judged against their symbol's newest time; ``_at`` is the trade time."""
         new = valid_ticks(parsed, "seq", "value").withColumns(
             {"seen": F.lit(now), "held": F.lit(False), "_new": F.lit(True)}
@@ -123,26 +168,34 @@ class StreamJob:
         both = before.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
         both = both.withColumn("_at", F.unix_micros("trade_time"))
         lateness = round(self.lateness_seconds * 1_000_000)
+        out_before = F.when(~F.col("_new") & ~F.col("held"), F.col("_at"))
         marks = both.groupBy("symbol").agg(
-            (F.max("_at") - lateness).alias("_mark"),
-            (F.max(F.when(~F.col("_new"), F.col("_at"))) - lateness).alias("_mark_before"),
+            (F.max("_at") - (0 if release else lateness)).alias("_mark"),
+            F.greatest(F.max(F.when(~F.col("_new"), F.col("_at"))) - lateness, F.max(out_before)).alias("_mark_before"),
+            F.max("seen").alias("_heard"),
         )
+        ready = F.col("_at") <= F.col("_mark")
+        if self.idle_seconds is not None:
+            ready = ready | (F.col("_heard") < F.lit(now - timedelta(seconds=self.idle_seconds)))
         role = (
             F.when(~F.col("_new") & ~F.col("held"), CONTEXT)
             .when(F.col("_new") & (F.col("_at") < F.col("_mark_before")), TOO_LATE)
-            .when(F.col("_at") <= F.col("_mark"), EMIT)
+            .when(ready, EMIT)
             .otherwise(HOLD)
         )
-        return both.join(marks, "symbol").withColumn("role", role).drop("_mark", "_mark_before", "_new", "held")
+        return both.join(marks, "symbol").withColumn("role", role).drop("_mark", "_mark_before", "_heard", "_new", "held")
 
     def _next_tail(self, placed: DataFrame, now: datetime) -> DataFrame:
         """Points a later tick's window can still hold, and the ticks held back."""
-        out = F.col("role").isin(CONTEXT, EMIT)
-        last = placed.filter(out).groupBy("symbol").agg(F.max("_at").alias("_last"), F.max("seen").alias("_seen"))
+        out, held = F.col("role").isin(CONTEXT, EMIT), F.col("role") == HOLD
+        last = placed.filter(out).groupBy("symbol").agg(
+            F.max("_at").alias("_last"), F.max("seen").alias("_heard"), F.bool_and(F.col("role") == CONTEXT).alias("_quiet")
+        )
         open_still = out & (F.col("_at") >= F.col("_last") - F.lit(self.job.window.window_us))
         if self.idle_seconds is not None:
-            open_still = open_still & (F.col("_seen") >= F.lit(now - timedelta(seconds=self.idle_seconds)))
-        held = F.col("role") == HOLD
+            # Freed once nothing was put out for it: what an idle symbol held has left before.
+            idle = F.col("_heard") < F.lit(now - timedelta(seconds=self.idle_seconds))
+            open_still = open_still & ~(idle & F.col("_quiet"))
         return placed.join(last, "symbol", "left").filter(held | open_still).select(
             "symbol", "price", "quantity", F.timestamp_micros("_at").alias("trade_time"),
             "side", "source", "seq", "seen", held.alias("held"),
@@ -172,7 +225,7 @@ class IngestJob:
 def trigger_options(flush: FlushParams | None = None, drain: bool = False) -> dict:
     """Trigger arguments: a batch every ``flush.seconds``, or process what is there and stop.
 
-    The row bound of ``flush`` belongs to the source (``maxOffsetsPerTrigger``).
+    The row bound of ``flush`` goes to the source (``kafka_source_options``).
     """
     if drain:
         return {"availableNow": True}
@@ -192,6 +245,12 @@ def start(
     )
 
 
+def run(records: DataFrame, stream_job: StreamJob, checkpoint: str) -> None:
+    """Process what is there, put out what is held, and stop."""
+    start(records, stream_job, checkpoint, drain=True).awaitTermination()
+    stream_job.release(records.sparkSession)
+
+
 def publish(
     messages: DataFrame, handler, checkpoint: str, flush: FlushParams | None = None, drain: bool = False
 ) -> StreamingQuery:
