@@ -26,10 +26,16 @@ class Units:
     most: int  # rows of the largest symbol
     top_price: int
     top_quantity: int
-    fixed: int | None  # the price scale all symbols share, if they do
+    fixed: tuple[int, int] | None  # the scales of price and quantity that all symbols share, if they do
+    scales: DataFrame | None = None  # otherwise the factors of each symbol
 
     def scaled(self, text: str) -> str:
-        return f"{text} / _times * _over" if self.fixed is None else f"{text} / {float(10 ** self.fixed)!r}D"
+        return f"{text} / _times * _over" if self.fixed is None else f"{text} / {float(10 ** self.fixed[0])!r}D"
+
+    @property
+    def columns(self) -> list[str]:
+        """Columns that ``scaled`` needs."""
+        return [] if self.fixed is not None else ["_times", "_over"]
 
 
 def _whole(value: Column, scale: int) -> Column:
@@ -48,8 +54,8 @@ def _factors(top: Column, prefix: str) -> list[Column]:
     ]
 
 
-def in_units(ticks: DataFrame, params: WindowParams) -> tuple[DataFrame, Units]:
-    """Add ``_p`` and ``_q`` (BIGINT) and, if symbols differ in scale, ``_times`` and ``_over``."""
+def survey(ticks: DataFrame, params: WindowParams) -> Units:
+    """Sizes and scales of ``ticks(symbol, price, quantity)``, from one aggregation."""
     price, quantity = F.col("price"), F.col("quantity")
     symbols = ticks.groupBy("symbol").agg(
         F.count("*").alias("n"),
@@ -64,15 +70,17 @@ def in_units(ticks: DataFrame, params: WindowParams) -> tuple[DataFrame, Units]:
     top_price, top_quantity = (found["p"] or 0.0) * 10**params.price_scale, (found["q"] or 0.0) * 10**params.quantity_scale
     limit = 10**DIGITS
     if not rows or (found["whole"] and top_price <= limit and top_quantity <= limit):
-        units = {
-            "_p": F.rint(price * F.lit(float(10**params.price_scale))).cast("bigint"),
-            "_q": F.rint(quantity * F.lit(float(10**params.quantity_scale))).cast("bigint"),
-        }
-        return ticks.withColumns(units), Units(rows, most, round(top_price), round(top_quantity), params.price_scale)
+        return Units(rows, most, round(top_price), round(top_quantity), (params.price_scale, params.quantity_scale))
     scales = materialise(symbols.select("symbol", *_factors(F.col("top_price"), "_"), *_factors(F.col("top_quantity"), "_q")), "scales")
-    joined = ticks.join(scales, "symbol")
-    units = {
-        "_p": F.rint(price * F.col("_times") / F.col("_over")).cast("bigint"),
-        "_q": F.rint(quantity * F.col("_qtimes") / F.col("_qover")).cast("bigint"),
-    }
-    return joined.withColumns(units).drop("_qtimes", "_qover"), Units(rows, most, limit, limit, None)
+    return Units(rows, most, limit, limit, None, scales)
+
+
+def in_units(ticks: DataFrame, units: Units) -> DataFrame:
+    """Add ``_p`` and ``_q`` (BIGINT) and, if symbols differ in scale, ``_times`` and ``_over``."""
+    price, quantity = F.col("price"), F.col("quantity")
+    if units.fixed is not None:
+        counts = {"_p": price * F.lit(float(10 ** units.fixed[0])), "_q": quantity * F.lit(float(10 ** units.fixed[1]))}
+    else:
+        ticks = ticks.join(units.scales, "symbol")
+        counts = {"_p": price * F.col("_times") / F.col("_over"), "_q": quantity * F.col("_qtimes") / F.col("_qover")}
+    return ticks.withColumns({name: F.rint(value).cast("bigint") for name, value in counts.items()}).drop("_qtimes", "_qover")

@@ -17,7 +17,10 @@ BLANKS = (
     "\u3000"
 )
 
+_NUMBER = r"(?:0|[1-9][0-9]{0,11})(?:\.[0-9]{1,12})?"
 DECIMAL_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# As above, with single underscores between digits.
+SPACED_DECIMAL_TEXT = DECIMAL_TEXT.replace("[0-9]+", "[0-9](_?[0-9])*").replace(r"\.?[0-9]*", r"(\.([0-9](_?[0-9])*)?)?")
 EPOCH_TEXT = r"^[+-]?[0-9]+(\.[0-9]*)?$"
 ISO_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([Tt _][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,9})?)?([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$"
 MILLISECONDS_FROM = 2e10  # epoch numbers beyond this are milliseconds, below it seconds
@@ -49,6 +52,82 @@ class JsonValue:
     def is_boolean(self) -> Column:
         return self.kind == "BOOLEAN"
 
+    @property
+    def is_empty(self) -> Column:
+        """Null, or text, list or object with nothing in it."""
+        return F.to_json(self.value).isin("null", '""', "[]", "{}")
+
+
+@dataclass(frozen=True)
+class PlainValue(JsonValue):
+    """A JSON value whose text a pattern has cut out of the message; ``value`` is that text."""
+
+    def cast(self, type_name: str) -> Column:
+        return self.value if type_name == "string" else self.value.try_cast(type_name)
+
+    @property
+    def is_empty(self) -> Column:
+        return self.value == ""
+
+
+@dataclass(frozen=True)
+class Shape:
+    """The plain spelling of a message: named members in one order, others of simple kinds between them.
+
+    Each member is (name, pattern of its content, kind). Content stands in quotes for STRING; for NUMBER
+    it may or may not. Messages of this shape need no parser: their members are groups of the pattern.
+    """
+
+    members: tuple[tuple[str, str, str], ...]
+
+    @property
+    def pattern(self) -> str:
+        names = "|".join(name for name, _, _ in self.members)
+        other = rf'"(?!(?:{names})")[A-Za-z_]{{1,20}}": ?(?:"[A-Za-z0-9 ._:+-]{{0,64}}"|[1-9][0-9]{{0,17}}|true|false)'
+        parts, group = [], 0
+        for name, content, kind in self.members:
+            group += 1
+            if kind == "NUMBER":
+                parts.append(rf'"{name}": ?("?+)({content})\{group}')
+                group += 1
+            else:
+                quote = '"' if kind == "STRING" else ""
+                parts.append(f'"{name}": ?{quote}({content}){quote}')
+        between = f"(?:, ?{other})*+"
+        return rf"^\{{(?:{other}, ?)*+" + f"{between}, ?".join(parts) + between + r"\}$"
+
+    def fields(self, text: Column) -> dict[str, JsonValue]:
+        found, group = {}, 0
+        for name, _, kind in self.members:
+            group += 1
+            shown: Column = F.lit(kind)
+            if kind == "NUMBER":
+                shown = F.when(F.regexp_extract(text, self.pattern, group) == "", F.lit("DOUBLE")).otherwise(F.lit("STRING"))
+                group += 1
+            found[name] = PlainValue(F.regexp_extract(text, self.pattern, group), shown)
+        return found
+
+
+EXCHANGE_SHAPE = Shape(
+    (
+        ("s", "[A-Za-z0-9 ]{1,32}", "STRING"),
+        ("p", _NUMBER, "NUMBER"),
+        ("q", _NUMBER, "NUMBER"),
+        ("T", "[1-9][0-9]{0,14}", "BIGINT"),
+        ("m", "true|false", "BOOLEAN"),
+    )
+)
+CANONICAL_SHAPE = Shape(
+    (
+        ("symbol", "[A-Za-z0-9 ]{1,32}", "STRING"),
+        ("price", _NUMBER, "NUMBER"),
+        ("quantity", _NUMBER, "NUMBER"),
+        ("trade_time", "[0-9Tt:., +Zz-]{1,40}", "STRING"),
+        ("side", "[a-z]{1,8}", "STRING"),
+        ("source", "[A-Za-z0-9_-]{0,32}", "STRING"),
+    )
+)
+
 
 def in_brackets(text: Column) -> Column:
     """A message parsed as the only element of an array, as VARIANT; null if that fails.
@@ -81,11 +160,15 @@ def text(json: JsonValue) -> Column:
     return F.when(json.kind == "STRING", json.cast("string"))
 
 
-def number(json: JsonValue) -> Column:
+def number(json: JsonValue, underscores: bool = False) -> Column:
     """A DOUBLE from a JSON number, boolean or decimal text; null otherwise. May overflow to infinity."""
-    return F.when(json.is_number | json.is_boolean, json.cast("double")).when(
-        (json.kind == "STRING") & json.cast("string").rlike(DECIMAL_TEXT), json.cast("string").try_cast("double")
+    content = json.cast("string")
+    plain = F.when(json.is_number | json.is_boolean, json.cast("double")).when(
+        (json.kind == "STRING") & content.rlike(DECIMAL_TEXT), content.try_cast("double")
     )
+    if not underscores:
+        return plain
+    return plain.when((json.kind == "STRING") & content.rlike(SPACED_DECIMAL_TEXT), F.replace(content, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def normal_symbol(value: Column) -> Column:
@@ -98,7 +181,7 @@ def truthy(json: JsonValue) -> Column:
         F.when(json.value.isNull(), F.lit(False))
         .when(json.is_boolean, json.cast("boolean"))
         .when(json.is_number, json.cast("double") != 0)
-        .otherwise(~F.to_json(json.value).isin("null", '""', "[]", "{}"))
+        .otherwise(~json.is_empty)
     )
 
 

@@ -15,7 +15,6 @@ REASONS = (
     "bad_json",
     "not_object",
     "symbol_invalid",
-    "symbol_blank",
     "price_invalid",
     "price_nonpositive",
     "quantity_invalid",
@@ -39,7 +38,6 @@ def _reason() -> Column:
         "bad_json": F.col("_kind").isNull(),
         "not_object": ~F.col("_kind").startswith("OBJECT"),
         "symbol_invalid": symbol.isNull() | (F.length(symbol) < 1),
-        "symbol_blank": F.col("_normal") == "",
         "price_invalid": ~_finite(price),
         "price_nonpositive": price <= 0,
         "quantity_invalid": ~_finite(quantity),
@@ -58,30 +56,41 @@ Fields = dict[str, wire.JsonValue]
 
 
 def _parse(
-    records: DataFrame, names: list[str], epoch: Callable[[Fields], Column], micros: Callable[[Column], Column],
-    read: Callable[[Fields], dict[str, Column]],
+    records: DataFrame, names: list[str], shape: wire.Shape, epoch: Callable[[Fields], Column], micros: Callable[[Column], Column],
+    read: Callable[[Fields, Column], dict[str, Column]],
 ) -> DataFrame:
     """Parse each message once, step by step, then judge it.
 
-    The steps end in a generator of one row. It keeps the optimizer from substituting the parsing
-    into the filters on ``reject_reason``, where it would run once per mention.
+    Messages in the plain spelling are cut up by its pattern; only the others go through the JSON parser
+    (later members of one name win). The steps end in a generator of one row. It keeps the optimizer
+    from substituting the parsing into the filters on ``reject_reason``, where it would run once per mention.
     """
+    records.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     utf8 = F.is_valid_utf8(F.col("value").cast("string"))
     parsed = (
         records.withColumn("_utf8", utf8)
         .withColumn("_text", F.when(F.col("_utf8"), F.col("value").cast("string")))
-        .withColumn("_array", wire.in_brackets(F.col("_text")))
-        .withColumn("_message", wire.only_value(F.col("_array"), F.col("_text")))
+        .withColumn("_plain", F.coalesce(F.col("_text").rlike(shape.pattern), F.lit(False)))
+        .withColumn("_json", F.when(~F.col("_plain"), F.col("_text")))
+        .withColumn("_array", wire.in_brackets(F.col("_json")))
+        .withColumn("_message", wire.only_value(F.col("_array"), F.col("_json")))
         .withColumns({f"_f_{n}": wire.field(F.col("_message"), n) for n in names})
         .withColumns({f"_k_{n}": F.schema_of_variant(f"_f_{n}") for n in names})
     )
-    fields = {n: wire.JsonValue(F.col(f"_f_{n}"), F.col(f"_k_{n}")) for n in names}
-    parsed = parsed.withColumn("_epoch", epoch(fields)).withColumn("_micros", micros(F.col("_epoch")))
-    found = read(fields)
+    for n, v in shape.fields(F.col("_text")).items():
+        parsed = parsed.withColumns({f"_t_{n}": F.when(F.col("_plain"), v.value), f"_s_{n}": F.when(F.col("_plain"), v.kind)})
+    parsed_fields = {n: wire.JsonValue(F.col(f"_f_{n}"), F.col(f"_k_{n}")) for n in names}
+    plain_fields = {n: wire.PlainValue(F.col(f"_t_{n}"), F.col(f"_s_{n}")) for n in names}
+
+    def either(rule: Callable[[Fields], Column]) -> Column:
+        return F.when(F.col("_plain"), rule(plain_fields)).otherwise(rule(parsed_fields))
+
+    parsed = parsed.withColumn("_epoch", either(epoch)).withColumn("_micros", micros(F.col("_epoch")))
+    plain, other = read(plain_fields, F.col("_micros")), read(parsed_fields, F.col("_micros"))
     raw = F.struct(
         F.col("_utf8"),
-        F.schema_of_variant("_message").alias("_kind"),
-        *[column.alias(f"_{name}") for name, column in found.items()],
+        F.when(F.col("_plain"), F.lit("OBJECT")).otherwise(F.schema_of_variant("_message")).alias("_kind"),
+        *[F.when(F.col("_plain"), plain[name]).otherwise(other[name]).alias(f"_{name}") for name in other],
     )
     judged = (
         parsed.select(*records.columns, F.inline(F.array(raw)))
@@ -107,35 +116,36 @@ def parse_exchange(records: DataFrame) -> DataFrame:
     input columns (such as ``seq``) are kept.
     """
 
-    def read(json: Fields) -> dict[str, Column]:
+    def read(json: Fields, micros: Column) -> dict[str, Column]:
         return {
             "symbol": wire.text(json["s"]),
-            "price": wire.number(json["p"]),
-            "quantity": wire.number(json["q"]),
-            "time": wire.instant(F.col("_micros")),
+            "price": wire.number(json["p"], underscores=True),
+            "quantity": wire.number(json["q"], underscores=True),
+            "time": wire.instant(micros),
             "side": F.when(wire.truthy(json["m"]), F.lit("sell")).otherwise(F.lit("buy")),
             "source": F.lit(DEFAULT_SOURCE),
         }
 
-    return _parse(records, ["s", "p", "q", "T", "m"], lambda json: wire.epoch_number(json["T"]), wire.micros_from_millis, read)
+    names = ["s", "p", "q", "T", "m"]
+    return _parse(records, names, wire.EXCHANGE_SHAPE, lambda json: wire.epoch_number(json["T"]), wire.micros_from_millis, read)
 
 
 def parse_canonical(records: DataFrame) -> DataFrame:
     """``parse_exchange`` for messages that carry ticks under their own field names."""
 
-    def read(json: Fields) -> dict[str, Column]:
+    def read(json: Fields, micros: Column) -> dict[str, Column]:
         absent = json["source"].value.isNull()
         return {
             "symbol": wire.text(json["symbol"]),
             "price": wire.number(json["price"]),
             "quantity": wire.number(json["quantity"]),
-            "time": F.coalesce(wire.instant(F.col("_micros")), wire.iso_time(json["trade_time"])),
+            "time": F.coalesce(wire.instant(micros), wire.iso_time(json["trade_time"])),
             "side": wire.text(json["side"]),
             "source": F.when(absent, F.lit(DEFAULT_SOURCE)).otherwise(wire.text(json["source"])),
         }
 
     names = ["symbol", "price", "quantity", "trade_time", "side", "source"]
-    return _parse(records, names, lambda json: wire.epoch_lax(json["trade_time"]), wire.micros_by_size, read)
+    return _parse(records, names, wire.CANONICAL_SHAPE, lambda json: wire.epoch_lax(json["trade_time"]), wire.micros_by_size, read)
 
 
 def valid_ticks(parsed: DataFrame, *keep: str) -> DataFrame:

@@ -8,11 +8,13 @@ from tickloom.operators.slices import carry_in, cut
 
 
 def _running(
-    df: DataFrame, key: str, position: str, value: str, out: str, how: str, rows_per_slice: int
+    df: DataFrame, key: str, position: str, value: str, out: str, how: str, rows_per_slice: int, most: int | None
 ) -> tuple[DataFrame, bool]:
     combine = getattr(F, how)
-    sizes = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
-    if (sizes["most"] or 0) <= rows_per_slice:
+    if most is None or most > rows_per_slice:
+        sizes = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+        most = sizes["most"] or 0
+    if most <= rows_per_slice:
         so_far = Window.partitionBy(key).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, combine(value).over(so_far)), False
 
@@ -27,14 +29,17 @@ def _running(
     return summed.select("_row.*", out), True
 
 
-def running_max(df: DataFrame, key: str, position: str, value: str, out: str, rows_per_slice: int) -> tuple[DataFrame, bool]:
+def running_max(
+    df: DataFrame, key: str, position: str, value: str, out: str, rows_per_slice: int, most: int | None = None
+) -> tuple[DataFrame, bool]:
     """Largest value so far per key, in order of ``position`` (unique per key).
 
-    Also tells whether any key was cut into slices, i.e. whether the data is large.
+    Also tells whether any key was cut into slices, i.e. whether the data is large. ``most`` is the
+    number of rows of the largest key, if known.
     """
-    return _running(df, key, position, value, out, "max", rows_per_slice)
+    return _running(df, key, position, value, out, "max", rows_per_slice, most)
 
 
 def running_sum(df: DataFrame, key: str, position: str, value: str, out: str, rows_per_slice: int) -> tuple[DataFrame, bool]:
     """Sum so far per key, in order of ``position`` (unique per key)."""
-    return _running(df, key, position, value, out, "sum", rows_per_slice)
+    return _running(df, key, position, value, out, "sum", rows_per_slice, None)

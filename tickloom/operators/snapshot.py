@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickloom.functions.instants import day_key
 from tickloom.functions.stats import WIDE, with_stats
 from tickloom.functions.symbols import allow_symbols
-from tickloom.functions.units import in_units
+from tickloom.functions.units import in_units, survey
 from tickloom.operators.window import tick_measures
 from tickloom.params import ARRIVAL, WindowParams
 from tickloom.session import materialise
@@ -34,9 +34,10 @@ def snapshot(ticks: DataFrame, params: WindowParams | None = None, symbols: list
         later = wanted if lowest is None else wanted.filter(F.col("seq") >= F.lit(lowest))
         recent = later.join(first, "symbol").filter(seq >= F.col("_first"))
 
-    counted, units = in_units(recent.select("symbol", "price", "quantity"), params)
-    scale = [] if units.fixed is not None else ["_times", "_over"]
-    sums = counted.groupBy("symbol", *scale).agg(
+    recent = recent.select("symbol", "price", "quantity")
+    units = survey(recent, params)
+    scale = units.columns
+    sums = in_units(recent, units).groupBy("symbol", *scale).agg(
         *[F.sum(value).cast(WIDE[name]).alias(f"_{name}") for name, value in tick_measures(WIDE).items()]
     )
     if symbols is not None:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.stats import WIDE, with_stats
-from tickloom.functions.units import Units, in_units
+from tickloom.functions.units import Units, in_units, survey
 from tickloom.operators.running import running_max
 from tickloom.operators.slices import carry_in, cut
 from tickloom.params import ARRIVAL, WindowParams
@@ -72,7 +72,7 @@ def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataF
     return rolling_by_clock(clocked, ticks.columns, params)
 
 
-def arrival_clock(ticks: DataFrame, params: WindowParams) -> tuple[DataFrame, bool]:
+def arrival_clock(ticks: DataFrame, params: WindowParams, most: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_at``, the latest trade time seen up to each tick in arrival order.
 
     An early point can only leave once everything that arrived before it has left, and it leaves
@@ -81,15 +81,16 @@ def arrival_clock(ticks: DataFrame, params: WindowParams) -> tuple[DataFrame, bo
     serves as the clock of an ordinary trailing window.
     """
     timed = ticks.withColumn("_time", F.unix_micros("trade_time"))
-    clocked, sliced = running_max(timed, "symbol", "seq", "_time", "_at", params.rows_per_slice)
+    clocked, sliced = running_max(timed, "symbol", "seq", "_time", "_at", params.rows_per_slice, most)
     return clocked.drop("_time"), sliced
 
 
-def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParams) -> DataFrame:
-    """``rolling_stats`` over ticks that already carry their clock ``_at`` in microseconds."""
-    counted, units = in_units(clocked, params)
-    scale = [] if units.fixed is not None else ["_times", "_over"]
-    ticks = counted.select(
+def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParams, units: Units | None = None) -> DataFrame:
+    """``rolling_stats`` over ticks that already carry their clock ``_at`` in microseconds, and whose
+    ``units`` may be known."""
+    units = units or survey(clocked, params)
+    scale = units.columns
+    ticks = in_units(clocked, units).select(
         "symbol",
         F.struct(*[c for c in columns if c != "symbol"]).alias("tick"),
         "_at",

@@ -135,7 +135,6 @@ r AS (
     WHEN bad AND k < 20 THEN 'null_value'
     WHEN bad AND k < 30 THEN 'bad_json'
     WHEN bad AND k < 40 THEN 'symbol_invalid'
-    WHEN bad AND k < 50 THEN 'symbol_blank'
     WHEN bad AND k BETWEEN 80 AND 89 THEN 'not_object'
     WHEN bad AND k BETWEEN 50 AND 59 THEN 'price_invalid'
     WHEN price <= 0 THEN 'price_nonpositive'
@@ -175,13 +174,13 @@ got AS (
 
 ORACLE: dict[str, str] = {
     "parse_exchange": f"""WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON}
-SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity, date_trunc('milliseconds', ts) AS trade_time,
-       CASE WHEN bad OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source, seq
+SELECT CASE WHEN bad AND k BETWEEN 40 AND 49 THEN '' ELSE upper(event_type) END AS symbol, price, k::DOUBLE AS quantity,
+       date_trunc('milliseconds', ts) AS trade_time, CASE WHEN (bad AND k >= 90) OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source, seq
 FROM r WHERE reject_reason IS NULL""",
     "landed_messages": f"""WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON}
-SELECT upper(event_type) AS symbol, price, k::DOUBLE AS quantity, date_trunc('milliseconds', ts) AS trade_time,
-       CASE WHEN bad OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source,
-       row_number() OVER (PARTITION BY upper(event_type) ORDER BY seq) AS arrival
+SELECT CASE WHEN bad AND k BETWEEN 40 AND 49 THEN '' ELSE upper(event_type) END AS symbol, price, k::DOUBLE AS quantity,
+       date_trunc('milliseconds', ts) AS trade_time, CASE WHEN (bad AND k >= 90) OR sell THEN 'sell' ELSE 'buy' END AS side, 'binance' AS source,
+       row_number() OVER (PARTITION BY CASE WHEN bad AND k BETWEEN 40 AND 49 THEN '' ELSE upper(event_type) END ORDER BY seq) AS arrival
 FROM r WHERE reject_reason IS NULL""",
     "quarantine": f"""WITH {MESSAGE_FIELDS}, {EXCHANGE_REASON},
 f AS (

@@ -12,13 +12,16 @@ function returns, i.e. after every write.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import files
+from tickloom.functions.units import survey
 from tickloom.operators.anomaly import anomaly_events, processed_ticks, zscore_anomaly
 from tickloom.operators.quality import parse_exchange, rejects, valid_ticks
 from tickloom.operators.window import arrival_clock, rolling_by_clock
@@ -132,33 +135,38 @@ class StreamJob:
         window = self.job.window
         before = self.tail.before(parsed.sparkSession, step)
         if window.mode == ARRIVAL:
-            placed = self._in_arrival_order(before, parsed, now).persist()
+            both = self._arrivals(before, parsed, now).persist()
         else:
-            placed = self._in_time_order(before, parsed, now, release).persist()
+            both = self._in_time_order(before, parsed, now, release).persist()
+        units = survey(both, window)
+        placed = arrival_clock(both, window, units.most)[0].persist() if window.mode == ARRIVAL else both
+        in_window = placed.filter(F.col("role").isin(CONTEXT, EMIT))
+        windowed = rolling_by_clock(in_window, _COLUMNS, window, units).filter(F.col("role") == EMIT)
+        processed = processed_ticks(zscore_anomaly(windowed, self.job.anomaly)).persist()
+        refused = rejects(parsed)
+        if window.mode != ARRIVAL:
+            late = placed.filter(F.col("role") == TOO_LATE).select(F.col("value").cast("binary"), F.col("role").alias("reject_reason"))
+            refused = refused.unionByName(late)
+        writes = [
+            lambda: self.sinks.processed(processed, step),
+            lambda: self.sinks.anomalies(anomaly_events(processed, self.job.anomaly), step),
+            lambda: self.sinks.rejects(refused, step),
+            lambda: self.tail.keep(self._next_tail(placed, now), step),
+        ]
         try:
-            refused = rejects(parsed)
-            if window.mode != ARRIVAL:
-                late = placed.filter(F.col("role") == TOO_LATE).select(F.col("value").cast("binary"), F.col("role").alias("reject_reason"))
-                refused = refused.unionByName(late)
-            self.sinks.rejects(refused, step)
-            in_window = placed.filter(F.col("role").isin(CONTEXT, EMIT))
-            windowed = rolling_by_clock(in_window, _COLUMNS, window).filter(F.col("role") == EMIT)
-            processed = processed_ticks(zscore_anomaly(windowed, self.job.anomaly)).persist()
-            try:
-                self.sinks.processed(processed, step)
-                self.sinks.anomalies(anomaly_events(processed, self.job.anomaly), step)
-            finally:
-                processed.unpersist()
-            self.tail.keep(self._next_tail(placed, now), step)
+            # Small jobs that wait for each other's overhead more than for data: run side by side.
+            with ThreadPoolExecutor(len(writes)) as pool:
+                for done in [pool.submit(inheritable_thread_target(parsed.sparkSession)(write)) for write in writes]:
+                    done.result()
         finally:
-            placed.unpersist()
+            for kept in (processed, placed, both):
+                kept.unpersist()
 
-    def _in_arrival_order(self, before: DataFrame, parsed: DataFrame, now: datetime) -> DataFrame:
-        """Stored points as context, new ticks to put out; ``_at`` is the arrival clock."""
+    def _arrivals(self, before: DataFrame, parsed: DataFrame, now: datetime) -> DataFrame:
+        """Stored points as context, new ticks to put out. A stored point keeps its clock as its time, so
+        the running maximum goes on from there."""
         new = valid_ticks(parsed, "seq").withColumns({"seen": F.lit(now), "role": F.lit(EMIT)})
-        both = before.drop("held").withColumn("role", F.lit(CONTEXT)).unionByName(new)
-        # A stored point keeps its clock as its time, so the running maximum goes on from there.
-        return arrival_clock(both, self.job.window)[0]
+        return before.drop("held").withColumn("role", F.lit(CONTEXT)).unionByName(new)
 
     def _in_time_order(self, before: DataFrame, parsed: DataFrame, now: datetime, release: bool) -> DataFrame:
         """Ticks judged against their symbol's newest time; ``_at`` is the trade time."""
