@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import exchange, rolling
-from tickloom.llm.tables import materialise, parts, private, row_key
+from tickloom.llm.tables import materialise, parts, private, row_key, small_batches
 
 #: Anchors of one sender.
 SENDER = 200_000
@@ -140,7 +140,7 @@ def candidates(docs: DataFrame, kind: Windows) -> tuple[DataFrame, DataFrame]:
     """All rows, stored: rid, doc_id, n, sha256, copies (rows with these items), first (is the row the
     one of smallest doc_id, nulls last). And of the first ones those with repeated anchors: rid, order
     (doc_id, nulls last), text, anchors."""
-    texts = private(docs, key=row_key(docs["doc_id"], docs["text"]), doc_id="doc_id", text="text")
+    texts = private(small_batches(docs), key=row_key(docs["doc_id"], docs["text"]), doc_id="doc_id", text="text")
     rows = materialise(_described(texts, kind).withColumn("rid", F.monotonically_increasing_id()), "described")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     classes = rows.groupBy("class").agg(F.min(order).alias("head"), F.count("*").alias("copies"))

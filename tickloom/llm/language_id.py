@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import rolling
-from tickloom.llm.tables import private
+from tickloom.llm.tables import private, small_batches
 
 #: Labelled rows for each label that are learned from, on average; the bound of what the driver sees.
 SAMPLE = 500
@@ -194,7 +194,7 @@ def held_out(doc_id: Column) -> Column:
 
 def learned(docs: DataFrame) -> Model | None:
     """A model of the labelled rows of ``docs`` that aren't held out."""
-    rows = private(docs, doc_id="doc_id", text="text", label="lang")
+    rows = private(small_batches(docs), doc_id="doc_id", text="text", label="lang")
     return fit(sample(rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))))
 
 

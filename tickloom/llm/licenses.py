@@ -19,7 +19,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickloom.llm.tables import private
+from tickloom.llm.tables import private, small_batches
 
 # Notice phrases, as words, and their labels.
 BASE_PHRASES = {
@@ -182,4 +182,4 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """One row per document with its notices, tags and what their expressions allow."""
-    return private(docs, doc_id="doc_id", text="text").mapInArrow(_scan, SCHEMA)
+    return private(small_batches(docs), doc_id="doc_id", text="text").mapInArrow(_scan, SCHEMA)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import rolling
 from tickloom.llm.components import components
-from tickloom.llm.tables import keep_rows, materialise, private, row_key
+from tickloom.llm.tables import keep_rows, materialise, private, row_key, small_batches
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
@@ -252,7 +252,7 @@ def _across(members: DataFrame, idf: np.ndarray) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per document: key (see ``row_key``), doc_id, class_id, n_links, kept."""
-    rows = private(docs, key=row_key(docs["doc_id"], docs["text"]), doc_id="doc_id", text="text")
+    rows = private(small_batches(docs), key=row_key(docs["doc_id"], docs["text"]), doc_id="doc_id", text="text")
     idf = rarity(document_frequencies(rows), max(rows.count(), 1))
     signed = materialise(_signed(rows, idf).withColumn("rid", F.monotonically_increasing_id()), "signed")
     classes = signed.filter("class is not null").groupBy("class").agg(

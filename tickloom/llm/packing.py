@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickloom.llm.tables import materialise, parts, private
+from tickloom.llm.tables import materialise, parts, private, small_batches
 
 SIZE = 1024
 END = 2
@@ -79,7 +79,7 @@ def tokenised(docs: DataFrame, size: int = SIZE, end: int = END) -> DataFrame:
                 [pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"]
             )
 
-    return private(docs, doc_id="doc_id", text="text").mapInArrow(run, PIECES)
+    return private(small_batches(docs), doc_id="doc_id", text="text").mapInArrow(run, PIECES)
 
 
 @dataclass(frozen=True)

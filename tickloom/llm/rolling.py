@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once (one text may be longer).
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 1_000_000
 MAX64 = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # White space is 20 and 09 to 0D.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.session import materialise
 
-__all__ = ["documents", "embeddings", "keep_rows", "materialise", "parts", "private", "row_key"]
+__all__ = ["documents", "embeddings", "keep_rows", "materialise", "parts", "private", "row_key", "small_batches"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,12 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding, for the rest of the session, the rows of a batch that Python tasks get: texts are long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
 def private(df: DataFrame, **columns: Column | str) -> DataFrame:
     """Only the named columns of ``df``, under names of our own: extra columns can't clash."""
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
