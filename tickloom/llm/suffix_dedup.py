@@ -29,7 +29,7 @@ from tickloom.llm.tables import materialise, parts
 
 SIZE, GRAM = 400, 200
 #: Bytes of text and of possible repeats in a shard (one text may be longer).
-SHARD_TEXT, SHARD_REPEATS = 4_000_000, 1_500_000
+SHARD_TEXT, SHARD_REPEATS = 4_000_000, 800_000
 _DEPTH, _PAIRS = 512, 1 << 13
 
 
