@@ -28,6 +28,8 @@ from tickloom.llm.tables import private, small_batches
 
 #: Labelled rows for each label that are learned from, on average; the bound of what the driver sees.
 SAMPLE = 500
+#: Labels that are learned, the most frequent ones; bounds the table of their sizes that is broadcast.
+LABELS = 1000
 BUCKETS, WIDTH, EPOCHS = 1 << 14, 12, 12
 #: Step of the softmax, and how much larger the step of an embedding is, whose share in a mean is small.
 RATE, GAIN = 0.5, 20
@@ -129,7 +131,7 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 5) -> Mod
 def sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Subword counts of about ``SAMPLE`` rows of each label. docs: doc_id, text, label."""
     rows = docs.filter("label is not null and text is not null")
-    sizes = rows.groupBy("label").count()
+    sizes = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS)
     draw = (F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)) < SAMPLE / F.col("count")
     drawn = rows.join(F.broadcast(sizes), "label").filter(draw).select("doc_id", "label", "text")
 

@@ -45,7 +45,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "kept")
+    return near_groups(documents(spark, sf_dir)).select("doc_id", "class_id", "kept")
 
 
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
