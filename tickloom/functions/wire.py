@@ -96,15 +96,22 @@ class Shape:
         between = f"(?:, ?{other})*+"
         return rf"^\{{(?:{other}, ?)*+" + f"{between}, ?".join(parts) + between + r"\}$"
 
-    def fields(self, text: Column) -> dict[str, JsonValue]:
-        found, group = {}, 0
+    def cut(self, text: Column) -> Column:
+        """The groups of the pattern, from one run of it; null for other texts."""
+        groups = sum(2 if kind == "NUMBER" else 1 for _, _, kind in self.members)
+        apart = F.regexp_replace(text, self.pattern, "\x01".join(f"${g + 1}" for g in range(groups)))
+        return F.when(apart != text, F.split(apart, "\x01"))
+
+    def fields(self, groups: Column) -> dict[str, JsonValue]:
+        """The members, from the column that ``cut`` gave."""
+        found, at = {}, 0
         for name, _, kind in self.members:
-            group += 1
             shown: Column = F.lit(kind)
             if kind == "NUMBER":
-                shown = F.when(F.regexp_extract(text, self.pattern, group) == "", F.lit("DOUBLE")).otherwise(F.lit("STRING"))
-                group += 1
-            found[name] = PlainValue(F.regexp_extract(text, self.pattern, group), shown)
+                shown = F.when(groups[at] == "", F.lit("DOUBLE")).otherwise(F.lit("STRING"))
+                at += 1
+            found[name] = PlainValue(groups[at], shown)
+            at += 1
         return found
 
 

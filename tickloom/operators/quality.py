@@ -70,17 +70,16 @@ def _parse(
     parsed = (
         records.withColumn("_utf8", utf8)
         .withColumn("_text", F.when(F.col("_utf8"), F.col("value").cast("string")))
-        .withColumn("_plain", F.coalesce(F.col("_text").rlike(shape.pattern), F.lit(False)))
-        .withColumn("_json", F.when(~F.col("_plain"), F.col("_text")))
+        .withColumn("_cut", shape.cut(F.col("_text")))
+        .withColumn("_plain", F.col("_cut").isNotNull())
+        .withColumn("_json", F.when(F.col("_cut").isNull(), F.col("_text")))
         .withColumn("_array", wire.in_brackets(F.col("_json")))
         .withColumn("_message", wire.only_value(F.col("_array"), F.col("_json")))
         .withColumns({f"_f_{n}": wire.field(F.col("_message"), n) for n in names})
         .withColumns({f"_k_{n}": F.schema_of_variant(f"_f_{n}") for n in names})
     )
-    for n, v in shape.fields(F.col("_text")).items():
-        parsed = parsed.withColumns({f"_t_{n}": F.when(F.col("_plain"), v.value), f"_s_{n}": F.when(F.col("_plain"), v.kind)})
     parsed_fields = {n: wire.JsonValue(F.col(f"_f_{n}"), F.col(f"_k_{n}")) for n in names}
-    plain_fields = {n: wire.PlainValue(F.col(f"_t_{n}"), F.col(f"_s_{n}")) for n in names}
+    plain_fields = shape.fields(F.col("_cut"))
 
     def either(rule: Callable[[Fields], Column]) -> Column:
         return F.when(F.col("_plain"), rule(plain_fields)).otherwise(rule(parsed_fields))
