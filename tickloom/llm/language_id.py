@@ -1,7 +1,7 @@
 """Language ID: averaged hashed subword embeddings, a linear softmax, calibrated rejection.
 
-The classifier is fitted on a bounded sample of labelled rows (about ``SAMPLE`` for each label, drawn
-by hash, whole texts): tasks turn them into counts of hashed subwords, and stochastic gradient descent
+The classifier is fitted on a bounded sample of labelled rows (about ``SAMPLE`` for each label and
+``TOTAL`` in sum, drawn by hash, whole texts): tasks turn them into counts of hashed subwords, and stochastic gradient descent
 runs over those in numpy. A temperature fitted on a part kept apart makes scores probabilities, and
 rejection starts below the score that nearly all right answers of that part reach. Embedding and
 softmax are one table of logits per subword then, so a prediction is a mean of table rows, computed
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from tickloom.llm import rolling
 from tickloom.llm.tables import private, small_batches
 
-#: Labelled rows for each label that are learned from, on average; the bound of what the driver sees.
-SAMPLE = 500
+#: Labelled rows that are learned from, on average: for each label, and in sum; the bound of what the driver sees.
+SAMPLE, TOTAL = 500, 4000
 #: Labels that are learned, the most frequent ones; bounds the table of their sizes that is broadcast.
 LABELS = 1000
 BUCKETS, WIDTH, EPOCHS = 1 << 14, 12, 12
@@ -132,7 +132,8 @@ def sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Subword counts of about ``SAMPLE`` rows of each label. docs: doc_id, text, label."""
     rows = docs.filter("label is not null and text is not null")
     sizes = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS)
-    draw = (F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)) < SAMPLE / F.col("count")
+    sizes = sizes.selectExpr("label", f"least({SAMPLE}, {TOTAL} / count(*) over ()) / count as share")
+    draw = (F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)) < F.col("share")
     drawn = rows.join(F.broadcast(sizes), "label").filter(draw).select("doc_id", "label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

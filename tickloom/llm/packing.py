@@ -4,7 +4,9 @@ Every document is tokenised where it lies. Only a histogram of piece lengths (at
 reaches the driver. Best fit, longest first, runs over its counts: bins with equal free space form a
 range, and a length with c pieces takes whole ranges at once. A planned slot is "ranks a to b of this
 length go to sequences from s on, at this offset"; a piece finds its slot by its rank among the pieces
-of its length. Ranks come from counts per (length, chunk), so no length is gathered in one task.
+of its length. Each length empties ranges, and leaves at most two parts of one and a range of new bins, so
+the plan's size depends on ``size`` (some thousand slots for 1024) and not on the number of documents.
+Ranks come from counts per (length, chunk), so no length is gathered in one task.
 
 Defined cases: a null or empty text is one piece of one token (the end token); pieces of equal length
 are alike, so ties don't matter; repeated rows are packed one by one; an empty table packs to nothing.
