@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import rolling
 from tickloom.llm.components import components
-from tickloom.llm.tables import keep_rows, materialise, private, row_key, small_batches
+from tickloom.llm.tables import keep_rows, materialise, parts, private, row_key, small_batches
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
@@ -43,6 +43,8 @@ TABLE, BLOCK = 1 << 20, 1 << 14
 LEAST = 24
 #: Members of one band that meet in one task at a time.
 TILE = 256
+#: Groups of such meetings for each shuffle partition.
+GROUPS = 8
 
 _STEPS = 1 << 16
 
@@ -223,31 +225,46 @@ class _Sets:
         self.parent[self.find(x)] = self.find(y)
 
 
+def _joined(group: pd.DataFrame, idf: np.ndarray) -> list[tuple[int, int]]:
+    """Verified links between the clusters of one tile, or of two tiles of a band."""
+    drawn = np.array([np.frombuffer(x, np.uint32) for x in group["samples"]])
+    clusters, nodes, tiles = (group[c].to_numpy() for c in ("cluster", "node", "tile"))
+    hashes, counts = group["hashes"].to_numpy(), group["counts"].to_numpy()
+    alone = tiles[0] == tiles[-1]
+    sets, links, read = _Sets(), [], {}
+    for i in range(len(group) - 1):
+        shared = (drawn[i + 1 :] == drawn[i]).sum(axis=1)
+        close = np.flatnonzero((shared >= LEAST) & (clusters[i + 1 :] != clusters[i]) & (alone | (tiles[i + 1 :] != tiles[i])))
+        for j in i + 1 + close[np.argsort(-shared[close], kind="stable")]:
+            if sets.find(clusters[i]) == sets.find(clusters[j]):
+                continue
+            for k in (i, j):
+                if k not in read:
+                    read[k] = _read(hashes[k], counts[k], idf)
+            if near(read[i], read[j]):
+                sets.join(clusters[i], clusters[j])
+                links.append((nodes[i], nodes[j]))
+    return links
+
+
 def _across(members: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Verified links between clusters that share a band. members: band, tile, tiles, node, cluster, samples, hashes, counts."""
-
-    def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["tile", "node"])
-        drawn = np.array([np.frombuffer(x, np.uint32) for x in group["samples"]])
-        clusters, nodes, tiles = (group[c].to_numpy() for c in ("cluster", "node", "tile"))
-        sets, links, read = _Sets(), [], {}
-        for i in range(len(group) - 1):
-            shared = (drawn[i + 1 :] == drawn[i]).sum(axis=1)
-            close = np.flatnonzero((shared >= LEAST) & (clusters[i + 1 :] != clusters[i]) & ((tiles[i + 1 :] != tiles[i]) | (key[1] == key[2])))
-            for j in i + 1 + close[np.argsort(-shared[close], kind="stable")]:
-                if sets.find(clusters[i]) == sets.find(clusters[j]):
-                    continue
-                for k in (i, j):
-                    if k not in read:
-                        read[k] = _read(group["hashes"].iloc[k], group["counts"].iloc[k], idf)
-                if near(read[i], read[j]):
-                    sets.join(clusters[i], clusters[j])
-                    links.append((nodes[i], nodes[j]))
+    """Verified links between clusters that share a band. members: band, tile, tiles, node, cluster, samples, hashes, counts.
+
+    A unit of work is a tile or a pair of tiles; units are dealt by hash, some to each group.
+    """
+    unit = ["band", "low_tile", "high_tile"]
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values([*unit, "tile", "node"], ignore_index=True)
+        keys = group[unit].to_numpy()
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(group)]
+        links = [x for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1 for x in _joined(group.iloc[a:b], idf)]
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pairs = pairs.withColumns({"low_tile": F.least("tile", "other"), "high_tile": F.greatest("tile", "other")})
-    return pairs.groupBy("band", "low_tile", "high_tile").applyInPandas(meet, "a long, b long")
+    dealt = pairs.withColumn("group", F.pmod(F.xxhash64(*unit), F.lit(GROUPS * parts(members.sparkSession))))
+    return dealt.groupBy("group").applyInPandas(meet, "a long, b long")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
