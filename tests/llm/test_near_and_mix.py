@@ -146,6 +146,23 @@ def test_links_that_the_star_misses(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in got} == low
 
 
+def test_repeats_within_a_text_are_near(spark):
+    """Pairs of high plain and low weighted similarity: a text written k times, and a block repeated in one of two."""
+    rows = []
+    for k in range(2, 11):
+        for i in range(4):
+            base, at = prose(5000 + 10 * k + i, 300), 1000 * k + 2 * i
+            rows += [(at, base), (at + 1, " ".join([base] * k))]
+    for i in range(20):
+        base = words(6000 + i, 400)
+        rows += [(20_000 + 2 * i, " ".join(base)), (20_001 + 2 * i, " ".join(base[:100] + base[100:160] * 50 + base[160:]))]
+    idf = minhash.rarity(minhash.document_frequencies(docs(spark, rows)), len(rows))
+    weighed = [shingle_weights(t, idf) for _, t in rows]
+    assert all(minhash.similarity(weighed[i], weighed[i + 1])[1] >= minhash.THRESHOLD for i in range(0, len(rows), 2))
+    got = {r.doc_id: r.class_id for r in minhash.near_groups(docs(spark, rows).repartition(4)).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
+
+
 def test_shingles_of_texts():
     texts = ["a b c d e f a b c d e", "one two", "", "  x  "]
     blobs = [t.encode() for t in texts]

@@ -1,8 +1,8 @@
 """Near-dedup: consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
 1. Document frequencies of hashed shingles are counted over all documents, in a table of fixed size.
-2. Improved consistent weighted sampling (Ioffe) draws ``BANDS * ROWS`` samples of each text; rows with
-   the same shingles and counts are one class from here on.
+2. Improved consistent weighted sampling (Ioffe) draws ``BANDS * ROWS`` samples of each text by weight, and
+   as many with all weights 1; rows with the same shingles and counts are one class from here on.
 3. Classes that share a band are linked to the smallest of the band (a star, never all pairs), and
    every distinct link is verified by the exact weighted Jaccard similarity of the two texts.
 4. Verified links give clusters. Where a band still holds several clusters, all of its members meet in
@@ -13,7 +13,8 @@ A shingle is five words as they stand (all words of a shorter text). Its weight
 parts damped: 1 + ln(count) times 1 to 1.25 by rarity, so that neither one shingle repeated a thousand
 times nor the words that a large group of copies shares decide alone. Two texts are near if their
 weighted Jaccard similarity is ``THRESHOLD`` or more; or if the plain one is, since what many near copies
-share weighs a little less than what each has for itself.
+share weighs a little less than what each has for itself. Either similarity has bands of its own: a text
+and the same text written twice are near by the plain one only.
 
 Defined cases: a null text and one without words link with nothing; equal texts are one class; a group
 is named by its smallest doc_id, nulls last, and of rows with that id one is kept; an empty table gives
@@ -36,15 +37,16 @@ from tickloom.llm.tables import keep_rows, materialise, parts, private, row_key,
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
+#: Samples of one kind; the first half of a text's samples and bands is by weight, the second is plain.
 SAMPLES = BANDS * ROWS
 #: Entries of the table of document frequencies, and entries that one row of it holds in a shuffle.
 TABLE, BLOCK = 1 << 20, 1 << 14
-#: Samples that two texts of similarity ``THRESHOLD`` share at least, but for one in a million such pairs.
+#: Samples of a kind that two texts of that similarity ``THRESHOLD`` share at least, but for one in a million such pairs.
 LEAST = 24
 #: Members of one band that meet in one task at a time.
 TILE = 256
 #: Groups of such meetings for each shuffle partition.
-GROUPS = 16
+GROUPS = 32
 _COLUMNS = 1 << 12
 
 _STEPS = 1 << 16
@@ -62,7 +64,7 @@ def _gamma() -> np.ndarray:
 _R = _gamma().astype(np.float32)
 _INVERSE_R = (1 / _R).astype(np.float32)
 _LOG_C = np.log(_gamma()).astype(np.float32)
-_SEEDS = np.random.default_rng(20).integers(1, 1 << 63, (SAMPLES, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SEEDS = np.random.default_rng(20).integers(1, 1 << 63, (2 * SAMPLES, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,14 +118,14 @@ def weights(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarr
     return (1 + np.log(counts.astype(np.float32))) * idf[hashes & np.uint32(TABLE - 1)]
 
 
-def weighted_samples(hashes: np.ndarray, weight: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """``SAMPLES`` consistent weighted samples for each text that has shingles, as 32-bit names."""
+def weighted_samples(hashes: np.ndarray, weight: np.ndarray, cuts: np.ndarray, seeds: np.ndarray = _SEEDS[:SAMPLES]) -> np.ndarray:
+    """A consistent weighted sample by each of ``seeds`` for each text that has shingles, as 32-bit names."""
     logs = np.log(weight)
     x = rolling.mix(hashes.astype(np.uint64) + np.uint64(1))
     starts, sizes = cuts[:-1], np.diff(cuts)
-    out = np.zeros((len(starts), SAMPLES), dtype=np.uint32)
-    for k in range(SAMPLES):
-        one, two = x * _SEEDS[k, 0], x * _SEEDS[k, 1]
+    out = np.zeros((len(starts), len(seeds)), dtype=np.uint32)
+    for k in range(len(seeds)):
+        one, two = x * seeds[k, 0], x * seeds[k, 1]
         which = (one >> np.uint64(48)).astype(np.int32)
         shift = (two >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
         step = np.floor(logs * _INVERSE_R[which] + shift)
@@ -164,9 +166,10 @@ def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 names, samples, bands = ([None] * rows.num_rows for _ in range(3))
                 if len(full):
                     low, high = np.add.reduceat(code, own[:-1]), np.add.reduceat(rolling.mix(code), own[:-1])
-                    drawn = weighted_samples(hashes, weights(hashes, counts, idf), own)
-                    band = np.zeros((len(full), BANDS), dtype=np.uint64)
-                    for b in range(BANDS):
+                    plain = weighted_samples(hashes, np.ones(len(hashes), np.float32), own, _SEEDS[SAMPLES:])
+                    drawn = np.hstack([weighted_samples(hashes, weights(hashes, counts, idf), own), plain])
+                    band = np.zeros((len(full), 2 * BANDS), dtype=np.uint64)
+                    for b in range(2 * BANDS):
                         for r in range(ROWS):
                             band[:, b] = rolling.mix(band[:, b] * np.uint64(31) + drawn[:, b * ROWS + r] + np.uint64(b + 1))
                     for i, text in enumerate(full):
@@ -273,7 +276,7 @@ def _joined(group: pd.DataFrame, idf: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _across(members: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Verified links between clusters that share a band. members: band, tile, tiles, node, cluster, samples, hashes, counts.
+    """Verified links between clusters that share a band. members: band, tile, tiles, node, cluster, samples by weight, hashes, counts.
 
     A unit of work is a tile or a pair of tiles; units are dealt by hash, some to each group.
     """
@@ -314,10 +317,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     pairs = members.filter("a <> b").select("a", "b").distinct()
     for side in ("a", "b"):
         pairs = pairs.join(samples.select(F.col("node").alias(side), F.col("samples").alias(f"{side}_samples")), side)
-    same = F.expr(
-        f"aggregate(sequence(1, {4 * SAMPLES}, 4), 0, (s, i) -> s + if(substring(a_samples, i, 4) = substring(b_samples, i, 4), 1, 0))"
+    weighted, plain = (
+        F.expr(f"aggregate(sequence({i}, {i + 4 * SAMPLES - 4}, 4), 0, (s, i) -> s + if(substring(a_samples, i, 4) = substring(b_samples, i, 4), 1, 0))")
+        for i in (1, 4 * SAMPLES + 1)
     )
-    pairs = materialise(pairs.filter(same >= LEAST).select("a", "b"), "near-pairs")
+    pairs = materialise(pairs.filter((weighted >= LEAST) | (plain >= LEAST)).select("a", "b"), "near-pairs")
     for side in ("a", "b"):
         pairs = pairs.join(vectors.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("hashes", "counts")]), side)
     links = materialise(_verified(pairs, idf), "verified")
@@ -329,7 +333,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     open_members = placed.join(materialise(mixed, "mixed-bands"), "band").withColumn("tiles", tiles)
     open_members = open_members.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    open_members = open_members.join(samples, "node").join(vectors, "node")
+    open_members = open_members.join(samples.withColumn("samples", F.expr(f"substring(samples, 1, {4 * SAMPLES})")), "node").join(vectors, "node")
     across = materialise(_across(open_members.drop("n"), idf), "across")
 
     every = materialise(components(links.union(across)), "near-components")
