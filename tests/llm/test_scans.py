@@ -192,6 +192,14 @@ def test_language_of_awkward_rows(spark, extra):
     assert kept.columns == docs(spark, rows, extra).columns
 
 
+def test_two_labels_reject_what_is_neither(spark):
+    """The best of two scores is never below a half; what no learned text resembles is rejected all the same."""
+    rows = [(i, " ".join(("the and with of to in" if i % 2 else "der und mit von zu im").split()[(i // 2 + k) % 6] for k in range(30)), "en" if i % 2 else "de", "s", 1) for i in range(200)]
+    got = {r.doc_id: r for r in language_id.language_id(docs(spark, [*rows, (900, "漢字 かな 漢字 " * 20, None, None, None)])).collect()}
+    assert got[900].score >= 0.5 and got[900].rejected
+    assert sum(got[i].rejected for i in range(200)) <= 2
+
+
 def test_nothing_to_learn_from(spark):
     got = language_id.language_id(docs(spark, [(1, "some text", None, "s", 9), (2, None, None, None, None)])).collect()
     assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, True)] * 2

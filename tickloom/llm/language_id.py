@@ -36,8 +36,8 @@ RATE, GAIN = 0.5, 20
 #: Subwords of no opinion that every mean holds besides a text's own: short texts get modest scores.
 PRIOR = 40
 SUBWORDS = (1, 2, 3, 4)
-#: Right answers of the calibration part that rejection may cost, and the highest score it may ask for.
-LOSS, CEILING = 0.002, 0.4
+#: Right answers of the calibration part that rejection may cost at most.
+LOSS = 0.002
 UNKNOWN = "und"
 
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -124,8 +124,8 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 5) -> Mod
     scale = scales[int(np.argmin(losses))]
     scores = _softmax(means * scale)
     right = scores.argmax(axis=1) == truth
-    threshold = float(np.quantile(scores.max(axis=1)[right], LOSS)) if right.any() else 0.0
-    return Model(labels, logits * scale, min(threshold, CEILING))
+    threshold = float(np.quantile(scores.max(axis=1)[right], LOSS, method="lower")) if right.any() else 0.0
+    return Model(labels, logits * scale, threshold)
 
 
 def sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
