@@ -4,8 +4,9 @@ Texts are cut into shards of bounded size. A shard sorts the suffixes that may s
 (Larsson-Sadakane refinement: by 8 bytes, then doubling through ranks, only groups that still tie) and
 gets the common prefixes of neighbours by Kasai's rule. Neighbours with ``SIZE`` bytes in common are
 repeats within the shard. Across shards, each sends one sorted run with a 96-bit fingerprint of each of
-its different strings; owners merge the runs by binary search and answer with a bit per string. No text
-moves for that, and a string that is frequent everywhere is sent once by each shard.
+its different strings; owners sort their runs together (no binary search) and answer with a bit per string.
+No text moves for that, and a string that is frequent everywhere is sent once by each shard. So suffix arrays
+decide repeats within a shard, equal fingerprints those across shards.
 
 Defined cases: a null text is empty; texts under ``SIZE`` bytes lose nothing; of equal texts one is
 looked at and all lose what it loses or, from ``SIZE`` bytes on, everything; repeated rows are equal
