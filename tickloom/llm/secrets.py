@@ -3,7 +3,8 @@
 Strong parts (assignments, access identifiers, long hex runs) are reported as they are. Weak parts
 (logins, 40-character keys, endpoints) are reported only if a part of another role stands within
 ``SCOPE`` code points. That is an interval join: positions are cut into buckets of that width, so the
-join is on (row, bucket), and what meets in a bucket is bounded by its width. DataFrame functions only;
+join is on (row, bucket), and what meets in a bucket is bounded by its width. A part of any length takes
+all buckets from its start to its end. DataFrame functions only;
 texts are read once and never shuffled.
 
 Defined cases: a null or empty text has no parts; matches are leftmost and don't overlap within a kind;
@@ -24,14 +25,14 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 # Weak patterns.
-LOGIN = r"""(?i:access_?key_?id|client_?id|username|login)["']?\x20{0,8}[:=]\x20{0,8}["']?[A-Za-z0-9@_.-]{4,64}"""
+LOGIN = r"""(?i:access_?key_?id|client_?id|username|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@_.-]{4,}"""
 KEY = r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"(?:https?|wss?|s3|jdbc:[a-z]{1,20})://[A-Za-z0-9.-]{1,253}(?::[0-9]{1,5})?"
 
 KINDS = ("assign", "access", "hex", "login", "key", "endpoint")
 STRONG = KINDS[:3]
 ROLES = {"assign": "secret", "access": "identifier", "hex": "secret", "login": "identifier", "key": "secret", "endpoint": "endpoint"}
-#: How far apart, in code points, parts of one credential may stand. No weak part is longer.
+#: How far apart, in code points, parts of one credential may stand.
 SCOPE = 300
 
 _SPANS = "array<struct<start: bigint, end: bigint>>"
@@ -78,15 +79,18 @@ def linked(parts: DataFrame) -> DataFrame:
     """Weak parts with a part of another role within ``SCOPE``. parts: rid, start, kind, end."""
     roles = F.array(*[F.lit(ROLES[k]) for k in KINDS])
     rows = parts.withColumn("role", roles[F.col("kind")])
-    weak = rows.filter(F.col("kind") >= len(STRONG)).withColumn("bucket", F.floor(F.col("start") / SCOPE))
-    # Buckets in which a weak part may start that lies within SCOPE of this one.
-    near = F.sequence(F.floor(F.greatest(F.col("start") - 2 * SCOPE, F.lit(0)) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE))
+    held = F.sequence(F.floor(F.col("start") / SCOPE), F.floor(F.col("end") / SCOPE))
+    weak = rows.filter(F.col("kind") >= len(STRONG)).withColumn("bucket", F.explode(held))
+    # Buckets that a weak part within SCOPE of this one has a place in.
+    near = F.sequence(F.floor(F.greatest(F.col("start") - SCOPE, F.lit(0)) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE))
     every = rows.select(*[F.col(c).alias(f"o_{c}") for c in rows.columns], F.explode(near).alias("o_bucket"))
     meet = (F.col("rid") == F.col("o_rid")) & (F.col("bucket") == F.col("o_bucket"))
     close = (F.col("role") != F.col("o_role")) & (F.col("o_start") - F.col("end") <= SCOPE) & (F.col("start") - F.col("o_end") <= SCOPE)
     strong = every.filter(F.col("o_kind") < len(STRONG))
     over = (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
-    return weak.join(strong, meet & over, "left_anti").join(every, meet & close, "left_semi").select("rid", "start", "kind", "end")
+    part = ["rid", "start", "kind", "end"]
+    covered = weak.join(strong, meet & over, "left_semi").select(*part).distinct()
+    return weak.join(every, meet & close, "left_semi").select(*part).distinct().join(covered, part, "left_anti")
 
 
 def secret_scan(docs: DataFrame) -> DataFrame:
