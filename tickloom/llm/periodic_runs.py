@@ -233,7 +233,7 @@ def _dealt(long: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["rid", "period", "start", "stop"])
 
     cuts = long.mapInArrow(cut, "rid long, octave long, low long, first long, last long, codes binary")
-    cuts = cuts.repartition(4 * parts(long.sparkSession), "rid", "octave", "low")
+    cuts = cuts.repartition(parts(long.sparkSession), "rid", "octave", "low")
     return cuts.mapInArrow(solve, "rid long, period long, start long, stop long")
 
 
@@ -279,6 +279,7 @@ def collapse_runs(docs: DataFrame, change: Change | None = None) -> DataFrame:
     (words but for the repeats, joined by a space), and kept_text where words went (else null)."""
     rows = materialise(_described(docs, change).withColumn("rid", F.monotonically_increasing_id()), "run-fragments")
     near = rows.filter("size(found) > 0").select("rid", F.explode("found").alias("f")).select("rid", "f.*")
-    far = _dealt(rows.filter("found is null").select("rid", "words"))
-    runs = stitched(near.unionByName(far)).groupBy("rid").agg(F.collect_list(F.struct("start", "length", "period")).alias("runs"))
+    long = rows.filter("found is null").select("rid", "words")
+    found = near if long.isEmpty() else near.unionByName(_dealt(long))
+    runs = stitched(found).groupBy("rid").agg(F.collect_list(F.struct("start", "length", "period")).alias("runs"))
     return rows.join(runs, "rid", "left").select("doc_id", "n_words", "words_sha256", "words", "runs").mapInArrow(_collapsed, _CUT)
