@@ -21,12 +21,13 @@ after the other, in any order; repeated rows are written one by one; of an empty
 
 from __future__ import annotations
 
-import base64
 import json
 import re
 import struct
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,7 +35,6 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import tiktoken
 import xxhash
 import zstandard
@@ -65,13 +65,16 @@ _NAME = b"TKF1"
 #: Both libraries treat these characters alike; other texts go to the reference tokenizer itself.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-ɏ]*")
 _LONGEST = 400
+#: Words whose ids a task keeps.
+WORDS = 300_000
 
 
-class Encoder:
-    """Ids of a ``tokenizers`` vocabulary of words with an end mark; plain texts go through ``tiktoken``, same ids.
+class Encoder(dict):
+    """Ids of a ``tokenizers`` vocabulary of words with an end mark, as two bytes an id. It keeps those of words it has seen, up to ``WORDS``.
 
-    Words are what the vocabulary's own pattern finds in the text in lower case. A space behind each serves as
-    its end mark: to ``tiktoken``, "letter, space" is what the vocabulary calls "letter</w>".
+    Words of plain texts are split off by the vocabulary's own pattern, written out for plain characters, and go
+    through ``tiktoken``, with the same ids: a space behind a word serves as its end mark, so that "letter, space" is what the
+    vocabulary calls "letter</w>". All other texts, and very long words, go to the reference tokenizer itself.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY) -> None:
@@ -79,23 +82,37 @@ class Encoder:
         self.exact = Tokenizer.from_file(name)
         with open(name, encoding="utf-8") as file:
             rules = json.load(file)
-        self.pattern = regex.compile(rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        letters, numbers = (_class(kind) for kind in "LN")
+        pattern = rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        pattern = pattern.replace("[\\p{L}]", f"[{letters}]").replace("[\\p{N}]", f"[{numbers}]").replace("\\p{L}\\p{N}", letters + numbers)
+        # Only one alternative can start with a letter; it is tried first, as it is the usual one.
+        self.words = re.compile("|".join(sorted(pattern.split("|"), key=lambda x: x != f"[{letters}]+")))
         suffix, printed = rules["model"]["end_of_word_suffix"], _printed_bytes()
         ranks = {}
         for token, number in rules["model"]["vocab"].items():
             ends = token.endswith(suffix) and token != suffix
             ranks[bytes(printed[c] for c in token.removesuffix(suffix if ends else "")) + (b" " if ends else b"")] = number
         ranks[b" "] = len(ranks)
+        if len(ranks) > 1 << 16:
+            raise ValueError("ids don't fit two bytes")
         self.fast = tiktoken.Encoding(vocabulary, pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
 
-    def ids(self, text: str) -> np.ndarray:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS:
+            self.clear()
+        ids = self.fast.encode_ordinary(f"{word} ") if len(word) <= _LONGEST else self.exact.encode(word, add_special_tokens=False).ids
+        self[word] = array("H", ids).tobytes()
+        return self[word]
+
+    def packed(self, text: str) -> bytes:
         if _PLAIN.fullmatch(text) and "<|" not in text:
-            words = self.pattern.findall(text.lower())
-            if not words:
-                return np.zeros(0, "<u4")
-            if max(map(len, words)) <= _LONGEST:
-                return self.fast.encode_to_numpy(" ".join(words) + " ", disallowed_special=()).astype("<u4", copy=False)
-        return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            return b"".join(map(self.__getitem__, self.words.findall(text.lower())))
+        return array("H", self.exact.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def _class(kind: str) -> str:
+    """The plain characters of a Unicode category, for a pattern's brackets."""
+    return "".join(re.escape(c) for c in map(chr, [*range(0x20, 0x7F), *range(0xA1, 0x250)]) if unicodedata.category(c)[0] == kind)
 
 
 def _printed_bytes() -> dict[str, int]:
@@ -352,10 +369,10 @@ def tokenised(docs: DataFrame, bounds: list[int], vocabulary: str = VOCABULARY,
     highest = (1 << 63) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, edges = encoder(vocabulary), np.array(bounds, dtype=np.int64)
+        own, edges, last = encoder(vocabulary), np.array(bounds, dtype=np.int64), array("H", [end]).tobytes()
         for batch in batches:
             doc_ids = batch.column("doc_id").cast(pa.int64())
-            blobs = [np.append(own.ids(t.as_py() or ""), np.uint32(end)).astype("<u2").tobytes() for t in batch.column("text")]
+            blobs = [own.packed(t.as_py() or "") + last for t in batch.column("text")]
             keys = np.array(doc_ids.fill_null(highest))
             low, high = np.searchsorted(edges, keys, "left"), np.searchsorted(edges, keys, "right")
             dealt = np.array([zlib.crc32(b) for b in blobs], dtype=np.int64) % (high - low + 1)
