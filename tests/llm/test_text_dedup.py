@@ -194,6 +194,46 @@ def test_window_minima_and_winnowing(values, width):
         assert not chosen.any()
 
 
+def thue_morse(n, one, two):
+    """Two different texts whose polynomial hashes modulo 2^64 are equal, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return [one if b else two for b in bits], [two if b else one for b in bits]
+
+
+def test_hashes_tell_built_texts_apart():
+    for n in (2048, 4096):
+        a, b = (np.frombuffer("".join(t).encode(), np.uint8) for t in thue_morse(n, "a", "b"))
+        ends = np.array([0]), np.array([n])
+        assert rolling.span(rolling.prefix(rolling.byte_codes(a)), *ends) == rolling.span(rolling.prefix(rolling.byte_codes(b)), *ends)
+        assert rolling.prime_hashes(a, *ends, 12345) != rolling.prime_hashes(b, *ends, 12345)
+
+
+@given(st.binary(min_size=1, max_size=300), st.integers(2, (1 << 61) - 2))
+@settings(max_examples=60, deadline=None)
+def test_prime_hashes(data, base):
+    prime, values = (1 << 61) - 1, np.frombuffer(data, np.uint8)
+    starts = np.arange(len(data))
+    ends = np.minimum(starts + 37, len(data))
+    want = [sum((c + 1) * pow(base, i, prime) for i, c in enumerate(data[a:b])) % prime for a, b in zip(starts, ends)]
+    assert rolling.prime_hashes(values, starts, ends, base).tolist() == want
+
+
+def test_built_texts_lose_nothing_that_stands_nowhere_else(spark):
+    rows = [(i, "".join(t)) for i, t in enumerate(thue_morse(4096, "a", "b"))]
+    got = suffix_dedup.without_repeats(docs(spark, rows)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert rows_of(got) == ordered(brute_suffixes(rows))
+    rows = [(i, " ".join(t)) for i, t in enumerate(thue_morse(4096, "one", "two"))]
+    got = substring_dedup.without_repeats(docs(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert rows_of(got) == ordered(brute_windows(rows))
+
+
+def test_windows_that_differ_in_one_word(spark):
+    same = " ".join(f"w{i}" for i in range(19))
+    rows = [(i, f"{same} {i:07x}") for i in range(3000)]
+    got = substring_dedup.without_repeats(docs(spark, rows)).select("n_removed").distinct().collect()
+    assert [r[0] for r in got] == [0]
+
+
 def test_distinct_and_cuts():
     keys = np.array([5, 1, 5, 5, 1], np.uint64)
     k, c, which = distinct(keys, np.array([1, 2, 1, 3, 2], np.uint32))

@@ -3,7 +3,8 @@
 Of every window of fixed size, the gram with the smallest hash is its anchor; windows with equal content
 have equal anchors, and neighbouring windows mostly share theirs, so a text has few of them. A window can
 only be repeated if its anchor stands elsewhere too. Anchors are compared through ``exchange``; only texts
-with repeated anchors are looked at again. Of texts that are equal as a whole, one is looked at.
+with repeated anchors are looked at again. Of texts that are equal as a whole (by the SHA-256 of their bytes
+or words), one is looked at. An anchor's hash only finds candidates: what is repeated is decided elsewhere.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import exchange, rolling
-from tickloom.llm.tables import materialise, parts, private, row_key, small_batches
+from tickloom.llm.tables import materialise, private, row_key, small_batches
 
 #: Anchors of one sender.
 SENDER = 200_000
@@ -56,8 +57,8 @@ def _held(own: np.ndarray) -> bytes:
 
 
 def _described(docs: DataFrame, kind: Windows) -> DataFrame:
-    """key, doc_id, n (items), class (128 bits of the items), digest and anchors of each row. The digest
-    is over the bytes of the text or, by word, over its words with a space between."""
+    """key, doc_id, n (items), digest and anchors of each row. The digest is over the bytes of the text or,
+    by word, over its words with a space between; rows with equal digests are one class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,8 +68,6 @@ def _described(docs: DataFrame, kind: Windows) -> DataFrame:
                 grams, _, chosen = kind.anchors(sums, own)
                 at = np.flatnonzero(chosen)
                 cuts = np.searchsorted(at, own)
-                one = rolling.span(sums, own[:-1], own[1:])
-                two = rolling.span(rolling.prefix(rolling.mix(codes + np.uint64(0x632BE59BD9B4E019))), own[:-1], own[1:])
                 n = np.diff(own)
                 texts = [data[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 if kind.by_word:
@@ -77,13 +76,12 @@ def _described(docs: DataFrame, kind: Windows) -> DataFrame:
                     rows.column("key"),
                     rows.column("doc_id").cast(pa.int64()),
                     pa.array(n, pa.int64()),
-                    pa.array([f"{a:016x}{b:016x}{c}" for a, b, c in zip(one, two, n, strict=True)], pa.string()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
                     pa.array([_held(grams[at[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "n", "class", "sha256", "anchors"])
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "n", "sha256", "anchors"])
 
-    return docs.select("key", "doc_id", "text").mapInArrow(run, "key string, doc_id long, n long, class string, sha256 string, anchors binary")
+    return docs.select("key", "doc_id", "text").mapInArrow(run, "key string, doc_id long, n long, sha256 string, anchors binary")
 
 
 def _gathered(first: DataFrame) -> DataFrame:
@@ -110,15 +108,14 @@ def _gathered(first: DataFrame) -> DataFrame:
     return first.select("rid", "anchors").mapInArrow(run, "rids binary, sizes binary, anchors binary")
 
 
-def _keys(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.unique(np.frombuffer(row["anchors"], "<u8"))
-    return keys, np.zeros(len(keys), "<u4")
+def _keys(row: dict) -> tuple[np.ndarray, None]:
+    return np.unique(np.frombuffer(row["anchors"], "<u8")), None
 
 
 def _repeated(first: DataFrame) -> DataFrame:
     """rid and its repeated anchors, for texts that have some."""
     senders = materialise(_gathered(first).withColumn("sender", F.monotonically_increasing_id()), "anchor-senders")
-    owners = parts(first.sparkSession)
+    owners = exchange.owners_of(senders, senders.agg(F.sum(F.length("anchors"))).first()[0] // 8 if not senders.isEmpty() else 0)
 
     def receive(key: tuple, group: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -132,7 +129,7 @@ def _repeated(first: DataFrame) -> DataFrame:
                     out.append((rid, own[flags].tobytes()))
         return pd.DataFrame(out, columns=["rid", "anchors"])
 
-    replies = exchange.answers(exchange.sent(senders, _keys))
+    replies = exchange.answers(exchange.sent(senders, _keys, owners))
     return senders.groupBy("sender").cogroup(replies.groupBy("sender")).applyInPandas(receive, "rid long, anchors binary")
 
 
@@ -143,13 +140,13 @@ def candidates(docs: DataFrame, kind: Windows) -> tuple[DataFrame, DataFrame]:
     texts = private(small_batches(docs), key=row_key(docs["doc_id"], docs["text"]), doc_id="doc_id", text="text")
     rows = materialise(_described(texts, kind).withColumn("rid", F.monotonically_increasing_id()), "described")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
-    classes = rows.groupBy("class").agg(F.min(order).alias("head"), F.count("*").alias("copies"))
-    classes = materialise(classes.select("class", F.col("head.rid").alias("head"), "copies"), "text-classes")
+    classes = rows.groupBy("sha256").agg(F.min(order).alias("head"), F.count("*").alias("copies"))
+    classes = materialise(classes.select("sha256", F.col("head.rid").alias("head"), "copies"), "text-classes")
     found = materialise(_repeated(rows.join(classes.select(F.col("head").alias("rid")), "rid", "left_semi")), "repeated-anchors")
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order")
     wanted = rows.select("key", "rid", last).join(found, "rid")
     few = texts.select("key", "text").join(wanted, "key").dropDuplicates(["key"]).select("rid", "order", "text", "anchors")
-    every = rows.select("rid", "doc_id", "n", "class", "sha256").join(classes, "class")
+    every = rows.select("rid", "doc_id", "n", "sha256").join(classes, "sha256")
     return every.select("rid", "doc_id", "n", "sha256", "copies", (F.col("head") == F.col("rid")).alias("first")), few
 
 

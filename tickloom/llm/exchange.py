@@ -2,7 +2,8 @@
 
 A sender is a stored row with many keys. It sends each owner (a range of keys) one sorted run; an owner
 merges its runs and answers with a bit per key. Keys are spread evenly by being hashes, and a key that
-is frequent anywhere is sent once by each sender, so no key is hot.
+is frequent anywhere is sent once by each sender, so no key is hot. There are as many owners as keep
+``OWNED`` keys each, so an owner's memory doesn't grow with the data.
 """
 
 from __future__ import annotations
@@ -16,8 +17,15 @@ from pyspark.sql import DataFrame
 
 from tickloom.llm.tables import parts
 
-#: (sorted distinct 64-bit keys, 32 more bits of each) of a sender's row.
-Keys = Callable[[dict], tuple[np.ndarray, np.ndarray]]
+#: (sorted distinct 64-bit keys, 64 more bits of each or None) of a sender's row.
+Keys = Callable[[dict], tuple[np.ndarray, np.ndarray | None]]
+#: Keys of one owner, about.
+OWNED = 3_000_000
+
+
+def owners_of(senders: DataFrame, keys: int) -> int:
+    """How many owners that many keys of all senders need; at least one for each shuffle partition."""
+    return max(parts(senders.sparkSession), -(-keys // OWNED))
 
 
 def cuts(keys: np.ndarray, owners: int) -> np.ndarray:
@@ -39,8 +47,10 @@ def distinct(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _answer(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     runs = [np.frombuffer(x, "<u8") for x in group["run"]]
-    checks = np.concatenate([np.frombuffer(x, "<u4") for x in group["checks"]])
-    k, _, which = distinct(np.concatenate(runs), checks)
+    if group["checks"].notna().any():
+        k, _, which = distinct(np.concatenate(runs), np.concatenate([np.frombuffer(x, "<u8") for x in group["checks"]]))
+    else:
+        k, which = np.unique(np.concatenate(runs), return_inverse=True)
     shared = np.bincount(which, minlength=len(k)) > 1
     ends = np.cumsum([len(r) for r in runs])
     bits = [np.packbits(x).tobytes() for x in np.split(shared[which], ends[:-1])]
@@ -52,9 +62,8 @@ def answers(runs: DataFrame) -> DataFrame:
     return runs.groupBy("owner").applyInPandas(_answer, "sender long, owner int, bits binary")
 
 
-def sent(senders: DataFrame, keys: Keys) -> DataFrame:
+def sent(senders: DataFrame, keys: Keys, owners: int) -> DataFrame:
     """The runs of stored ``senders`` (with a column ``sender``)."""
-    owners = parts(senders.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,7 +75,7 @@ def sent(senders: DataFrame, keys: Keys) -> DataFrame:
                     pa.array(full, pa.int32()),
                     pa.array([row["sender"]] * len(full), pa.int64()),
                     pa.array([own[at[o] : at[o + 1]].astype("<u8").tobytes() for o in full], pa.binary()),
-                    pa.array([checks[at[o] : at[o + 1]].astype("<u4").tobytes() for o in full], pa.binary()),
+                    pa.array([None if checks is None else checks[at[o] : at[o + 1]].astype("<u8").tobytes() for o in full], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["owner", "sender", "run", "checks"])
 

@@ -112,12 +112,64 @@ def windows(sums: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:n]) * _power(_INVERSE, len(sums))[:n])
 
 
+# Hashes that tell different strings apart for certain but for a known chance: polynomials modulo the prime 2^61 - 1.
+# Two different strings of n bytes have one hash for at most n of the 2^61 - 2 bases.
+
+PRIME = np.uint64((1 << 61) - 1)
+_LOW30, _LOW31 = np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1)
+_S1, _S30, _S31, _S61 = (np.uint64(k) for k in (1, 30, 31, 61))
+_prime_powers: dict[int, np.ndarray] = {}
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> _S61)
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def prime_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for values below it."""
+    a1, a0, b1, b0 = a >> _S31, a & _LOW31, b >> _S31, b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return _folded(((a1 * b1) << _S1) + (middle >> _S30) + ((middle & _LOW30) << _S31) + a0 * b0)
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo the prime."""
+    have = _prime_powers.get(base)
+    if have is None or len(have) < n:
+        have = np.ones(1, dtype=np.uint64)
+        while len(have) < max(n, 1 << 16):
+            have = np.concatenate([have, prime_product(have, np.uint64(pow(base, len(have), int(PRIME))))])
+        if n <= 8 * CHUNK_BYTES:
+            if len(_prime_powers) >= 8:
+                _prime_powers.clear()
+            _prime_powers[base] = have
+    return have[:n]
+
+
+def prime_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Hashes of the stretches [start, end) of bytes, each below the prime, the same wherever the stretch stands."""
+    power, codes = prime_powers(base, len(data)), data.astype(np.uint64) + np.uint64(1)
+    # Powers are summed in two parts of 30 and 31 bits. Sums may wrap round; those over a stretch must not.
+    if (ends - starts).max(initial=0) >= 1 << 25:
+        raise ValueError("a stretch is longer than sums can hold")
+    out = []
+    for part in (power & _LOW30, power >> _S30):
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(codes * part, out=sums[1:])
+        out.append(_folded(sums[ends] - sums[starts]))
+    low, high = out
+    # high * 2^30 modulo the prime: its upper 30 bits come back at the bottom.
+    shifted = _folded((high >> _S31) + ((high & _LOW31) << _S30))
+    return prime_product(_folded(shifted + low), prime_powers(pow(base, -1, int(PRIME)), len(data) + 1)[starts])
+
+
 def byte_codes(data: np.ndarray, seed: int = 11) -> np.ndarray:
     return _BYTE_CODES[seed][data]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 11) -> np.ndarray:
-    """64-bit hashes of words; the length is mixed in."""
+    """64-bit hashes of words, to find candidates by: equal for equal words, but long words can be built whose hashes are equal too."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     return mix(span(prefix(byte_codes(data, seed)), starts, ends) + (ends - starts).astype(np.uint64))

@@ -4,10 +4,10 @@ A window of ``SIZE`` words is removed where the same words start earlier. Stretc
 repeated anchor go to the shard of that anchor, so all places of a window meet. A shard takes its
 stretches in document order: each streams through the automaton of the earlier ones, and a window is
 repeated where the longest match that ends with it has ``SIZE`` words or more; new words extend the
-automaton. Reference shards are bounded in size; sending stretches to the one shard that can hold their
+automaton. Stretches are sent as words, not as hashes; a shard numbers its different words. Reference shards are bounded in size; sending stretches to the one shard that can hold their
 match takes the place of sending every shard to all documents, which would grow with the square of the
 input. Equal stretches are combined before the shuffle. An anchor with many different stretches is dealt
-over several shards, and the windows that are new there meet once more by their hash.
+over several shards, and the windows that are new there meet once more by a 128-bit BLAKE2 hash of their words.
 
 Defined cases: a null text has no words; of texts with equal words the one with the smallest doc_id
 (nulls last, then by row) counts as earliest; repeated rows are texts of their own, so all but one lose
@@ -35,7 +35,7 @@ SHARD, SPLIT = 3000, 500
 #: Stretches that a task holds to combine equal ones before it sends them.
 HELD = 100_000
 
-_STRETCH = "anchor long, digest long, order long, rid long, start long, windows long, codes binary"
+_STRETCH = "anchor long, digest long, order long, rid long, start long, windows long, words binary"
 
 
 class Automaton:
@@ -96,30 +96,36 @@ class Automaton:
         return out
 
 
+def _single_spaced(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts of a chunk with one space between words."""
+    texts = [b" ".join(data[a:b].tobytes().split()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
 def _stretches(texts: DataFrame, kind: Windows) -> DataFrame:
-    """Stretches of windows with one repeated anchor; codes is null where the task has an equal earlier one."""
+    """Stretches of windows with one repeated anchor; words is null where the task has an equal earlier one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def combined() -> pa.RecordBatch:
-            columns = [np.concatenate([h[i] for h in held]) for i in range(6)]
-            blobs = [b for h in held for b in h[6]]
-            anchor, digest, order, rid, start, _ = columns
-            by = np.lexsort((start, rid, order, digest, anchor))
-            first = np.ones(len(by), dtype=bool)
-            first[1:] = (anchor[by][1:] != anchor[by][:-1]) | (digest[by][1:] != digest[by][:-1])
-            sent = np.zeros(len(by), dtype=bool)
-            sent[by] = first
-            arrays = [pa.array(c.astype(np.int64), pa.int64()) for c in columns]
-            arrays.append(pa.array([b if s else None for b, s in zip(blobs, sent, strict=True)], pa.binary()))
+            columns = [np.concatenate([h[i] for h in held]).astype(np.int64) for i in range(5)]
+            blobs = [b for h in held for b in h[5]]
+            anchor, order, rid, start, _ = columns
+            first: dict[tuple[int, bytes], int] = {}
+            for i in np.lexsort((start, rid, order)).tolist():
+                first.setdefault((anchor[i], blobs[i]), i)
+            sent = set(first.values())
+            digests = [int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little", signed=True) if i in sent else 0 for i, b in enumerate(blobs)]
+            arrays = [pa.array(c, pa.int64()) for c in (anchor, digests, *columns[1:])]
+            arrays.append(pa.array([b if i in sent else None for i, b in enumerate(blobs)], pa.binary()))
             return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in _STRETCH.split(", ")])
 
         for batch in batches:
             for rows, data, bounds in rolling.chunks(batch):
-                codes, own, _ = kind.items(data, bounds)
-                sums = rolling.prefix(codes)
-                _, low, _ = kind.anchors(sums, own)
+                data, bounds = _single_spaced(data, bounds)
+                codes, own, (firsts, lasts) = kind.items(data, bounds)
+                _, low, _ = kind.anchors(rolling.prefix(codes), own)
                 shared = np.where(repeated_windows(rows, low), low, np.uint64(0))
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], shared, [0]]).astype(np.uint64)))
                 starts, ends = edge[:-1], edge[1:]
@@ -127,11 +133,10 @@ def _stretches(texts: DataFrame, kind: Windows) -> DataFrame:
                 starts, ends = starts[full], ends[full]
                 to = ends + kind.size - 1
                 text = np.searchsorted(own, starts, "right") - 1
-                words = (codes >> np.uint64(32)).astype("<u4")
                 rids, orders = (np.array(rows.column(c).to_pylist(), dtype=np.int64) for c in ("rid", "order"))
-                blobs = [words[a:b].tobytes() for a, b in zip(starts, to, strict=True)]
-                digest = rolling.span(sums, starts, to) + (to - starts).astype(np.uint64)
-                held.append((shared[starts], digest, orders[text], rids[text], starts - own[text], ends - starts, blobs))
+                whole = data.tobytes()
+                blobs = [whole[a:b] for a, b in zip(firsts[starts].tolist(), lasts[to - 1].tolist(), strict=True)] if len(starts) else []
+                held.append((shared[starts], orders[text], rids[text], starts - own[text], ends - starts, blobs))
                 size += len(starts)
                 if size >= HELD:
                     yield combined()
@@ -149,20 +154,21 @@ def _matched(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Repeated windows of a shard's stretches, as runs; and, of dealt-out anchors, the hash of each new window."""
     group = group.sort_values(["order", "rid", "start"])
     known, seen, runs, fresh = Automaton(), set(), [], []
-    for blob, rid, start, windows, order, salts in zip(*[group[c] for c in ("codes", "rid", "start", "windows", "order", "salts")], strict=True):
+    numbers: dict[bytes, int] = {}
+    for blob, rid, start, windows, order, salts in zip(*[group[c] for c in ("words", "rid", "start", "windows", "order", "salts")], strict=True):
         if blob in seen:
             runs.append((rid, start, windows))
             continue
         seen.add(blob)
-        codes = np.frombuffer(blob, "<u4")
-        words = codes.tolist()
-        old = np.array(known.matches(words))[SIZE - 1 :] >= SIZE
+        words = blob.split(b" ")
+        codes = [numbers.setdefault(w, len(numbers)) for w in words]
+        old = np.array(known.matches(codes))[SIZE - 1 :] >= SIZE
         if not old.all():
-            old = np.array(known.add(words))[SIZE - 1 :] >= SIZE  # repeats within the stretch too
+            old = np.array(known.add(codes))[SIZE - 1 :] >= SIZE  # repeats within the stretch too
         runs += [(rid, start + a, b - a) for a, b in zip(*rolling.runs(old), strict=True)]
         if salts > 1:
             for at in np.flatnonzero(~old):
-                name = np.frombuffer(hashlib.blake2b(codes[at : at + SIZE].tobytes(), digest_size=16).digest(), "<i8")
+                name = np.frombuffer(hashlib.blake2b(b" ".join(words[at : at + SIZE]), digest_size=16).digest(), "<i8")
                 fresh.append((rid, start + at, 1, name[0], name[1], order))
     found = pd.DataFrame(runs, columns=["rid", "start", "windows"]).astype("int64").assign(fresh_a=None, fresh_b=None, order=None)
     new = pd.DataFrame(fresh, columns=found.columns).astype("int64")
@@ -172,16 +178,16 @@ def _matched(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
 def repeated_runs(texts: DataFrame, kind: Windows) -> DataFrame:
     """rid, start, windows: runs of windows whose words start earlier as well. texts: stored."""
     stretches = materialise(_stretches(texts, kind), "stretches")
-    sent = stretches.filter("codes is not null")
+    sent = stretches.filter("words is not null")
     shards = max(1, -(-sent.count() // SHARD))
     many = sent.groupBy("anchor").count().filter(F.col("count") > SPLIT)
     many = materialise(many.select("anchor", F.ceil(F.col("count") / SPLIT).alias("salts")), "split-anchors")
     dealt = sent.join(many, "anchor", "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("long")))
     salt = F.pmod(F.xxhash64("digest"), F.col("salts"))
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("anchor", salt), F.lit(shards)))
-    columns = ["shard", "codes", "rid", "start", "windows", "order", "salts"]
+    columns = ["shard", "words", "rid", "start", "windows", "order", "salts"]
     found = materialise(dealt.select(*columns).groupBy("shard").applyInPandas(_matched, _FOUND), "matches")
-    local = stretches.filter("codes is null").select("rid", "start", "windows")
+    local = stretches.filter("words is null").select("rid", "start", "windows")
     again = found.filter("fresh_a is not null").selectExpr(
         "rid", "start", "windows", 'row_number() over (partition by fresh_a, fresh_b order by "order", rid, start) as place'.replace('"', "`")
     )

@@ -3,19 +3,22 @@
 Texts are cut into shards of bounded size. A shard sorts the suffixes that may start a repeated string
 (Larsson-Sadakane refinement: by 8 bytes, then doubling through ranks, only groups that still tie) and
 gets the common prefixes of neighbours by Kasai's rule. Neighbours with ``SIZE`` bytes in common are
-repeats within the shard. Across shards, each sends one sorted run with a 96-bit fingerprint of each of
-its different strings; owners sort their runs together (no binary search) and answer with a bit per string.
+repeats within the shard. Across shards, each sends one sorted run with a fingerprint of each of its
+different strings; owners sort their runs together (no binary search) and answer with a bit per string.
 No text moves for that, and a string that is frequent everywhere is sent once by each shard. So suffix arrays
-decide repeats within a shard, equal fingerprints those across shards.
+decide repeats within a shard, equal fingerprints those across shards. A fingerprint is two polynomials modulo
+2^61 - 1 whose bases are drawn at random for each run: whatever the texts, two different strings have equal
+ones with a chance of at most (400 / 2^61)^2, which is under 2^-104.
 
 Defined cases: a null text is empty; texts under ``SIZE`` bytes lose nothing; of equal texts one is
-looked at and all lose what it loses or, from ``SIZE`` bytes on, everything; repeated rows are equal
-texts; an empty table gives an empty result.
+looked at (equal by the SHA-256 of their bytes) and all lose what it loses or, from ``SIZE`` bytes on,
+everything; repeated rows are equal texts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import exchange, rolling
 from tickloom.llm.anchors import Windows, candidates, repeated_windows
-from tickloom.llm.tables import materialise, parts
+from tickloom.llm.tables import materialise
 
 SIZE, GRAM = 400, 200
 #: Bytes of text and of possible repeats in a shard (one text may be longer).
@@ -134,12 +137,10 @@ class Shard:
         self.starts = np.repeat(runs[:, 0], strings) + within
         self.places = np.repeat(last - sizes, strings) + within
 
-    def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
-        out = []
-        for seed in (11, 12):
-            sums = rolling.prefix(rolling.byte_codes(self.data, seed))
-            out.append(rolling.span(sums, self.places, self.places + SIZE))
-        return out[0], (out[1] >> np.uint64(32)).astype("<u4")
+    def fingerprints(self, bases: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each string; the first, of 61 bits, is moved up, as owners take ranges of all 64."""
+        one, two = (rolling.prime_hashes(self.data, self.places, self.places + SIZE, base) for base in bases)
+        return one << np.uint64(3), two
 
     def repeats(self) -> np.ndarray:
         """Which strings stand more than once in this shard, from its suffix array."""
@@ -159,15 +160,15 @@ class Shard:
 
 
 def _shards(texts: DataFrame, kind: Windows) -> DataFrame:
-    """One row per shard: rids, bounds of the texts, their bytes, runs of starts of possible repeats."""
+    """One row per shard: rids, bounds of the texts, their bytes, runs of starts of possible repeats, and how many those are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rids, sizes, blobs, runs, text, held = [], [], [], [], 0, 0
 
         def row() -> pa.RecordBatch:
             arrays = [np.array(rids, "<i8"), np.concatenate([[0], np.cumsum(sizes)]).astype("<i8"), b"".join(blobs), np.concatenate(runs).astype("<i8")]
-            arrays = [pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary()) for x in arrays]
-            return pa.RecordBatch.from_arrays(arrays, names=["rids", "bounds", "text", "runs"])
+            arrays = [pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary()) for x in arrays] + [pa.array([held], pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, names=["rids", "bounds", "text", "runs", "strings"])
 
         for batch in batches:
             for rows, data, bounds in rolling.chunks(batch):
@@ -192,7 +193,7 @@ def _shards(texts: DataFrame, kind: Windows) -> DataFrame:
         if rids:
             yield row()
 
-    return texts.mapInArrow(run, "rids binary, bounds binary, text binary, runs binary")
+    return texts.mapInArrow(run, "rids binary, bounds binary, text binary, runs binary, strings long")
 
 
 def _local(shards: DataFrame) -> DataFrame:
@@ -207,20 +208,14 @@ def _local(shards: DataFrame) -> DataFrame:
     return shards.mapInArrow(run, "sender long, local binary")
 
 
-def _keys(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    keys, checks, _ = exchange.distinct(*Shard(row).fingerprints())
-    return keys, checks
-
-
-def _cut(shards: DataFrame, local: DataFrame, replies: DataFrame) -> DataFrame:
+def _cut(shards: DataFrame, local: DataFrame, replies: DataFrame, bases: tuple[int, int], owners: int) -> DataFrame:
     """rid, n_removed, n_spans, kept_sha256 and kept bytes of the texts in shards."""
-    owners = parts(shards.sparkSession)
 
     def run(key: tuple, group: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in group.to_dict("records"):
             shard = Shard(row)
-            keys, _, which = exchange.distinct(*shard.fingerprints())
+            keys, _, which = exchange.distinct(*shard.fingerprints(bases))
             gone = np.unpackbits(np.frombuffer(row["local"], np.uint8), count=len(shard.starts)).astype(bool)
             gone |= exchange.received(replies, keys, owners)[which]
             removed = rolling.cover(shard.starts[gone], SIZE, len(shard.text))
@@ -240,7 +235,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     every, few = candidates(docs, kind)
     shards = materialise(_shards(few, kind).withColumn("sender", F.monotonically_increasing_id()), "suffix-shards")
     local = materialise(_local(shards), "suffix-repeats")
-    cut = _cut(shards, local, exchange.answers(exchange.sent(shards, _keys)))
+    bases = (secrets.randbelow(1 << 60) + 1000, secrets.randbelow(1 << 60) + 1000)
+
+    def keys(row: dict) -> tuple[np.ndarray, np.ndarray]:
+        return exchange.distinct(*Shard(row).fingerprints(bases))[:2]
+
+    owners = exchange.owners_of(shards, shards.agg(F.sum("strings")).first()[0] or 0)
+    cut = _cut(shards, local, exchange.answers(exchange.sent(shards, keys, owners)), bases, owners)
     zero, whole = F.lit(0).cast("long"), (F.col("copies") > 1) & (F.col("n") >= SIZE)
     return every.join(cut, "rid", "left").select(
         "doc_id",
