@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from tests.llm.frames import awkward, docs, prose, rows_of, words
-from tickloom.llm import embedding_dedup, minhash, mixing, packing
+from tickloom.llm import embedding_dedup, minhash, mixing, packing, topics
 from tickloom.llm.components import components
 
 
@@ -174,12 +174,59 @@ def test_shingles_of_texts():
     assert (alone[0] == hashes[: cuts[1]]).all()
 
 
+def test_shingles_tell_300000_texts_apart():
+    texts = [f"item {i:09x} sold".encode() for i in range(300_000)]
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in texts])])
+    hashes, counts, cuts = minhash.shingles(data, bounds)
+    assert (np.diff(cuts) == 1).all() and (counts == 1).all() and len(np.unique(hashes)) == 300_000
+
+
+def test_second_hashes_settle_chance_matches():
+    one, two = np.array([5, 7], "<u8"), np.array([5, 7, 9], "<u8")
+    assert minhash._agree((one, two[:2].tobytes()), (two, two.tobytes()))
+    assert not minhash._agree((one, np.array([1, 7], "<u8").tobytes()), (two, two.tobytes()))
+    assert minhash._agree((one, b""), (two, two.tobytes()))
+
+
+def test_texts_of_one_shingle(spark):
+    rows = [(i, f"item {i // 2} sold") for i in range(400)] + [(1000, "x x x x x"), (1001, "x x x x x x"), (1002, "x x x x")]
+    got = {r.doc_id: r.class_id for r in minhash.near_groups(docs(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i in range(400)} | {1000: 1000, 1001: 1000, 1002: 1002}
+
+
+def plain_jaccard_groups(rows):
+    """Groups by links of plain similarity 0.8 or more, from the words alone."""
+    sets = []
+    for _, text in rows:
+        w = (text or "").split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    return brute_components(range(len(rows)), links)
+
+
+def test_groups_hold_all_plain_links(spark):
+    """A brute force that shares no code with the operator: no link between texts of 0.8 or more is lost, and far ones stay apart."""
+    rows = [r for r in near_rows() if r[0] is not None]
+    low = plain_jaccard_groups(rows)
+    got = [r.class_id for r in sorted(minhash.near_groups(docs(spark, [(i, t) for i, (_, t) in enumerate(rows)])).collect(), key=lambda r: r.doc_id)]
+    assert all(got[i] == got[low[i]] for i in range(len(rows)))
+    # Without repeated shingles a weighted link has a plain similarity of 0.8 / 1.05 at least.
+    loose = []
+    for i, (_, a) in enumerate(rows):
+        for j in range(i):
+            if got[i] == got[j]:
+                continue
+            x, y = (set(zip(*[(t or "").split()[k:] for k in range(5)])) for t in (a, rows[j][1]))
+            loose.append(len(x & y) < 0.8 * len(x | y) or not x or not y)
+    assert all(loose)
+
+
 @pytest.mark.parametrize("shared", [0.5, 0.8, 0.95])
 def test_samples_agree_as_often_as_sets_are_similar(shared):
     r = np.random.default_rng(3)
     agree, truth = [], []
     for _ in range(60):
-        every = np.unique(r.integers(1, 1 << 32, 900, dtype=np.uint32))
+        every = np.unique(r.integers(1, 1 << 54, 900, dtype=np.uint64))
         weight = (r.integers(1, 4, len(every)) * r.uniform(1, 2, len(every))).astype(np.float32)
         cut = int(len(every) * (1 - shared) / 2)
         a, b = slice(0, len(every) - cut), slice(cut, len(every))
@@ -202,52 +249,87 @@ def test_near_dedup_keeps_columns(spark):
 def test_raking_holds_marginals():
     r = np.random.default_rng(0)
     tokens = r.integers(1, 1000, (6, 4, 3)).astype(float)
-    targets = tuple(x / x.sum() for x in (r.uniform(1, 2, 6), r.uniform(1, 2, 4), r.uniform(1, 2, 3)))
+    targets = tuple(tokens.sum() * 0.05 * x / x.sum() for x in (r.uniform(1, 2, 6), r.uniform(1, 2, 4), r.uniform(1, 2, 3)))
     cells = mixing.rake(tokens, targets)
     for axis, target in enumerate(targets):
         assert np.allclose(cells.sum(axis=tuple(i for i in range(3) if i != axis)), target)
+    assert (cells < tokens).all()
     odds = lambda x: x[0, 0, 0] * x[1, 1, 0] / (x[1, 0, 0] * x[0, 1, 0])
     assert np.isclose(odds(cells), odds(tokens))
 
 
-def test_probabilities_reach_the_share():
-    tokens = np.array([1000.0, 10.0, 0.0, 500.0])
-    chance = mixing.probabilities(tokens, np.array([0.4, 0.3, 0.0, 0.3]), 0.3)
-    assert chance.max() <= 1 and np.isclose((tokens * chance).sum(), 0.3 * tokens.sum())
-    assert np.isclose((chance * tokens)[0] / (chance * tokens)[3], 4 / 3)
+def shares(found, axis):
+    return {level: (asked, reach, got) for a, level, asked, reach, got in found if a == axis}
 
 
-def brute_mixture(rows, targets):
-    """Cells, raking by plain loops over a dict, and the draw."""
+@pytest.mark.parametrize("seed", range(8))
+def test_feasible_targets_are_met_under_full_cells(seed):
+    """Targets that a draw with some full cells has are met, cell by cell none above what there is."""
+    r = np.random.default_rng(seed)
+    tokens = r.integers(0, 1000, (5, 4, 3)) * (r.random((5, 4, 3)) < 0.8)
+    chance = np.minimum(1, r.uniform(0, 1.6, tokens.shape))
+    drawn = tokens * chance
+    names = [[f"{axis}{i}" for i in range(n)] for axis, n in zip("slt", tokens.shape)]
+    margins = [dict(zip(names[k], drawn.sum(axis=mixing._others(k)))) for k in range(3)]
+    targets = mixing.Targets(*margins, share=float(drawn.sum() / tokens.sum()))
+    cells = {(a, b, c): int(tokens[i, j, k]) for i, a in enumerate(names[0]) for j, b in enumerate(names[1]) for k, c in enumerate(names[2]) if tokens[i, j, k]}
+    found = mixing.report(cells, targets)
+    assert max(abs(asked - got) for _, _, asked, _, got in found) < 1e-6
+    chances = mixing.probabilities(cells, targets)
+    assert max(chances.values()) == 1 or (chance < 1).all()
+    assert sum(chances[c] * n for c, n in cells.items()) == pytest.approx(drawn.sum(), rel=1e-6)
+
+
+def test_targets_out_of_reach_are_reported():
+    cells = {("a", "en", "x"): 1000, ("b", "en", "x"): 10, ("b", "de", "x"): 490}
+    targets = mixing.Targets({"a": 1, "b": 1}, {"en": 1, "de": 9}, {"x": 1}, share=0.5)
+    found = mixing.report(cells, targets)
+    asked, reach, got = shares(found, "lang")["de"]
+    assert asked == 0.9 and reach == pytest.approx(490 / 750) and got <= reach + 1e-6
+    assert shares(found, "lang")["en"][1] == pytest.approx(260 / 750)
+    alone = mixing.Targets({"a": 1, "b": 1}, {"en": 1, "de": 1}, {"x": 1}, share=0.9)
+    assert shares(mixing.report(cells, alone), "source")["b"][1] == pytest.approx(500 / 1350)
+
+
+def brute_mixture(rows, targets, topics):
+    """Cells, raking by plain loops over a dict with factors found by halving, and the draw."""
     import hashlib
     import math
 
-    def form(t):
-        return mixing.OTHER if t is None else "table" if " | " in t else "loud" if "!! " in t else "brief" if len(t) < 200 else "prose"
-
     cells, tokens = [], defaultdict(float)
-    for d, t, lang, source, _ in rows:
-        c = tuple(x if x in m else mixing.OTHER for x, m in zip((source, lang, form(t)), targets.margins()))
+    for (d, t, lang, source, _), topic in zip(rows, topics, strict=True):
+        c = tuple(x if x in m else mixing.OTHER for x, m in zip((source, lang, topic), targets.margins()))
         n = max(1, math.ceil(len((t or "").encode()) / 4))
         cells.append((d, c, n))
         tokens[c] += n
     total = sum(tokens.values())
-    share = {c: n / total for c, n in tokens.items()}
-    for _ in range(2000):
-        for i, m in enumerate(targets.margins()):
-            have = defaultdict(float)
-            for c, x in share.items():
-                have[c[i]] += x
-            scale = sum(m.get(k, 0) for k in have)
-            share = {c: x * m.get(c[i], 0) / scale / have[c[i]] if have[c[i]] else 0 for c, x in share.items()}
-    want, low, high = targets.share * total, 0.0, 1e9
-    size = lambda f: sum(min(n, f * share[c] * total) for c, n in tokens.items())
+
+    def factor(weights, most, want):
+        if want >= sum(most) * (1 - 1e-15):
+            return None
+        low, high = 0.0, 1e12
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(n, mid * w) for w, n in zip(weights, most)) < want else (low, mid)
+        return high
+
+    wanted = []
+    for i, m in enumerate(targets.margins()):
+        levels = sorted({c[i] for c in tokens})
+        most = [sum(n for c, n in tokens.items() if c[i] == x) for x in levels]
+        f = factor([m.get(x, 0.0) for x in levels], most, targets.share * total)
+        wanted.append({x: min(n, f * m.get(x, 0.0)) for x, n in zip(levels, most)})
+    weight = dict(tokens)
     for _ in range(300):
-        mid = (low + high) / 2
-        low, high = (mid, high) if size(mid) < want else (low, mid)
+        for i in range(3):
+            for level, want in wanted[i].items():
+                own = [c for c in tokens if c[i] == level]
+                f = factor([weight[c] for c in own], [tokens[c] for c in own], want)
+                for c in own:
+                    weight[c] = max(weight[c], tokens[c]) if f is None else weight[c] * f
     out = []
     for d, c, n in cells:
-        p = min(1, high * share[c] * total / tokens[c])
+        p = min(1, weight[c] / tokens[c])
         u = int(hashlib.md5(f"{targets.seed}:{d}".encode()).hexdigest()[:12], 16) / (1 << 48)
         out.append((d, n, p, u < p))
     return out
@@ -256,35 +338,55 @@ def brute_mixture(rows, targets):
 @pytest.mark.parametrize("extra", [False, True])
 def test_mixture_equals_brute_force(spark, extra):
     r = random.Random(6)
-    rows = [(i, prose(i, r.randrange(1, 200)) + (" | x" if i % 7 == 0 else ""), r.choice(["en", "en", "de", "fr", "xx", None]), r.choice(["src0", "src0", "src0", "src1", "zzz", None]), 1) for i in range(600)]
-    rows += [(601, None, None, None, None), (602, "", "en", "src0", 0)]
-    got = sorted(mixing.mixed(docs(spark, rows, extra)).collect(), key=lambda x: x.doc_id)
-    for have, (d, n, p, kept) in zip(got, brute_mixture(rows, mixing.Targets()), strict=True):
+    kinds = [words(70 + k, 60, 60) for k in range(3)]
+    rows = [(i, " ".join(f"{'abc'[i % 3]}{r.choice(kinds[i % 3])}" for _ in range(r.randrange(1, 200))), r.choice(["en", "en", "de", "fr", "xx", None]), r.choice(["web", "web", "web", "book", "zzz", None]), 1) for i in range(600)]
+    rows += [(601, None, None, None, None), (602, "", "en", "web", 0)]
+    own = topics.learned(docs(spark, rows), 3)
+    data = [(t or "").encode() for _, t, *_ in rows]
+    named = own.of(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    assert named[600:] == [None, None] and set(named[:600]) == {"topic0", "topic1", "topic2"}
+    targets = mixing.Targets({"web": 1, "book": 2, "*": 1}, {"en": 1, "de": 2, "fr": 1, "*": 1}, {"topic0": 1, "topic1": 1, "topic2": 2, "*": 0.001}, share=0.3)
+    got = sorted(mixing.mixed(docs(spark, rows, extra), targets, own).collect(), key=lambda x: x.doc_id)
+    for have, (d, n, p, kept) in zip(got, brute_mixture(rows, targets, named), strict=True):
         assert (have.doc_id, have.tokens) == (d, n)
-        assert have.probability == pytest.approx(p, rel=1e-6, abs=1e-9)
-        assert have.kept == kept
-    sampled = mixing.sample_mixture(docs(spark, rows, extra))
+        assert have.probability == pytest.approx(p, rel=1e-5, abs=1e-9)
+        assert have.kept == kept or abs(have.draw - p) < 1e-5
+    sampled = mixing.sample_mixture(docs(spark, rows, extra), targets, own)
+    assert sampled.columns == docs(spark, rows, extra).columns
     assert sorted(x.doc_id for x in sampled.collect()) == [x.doc_id for x in got if x.kept]
 
 
-def test_mixture_moves_towards_targets(spark):
+def test_mixture_of_the_table_meets_its_targets(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    targets = mixing.Targets(lang={"en": 1, "de": 1, "fr": 1, "es": 1}, share=0.2)
-    got = mixing.mixed(table, targets).collect()
-    expected = defaultdict(float)
-    for row in got:
-        expected[row.lang_level] += row.tokens * row.probability
-    shares = [x / sum(expected.values()) for x in expected.values()]
-    assert all(abs(s - 0.25) < 0.02 for s in shares)
-    assert sum(x.tokens * x.probability for x in got) == pytest.approx(0.2 * sum(x.tokens for x in got), rel=1e-6)
+    own = mixing.corpus(table)
+    base = own.tempered(share=0.2)
+    targets = mixing.Targets(base.source, {"en": 1, "de": 1, "fr": 1, "es": 1}, base.topic, share=0.2)
+    found = mixing.report(own.cells(targets), targets)
+    assert max(abs(reach - got) for *_, reach, got in found) < 1e-6
+    assert all(abs(got - 0.25) < 1e-6 for _, _, got in shares(found, "lang").values())
+    assert {r.axis for r in mixing.marginals(table, targets, own.topics).collect()} == {"source", "lang", "topic"}
+    rows = mixing.mixed(table, targets, own.topics).collect()
+    assert sum(x.tokens * x.probability for x in rows) == pytest.approx(0.2 * sum(x.tokens for x in rows), rel=1e-6)
 
 
 def test_mixture_of_nothing(spark):
     assert mixing.mixed(docs(spark, [])).count() == 0
-    repeated = mixing.mixed(docs(spark, [(1, "a b", "en", "src0", 3)] * 3)).collect()
+    assert mixing.marginals(docs(spark, [])).count() == 0
+    assert mixing.sample_mixture(docs(spark, [])).count() == 0
+    repeated = mixing.mixed(docs(spark, [(1, "a b", "en", "web", 3)] * 3)).collect()
     assert len({r.kept for r in repeated}) == 1
 
 
+def test_clusters_of_words():
+    r = random.Random(1)
+    texts = [" ".join(r.choice(words(90 + k % 4, 40)) + "xyzw"[k % 4] for _ in range(50)).encode() for k in range(80)]
+    rows = topics.vectors(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    own = topics.Topics(topics.cluster(rows, 4))
+    named = own.of(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    assert len(set(named)) == 4 and len({(k % 4, t) for k, t in enumerate(named)}) == 4
+    assert topics.cluster(rows[:2], 4).shape[0] == 2 and topics.Topics(topics.cluster(rows[:0], 4)).of(np.zeros(0, np.uint8), np.zeros(2, np.int64)) == [None]
+
+
 # Packing
 
 

@@ -1,7 +1,9 @@
 import hashlib
+import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +190,50 @@ def test_expressions(text, labels, usable, valid):
     assert (set(found.labels), found.usable, found.valid) == (labels, usable, valid)
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        (" MIT", "MIT"),
+        (" MIT */ and more text", "MIT"),
+        (" MIT -->", "MIT"),
+        (" (MIT OR\n// GPL-2.0-only)\n// AND Apache-2.0\n", "( MIT OR GPL-2.0-only ) AND Apache-2.0"),
+        (" GPL-2.0-only WITH\r\n * Classpath-exception-2.0\r\n */", "GPL-2.0-only WITH Classpath-exception-2.0"),
+        (" MIT\nand some text", "MIT"),
+        (" MIT\nAND ISC", "MIT AND ISC"),
+        (" Apache-2.0 or mit; see LICENSE", "Apache-2.0 or mit"),
+        (" (MIT", "( MIT"),
+        (" MIT) x", "MIT"),
+        (" MIT OR", "MIT OR"),
+        ("", ""),
+        (" AND", ""),
+    ],
+)
+def test_expressions_end_where_they_stop_fitting(text, want):
+    assert " ".join(licenses.expression_at(text)) == want
+
+
+@pytest.mark.parametrize(
+    "name, label",
+    [("MIT", "mit"), ("MIT-0", "mit"), ("Mitre", None), ("CC-BY-4.0", "cc-by"), ("CC-BY-NC-4.0", "cc-by-nc"), ("BSD-3-Clause", "bsd"), ("GPL2", "gpl"), ("Zlib", "zlib"), ("X", None)],
+)
+def test_identifiers(name, label):
+    assert licenses.identifier_label(name) == label
+
+
+def test_expressions_of_texts(spark):
+    rows = [
+        (1, "/* SPDX-License-Identifier: MIT OR\n * GPL-2.0-only */ text"),
+        (2, "ünï spdx-license-identifier : (GPL-2.0 AND\n# MIT)\nrest SPDX-License-Identifier: LicenseRef-Own"),
+        (3, "SPDX License Identifier without a colon"),
+        (4, "SPDX-License-Identifier: Own-1.0"),
+    ]
+    got = {r.doc_id: (r.n_tags, r.expressions, r.labels, r.usable, r.score) for r in licenses.license_scan(docs(spark, rows)).collect()}
+    assert got[1] == (1, "MIT OR GPL-2.0-only", "gpl,mit", True, 1.0)
+    assert got[2] == (2, "( GPL-2.0 AND MIT ); LicenseRef-Own", "gpl,mit", False, 1.0)
+    assert got[3] == (1, "", "", False, 0.0)
+    assert got[4][2] == "" and licenses.license_scan(docs(spark, rows), {"own": "own"}).filter("doc_id = 4").first().labels == "own"
+
+
 def test_postfix():
     assert licenses.postfix(["A", "OR", "B", "AND", "C", "WITH", "D"]) == ["A", "B", "C", "D", "WITH", "AND", "OR"]
 
@@ -236,6 +282,45 @@ def test_two_labels_reject_what_is_neither(spark):
     assert sum(got[i].rejected for i in range(200)) <= 2
 
 
+def plain_prediction(model, text):
+    """Label and score of one text, subword by subword."""
+    folded = text.lower() if not text.isascii() else text
+    data = folded.encode("utf-8", "replace").translate(language_id._LETTERS)
+    total, seen = np.zeros(model.table.shape[1]), 0
+    for size in language_id.SUBWORDS:
+        for i in range(len(data) - size + 1):
+            code = (int.from_bytes(data[i : i + size], "big") + (size << 40)) * 0x9E3779B97F4A7C15 % (1 << 64)
+            total += model.table[code >> (64 - 14)]
+            seen += 1
+    mean = total / (seen + language_id.PRIOR)
+    logits = mean if model.weights is None else mean @ model.weights
+    chances = np.exp(logits - logits.max())
+    chances /= chances.sum()
+    return model.labels[int(chances.argmax())], float(chances.max())
+
+
+@pytest.mark.parametrize("labels", [3, 40])
+def test_predictions_equal_a_plain_loop(spark, labels):
+    r = random.Random(labels)
+    letters = [r.sample("abcdefghijklmnopqrstuvwxyzäéñ", 9) for _ in range(labels)]
+    rows = [(i, " ".join("".join(r.choice(letters[i % labels]) for _ in range(5)) for _ in range(r.randrange(3, 30))), f"l{i % labels:02d}", "s", 1) for i in range(labels * 12)]
+    model = language_id.learned(docs(spark, rows))
+    assert len(model.labels) == labels and (model.weights is None) == (labels == 3)
+    assert model.table.dtype == np.float32 and model.table.shape[1] <= language_id.WIDTH
+    for got in language_id.language_id(docs(spark, rows)).collect():
+        name, score = plain_prediction(model, rows[got.doc_id][1])
+        assert abs(got.score - score) < 1e-5 and (got.lang_pred == name or score < 0.6)
+
+
+def test_every_label_is_learned(spark):
+    rows = [(i, f"wort{i % 7} und {'x' * (i % 5 + 1)}", "big", "s", 1) for i in range(3000)]
+    rows += [(10_000 + i, f"rare words {i}", f"rare{i}", "s", 1) for i in range(600)]
+    found = language_id.sample(docs(spark, rows).withColumnRenamed("lang", "label"))
+    names = [x[0] for x in found]
+    assert set(names) == {"big"} | {f"rare{i}" for i in range(600)}
+    assert names.count("big") < 60  # ten or so of each of very many labels
+
+
 def test_nothing_to_learn_from(spark):
     got = language_id.language_id(docs(spark, [(1, "some text", None, "s", 9), (2, None, None, None, None)])).collect()
     assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, True)] * 2

@@ -1,11 +1,11 @@
 """Language ID: averaged hashed subword embeddings, a linear softmax, calibrated rejection.
 
 The classifier is fitted on a bounded sample of labelled rows (about ``SAMPLE`` for each label and
-``TOTAL`` in sum, drawn by hash, whole texts): tasks turn them into counts of hashed subwords, and stochastic gradient descent
-runs over those in numpy. A temperature fitted on a part kept apart makes scores probabilities, and
-rejection starts below the score that nearly all right answers of that part reach. Embedding and
-softmax are one table of logits per subword then, so a prediction is a mean of table rows, computed
-where the text lies: no shuffle.
+``TOTAL`` in sum, but ``LEAST`` for each label and one at least, drawn by hash, whole texts): tasks turn them into counts of
+hashed subwords, and stochastic gradient descent runs over those in numpy. All labels are learned. A temperature fitted on a
+part kept apart makes scores probabilities, and rejection starts below the score that nearly all right answers of
+that part reach. A prediction is a softmax of a mean of table rows, computed where the text lies: no shuffle. The table
+that tasks get has a row per subword of logits or, beyond ``WIDTH`` labels, of embeddings, so it doesn't grow with the labels.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, and rejected; without
 labelled rows every text is; rows with a null label or doc_id are predicted but not learned from; a
@@ -24,12 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import rolling
-from tickloom.llm.tables import private, small_batches
+from tickloom.llm.tables import materialise, private, small_batches
 
 #: Labelled rows that are learned from, on average: for each label, and in sum; the bound of what the driver sees.
 SAMPLE, TOTAL = 500, 4000
-#: Labels that are learned, the most frequent ones; bounds the table of their sizes that is broadcast.
-LABELS = 1000
+#: Rows that are learned from for each of very many labels, on average; of each, one at least.
+LEAST = 10
 BUCKETS, WIDTH, EPOCHS = 1 << 14, 12, 12
 #: Step of the softmax, and how much larger the step of an embedding is, whose share in a mean is small.
 RATE, GAIN = 0.5, 20
@@ -80,12 +80,17 @@ def subword_counts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """Logits of each label for each subword bucket, divided by the temperature."""
+    """Logits of each label for each subword bucket, divided by the temperature; for many labels in two factors."""
 
     labels: tuple[str, ...]
-    logits: np.ndarray
+    table: np.ndarray
+    weights: np.ndarray | None
     threshold: float
 
+    def chances(self, means: np.ndarray) -> np.ndarray:
+        """Probabilities of the labels from means of table rows."""
+        return _softmax(means if self.weights is None else means @ self.weights)
+
 
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
@@ -102,7 +107,8 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 5) -> Mod
     place = {label: i for i, label in enumerate(labels)}
     apart = [[x for x in samples if x[0] == label] for label in labels]
     learn = [x for own in apart for k, x in enumerate(own) if k % 5 or len(own) < 5]
-    check = [x for own in apart for k, x in enumerate(own) if not k % 5 or len(own) < 5]
+    # Labels of a few rows calibrate nothing, unless there are no others.
+    check = [x for own in apart for k, x in enumerate(own) if not k % 5 and len(own) >= 5] or learn
     table = rng.normal(0, 0.1, (BUCKETS, WIDTH))
     weights = np.zeros((WIDTH, len(labels)))
     for epoch in range(EPOCHS):
@@ -116,25 +122,30 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 5) -> Mod
             step = weights @ error
             weights -= rate * np.outer(mean, error)
             table[buckets] -= (rate * GAIN) * share[:, None] * step
-    logits = table @ weights
-    means = np.array([c @ logits[b] / (c.sum() + PRIOR) for _, b, c in check])
+    few = len(labels) <= WIDTH
+    rows = (table @ weights if few else table).astype(np.float32)
+    means = np.array([c @ rows[b].astype(np.float64) / (c.sum() + PRIOR) for _, b, c in check])
+    means = means if few else means @ weights
     truth = np.array([place[label] for label, _, _ in check])
     scales = np.geomspace(0.05, 5, 50)
     losses = [-np.log(np.maximum(_softmax(means * s)[np.arange(len(truth)), truth], 1e-12)).mean() for s in scales]
     scale = scales[int(np.argmin(losses))]
     scores = _softmax(means * scale)
     right = scores.argmax(axis=1) == truth
-    threshold = float(np.quantile(scores.max(axis=1)[right], LOSS, method="lower")) if right.any() else 0.0
-    return Model(labels, logits * scale, threshold)
+    # A little below, since scores are computed in single precision later.
+    threshold = float(np.quantile(scores.max(axis=1)[right], LOSS, method="lower")) * (1 - 1e-6) if right.any() else 0.0
+    return Model(labels, rows * np.float32(scale) if few else rows, None if few else weights * scale, threshold)
 
 
 def sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Subword counts of about ``SAMPLE`` rows of each label. docs: doc_id, text, label."""
     rows = docs.filter("label is not null and text is not null")
-    sizes = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS)
-    sizes = sizes.selectExpr("label", f"least({SAMPLE}, {TOTAL} / count(*) over ()) / count as share")
-    draw = (F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)) < F.col("share")
-    drawn = rows.join(F.broadcast(sizes), "label").filter(draw).select("doc_id", "label", "text")
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30))
+    sizes = materialise(rows.groupBy("label").agg(F.count("*").alias("count"), F.min(place).alias("lowest")), "label-sizes")
+    each = min(SAMPLE, max(LEAST, TOTAL / max(1, sizes.count())))
+    # The row of the lowest place is drawn in any case. Spark broadcasts the sizes only if they are few.
+    limits = sizes.select("label", F.greatest("lowest", F.floor(each / F.col("count") * (1 << 30))).alias("limit"))
+    drawn = rows.join(limits, "label").filter(place <= F.col("limit")).select("doc_id", "label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,12 +168,11 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logits = None if model is None else model.logits.astype(np.float32)
         for batch in batches:
             lettered = np.array([has_letter(x) for x in batch.column("text").to_pylist()], dtype=bool)
             means = []
             for _, data, bounds in _pieces(batch) if model else ():
-                total = np.zeros((len(bounds) - 1, len(model.labels)))
+                total = np.zeros((len(bounds) - 1, model.table.shape[1]))
                 seen = np.zeros(len(bounds) - 1)
                 for buckets, good in _subwords(data, bounds):
                     use = np.flatnonzero(good)
@@ -170,11 +180,11 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                         continue
                     cuts = np.searchsorted(use, bounds)
                     full = np.flatnonzero(np.diff(cuts))
-                    total[full] += np.add.reduceat(logits[buckets[use]], cuts[full], axis=0, dtype=np.float64)
+                    total[full] += np.add.reduceat(model.table[buckets[use]], cuts[full], axis=0, dtype=np.float64)
                     seen += np.diff(cuts)
                 means.append(total / (seen + PRIOR)[:, None])
             if means:
-                chances = _softmax(np.concatenate(means))
+                chances = model.chances(np.concatenate(means))
                 best = chances.argmax(axis=1)
                 score = np.where(lettered, chances[np.arange(len(best)), best], 0.0)
                 names = [model.labels[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]

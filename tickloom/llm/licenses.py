@@ -42,21 +42,34 @@ MORE_PHRASES = {
     "redistribution and use in source and binary forms": "bsd",
 }
 TAG = "spdx license identifier"
-# Starts of identifiers in expressions, and their labels.
+# Starts of identifiers in expressions, and their labels. ``identifiers`` of ``license_scan`` adds others.
 IDENTIFIERS = {
-    "agpl": "agpl", "lgpl": "lgpl", "gpl": "gpl", "apache": "apache", "mit": "mit", "bsd": "bsd", "isc": "isc",
-    "mpl": "mpl", "epl": "epl", "cc-by": "cc-by", "cc0": "cc0", "bsl": "boost", "unlicense": "unlicense",
+    "0bsd": "bsd", "afl": "afl", "agpl": "agpl", "apache": "apache", "apsl": "apsl", "artistic": "artistic", "blueoak": "blueoak", "bsd": "bsd",
+    "bsl": "boost", "busl": "busl", "cc-by": "cc-by", "cc-by-nc": "cc-by-nc", "cc-by-nd": "cc-by-nd", "cc-by-sa": "cc-by-sa", "cc0": "cc0",
+    "cddl": "cddl", "cecill": "cecill", "cpl": "cpl", "curl": "curl", "ecl": "ecl", "epl": "epl", "eupl": "eupl", "gfdl": "gfdl", "gpl": "gpl",
+    "hpnd": "hpnd", "ijg": "ijg", "ipl": "ipl", "isc": "isc", "lgpl": "lgpl", "libpng": "libpng", "lppl": "lppl", "mit": "mit", "mpl": "mpl",
+    "ms-pl": "ms-pl", "ms-rl": "ms-rl", "mulanpsl": "mulanpsl", "ncsa": "ncsa", "odbl": "odbl", "ofl": "ofl", "openssl": "openssl", "osl": "osl",
+    "pddl": "pddl", "php": "php", "postgresql": "postgresql", "psf": "psf", "python": "psf", "qpl": "qpl", "ruby": "ruby", "sleepycat": "sleepycat",
+    "sspl": "sspl", "tcl": "tcl", "unicode": "unicode", "unlicense": "unlicense", "upl": "upl", "vim": "vim", "w3c": "w3c", "wtfpl": "wtfpl",
+    "x11": "mit", "zlib": "zlib", "zpl": "zpl",
 }
 #: Labels under which a text may be used when an expression is evaluated.
-OPEN = frozenset({"apache", "bsd", "boost", "cc-by", "cc0", "isc", "mit", "unlicense"})
+OPEN = frozenset({
+    "afl", "apache", "artistic", "blueoak", "boost", "bsd", "cc-by", "cc0", "curl", "ecl", "hpnd", "ijg", "isc", "libpng", "mit", "mulanpsl", "ncsa", "odbl", "ofl",
+    "openssl", "pddl", "php", "postgresql", "psf", "ruby", "tcl", "unicode", "unlicense", "upl", "vim", "w3c", "wtfpl", "zlib", "zpl",
+})
 
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
     "score double, n_tags long, expressions string, usable boolean"
 )
 _WORD_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
-_EXPRESSION = re.compile(r"SPDX-License-Identifier\s*:[ \t]*([^\r\n]*)", re.IGNORECASE)
+_WORD = re.compile(rb"[^ ]+")
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*")
+_COLON = re.compile(r"\s*:")
+_GAP = re.compile(r"[ \t]*")
+#: A line's end, and what starts the next line of a comment.
+_TURN = re.compile(r"[ \t\\]*(?:\r\n|\r|\n)[ \t]*(?:[*#;%!|]+|//+|--+)?[ \t]*")
 _RANK = {"OR": 1, "AND": 2, "WITH": 3}
 
 
@@ -69,9 +82,11 @@ class Expression:
     valid: bool
 
 
-def identifier_label(name: str) -> str | None:
+def identifier_label(name: str, identifiers: dict[str, str] = IDENTIFIERS) -> str | None:
+    """The label of the longest known start of a name that ends where a part of the name does."""
     low = name.lower()
-    return next((label for start, label in IDENTIFIERS.items() if re.match(re.escape(start) + r"(?![a-z])", low)), None)
+    parts = [i for i in range(len(low), 0, -1) if i == len(low) or not (low[i - 1].isalpha() and low[i].isalpha())]
+    return next((identifiers[low[:i]] for i in parts if low[:i] in identifiers), None)
 
 
 def postfix(tokens: list[str]) -> list[str] | None:
@@ -108,10 +123,42 @@ def postfix(tokens: list[str]) -> list[str] | None:
     return out + waiting[::-1]
 
 
-def evaluate(text: str) -> Expression:
+def expression_at(text: str) -> list[str]:
+    """Tokens of the longest expression that starts a text.
+
+    It ends where the next token doesn't fit, so what follows in a comment isn't part of it. It goes on over a line's end where
+    an operand or a bracket is still due, and where the next line starts with an operator in capitals.
+    """
+    tokens: list[str] = []
+    at, depth, due = 0, 0, True
+    while True:
+        turn = _TURN.match(text, at)
+        found = _TOKEN.match(text, (turn or _GAP.match(text, at)).end())
+        if found is None:
+            return tokens
+        token = found[0]
+        operator = token.upper() in _RANK
+        if turn and not due and depth == 0 and not (operator and token.isupper()):
+            return tokens
+        if due:
+            if operator or token == ")":
+                return tokens
+            depth += token == "("
+            due = token == "("
+        elif token == ")" and depth:
+            depth -= 1
+        elif operator:
+            due = True
+        else:
+            return tokens
+        tokens.append(token)
+        at = found.end()
+
+
+def evaluate(text: str, identifiers: dict[str, str] = IDENTIFIERS) -> Expression:
     """OR allows use if one side does, AND if both do; an exception (WITH) leaves its license's answer."""
     tokens = _TOKEN.findall(text)
-    known = frozenset(x for x in map(identifier_label, tokens) if x)
+    known = frozenset(x for x in (identifier_label(t, identifiers) for t in tokens) if x)
     order = postfix(tokens)
     if order is None:
         return Expression(known, False, False)
@@ -121,11 +168,22 @@ def evaluate(text: str) -> Expression:
             (right, allowed), (left, allows) = stack.pop(), stack.pop()
             stack.append((left, allows) if token == "WITH" else (left | right, allows or allowed if token == "OR" else allows and allowed))
         else:
-            label = identifier_label(token)
+            label = identifier_label(token, identifiers)
             stack.append((frozenset({label} if label else ()), label in OPEN))
     return Expression(*stack[0], valid=True)
 
 
+def tagged(data: bytes, ends: list[int]) -> list[str]:
+    """The expressions behind tags, given the number of each tag's last word. Words and bytes of a text keep their places."""
+    spans = [m.end() for m in _WORD.finditer(data.translate(_WORD_BYTES))]
+    out = []
+    for number in ends:
+        rest = data[spans[number] :].decode("utf-8", "replace")
+        if colon := _COLON.match(rest):
+            out.append(" ".join(expression_at(rest[colon.end() :])))
+    return out
+
+
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     kinds = [(p, "base", x) for p, x in BASE_PHRASES.items()] + [(p, "more", x) for p, x in MORE_PHRASES.items()] + [(TAG, "tag", "")]
@@ -135,11 +193,11 @@ def automaton() -> ahocorasick.Automaton:
     return found
 
 
-def scan_text(found: ahocorasick.Automaton, data: bytes) -> tuple:
+def scan_text(found: ahocorasick.Automaton, data: bytes, identifiers: dict[str, str] = IDENTIFIERS) -> tuple:
     """One result row without its doc_id, for a text in UTF-8."""
     words = data.translate(_WORD_BYTES).split()
     line = f" {b' '.join(words).decode('latin-1')} "
-    places, base, more, tags, word, at = [], set(), set(), 0, -1, 0
+    places, base, more, tags, word, at = [], set(), set(), [], -1, 0
     for end, (kind, label, size) in sorted(found.iter(line), key=lambda x: x[0] - x[1][2]):
         start = end - size + 1
         word, at = word + line.count(" ", at, start + 1), start + 1
@@ -149,11 +207,9 @@ def scan_text(found: ahocorasick.Automaton, data: bytes) -> tuple:
         elif kind == "more":
             more.add(label)
         else:
-            tags += 1
-    parsed, shown = [], []
-    if tags:
-        shown = [x.strip() for x in _EXPRESSION.findall(data.decode("utf-8", "replace"))]
-        parsed = [evaluate(x) for x in shown]
+            tags.append(word + len(TAG.split()) - 1)
+    shown = tagged(data, tags) if tags else []
+    parsed = [evaluate(x, identifiers) for x in shown]
     labels = base | more | {label for x in parsed for label in x.labels}
     if not labels:
         score = 0.0
@@ -164,22 +220,24 @@ def scan_text(found: ahocorasick.Automaton, data: bytes) -> tuple:
     usable = all(x.usable for x in parsed) if parsed else bool(labels) and labels <= OPEN
     return (
         len(words), len(places), places[0] if places else None, places[-1] if places else None,
-        ",".join(sorted(base)), ",".join(sorted(labels)), score, tags, "; ".join(shown), usable,
+        ",".join(sorted(base)), ",".join(sorted(labels)), score, len(tags), "; ".join(shown), usable,
     )
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = automaton()
+def license_scan(docs: DataFrame, identifiers: dict[str, str] | None = None) -> DataFrame:
+    """One row per document with its notices, tags and what their expressions allow. identifiers: further starts of names in
+    lower case and their labels, for instance from a published list."""
+    known = IDENTIFIERS | (identifiers or {})
     names = [x.split()[0] for x in SCHEMA.split(", ")][1:]
     types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.float64(), pa.int64(), pa.string(), pa.bool_()]
-    for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        rows = [scan_text(found, x.as_py() or b"") for x in texts]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-        arrays = [pa.array(x, t) for x, t in zip(columns, types, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *arrays], names=["doc_id", *names])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = automaton()
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            rows = [scan_text(found, x.as_py() or b"", known) for x in texts]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+            arrays = [pa.array(x, t) for x, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *arrays], names=["doc_id", *names])
 
-def license_scan(docs: DataFrame) -> DataFrame:
-    """One row per document with its notices, tags and what their expressions allow."""
-    return private(small_batches(docs), doc_id="doc_id", text="text").mapInArrow(_scan, SCHEMA)
+    return private(small_batches(docs), doc_id="doc_id", text="text").mapInArrow(run, SCHEMA)

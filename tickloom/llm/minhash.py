@@ -9,20 +9,23 @@
    tiles of bounded size, and any pair of different clusters is verified, so no link is lost to the
    star. Tiles return links that join clusters, at most one per member.
 
-A shingle is five words as they stand (all words of a shorter text). Its weight is TF-IDF with both
+A shingle is five words as they stand (all words of a shorter text), told by a 54-bit hash; texts of up to
+``FEW`` shingles are verified by a second hash as well, as there one chance match would be enough. Its weight is TF-IDF with both
 parts damped: 1 + ln(count) times 1 to 1.25 by rarity, so that neither one shingle repeated a thousand
 times nor the words that a large group of copies shares decide alone. Two texts are near if their
 weighted Jaccard similarity is ``THRESHOLD`` or more; or if the plain one is, since what many near copies
 share weighs a little less than what each has for itself. Either similarity has bands of its own: a text
 and the same text written twice are near by the plain one only.
 
-Defined cases: a null text and one without words link with nothing; equal texts are one class; a group
+Defined cases: a null text and one without words link with nothing; texts with equal words (by the SHA-256 of
+the words) are one class; a group
 is named by its smallest doc_id, nulls last, and of rows with that id one is kept; an empty table gives
 an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +51,11 @@ TILE = 256
 #: Groups of such meetings for each shuffle partition.
 GROUPS = 32
 _COLUMNS = 1 << 12
+#: Shingles up to which a text carries a second hash of each.
+FEW = 8
+#: Bits of a shingle's hash: what is left of 64 beside the number of a text among ``_TEXTS``.
+_BITS, _TEXTS = np.uint64(54), 1 << 10
+_BASES = [int(x) for x in np.random.default_rng(21).integers(1 << 32, 1 << 60, 2)]
 
 _STEPS = 1 << 16
 
@@ -67,20 +75,31 @@ _LOG_C = np.log(_gamma()).astype(np.float32)
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, (2 * SAMPLES, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct 32-bit shingle hashes of each text, sorted, their counts, and the bounds of the texts."""
+def _shingles(data: np.ndarray, bounds: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, own = rolling.words(data, bounds)
-    sums = rolling.prefix(rolling.word_hashes(data, starts, ends))
+    sums = rolling.prefix(rolling.mix(rolling.prime_hashes(data, starts, ends, base)))
     n = np.diff(own)
     many = np.where(n >= SHINGLE, n - SHINGLE + 1, np.minimum(n, 1))
     texts = np.repeat(np.arange(len(n)), many)
     first = np.cumsum(many) - many
     at = own[:-1][texts] + np.arange(len(texts)) - first[texts]
     hashes = rolling.span(sums, at, at + np.minimum(SHINGLE, n)[texts])
-    keys = (texts.astype(np.uint64) << np.uint64(32)) | (hashes >> np.uint64(32))
+    keys = (texts.astype(np.uint64) << _BITS) | (hashes >> (np.uint64(64) - _BITS))
     keys, counts = np.unique(keys, return_counts=True)
-    cuts = np.searchsorted(keys, np.arange(len(n) + 1, dtype=np.uint64) << np.uint64(32))
-    return (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), counts.astype(np.uint32), cuts
+    cuts = np.append(np.searchsorted(keys, np.arange(len(n), dtype=np.uint64) << _BITS), len(keys))
+    return keys & ((np.uint64(1) << _BITS) - np.uint64(1)), counts.astype(np.uint32), cuts
+
+
+def shingles(data: np.ndarray, bounds: np.ndarray, base: int = _BASES[0]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct 54-bit shingle hashes of each text, sorted, their counts, and the bounds of the texts."""
+    hashes, counts, cuts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+    for low in range(0, len(bounds) - 1, _TEXTS):
+        own = bounds[low : low + _TEXTS + 1]
+        h, c, ends = _shingles(data[own[0] : own[-1]], own - own[0], base)
+        hashes.append(h)
+        counts.append(c)
+        cuts.append(ends[1:] + cuts[-1][-1])
+    return np.concatenate(hashes), np.concatenate(counts), np.concatenate(cuts)
 
 
 def document_frequencies(docs: DataFrame) -> np.ndarray:
@@ -91,7 +110,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for _, data, bounds in rolling.chunks(batch):
                 hashes, _, _ = shingles(data, bounds)
-                table += np.bincount(hashes & np.uint32(TABLE - 1), minlength=TABLE)
+                table += np.bincount((hashes & np.uint64(TABLE - 1)).astype(np.int64), minlength=TABLE)
         blocks = [(i, table[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) for i in range(TABLE // BLOCK)] if table.any() else []
         yield pa.RecordBatch.from_arrays([pa.array([b[0] for b in blocks], pa.int32()), pa.array([b[1] for b in blocks], pa.binary())], names=["block", "counts"])
 
@@ -115,13 +134,13 @@ def rarity(frequencies: np.ndarray, documents: int) -> np.ndarray:
 
 
 def weights(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return (1 + np.log(counts.astype(np.float32))) * idf[hashes & np.uint32(TABLE - 1)]
+    return (1 + np.log(counts.astype(np.float32))) * idf[(hashes & np.uint64(TABLE - 1)).astype(np.int64)]
 
 
 def weighted_samples(hashes: np.ndarray, weight: np.ndarray, cuts: np.ndarray, seeds: np.ndarray = _SEEDS[:SAMPLES]) -> np.ndarray:
     """A consistent weighted sample by each of ``seeds`` for each text that has shingles, as 32-bit names."""
     logs = np.log(weight)
-    x = rolling.mix(hashes.astype(np.uint64) + np.uint64(1))
+    x = rolling.mix(hashes + np.uint64(1))
     starts, sizes = cuts[:-1], np.diff(cuts)
     out = np.zeros((len(starts), len(seeds)), dtype=np.uint32)
     for k in range(len(seeds)):
@@ -152,8 +171,16 @@ def near(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) ->
     return max(similarity(a, b)) >= THRESHOLD
 
 
+def _agree(a: tuple[np.ndarray, bytes], b: tuple[np.ndarray, bytes]) -> bool:
+    """Whether texts of few shingles share as many of them by the second hash as by the first: (hashes, second hashes) each."""
+    if not a[1] or not b[1]:
+        return True
+    seconds = [np.frombuffer(x[1], "<u8") for x in (a, b)]
+    return len(np.intersect1d(*seconds)) == len(np.intersect1d(a[0], b[0]))
+
+
 def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """key, doc_id, the 128-bit class of the shingles, samples and bands. docs: key, doc_id, text."""
+    """key, doc_id, the class (digest of the words), samples and bands. docs: key, doc_id, text."""
     schema = "key string, doc_id long, class string, samples binary, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,10 +189,8 @@ def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 hashes, counts, cuts = shingles(data, bounds)
                 full = np.flatnonzero(np.diff(cuts))
                 own = np.append(cuts[full], len(hashes))
-                code = rolling.mix(hashes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + counts.astype(np.uint64))
                 names, samples, bands = ([None] * rows.num_rows for _ in range(3))
                 if len(full):
-                    low, high = np.add.reduceat(code, own[:-1]), np.add.reduceat(rolling.mix(code), own[:-1])
                     plain = weighted_samples(hashes, np.ones(len(hashes), np.float32), own, _SEEDS[SAMPLES:])
                     drawn = np.hstack([weighted_samples(hashes, weights(hashes, counts, idf), own), plain])
                     band = np.zeros((len(full), 2 * BANDS), dtype=np.uint64)
@@ -173,7 +198,7 @@ def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                         for r in range(ROWS):
                             band[:, b] = rolling.mix(band[:, b] * np.uint64(31) + drawn[:, b * ROWS + r] + np.uint64(b + 1))
                     for i, text in enumerate(full):
-                        names[text] = f"{low[i]:016x}{high[i]:016x}"
+                        names[text] = hashlib.sha256(b" ".join(data[bounds[text] : bounds[text + 1]].tobytes().split())).hexdigest()
                         samples[text], bands[text] = drawn[i].tobytes(), band[i].astype(np.int64)
                 columns = [rows.column("key"), rows.column("doc_id").cast(pa.int64()), pa.array(names, pa.string())]
                 columns += [pa.array(samples, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
@@ -182,8 +207,11 @@ def _signed(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     return docs.select("key", "doc_id", "text").mapInArrow(run, schema)
 
 
+_VECTOR = ("hashes", "counts", "second")
+
+
 def _vectors(texts: DataFrame) -> DataFrame:
-    """node, hashes and counts of the texts to verify. texts: node, text."""
+    """node, hashes and counts of the texts to verify, and second hashes of those with few shingles. texts: node, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,24 +219,31 @@ def _vectors(texts: DataFrame) -> DataFrame:
                 hashes, counts, cuts = shingles(data, bounds)
                 each = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 blobs = [pa.array([x[s].tobytes() for s in each], pa.binary()) for x in (hashes, counts)]
-                yield pa.RecordBatch.from_arrays([rows.column("node"), *blobs], names=["node", "hashes", "counts"])
+                second = [b""] * len(each)
+                for i in np.flatnonzero(np.diff(cuts) <= FEW):
+                    text = data[bounds[i] : bounds[i + 1]]
+                    second[i] = shingles(text, np.array([0, len(text)]), _BASES[1])[0].tobytes()
+                yield pa.RecordBatch.from_arrays([rows.column("node"), *blobs, pa.array(second, pa.binary())], names=["node", *_VECTOR])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, hashes binary, counts binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, hashes binary, counts binary, second binary")
 
 
 def _read(hashes: bytes, counts: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    own = np.frombuffer(hashes, np.uint32)
+    own = np.frombuffer(hashes, "<u8")
     return own, weights(own, np.frombuffer(counts, np.uint32), idf)
 
 
 def _verified(pairs: DataFrame, idf: np.ndarray) -> DataFrame:
     """The links of ``pairs`` (a, b with their vectors) whose similarity reaches the threshold."""
 
+    def good(p: bytes, q: bytes, x: bytes, r: bytes, s: bytes, y: bytes) -> bool:
+        a, b = _read(p, q, idf), _read(r, s, idf)
+        return near(a, b) and _agree((a[0], x), (b[0], y))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("a_hashes", "a_counts", "b_hashes", "b_counts")]
-            good = [near(_read(p, q, idf), _read(r, s, idf)) for p, q, r, s in zip(*columns, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            columns = [batch.column(f"{side}_{c}").to_pylist() for side in ("a", "b") for c in _VECTOR]
+            yield batch.select(["a", "b"]).filter(pa.array([good(*x) for x in zip(*columns, strict=True)], pa.bool_()))
 
     return pairs.mapInArrow(run, "a long, b long")
 
@@ -251,7 +286,8 @@ def _joined(group: pd.DataFrame, idf: np.ndarray) -> list[tuple[int, int]]:
     """
     drawn = np.array([np.frombuffer(x, np.uint32) for x in group["samples"]])
     clusters, nodes, tiles = (group[c].to_numpy() for c in ("cluster", "node", "tile"))
-    hashes = [np.frombuffer(x, np.uint32) for x in group["hashes"]]
+    hashes = [np.frombuffer(x, "<u8") for x in group["hashes"]]
+    seconds = group["second"].to_list()
     counts = [np.frombuffer(x, np.uint32) for x in group["counts"]]
     sizes, once = np.array([len(h) for h in hashes]), np.array([c.max() == 1 for c in counts])
     common, alone = _common(hashes), tiles[0] == tiles[-1]
@@ -270,13 +306,15 @@ def _joined(group: pd.DataFrame, idf: np.ndarray) -> list[tuple[int, int]]:
                         read[k] = hashes[k], weights(hashes[k], counts[k], idf)
                 if not near(read[i], read[j]):
                     continue
+            if not _agree((hashes[i], seconds[i]), (hashes[j], seconds[j])):
+                continue
             sets.join(clusters[i], clusters[j])
             links.append((nodes[i], nodes[j]))
     return links
 
 
 def _across(members: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Verified links between clusters that share a band. members: band, tile, tiles, node, cluster, samples by weight, hashes, counts.
+    """Verified links between clusters that share a band. members: band, tile, tiles, node, cluster, samples by weight, hashes, counts, second.
 
     A unit of work is a tile or a pair of tiles; units are dealt by hash, some to each group.
     """
@@ -323,7 +361,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     pairs = materialise(pairs.filter((weighted >= LEAST) | (plain >= LEAST)).select("a", "b"), "near-pairs")
     for side in ("a", "b"):
-        pairs = pairs.join(vectors.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("hashes", "counts")]), side)
+        pairs = pairs.join(vectors.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in _VECTOR]), side)
     links = materialise(_verified(pairs, idf), "verified")
 
     clusters = materialise(components(links).withColumnRenamed("component", "cluster"), "clusters")

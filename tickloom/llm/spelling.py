@@ -36,6 +36,8 @@ from tickloom.llm.tables import materialise, private, small_batches
 LEAST, OCCURRENCES, RATIO = 6, 5, 5
 #: Different words that a task counts before it hands them on.
 HELD = 300_000
+#: Words of a level that one task handles: the deep levels have few, and need no shuffle then.
+FEW = 50_000
 _LETTERS = "[A-Za-zÀ-ÿ]"
 
 
@@ -136,12 +138,14 @@ def neighbours(words: DataFrame) -> DataFrame:
     shared = roots.groupBy("way", "prefix").agg(F.min("key").alias("node"), F.count("*").alias("words")).filter("words > 1")
     active = materialise(roots.join(shared.drop("words"), ["way", "prefix"]).select("way", "node", "key", "middle"), "trie-words")
     states, found = None, []
-    while not active.isEmpty():
+    while n := active.count():
+        if n <= FEW:
+            active = active.coalesce(1)
         edges = materialise(_edges(active, level), "trie-edges")
         moved = _spent(active, edges, level)
         if states is not None:
             moved = moved.union(_followed(states, edges, level))
-        moved = materialise(moved.distinct(), "frontier")
+        moved = materialise(moved, "frontier")
         found.append(moved.filter("other is not null").select("way", "key", "other"))
         states = moved.filter("other is null").select("way", "node", "key", "at")
         shared = edges.filter("words > 1").select("way", "node", "letter", "child")
