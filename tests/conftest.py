@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "6g")
+        .config("spark.python.unix.domain.socket.enabled", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickloom-checkpoint-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tickloom-warehouse-"))
         .getOrCreate()

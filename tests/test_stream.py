@@ -15,7 +15,7 @@ from tickloom.schema import TICK, TOPIC
 from tickloom.sinks.topic import topic_records, write_topic
 from tickloom.sources.messages import stream_messages
 from tickloom.sources.table import read_table
-from tickloom.sources.topic import as_arrivals, stream_topic
+from tickloom.sources.topic import as_arrivals, positions, read_topic, stream_topic
 from tickloom.sinks.table import write_batch
 from tickloom.streaming.job import TAIL_SCHEMA, IngestJob, StreamJob, WindowTail, publish, run, start, trigger_options
 
@@ -253,6 +253,31 @@ def test_handler_sees_every_message(spark, tmp_path):
     assert sorted(seen) == ["one", "two"]
 
 
+def test_batches_of_a_folder_have_bounded_rows(spark, tmp_path):
+    flush, sizes = FlushParams(rows=7), []
+    records = topic_records(ticks(spark, [("X", 1, 1, n * 1_000_000, n) for n in range(40)]))
+    write_topic(records.repartition(2), f"{tmp_path}/topic", flush)
+    query = publish(
+        as_arrivals(stream_topic(spark, f"{tmp_path}/topic", flush=flush)), lambda batch, _: sizes.append(batch.count()), f"{tmp_path}/checkpoint", drain=True
+    )
+    query.awaitTermination()
+    assert sum(sizes) == 40 and max(sizes) <= 7
+
+
+def test_start_positions_of_a_folder(spark, tmp_path):
+    path, seen = f"{tmp_path}/topic", []
+    write_topic(topic_records(ticks(spark, [("X", 1, 1, n, n) for n in range(5)])), path)
+    partition = read_topic(spark, path).first()["partition"]
+    assert positions(spark, path) == {partition: 5}
+    sources = {"latest": stream_topic(spark, path, starting="latest"), "third": stream_topic(spark, path, starting={partition: 3, 99: 0})}
+    write_topic(topic_records(ticks(spark, [("X", 1, 1, n, n) for n in range(5, 8)])), path)
+    for name, source in sources.items():
+        publish(source, lambda batch, _: seen.extend((name, r["offset"]) for r in batch.collect()), f"{tmp_path}/{name}", drain=True).awaitTermination()
+    assert sorted(seen) == [("latest", 5), ("latest", 6), ("latest", 7)] + [("third", n) for n in range(3, 8)]
+    with pytest.raises(ValueError, match="starting"):
+        stream_topic(spark, path, starting="last")
+
+
 def test_rows_leave_one_for_one(spark, tmp_path):
     run = Setup(spark, tmp_path)
     run.drain([("X", 1, 1, 0, n) for n in range(5)])

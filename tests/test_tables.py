@@ -1,5 +1,6 @@
 import json
 import os
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,10 +14,10 @@ from tickloom.plans.pipeline import Job, process, run_batch, sinks_from_settings
 from tickloom import files
 from tickloom.schema import REJECT, STORED, TICK, TOPIC
 from tickloom.session import scratch, shared_folder
-from tickloom.sinks.table import compact, compact_days, market_ticks, replace_batch, stored_rows, with_iso_time, write_batch, write_days
+from tickloom.sinks.table import archive_days, drop_archived, market_ticks, stored_rows, with_iso_time, write_batch, write_days
 from tickloom.sinks.topic import kafka_sink_options, topic_records, write_topic
 from tickloom.sources.messages import read_messages
-from tickloom.sources.table import anomaly_scan, range_scan, read_table
+from tickloom.sources.table import anomaly_scan, archived_days, range_scan, read_history, read_table
 from tickloom.sources.topic import as_arrivals, kafka_source_options, read_topic
 
 
@@ -111,37 +112,66 @@ def test_rewritten_batch_replaces_itself(spark, processed, tmp_path):
         write_days(stored_rows(processed), path, 0)
     write_days(stored_rows(processed), path, 1)
     assert read_table(spark, path).count() == 240
-    names = [p.name for p in (tmp_path / "days").rglob("*.parquet")]
-    assert {n[:18] for n in names} == {"batch-000000000000", "batch-000000000001"}
-    assert not list((tmp_path / "days").rglob("*batch_id*")) and not list((tmp_path / "days").rglob("_pending*"))
-
-
-def test_files_of_a_day_are_bounded(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    row = spark.createDataFrame([("X", 1.0, "2026-01-01", 0)], "symbol string, price double, partition_key string, is_anomaly int")
-    for batch in range(20):
-        replace_batch(row.withColumn("price", F.lit(float(batch))), path, batch, ["partition_key", "is_anomaly"], most_files=5)
-        replace_batch(row.withColumn("price", F.lit(float(batch))), path, batch, ["partition_key", "is_anomaly"], most_files=5)  # a retry
-        assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 6
-        assert sorted(r["price"] for r in spark.read.parquet(path).collect()) == [float(b) for b in range(batch + 1)]
-    compact_days(spark, path, "2026-01-01")
-    assert len(list((tmp_path / "t").rglob("*.parquet"))) > 1
-    compact_days(spark, path, "2026-01-02")
-    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 1
-    assert spark.read.parquet(path).count() == 20
-
-
-def test_interrupted_merge_is_finished(spark, tmp_path, monkeypatch):
-    path = f"{tmp_path}/t"
-    rows = spark.createDataFrame([(1,), (2,)], "v int")
+    assert sorted(p.name for p in (tmp_path / "days").iterdir()) == ["batch=0", "batch=1"]
+    assert not list((tmp_path / "days").rglob("_temporary*")) and "batch" not in read_table(spark, path).columns
+
+
+def plain(rows):
+    return sorted(str(tuple(r[c] for c in sorted(rows.columns))) for r in rows.collect())
+
+
+def test_readers_see_every_row_while_days_are_archived(spark, processed, tmp_path):
+    path, archive = f"{tmp_path}/days", f"{tmp_path}/archive"
+    stored = stored_rows(processed)
     for batch in range(4):
-        write_batch(rows, path, batch)
-    monkeypatch.setattr(files, "move", lambda *_: (_ for _ in ()).throw(OSError("down")))
-    with pytest.raises(OSError):
-        compact(spark, path)
-    monkeypatch.undo()
-    compact(spark, path)
-    assert spark.read.parquet(path).count() == 8 and len(list((tmp_path / "t").rglob("*.parquet"))) == 1
+        write_days(stored.filter(F.pmod(F.hash("trade_time", "symbol"), F.lit(4)) == batch), path, batch)
+    want, seen, stop = plain(stored), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append((plain(read_table(spark, path)), plain(read_history(spark, path, archive))))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for day in ("2026-01-02", "2026-01-02", "2026-01-03"):
+            archive_days(spark, path, archive, day)
+    finally:
+        stop.set()
+        reader.join()
+    assert len(seen) > 1 and all(a == b == want for a, b in seen)
+    assert archived_days(spark, archive) == {"2026-01-01": 3, "2026-01-02": 3}
+    assert drop_archived(spark, path, archive) == []  # every batch has rows of later days
+    archive_days(spark, path, archive, "2027-01-01")
+    assert drop_archived(spark, path, archive) == [0, 1, 2, 3]
+    assert plain(read_history(spark, path, archive)) == want
+    assert len(list((tmp_path / "archive").rglob("*.parquet"))) <= 8
+
+
+def test_late_ticks_of_archived_days_are_kept(spark, processed, tmp_path):
+    path, archive = f"{tmp_path}/days", f"{tmp_path}/archive"
+    stored = stored_rows(processed)
+    first, second = (stored.filter(f"partition_key = '2026-01-0{d}'") for d in (1, 2))
+    late = first.orderBy("trade_time", "symbol").limit(1)
+    write_days(first.exceptAll(late), path, 0)
+    archive_days(spark, path, archive, "2026-01-02")
+    write_days(late, path, 1)
+    assert drop_archived(spark, path, archive) == [0]
+    write_days(second, path, 2)
+    archive_days(spark, path, archive, "2026-01-03")
+    assert drop_archived(spark, path, archive) == [2]
+    assert plain(read_history(spark, path, archive)) == plain(first.unionByName(second))
+    found = read_history(spark, path, archive).filter("partition_key = '2026-01-02'")
+    assert not [r[0] for r in found.select(F.input_file_name()).distinct().collect() if "batch=" in r[0]]
+
+
+def test_what_is_not_committed_does_not_count(spark, processed, tmp_path):
+    path, archive = f"{tmp_path}/days", f"{tmp_path}/archive"
+    write_days(stored_rows(processed), path, 0)
+    archive_days(spark, path, archive, "2026-01-02")
+    (tmp_path / "archive" / "archived=1" / "_SUCCESS").unlink()
+    assert archived_days(spark, archive) == {} and drop_archived(spark, path, archive) == []
+    assert plain(read_history(spark, path, archive)) == plain(stored_rows(processed))
 
 
 def test_anomaly_scan_reads_flagged_files_only(spark, processed, tmp_path):
@@ -162,8 +192,8 @@ def test_batch_job_writes_every_output(spark, ticks, tmp_path):
     for _ in range(2):  # a repeated run leaves no duplicates
         run_batch(records, sinks, 7, job)
     assert read_table(spark, f"{tmp_path}/processed_ticks").count() == 120
-    assert spark.read.parquet(f"{tmp_path}/anomaly_events").count() == 2
-    refused = spark.read.parquet(f"{tmp_path}/rejects")
+    assert read_table(spark, f"{tmp_path}/anomaly_events").count() == 2
+    refused = read_table(spark, f"{tmp_path}/rejects")
     assert refused.dtypes == [(f.name, f.dataType.simpleString()) for f in REJECT]
     assert sorted((r["reject_reason"], r["value"]) for r in refused.collect()) == [("bad_json", b"nope"), ("null_value", None)]
     left = files.names(spark, os.path.dirname(scratch(spark, "x")))

@@ -1,4 +1,4 @@
-"""Files of a table, through the Hadoop file system that Spark itself uses."""
+"""Files and folders, through the Hadoop file system that Spark itself uses."""
 
 from __future__ import annotations
 
@@ -16,18 +16,6 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(x.getPath().getName() for x in files.listStatus(path)) if files.exists(path) else []
 
 
-def sizes(spark: SparkSession, folder: str) -> dict[str, int]:
-    """Bytes of each file in a folder, by name."""
-    path, files = _at(spark, folder)
-    return {x.getPath().getName(): x.getLen() for x in files.listStatus(path)} if files.exists(path) else {}
-
-
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Full paths that match a pattern with ``*``, sorted."""
-    path, files = _at(spark, pattern)
-    return sorted(x.getPath().toString() for x in files.globStatus(path) or [])
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     path, files = _at(spark, path)
     return files.exists(path)
@@ -49,13 +37,6 @@ def delete_at_end(spark: SparkSession, name: str) -> None:
     files.deleteOnExit(path)
 
 
-def move(spark: SparkSession, old: str, new: str) -> None:
-    source, files = _at(spark, old)
-    target, _ = _at(spark, new)
-    if not files.rename(source, target):
-        raise OSError(f"could not move {old} to {new}")
-
-
 def write_text(spark: SparkSession, name: str, text: str) -> None:
     path, files = _at(spark, name)
     out = files.create(path, True)

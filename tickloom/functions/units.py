@@ -2,7 +2,8 @@
 
 Values that are whole multiples of 10^-scale, for the scales the caller names, are counted in those
 units. Otherwise each symbol gets a power of ten of its own from its largest value, so that ``DIGITS``
-digits of it count. Any finite value above 0 has a place; nothing is refused.
+digits of it count. Where that would lose a small value beside a large one, or sums over that many ticks
+could outgrow DECIMAL(38), there are no such units, and sums are taken exactly (``operators.exact``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from tickloom.params import WindowParams
 from tickloom.session import materialise
 
 DIGITS = 15
+#: Largest over smallest value of a symbol up to which it has units: the smallest keeps 6 digits or more.
+SPREAD = 1e9
+#: Ticks of a symbol whose sums of squares of ``DIGITS`` digits fit DECIMAL(38).
+FIT = 90_000_000
 _LOWEST, _HIGHEST = -290, 300
 
 
@@ -28,6 +33,7 @@ class Units:
     top_quantity: int
     fixed: tuple[int, int] | None  # the scales of price and quantity that all symbols share, if they do
     scales: DataFrame | None = None  # otherwise the factors of each symbol
+    exact: bool = False  # no units would do
 
     def scaled(self, text: str) -> str:
         return f"{text} / _times * _over" if self.fixed is None else f"{text} / {float(10 ** self.fixed[0])!r}D"
@@ -61,16 +67,20 @@ def survey(ticks: DataFrame, params: WindowParams) -> Units:
         F.count("*").alias("n"),
         F.max(price).alias("top_price"),
         F.max(quantity).alias("top_quantity"),
+        F.greatest(F.max(price) / F.min(price), F.max(quantity) / F.min(quantity)).alias("spread"),
         (_whole(price, params.price_scale) & _whole(quantity, params.quantity_scale)).alias("whole"),
     )
     found = symbols.agg(
-        F.sum("n").alias("rows"), F.max("n").alias("most"), F.max("top_price").alias("p"), F.max("top_quantity").alias("q"), F.bool_and("whole").alias("whole")
+        F.sum("n").alias("rows"), F.max("n").alias("most"), F.max("top_price").alias("p"), F.max("top_quantity").alias("q"), F.bool_and("whole").alias("whole"),
+        F.max("spread").alias("spread"),
     ).first()
     rows, most = found["rows"] or 0, found["most"] or 0
     top_price, top_quantity = (found["p"] or 0.0) * 10**params.price_scale, (found["q"] or 0.0) * 10**params.quantity_scale
     limit = 10**DIGITS
     if not rows or (found["whole"] and top_price <= limit and top_quantity <= limit):
         return Units(rows, most, round(top_price), round(top_quantity), (params.price_scale, params.quantity_scale))
+    if found["spread"] > SPREAD or most > FIT:
+        return Units(rows, most, limit, limit, None, exact=True)
     scales = materialise(symbols.select("symbol", *_factors(F.col("top_price"), "_"), *_factors(F.col("top_quantity"), "_q")), "scales")
     return Units(rows, most, limit, limit, None, scales)
 

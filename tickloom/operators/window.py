@@ -8,15 +8,18 @@ whole-number sums, so the subtraction loses nothing.
 
 When a symbol is hot, ticks are cut into slices (see ``slices``). There every tick is two rows, one when
 it comes in and one when it leaves, and the window is a single running sum over both, on top of what
-earlier slices hand on.
+earlier slices hand on. Values too far apart for common units take a way of their own (see ``exact``).
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.functions.exact import Sums, binary_text
 from tickloom.functions.stats import WIDE, with_stats
 from tickloom.functions.units import Units, in_units, survey
+from tickloom.operators.exact import exact_windows
 from tickloom.operators.running import running_max
 from tickloom.operators.slices import carry_in, cut
 from tickloom.params import ARRIVAL, WindowParams
@@ -51,7 +54,7 @@ def _sum_types(units: Units) -> dict[str, str]:
     return {name: "bigint" if units.most * largest[name] < 2**62 else wide for name, wide in WIDE.items()}
 
 
-def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataFrame:
+def rolling_stats(ticks: DataFrame, params: WindowParams | None = None, stored_by_symbol: bool = False) -> DataFrame:
     """Add a ``stats`` struct to every tick; one output row per input row.
 
     ``ticks`` needs symbol, price, quantity, trade_time and a per-symbol unique ``seq`` (arrival
@@ -61,6 +64,9 @@ def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataF
 
     The call itself runs small planning jobs over ``ticks`` (and writes the slices of hot symbols), and
     the result reads them again: give it a stored table, or something that reads the same every time.
+
+    ``stored_by_symbol``: ``ticks`` reads a table that is bucketed by symbol (``sinks.table.write_by_symbol``), so
+    that the window needs no shuffle as long as no symbol is cut into slices.
     """
     params = params or WindowParams()
     if params.mode == ARRIVAL:
@@ -69,7 +75,7 @@ def rolling_stats(ticks: DataFrame, params: WindowParams | None = None) -> DataF
             clocked = materialise(clocked, "arrival")
     else:
         clocked = ticks.withColumn("_at", F.unix_micros("trade_time"))
-    return rolling_by_clock(clocked, ticks.columns, params)
+    return rolling_by_clock(clocked, ticks.columns, params, stored_by_symbol=stored_by_symbol)
 
 
 def arrival_clock(ticks: DataFrame, params: WindowParams, most: int | None = None) -> tuple[DataFrame, bool]:
@@ -85,10 +91,34 @@ def arrival_clock(ticks: DataFrame, params: WindowParams, most: int | None = Non
     return clocked.drop("_time"), sliced
 
 
-def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParams, units: Units | None = None) -> DataFrame:
+def exact_sums(ticks: DataFrame, params: WindowParams | None = None) -> DataFrame:
+    """symbol, seq and the window's n and sums of price, price squared, price times quantity and quantity, as exact decimal text
+    (``s1``, ``s2``, ``pv``, ``qv``); whatever the values' sizes. Modes as in ``rolling_stats``."""
+    params = params or WindowParams()
+    clocked = arrival_clock(ticks, params)[0] if params.mode == ARRIVAL else ticks.withColumn("_at", F.unix_micros("trade_time"))
+    found = exact_windows(clocked, params, clocked.count(), (F.col("_at"), F.col("seq").cast("bigint")))
+    shift = {"s1": Sums.FINE, "s2": 2 * Sums.FINE, "pv": 2 * Sums.FINE, "qv": Sums.FINE}
+
+    @F.pandas_udf("string")
+    def decimal(values: pd.Series, bits: pd.Series) -> pd.Series:
+        return pd.Series([binary_text(int(v), b) for v, b in zip(values, bits, strict=True)])
+
+    sums = [decimal(F.col("sums")[i + 1], F.lit(bits)).alias(name) for i, (name, bits) in enumerate(shift.items())]
+    return found.select("symbol", F.col("_seq").alias("seq"), F.col("sample_count").alias("n"), *sums)
+
+
+def rolling_by_clock(
+    clocked: DataFrame, columns: list[str], params: WindowParams, units: Units | None = None, stored_by_symbol: bool = False
+) -> DataFrame:
     """``rolling_stats`` over ticks that already carry their clock ``_at`` in microseconds, and whose
     ``units`` may be known."""
     units = units or survey(clocked, params)
+    if units.exact:
+        seq = F.col("seq").cast("bigint")
+        found = exact_windows(clocked, params, units.rows, (F.col("_at"), seq)).withColumnsRenamed({"symbol": "_symbol"})
+        met = clocked.join(found, (clocked["symbol"] == F.col("_symbol")) & (seq == F.col("_seq")))
+        stats = F.struct("vwap", "mean_price", "stdev_price", "sample_count", F.lit(float(params.window_seconds)).alias("window_seconds"))
+        return met.select(*[clocked[c] for c in columns], stats.alias("stats"))
     scale = units.columns
     ticks = in_units(clocked, units).select(
         "symbol",
@@ -100,7 +130,10 @@ def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParam
         *scale,
     )
     types = _sum_types(units)
-    windowed = _whole(ticks, types, params) if units.most <= params.rows_per_slice else _sliced(ticks, units, types, params)
+    if units.most <= params.rows_per_slice:
+        windowed = _whole(ticks if stored_by_symbol else ticks.repartition("symbol"), types, params)
+    else:
+        windowed = _sliced(ticks, units, types, params)
     windowed = windowed.select("symbol", "tick", *scale, *[F.col(f"_{name}") for name in types])
     out = [F.col(c if c == "symbol" else f"tick.{c}") for c in columns]
     return with_stats(windowed, types, units, params.window_seconds).select(*out, "stats")
@@ -108,12 +141,11 @@ def rolling_by_clock(clocked: DataFrame, columns: list[str], params: WindowParam
 
 def _whole(ticks: DataFrame, types: dict[str, str], params: WindowParams) -> DataFrame:
     """Window sums where every symbol is one group: what came in, less what had by one window ago."""
-    rows = ticks.repartition("symbol")
     so_far = Window.partitionBy("symbol").orderBy("_at", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     came_in = F.struct(*[F.sum(value).over(so_far).alias(name) for name, value in tick_measures(types).items()])
     # The running sum one window ago is the largest (by count) among the ticks before that time.
     one_window_ago = Window.partitionBy("symbol").orderBy("_at").rangeBetween(Window.unboundedPreceding, -params.window_us - 1)
-    summed = rows.withColumn("_in", came_in).withColumn("_gone", F.max("_in").over(one_window_ago))
+    summed = ticks.withColumn("_in", came_in).withColumn("_gone", F.max("_in").over(one_window_ago))
     none = F.lit(0)
     return summed.withColumns(
         {f"_{name}": (F.col(f"_in.{name}") - F.coalesce(F.col(f"_gone.{name}"), none.cast(kind))).cast(kind) for name, kind in types.items()}

@@ -282,3 +282,25 @@ ORACLE |= {
     "arrival_stats_sliced": ORACLE["arrival_stats"],
     "percentiles_sliced": ORACLE["latency_percentiles"],
 }
+
+ORACLE |= {
+    "archived_days": ORACLE["stored_table"],
+    "rolling_stats_by_symbol": ORACLE["rolling_stats_events"],
+    "rolling_sums_exact": f"""WITH {windowed(EVENT_TICKS.replace("value AS price", "round(value * 100) * CASE WHEN event_id % 2 = 1 THEN 1073741824.0::DOUBLE ELSE 1.0::DOUBLE END AS price"), DAY_US).replace("round(price * 100)", "price")}
+SELECT symbol, seq, n, s1::VARCHAR AS s1, s2::VARCHAR AS s2, pv::VARCHAR AS pv, qv::VARCHAR AS qv FROM w""",
+    "latency_sketch": f"""WITH {SHUFFLED_TICKS}
+SELECT symbol, count(*) AS n, quantile, true AS within_bound FROM ticks CROSS JOIN (VALUES ('p50'), ('p95'), ('p99')) q(quantile) GROUP BY symbol, quantile""",
+    "stream_stateful": ORACLE["stream_processed"],
+    "stream_stateful_late": ORACLE["stream_late"],
+    "snapshot_state": ORACLE["snapshot_arrival"],
+    "stream_idle": ORACLE["stream_event_time"],
+    # A watermark has whole milliseconds; ticks it has not reached are held.
+    "stream_watermark": f"""WITH {SCORED} SELECT {STORED_COLUMNS}, trade_time FROM p
+QUALIFY epoch_us(trade_time) <= (max(epoch_us(trade_time)) OVER () // 1000) * 1000 - {WEEK_US}""",
+    "stream_counts": f"""WITH {MESSAGE_FIELDS}, {CANONICAL_REASON}
+SELECT coalesce(reject_reason, 'emit') AS outcome, count(*) AS messages FROM r GROUP BY 1""",
+    "stream_around": f"""WITH {SCORED}
+SELECT e.trade_time AS "timestamp", e.price AS triggering_price, e.seq AS event_seq, t.symbol, t.price, t.quantity, t.trade_time, t.seq
+FROM p e JOIN p t ON e.symbol = t.symbol AND e.is_anomaly
+  AND t.trade_time BETWEEN e.trade_time - INTERVAL 1 HOUR AND e.trade_time + INTERVAL 30 MINUTE""",
+}

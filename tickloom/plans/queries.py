@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 from functools import wraps
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.symbols import allow_symbols, symbol_list, symbol_list_column
 from tickloom.operators.anomaly import anomaly_events, anomaly_log, zscore_anomaly
 from tickloom.operators.percentiles import percentiles
 from tickloom.operators.quality import parse_canonical, parse_exchange, reject_counts, valid_ticks
+from tickloom.operators.running import running_sum
+from tickloom.operators.sketches import RANK_ERROR, merged_percentiles, minute_sketches
 from tickloom.operators.snapshot import snapshot
-from tickloom.operators.window import arrival_clock, rolling_stats
+from tickloom.operators.window import arrival_clock, exact_sums, rolling_stats
 from tickloom.params import ARRIVAL, WindowParams
 from tickloom.plans.pipeline import Job, process, run_batch, table_sinks
 from tickloom.plans.tables import (
     canonical_messages, event_ticks, exchange_messages, order_ticks, read_table, shuffled_event_ticks,
 )
-from tickloom.session import prepare, scratch
-from tickloom.sinks.table import market_ticks, stored_rows, with_iso_time, write_days
+from tickloom.session import materialise, prepare, scratch
+from tickloom.sinks.table import archive_days, drop_archived, market_ticks, stored_rows, with_iso_time, write_by_symbol, write_days
 from tickloom.sinks.topic import topic_records, write_topic
 from tickloom.sources.messages import read_messages
-from tickloom.sources.table import anomaly_scan, range_scan
+from tickloom.sources.table import anomaly_scan, range_scan, read_history
 from tickloom.sources.table import read_table as read_day_table
 from tickloom.sources.topic import as_arrivals, read_topic, stream_topic
+from tickloom.streaming.around import around_anomalies
 from tickloom.streaming.job import StreamJob, WindowTail, start
+from tickloom.streaming.metrics import counts_of
+from tickloom.streaming.stateful import StatefulJob, state_snapshot, until_idle
 
 DAY, WEEK = 86_400.0, 7 * 86_400.0
 EVENTS = WindowParams(window_seconds=DAY, price_scale=2, quantity_scale=0)
@@ -38,6 +44,8 @@ SLICE = 500
 SCAN_SYMBOL = "PURCHASE"
 SCAN_FROM, SCAN_TO = datetime(2024, 1, 10, 6), datetime(2024, 1, 12, 18)
 SETTINGS_SYMBOLS = " purchase, view ,,Click"
+#: Seconds that a stream of idle symbols is waited for.
+IDLE_LIMIT = 1800.0
 CHUNK_ENDS = (datetime(2024, 1, 11), datetime(2024, 1, 21))
 
 
@@ -63,15 +71,17 @@ def parse_exchange_query(spark, folder):
 
 
 def landed_messages(spark, folder):
-    """Messages landed as text in files of different sizes, read back in order of arrival and parsed."""
+    """Messages landed as text in files of different sizes, some written side by side, read back in order of arrival and parsed."""
     path, messages = scratch(spark, "landed"), exchange_messages(spark, folder)
     edges = [F.col("seq") < 20, (F.col("seq") >= 20) & (F.col("seq") < 500), F.col("seq") >= 500]
-    for edge in edges:
-        chunk = messages.filter(edge).repartitionByRange(1, "seq").sortWithinPartitions("seq")
-        chunk.select(F.coalesce("value", F.lit("")).alias("value")).write.mode("append").text(path)
-    ticks = valid_ticks(parse_exchange(read_messages(spark, path)), "seq")
-    arrival = F.row_number().over(Window.partitionBy("symbol").orderBy("seq")).cast("bigint")
-    return _flat(ticks.withColumn("arrival", arrival).drop("seq"))
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for step, (files, edge) in enumerate(zip((1, 2, many), edges)):
+        # Part files of one write are numbered in the order of their ranges.
+        chunk = messages.filter(edge).repartitionByRange(files, "seq").sortWithinPartitions("seq")
+        chunk.select(F.coalesce("value", F.lit("")).alias("value")).write.text(f"{path}/step={step}")
+    ticks = materialise(valid_ticks(parse_exchange(read_messages(spark, path, by_name=True)), "seq").withColumn("one", F.lit(1).cast("bigint")), "landed-ticks")
+    ranked, _ = running_sum(ticks, "symbol", "seq", "one", "arrival", EVENTS.rows_per_slice)
+    return _flat(ranked.withColumn("arrival", F.col("arrival").cast("bigint")).drop("seq", "one"))
 
 
 def quarantine(spark, folder):
@@ -93,9 +103,11 @@ def reject_counts_query(spark, folder):
 def topic_records_query(spark, folder):
     """Records as published; a key has one of three partitions."""
     records = topic_records(event_ticks(spark, folder))
-    value, key = F.col("value").cast("string"), Window.partitionBy("key")
-    return records.select(
-        F.col("key").cast("string").alias("key"),
+    value = F.col("value").cast("string")
+    one = (F.min("partition") == F.max("partition")).alias("one_partition")
+    places = records.groupBy(F.col("key").alias("_key")).agg(one)
+    return records.join(places, records["key"].eqNullSafe(places["_key"])).select(
+        records["key"].cast("string").alias("key"),
         F.get_json_object(value, "$.symbol").alias("symbol"),
         F.get_json_object(value, "$.price").cast("double").alias("price"),
         F.get_json_object(value, "$.quantity").cast("double").alias("quantity"),
@@ -105,7 +117,7 @@ def topic_records_query(spark, folder):
         "topic",
         "offset",
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
-        (F.min("partition").over(key) == F.max("partition").over(key)).alias("one_partition"),
+        "one_partition",
         F.col("partition").between(0, 2).alias("known_partition"),
     )
 
@@ -165,6 +177,18 @@ def arrival_stats_sliced(spark, folder):
     return _flat(rolling_stats(shuffled_event_ticks(spark, folder), replace(EVENTS_ARRIVAL, rows_per_slice=SLICE)).select("symbol", "seq", "stats"))
 
 
+def rolling_stats_by_symbol(spark, folder):
+    """Over a table that is bucketed by symbol: no exchange before the window."""
+    table = write_by_symbol(event_ticks(spark, folder), f"ticks_{uuid.uuid4().hex}", scratch(spark, "by-symbol"), 8)
+    return _flat(rolling_stats(table, EVENTS, stored_by_symbol=True).select("symbol", "seq", "stats"))
+
+
+def rolling_sums_exact(spark, folder):
+    """Sums where every second price is 2^30 times as large: no common units of 15 digits hold both."""
+    price = F.rint(F.col("price") * 100) * F.when(F.col("seq") % 2 == 1, float(1 << 30)).otherwise(1.0)
+    return exact_sums(event_ticks(spark, folder).withColumn("price", price), EVENTS)
+
+
 def zscore_query(spark, folder):
     scored = zscore_anomaly(rolling_stats(event_ticks(spark, folder), EVENTS))
     return scored.select("symbol", "seq", "zscore", "is_anomaly")
@@ -204,6 +228,18 @@ def anomaly_scan_query(spark, folder):
     return _flat(anomaly_scan(_day_table(spark, folder)))
 
 
+def archived_days(spark, folder):
+    """A table of three batches, of which the first days are archived and the first batch dropped, read as one with its archive."""
+    path, archive = scratch(spark, "days"), scratch(spark, "archive")
+    chunks = _by_time(stored_rows(_processed(spark, folder), "seq"))
+    for batch, chunk in enumerate(chunks[:2]):
+        write_days(chunk, path, batch)
+    archive_days(spark, path, archive, CHUNK_ENDS[0].strftime("%Y-%m-%d"))
+    drop_archived(spark, path, archive)
+    write_days(chunks[2], path, 2)
+    return _flat(read_history(spark, path, archive))
+
+
 def market_ticks_query(spark, folder):
     return _flat(market_ticks(_processed(spark, folder), "seq"))
 
@@ -230,6 +266,19 @@ def percentiles_sliced(spark, folder):
     return percentiles(late, "symbol", "late_us", rows_per_slice=SLICE)
 
 
+def latency_sketch(spark, folder):
+    """Percentiles of lateness from merged sketches of a minute each, and whether their exact ranks are within the bound."""
+    clocked, _ = arrival_clock(shuffled_event_ticks(spark, folder), EVENTS_ARRIVAL)
+    late = materialise(clocked.select("symbol", "trade_time", (F.col("_at") - F.unix_micros("trade_time")).alias("late_us")), "late")
+    sketches = materialise(minute_sketches(late, "symbol", "trade_time", "late_us"), "minute-sketches")
+    wide = merged_percentiles(sketches, "symbol")
+    found = wide.select("symbol", "n", F.inline(F.array(*[F.struct(F.lit(name).alias("quantile"), F.lit(q).alias("q"), F.col(name).alias("value")) for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])))
+    below, upto = F.count_if(F.col("late_us") < F.col("value")), F.count_if(F.col("late_us") <= F.col("value"))
+    ranks = late.join(F.broadcast(found), "symbol").groupBy("symbol", "n", "quantile", "q").agg(below.alias("below"), upto.alias("upto"))
+    near = (F.col("below") / F.col("n") <= F.col("q") + RANK_ERROR) & (F.col("upto") / F.col("n") >= F.col("q") - RANK_ERROR)
+    return ranks.select("symbol", "n", "quantile", near.alias("within_bound"))
+
+
 class _Stream:
     """A topic folder that grows step by step, and a streaming job over it that is drained after each step."""
 
@@ -306,6 +355,111 @@ def stream_retry(spark, folder):
     return stream.stored()
 
 
+class _Stateful:
+    """A topic folder that grows step by step, and the job whose window is keyed state."""
+
+    def __init__(self, spark: SparkSession, window: WindowParams, form: str = "canonical", **options):
+        self.spark = spark
+        self.topic, self.out, self.checkpoint = (scratch(spark, name) for name in ("topic", "out", "checkpoint"))
+        self.job = StatefulJob(table_sinks(self.out), Job(form=form, window=window), **options)
+        self.counts: list[dict[str, int]] = []
+
+    def records(self) -> DataFrame:
+        return as_arrivals(stream_topic(self.spark, self.topic))
+
+    def add(self, ticks: DataFrame) -> None:
+        write_topic(topic_records(ticks), self.topic)
+        self.drain()
+
+    def drain(self) -> None:
+        query = self.job.start(self.records(), self.checkpoint, drain=True)
+        query.awaitTermination()
+        self.counts += counts_of(query)
+
+    def stored(self) -> DataFrame:
+        return _flat(read_day_table(self.spark, f"{self.out}/processed_ticks"))
+
+
+def stream_stateful(spark, folder):
+    """Ticks in three steps, each a new query on the same state: in arrival mode every tick counts when it comes."""
+    stream = _Stateful(spark, EVENTS_ARRIVAL)
+    for chunk in _by_time(event_ticks(spark, folder)):
+        stream.add(chunk)
+    return stream.stored()
+
+
+def stream_stateful_late(spark, folder):
+    """In arrival mode, steps whose ticks are older than those of earlier steps."""
+    stream, ticks = _Stateful(spark, EVENTS_ARRIVAL), late_event_ticks(spark, folder)
+    for third in range(3):
+        stream.add(ticks.filter(F.floor(F.col("seq") / 1_000_000_000) == third))
+    return stream.stored()
+
+
+def snapshot_state(spark, folder):
+    """Each symbol's present window as the state holds it after two steps of ticks out of order."""
+    stream, ticks = _Stateful(spark, EVENTS_ARRIVAL), shuffled_event_ticks(spark, folder)
+    edge = F.lit(CHUNK_ENDS[0]).cast("timestamp_ntz")
+    first = ticks.filter(F.col("trade_time").cast("timestamp_ntz") < edge).agg(F.max("seq")).first()[0] or 0
+    stream.add(ticks.filter(F.col("seq") <= first))
+    stream.add(ticks.filter(F.col("seq") > first))
+    return _flat(state_snapshot(spark, stream.checkpoint, EVENTS_ARRIVAL))
+
+
+def stream_idle(spark, folder):
+    """Ticks held for a week of newer ones; when their symbol falls silent a timer puts out the rest and frees the state."""
+    stream = _Stateful(spark, EVENTS, lateness_seconds=WEEK, idle_seconds=5.0)
+    write_topic(topic_records(shuffled_event_ticks(spark, folder)), stream.topic)
+    query = stream.job.start(stream.records(), stream.checkpoint)
+    try:
+        until_idle(query, IDLE_LIMIT)
+    finally:
+        query.stop()
+    return stream.stored()
+
+
+def stream_watermark(spark, folder):
+    """Ticks in time order behind a watermark of a week, in three steps; the last week is still held."""
+    stream = _Stateful(spark, EVENTS, lateness_seconds=WEEK, watermark=True)
+    for chunk in _by_time(shuffled_event_ticks(spark, folder)):
+        stream.add(chunk)
+    return stream.stored()
+
+
+def stream_counts(spark, folder):
+    """A stream that holds malformed messages: what its batches counted while they ran, in sum, by reason."""
+    stream = _Stateful(spark, EVENTS_ARRIVAL)
+    messages = canonical_messages(spark, folder).select(
+        F.lit(None).cast("binary").alias("key"), "value", F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("seq").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+    for third in range(3):
+        write_topic(messages.filter(F.col("offset") % 3 == third), stream.topic)
+        stream.drain()
+    totals: dict[str, int] = {}
+    for counts in stream.counts:
+        for name, n in counts.items():
+            if name != "batch" and n:
+                totals[name] = totals.get(name, 0) + n
+    return spark.createDataFrame(list(totals.items()), "outcome string, messages bigint")
+
+
+def stream_around(spark, folder):
+    """Two streams, anomaly events and ticks, joined over an hour before to half an hour after, in three steps."""
+    ticks, events = scratch(spark, "ticks"), scratch(spark, "events")
+    out, checkpoint = scratch(spark, "around"), scratch(spark, "checkpoint")
+    processed = materialise(_processed(spark, folder), "processed")
+    shapes = processed.schema, anomaly_events(processed, None, "seq").schema
+    for chunk in _by_time(processed):
+        chunk.write.mode("append").parquet(ticks)
+        anomaly_events(chunk, None, "seq").write.mode("append").parquet(events)
+        left, right = (spark.readStream.schema(shape).parquet(path) for shape, path in zip(shapes[::-1], (events, ticks)))
+        met = around_anomalies(left, right.select("symbol", "price", "quantity", "trade_time", "seq"), 3600.0, 1800.0, DAY, "seq")
+        query = met.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        query.awaitTermination()
+    return _flat(spark.read.parquet(out))
+
+
 def batch_outputs(spark, folder):
     """The batch job over canonical messages: ticks, anomaly events and rejects as read back."""
     out = scratch(spark, "outputs")
@@ -316,7 +470,7 @@ def batch_outputs(spark, folder):
         at = at.cast("timestamp").cast("timestamp_ntz")
         return rows.select(F.lit(kind).alias("kind"), name.alias("name"), at.alias("at"), price.cast("double").alias("price"), z.cast("double").alias("z"))
 
-    ticks, events, refused = (spark.read.parquet(f"{out}/{name}") for name in ("processed_ticks", "anomaly_events", "rejects"))
+    ticks, events, refused = (read_day_table(spark, f"{out}/{name}") for name in ("processed_ticks", "anomaly_events", "rejects"))
     counts = refused.groupBy("reject_reason").count()
     return (
         shaped(ticks, "tick", F.col("symbol"), F.col("trade_time"), F.col("price"), F.col("anomaly_zscore"))
@@ -353,6 +507,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "rolling_stats_sliced": rolling_stats_sliced,
         "arrival_stats": arrival_stats,
         "arrival_stats_sliced": arrival_stats_sliced,
+        "rolling_stats_by_symbol": rolling_stats_by_symbol,
+        "rolling_sums_exact": rolling_sums_exact,
         "zscore": zscore_query,
         "processed_ticks": processed_ticks_query,
         "anomaly_events": anomaly_events_query,
@@ -361,6 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "stored_table": stored_table,
         "range_scan": range_scan_query,
         "anomaly_scan": anomaly_scan_query,
+        "archived_days": archived_days,
         "market_ticks": market_ticks_query,
         "snapshot": snapshot_query,
         "snapshot_arrival": snapshot_arrival,
@@ -371,5 +528,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "stream_late": stream_late,
         "stream_retry": stream_retry,
         "batch_outputs": batch_outputs,
+        "latency_sketch": latency_sketch,
+        "stream_stateful": stream_stateful,
+        "stream_stateful_late": stream_stateful_late,
+        "snapshot_state": snapshot_state,
+        "stream_idle": stream_idle,
+        "stream_watermark": stream_watermark,
+        "stream_counts": stream_counts,
+        "stream_around": stream_around,
     }.items()
 }

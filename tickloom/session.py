@@ -17,10 +17,14 @@ _held: ContextVar[list[str] | None] = ContextVar("held", default=None)
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the run-time options every plan here assumes, for the rest of the caller's session: UTC, ANSI
-    SQL and adaptive execution."""
+    SQL, adaptive execution, later members of one JSON name win, and the state store that keyed state needs."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
     return spark
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom import files
 from tickloom.functions.instants import day_key, iso_text
+from tickloom.sources.table import BATCH, archived_days, batches_of, read_batches
 
-#: Small files of one partition folder from which on those of earlier batches are merged, and what is small.
-MOST_FILES, SMALL = 16, 64 << 20
+#: Partition columns of the day table.
+DAYS = ("partition_key", "is_anomaly")
 
 
 def stored_rows(processed: DataFrame, *keep: str) -> DataFrame:
@@ -46,75 +47,63 @@ def write_days(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
 
     REBALANCE lets Spark size the files: small days share a task and a day holding much of the
     data is split over many. With ``batch_id`` the rows replace whatever an earlier attempt of the
-    same batch wrote, so a retried batch leaves no duplicates.
+    same batch wrote, so a retried batch leaves no duplicates. A table has either batches or not.
     """
-    by = ["partition_key", "is_anomaly"]
-    sized = rows.hint("rebalance", *by).sortWithinPartitions(*by, "symbol", "trade_time")
+    sized = _sized(rows)
     if batch_id is None:
-        sized.write.mode("append").partitionBy(*by).parquet(path)
+        sized.write.mode("append").partitionBy(*DAYS).parquet(path)
     else:
-        replace_batch(sized, path, batch_id, by)
+        sized.write.mode("overwrite").partitionBy(*DAYS).parquet(f"{path}/{batch_folder(batch_id)}")
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch to a table, replacing an earlier attempt."""
-    replace_batch(rows, path, batch_id, [])
+    rows.write.mode("overwrite").parquet(f"{path}/{batch_folder(batch_id)}")
 
 
-def replace_batch(rows: DataFrame, path: str, batch_id: int, by: list[str], most_files: int = MOST_FILES) -> None:
-    """Write a batch as files that carry its number, in the place of any that do already.
+def batch_folder(batch_id: int) -> str:
+    """Each batch has a folder of its own, which Spark's committer fills or replaces as a whole; its number is a partition column."""
+    return f"{BATCH}={batch_id}"
 
-    Rows go to a hidden folder first and are moved in by name, so there is no folder per batch. A
-    partition with more than ``most_files`` small files has those of earlier batches, which are
-    committed, merged (see ``compact``).
+
+def _sized(rows: DataFrame) -> DataFrame:
+    return rows.hint("rebalance", *DAYS).sortWithinPartitions(*DAYS, "symbol", "trade_time")
+
+
+def archive_days(spark: SparkSession, path: str, archive: str, before_day: str) -> None:
+    """Copy the days before ``before_day`` (text, like the day key) that are not archived yet to ``archive``, in few large files.
+
+    The table stays as it is, so its readers see every row throughout. Each call writes one folder, which counts once Spark
+    has committed it, and notes up to which batch its days go: ticks that come for them later are read from the
+    table (``sources.table.read_history``). ``drop_archived`` removes what the archive holds, when no reader needs it any more.
     """
-    spark = rows.sparkSession
-    pending, prefix = f"{path}/_pending-{batch_id}", f"batch-{batch_id:012d}-"
-    levels = "/*" * len(by)
-    rows.write.mode("overwrite").partitionBy(*by).parquet(pending)
-    for old in files.matching(spark, f"{path}{levels}/{prefix}*"):
-        files.delete(spark, old)
-    touched = set()
-    for number, new in enumerate(files.matching(spark, f"{pending}{levels}/part-*")):
-        folder = new.rpartition("/")[0].partition(f"/_pending-{batch_id}")[2]
-        if folder not in touched:
-            files.make_folder(spark, f"{path}{folder}")
-            touched.add(folder)
-        files.move(spark, new, f"{path}{folder}/{prefix}{number:05d}.parquet")
-    files.delete(spark, pending)
-    for folder in sorted(touched):
-        if sum(size < SMALL for size in files.sizes(spark, f"{path}{folder}").values()) > most_files:
-            compact(spark, f"{path}{folder}", before=batch_id)
-
-
-def compact(spark: SparkSession, folder: str, before: int | None = None) -> None:
-    """Merge the small files of one partition folder that batches below ``before`` wrote (all, if not given).
-
-    The merged rows are written aside under a list of the files they replace. With that list in place
-    the step can be finished by whoever comes next, so a crash neither loses nor repeats rows.
+    known, batches = archived_days(spark, archive), batches_of(spark, path)
+    if not batches:
+        return
+    rows = read_batches(spark, path, batches).filter((F.col("partition_key") < before_day) & ~F.col("partition_key").isin(*known))
+    number = 1 + max((int(name.partition("=")[2]) for name in files.names(spark, archive) if name.startswith("archived=")), default=0)
+    writer = _sized(rows.drop(BATCH).withColumn("upto", F.lit(batches[-1]))).write.mode("overwrite")
+    writer.partitionBy("upto", *DAYS).parquet(f"{archive}/archived={number}")
+
+
+def drop_archived(spark: SparkSession, path: str, archive: str) -> list[int]:
+    """Delete the batches of a table whose rows are all in the archive; returns their numbers."""
+    known, gone = archived_days(spark, archive), []
+    for batch in batches_of(spark, path):
+        folder = f"{path}/{batch_folder(batch)}"
+        days = [name.partition("=")[2] for name in files.names(spark, folder) if name.startswith("partition_key=")]
+        if all(known.get(day, -1) >= batch for day in days):
+            files.delete(spark, folder)
+            gone.append(batch)
+    return gone
+
+
+def write_by_symbol(ticks: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Ticks as a table bucketed by symbol, in time order within each file; returns a read of it.
+
+    ``path`` holds the files. A window over the table needs no exchange (``rolling_stats(..., stored_by_symbol=True)``).
     """
-    aside, ready = f"{folder}/_merged", f"{folder}/_merged-ready"
-    if not files.exists(spark, ready):
-        small = [n for n, size in files.sizes(spark, folder).items() if n.endswith(".parquet") and size < SMALL]
-        merged = sorted(n for n in small if before is None or n < f"batch-{before:012d}-")
-        if len(merged) < 2:
-            return
-        rows = spark.read.parquet(*[f"{folder}/{n}" for n in merged])
-        order = [c for c in ("symbol", "trade_time") if c in rows.columns]
-        rows = rows.hint("rebalance")
-        (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite").parquet(aside)
-        files.write_text(spark, ready, "\n".join(merged))
-    for old in files.read_text(spark, ready).split("\n"):
-        files.delete(spark, f"{folder}/{old}")
-    for new in files.matching(spark, f"{aside}/part-*"):
-        files.move(spark, new, f"{folder}/batch-{0:012d}-merged-{new.rpartition('/')[2]}")
-    files.delete(spark, aside)
-    files.delete(spark, ready)
-
-
-def compact_days(spark: SparkSession, path: str, before_day: str) -> None:
-    """Merge the files of all days before ``before_day`` (as text, like the day key). Give it only days
-    whose batches are committed."""
-    for folder in files.matching(spark, f"{path}/partition_key=*/is_anomaly=*"):
-        if folder.rpartition("/")[0].rpartition("partition_key=")[2] < before_day:
-            compact(spark, folder)
+    by = ["symbol", "trade_time", "seq"]
+    placed = ticks.repartition(buckets, "symbol")
+    placed.write.bucketBy(buckets, "symbol").sortBy(*by).option("path", path).mode("overwrite").saveAsTable(table)
+    return ticks.sparkSession.table(table)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.instants import iso_text
-from tickloom.params import DEFAULT_SERVERS, DEFAULT_TOPIC
+from tickloom.params import DEFAULT_SERVERS, DEFAULT_TOPIC, FlushParams
 
 PARTITIONS = 3
 
@@ -44,9 +44,12 @@ def topic_records(ticks: DataFrame, topic: str = DEFAULT_TOPIC, partitions: int
     )
 
 
-def write_topic(records: DataFrame, path: str) -> None:
-    """Append records to a folder in topic shape."""
-    records.write.mode("append").parquet(path)
+def write_topic(records: DataFrame, path: str, flush: FlushParams | None = None) -> None:
+    """Append records to a folder in topic shape; with ``flush``, in files of at most its number of records (see ``stream_topic``)."""
+    writer = records.write.mode("append")
+    if flush is not None:
+        writer = writer.option("maxRecordsPerFile", flush.rows)
+    writer.parquet(path)
 
 
 def kafka_sink_options(servers: str = DEFAULT_SERVERS, topic: str = DEFAULT_TOPIC) -> dict[str, str]:

@@ -20,8 +20,8 @@ def _lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def numbered(lines: DataFrame, first: int = 0) -> DataFrame:
-    """``value`` and ``seq``: files by time and path, then lines in order, counted from ``first``.
+def numbered(lines: DataFrame, first: int = 0, by_name: bool = False) -> DataFrame:
+    """``value`` and ``seq``: files by time and path (or by path alone), then lines in order, counted from ``first``.
 
     A line's number is its place in its split plus the lines of all earlier splits, so it does not
     depend on how Spark packs splits into tasks, and no sort of the lines is needed. ``lines`` has the
@@ -29,14 +29,15 @@ def numbered(lines: DataFrame, first: int = 0) -> DataFrame:
     """
     placed = lines.withColumn("_id", F.monotonically_increasing_id())
     splits = placed.groupBy(*_SPLIT).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    order = ", ".join(_SPLIT)
+    order = ", ".join(_SPLIT[by_name:])
     offsets = materialise(splits.selectExpr(*_SPLIT, f"sum(_n) over (order by {order}) - _n - _first as _shift"), "text-splits")
     return placed.join(offsets, _SPLIT).select("value", (F.col("_id") + F.col("_shift") + F.lit(first)).alias("seq"))
 
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """``value`` per line, and ``seq``, the order in which lines landed."""
-    return numbered(_lines(spark.read.text(path)))
+def read_messages(spark: SparkSession, path: str, by_name: bool = False) -> DataFrame:
+    """``value`` per line, and ``seq``, the order in which lines landed: by the files' times or, where files that
+    were written side by side carry their order in their names, by name."""
+    return numbered(_lines(spark.read.text(path)), by_name=by_name)
 
 
 def stream_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

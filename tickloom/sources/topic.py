@@ -32,11 +32,36 @@ def read_topic(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC).parquet(path)
 
 
-def stream_topic(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_topic(
+    spark: SparkSession, path: str, max_files: int | None = None, starting: str | dict[int, int] = "earliest", flush: FlushParams | None = None
+) -> DataFrame:
+    """Records of a topic folder as a stream.
+
+    starting: ``earliest``, ``latest`` (what is published after this call; the query's checkpoint keeps no start position, so hand a
+    restarted query the same ``positions``), or the first offset of each partition. flush: a micro-batch takes one file, which
+    ``write_topic(..., flush)`` has bounded to that many records.
+    """
     reader = spark.readStream.schema(TOPIC)
+    if flush is not None:
+        max_files = 1
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    records = reader.parquet(path)
+    if starting == "earliest":
+        return records
+    first = positions(spark, path) if starting == "latest" else starting
+    if not isinstance(first, dict):
+        raise ValueError(f"starting must be 'earliest', 'latest' or offsets by partition, got {starting!r}")
+    before = F.lit(False)
+    for partition, offset in first.items():
+        before = before | ((F.col("partition") == int(partition)) & (F.col("offset") < int(offset)))
+    return records.filter(~before)
+
+
+def positions(spark: SparkSession, path: str) -> dict[int, int]:
+    """The offset behind the last record of each partition of a topic folder, of which there are few."""
+    ends = read_topic(spark, path).groupBy("partition").agg((F.max("offset") + 1).alias("end"))
+    return {r["partition"]: r["end"] for r in ends.collect()}
 
 
 def as_arrivals(records: DataFrame) -> DataFrame:
