@@ -51,7 +51,7 @@ class Setup:
         query.awaitTermination()
 
     def counts(self):
-        if not glob.glob(f"{self.out}/processed_ticks/*/*/*.parquet"):
+        if not glob.glob(f"{self.out}/processed_ticks/**/*.parquet", recursive=True):
             return []
         table = read_table(self.spark, f"{self.out}/processed_ticks")
         return sorted((r["symbol"], r["trade_time"], r["price"], r["sample_count"]) for r in table.collect())
