@@ -51,7 +51,7 @@ def test_exact_sums_as_text(spark):
     assert binary_text(-5, 1) == "-2.5" and binary_text(0, 9) == "0" and binary_text(1 << 9, 9) == "1"
 
 
-def test_infinite_results_are_infinite():
+def test_values_near_the_largest():
     sums = Sums(0, 0, fine=True)
     sums.add(1e308, 1e308)
     sums.add(1e308, 1.0)
