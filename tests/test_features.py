@@ -102,6 +102,24 @@ def test_state_of_the_join_levels_off(spark, tmp_path):
     assert max(kept[2:]) <= 120 < 8 * 101
 
 
+def test_a_hot_symbol_of_the_join_is_spread_over_tasks(spark):
+    """An event meets each tick of its span once, ends included, and the ticks of one symbol are no single key of the join."""
+    rows = [("X", float(i), 1.0, T0 + timedelta(seconds=i / 2), i) for i in range(400)]
+    table = spark.createDataFrame(rows, "symbol string, price double, quantity double, trade_time timestamp, seq bigint")
+    found = [("X", T0 + timedelta(seconds=10 * i), 50.0, i) for i in range(20)]
+    events = spark.createDataFrame(found, "symbol string, timestamp timestamp, triggering_price double, seq bigint")
+    for before, after in ((2.0, 1.0), (0.0, 0.0), (30.0, 15.0)):
+        met = around_anomalies(events.hint("shuffle_hash"), table, before, after, 3.0, "seq")
+        want = [(e[3], t[4]) for e in found for t in rows if -before <= (t[3] - e[1]).total_seconds() <= after]
+        assert sorted((r.event_seq, r.seq) for r in met.collect()) == sorted(want)
+        assert "_stretch" not in met.columns and "_touched" not in met.columns
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert met.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_counts_of_batches(spark, tmp_path):
     run, reported = Setup(spark, tmp_path), []
     listener = QualityListener(reported.append)
