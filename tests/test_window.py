@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.brute import simulate
 from tests.conftest import T0, seconds
+from tickloom.operators.slices import cut
 from tickloom.operators.window import rolling_stats
 from tickloom.params import WindowParams
 
@@ -173,3 +174,13 @@ def test_slices_do_not_change_results(spark):
 def test_bad_parameters_are_refused(bad):
     with pytest.raises(ValueError):
         WindowParams(**bad)
+
+
+def test_small_slices_share_tasks(spark):
+    """Slices follow the rows, tasks don't grow with them; slices of a key are in order and none is too long."""
+    rows = spark.range(4000).select(F.when(F.col("id") % 4 == 0, "A").otherwise("B").alias("k"), F.pmod(F.xxhash64("id"), F.lit(100_000)).alias("at"))
+    placed, _ = cut(rows, ["k", "at"], 4000, 10, "test-slices")
+    assert len(placed.inputFiles()) <= 64
+    found = placed.groupBy("k", "slice").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")).orderBy("k", "slice").collect()
+    assert sum(r.n for r in found) == 4000 and len(found) >= 400 and max(r.n for r in found) <= 10
+    assert all(a.k != b.k or a.high <= b.low for a, b in zip(found, found[1:]))

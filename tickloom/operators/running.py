@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickloom.operators.slices import carry_in, cut
+from tickloom.operators.slices import carry_in, cut, tasks_of
 
 
 def _running(
@@ -24,7 +24,7 @@ def _running(
     carried = carry_in(totals, key, {"_value": how}).withColumn("_value", F.col("_value").cast(placed.schema["_value"].dataType))
     # A carried-in row has no position; nulls sort first.
     so_far = Window.partitionBy(key, "slice").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
-    joined = placed.unionByName(carried, allowMissingColumns=True).repartition(slices, key, "slice")
+    joined = placed.unionByName(carried, allowMissingColumns=True).repartition(tasks_of(rows, slices, sizes["rows"]), key, "slice")
     summed = joined.withColumn(out, combine("_value").over(so_far)).filter(F.col("_row").isNotNull())
     return summed.select("_row.*", out), True
 

@@ -21,7 +21,7 @@ from tickloom.functions.stats import WIDE, with_stats
 from tickloom.functions.units import Units, in_units, survey
 from tickloom.operators.exact import exact_windows
 from tickloom.operators.running import running_max
-from tickloom.operators.slices import carry_in, cut
+from tickloom.operators.slices import carry_in, cut, tasks_of
 from tickloom.params import ARRIVAL, WindowParams
 from tickloom.session import materialise
 
@@ -168,7 +168,7 @@ def _sliced(ticks: DataFrame, units: Units, types: dict[str, str], params: Windo
     carried = carry_in(totals, "symbol", dict.fromkeys(types, "sum"))
     carry = F.struct(*[F.col(name).cast(kind).alias(name) for name, kind in types.items()]).alias("_carry")
     carried = carried.select("symbol", "slice", carry, F.lit(CARRIED).alias("_kind"))
-    rows = placed.unionByName(carried, allowMissingColumns=True).repartition(slices, "symbol", "slice")
+    rows = placed.unionByName(carried, allowMissingColumns=True).repartition(tasks_of(moved, slices, 2 * units.rows), "symbol", "slice")
     # In order: the total carried in (no time; nulls sort first), then the ticks.
     so_far = Window.partitionBy("symbol", "slice").orderBy("_at", "_kind", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = {
