@@ -13,6 +13,7 @@ from tests.test_stateful import Setup
 from tests.test_stream import ticks
 from tickloom.functions.exact import Sums, binary_text
 from tickloom.operators.sketches import RANK_ERROR, merged_percentiles, minute_sketches
+from tickloom.operators import exact
 from tickloom.operators.window import exact_sums, rolling_stats
 from tickloom.params import WindowParams
 from tickloom.plans.queries import EVENTS
@@ -102,6 +103,17 @@ def test_state_of_the_join_levels_off(spark, tmp_path):
     assert max(kept[2:]) <= 120 < 8 * 101
 
 
+def test_exact_sums_hold_few_moves_at_a_time(spark, monkeypatch):
+    cuts, cut = [], exact.cut
+    monkeypatch.setattr(exact, "cut", lambda *a: cuts.append(cut(*a)) or cuts[-1])
+    rows = [("X", 2.0 ** (40 * (i % 2)), 1, i * 1000, i) for i in range(15_000)]
+    got = {r.seq: r for r in exact_sums(ticks(spark, rows), WindowParams(window_seconds=1.0)).collect()}
+    assert max(r["count"] for r in cuts[0][0].groupBy("symbol", "slice").count().collect()) <= 10_000
+    for i in (0, 700, 9_999, 14_999):
+        inside = [p for _, p, _, at, _ in rows if (i - 1000) * 1000 <= at <= i * 1000]
+        assert (got[i].n, int(got[i].s1), int(got[i].s2)) == (len(inside), sum(map(int, inside)), sum(int(p) ** 2 for p in inside))
+
+
 def test_a_hot_symbol_of_the_join_is_spread_over_tasks(spark):
     """An event meets each tick of its span once, ends included, and the ticks of one symbol are no single key of the join."""
     rows = [("X", float(i), 1.0, T0 + timedelta(seconds=i / 2), i) for i in range(400)]

@@ -2,7 +2,8 @@
 
 Every tick comes in once and leaves once, in order, as in ``window._sliced``: all these moves are cut into slices, each
 slice's totals are handed on to the symbol's later slices, and each slice runs through its moves on its own. Sums are
-Python whole numbers of units of 2^-1074, in which any finite price or quantity is whole.
+Python whole numbers of units of 2^-1074, in which any finite price or quantity is whole. A tick's sums are some 2 KB of
+text and a slice is in memory whole, so slices are short, and more of them follow from more ticks.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from tickloom.functions.exact import Sums
 from tickloom.operators.slices import cut
 from tickloom.params import WindowParams
 
+#: Moves of a slice, at most.
+MOVES = 10_000
 _SUMS = ["n", "s1", "s2", "pv", "qv"]
 _IN = ["_at", "_kind", "_seq", "_price", "_quantity"]
 
@@ -58,9 +61,9 @@ def exact_windows(ticks: DataFrame, params: WindowParams, rows: int, places: tup
         F.struct((at + params.window_us).alias("_at"), F.lit(1).alias("_kind")),
     )
     moved = ticks.select("symbol", seq.alias("_seq"), F.col("price").alias("_price"), F.col("quantity").alias("_quantity"), F.inline(moves))
-    placed, _ = cut(moved, ["symbol", "_at", "_kind", "_seq"], 2 * rows, params.rows_per_slice, "exact-slices")
+    placed, _ = cut(moved, ["symbol", "_at", "_kind", "_seq"], 2 * rows, min(params.rows_per_slice, MOVES), "exact-slices")
     totals = placed.select("symbol", "slice", "_kind", "_price", "_quantity").groupBy("symbol", "slice")
-    totals = totals.applyInPandas(_totals, "symbol string, slice int, sums array<string>")
+    totals = totals.applyInPandas(_totals, "symbol string, slice bigint, sums array<string>")
     carried = totals.groupBy("symbol").applyInPandas(_carried, totals.schema)
     both = placed.groupBy("symbol", "slice").cogroup(carried.groupBy("symbol", "slice"))
     schema = "symbol string, _seq bigint, vwap double, mean_price double, stdev_price double, sample_count bigint, sums array<string>"
