@@ -2,6 +2,7 @@ import random
 from datetime import timedelta
 from fractions import Fraction
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,7 +102,7 @@ class Handle:
     def __init__(self):
         self.states, self.timers = {}, set()
 
-    def getValueState(self, name, schema):
+    def getValueState(self, name, *schemas):
         return self.states.setdefault(name, Value())
 
     def getMapState(self, name, key, value):
@@ -248,3 +249,70 @@ def test_other_state_stores_are_refused(spark):
     with pytest.raises(ValueError, match="stateStore"):
         use_state_store(other)
     use_state_store(prepare(other))
+
+
+class _Kept:
+    """A state variable in memory."""
+
+    def __init__(self):
+        self.rows, self.value = {}, None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def keys(self):
+        return iter(list(self.rows))
+
+    def containsKey(self, key):  # noqa: N802
+        return key in self.rows
+
+    def getValue(self, key):  # noqa: N802
+        return self.rows[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.rows[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        del self.rows[key]
+
+
+class _Handle:
+    def getValueState(self, name, *schemas):  # noqa: N802
+        return _Kept()
+
+    getMapState = getValueState  # noqa: N815
+
+
+@pytest.mark.parametrize("lateness", [None, 3.0])
+def test_a_large_batch_of_a_symbol_is_worked_on_in_pieces(lateness):
+    n, r = 20_000, random.Random(4)
+    seqs = r.sample(range(n), n)
+    frame = pd.DataFrame([(2.0 + i % 7, 1.0, i * 1000, "buy" if i % 3 else None, "s", i) for i in seqs], columns=["price", "quantity", "time", "side", "source", "seq"])
+    own = stateful.SymbolWindow(WINDOW if lateness is None else ORDERED, lateness)
+    own.init(_Handle())
+    out, most = [], 0
+    for part in (frame.iloc[:11_000], frame.iloc[11_000:]) if lateness is None else (frame,):
+        for got in own.handleInputRows(("X",), iter([part.iloc[:5000], part.iloc[5000:]]), None):
+            most = max(most, len(own.points))
+            out.append(got)
+    assert max(map(len, out)) < 9000 and most <= 3
+    found = pd.concat(out)
+    if lateness is None:
+        order = sorted(seqs[:11_000]) + sorted(seqs[11_000:])
+        clock, inside, want = 0, [], {}
+        for i in order:
+            clock = max(clock, i * 1000)
+            inside.append((clock, i))
+            while inside[0][0] < clock - WINDOW.window_us:
+                inside.pop(0)
+            want[i] = len(inside)
+    else:
+        want = {i: min(i, 10_000) + 1 for i in range(n - 3000)}
+    assert dict(zip(found["seq"], found["sample_count"], strict=True)) == want
+    assert found["side"].isna().sum() == sum(i % 3 == 0 for i in want)
