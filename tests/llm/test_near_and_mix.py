@@ -386,6 +386,19 @@ def test_clusters_of_words():
     assert topics.cluster(rows[:2], 4).shape[0] == 2 and topics.Topics(topics.cluster(rows[:0], 4)).of(np.zeros(0, np.uint8), np.zeros(2, np.int64)) == [None]
 
 
+def test_topics_come_from_all_texts(spark):
+    """The one cluster's centre is the mean direction of all different texts, also of very many."""
+    r, own = random.Random(2), words(95, 60)
+    texts = list({" ".join(r.choice(own) for _ in range(6)) for _ in range(5000)})
+    rows = spark.createDataFrame([(t,) for t in [*texts, *texts[:900], "", None]], "text string").repartition(5)
+    data = [t.encode() for t in texts]
+    all_of_them = np.unique(topics.vectors(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])), axis=0)
+    mean = all_of_them.astype(float).sum(axis=0)
+    found = topics.learned(rows, 1).centroids
+    assert found.shape == (1, topics.BUCKETS) and np.abs(found[0] - mean / np.linalg.norm(mean)).max() < 1e-5
+    assert np.array_equal(found, topics.learned(rows.repartition(2), 1).centroids)
+
+
 # Packing
 
 

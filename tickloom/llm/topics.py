@@ -1,15 +1,18 @@
 """Topics of texts: spherical k-means over hashed words.
 
-Centroids come from a bounded sample of different texts, drawn by hash; every text is then assigned to the nearest
-one where it lies, from all of its words. Topics are named by their size in the sample, the largest ``topic0``.
+Centroids come from all different texts: each text's counts of words by bucket are stored once, and each seed and each
+round is one pass over them, in tasks that send back sums per cluster. Sums are of whole numbers, so centroids don't depend
+on how rows lie. Several sets of seeds start, the best goes on. Every text is then assigned to the nearest
+centroid where it lies, from all of its words. Topics are named by their number of different texts, the largest ``topic0``.
 
-Defined cases: a text without words, or a null one, has no topic (null); copies of a text are drawn once; a sample
-of fewer different texts than topics gives as many topics as it has texts; without texts there are none.
+Defined cases: a text without words, or a null one, has no topic (null); texts with equal counts are learned from once;
+fewer different texts than topics give as many topics as there are texts; without texts there are none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,10 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import rolling
+from tickloom.llm.tables import materialise
 
-#: Topics, buckets of words, and different texts of the sample, about.
-TOPICS, BUCKETS, SAMPLE = 8, 512, 2000
-ROUNDS = 30
+TOPICS, BUCKETS = 8, 512
+#: Sets of seeds, rounds after which the best of them goes on alone, and rounds in all.
+TRIES, FIRST, ROUNDS = 4, 4, 30
+#: Parts that a coordinate is counted in, and the distance from which on texts are different.
+PARTS, APART = 1 << 20, 1e-6
+ENTRY = np.dtype([("bucket", "<u2"), ("count", "<u4")])
 
 
 @dataclass(frozen=True)
@@ -45,53 +52,136 @@ class Topics:
 
 def vectors(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """log(1 + count) of each bucket of words, scaled to length 1; zero for texts without words."""
+    return _scaled(_counts(data, bounds))
+
+
+def _counts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     starts, ends, own = rolling.words(data, bounds)
     buckets = (rolling.word_hashes(data, starts, ends) >> np.uint64(40)).astype(np.int64) % BUCKETS
     texts = np.repeat(np.arange(len(bounds) - 1), np.diff(own))
-    counts = np.bincount(texts * BUCKETS + buckets, minlength=(len(bounds) - 1) * BUCKETS).reshape(-1, BUCKETS)
+    return np.bincount(texts * BUCKETS + buckets, minlength=(len(bounds) - 1) * BUCKETS).reshape(-1, BUCKETS)
+
+
+def _scaled(counts: np.ndarray) -> np.ndarray:
     rows = np.log1p(counts).astype(np.float32)
     sizes = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, sizes, out=np.zeros_like(rows), where=sizes > 0)
 
 
-def cluster(rows: np.ndarray, k: int, seed: int = 3) -> np.ndarray:
-    """Centroids of at most k clusters, largest first. rows: of length 1, all different."""
-    rng, k = np.random.default_rng(seed), min(k, len(rows))
-    if k == 0:
-        return np.zeros((0, BUCKETS), np.float32)
-    chosen = [int(rng.integers(len(rows)))]
-    far = 1 - rows @ rows[chosen[0]]
-    while len(chosen) < k:  # the next seed is likely to be far from those before
-        weight = np.maximum(far, 0) + 1e-9
-        chosen.append(int(rng.choice(len(rows), p=weight / weight.sum())))
-        far = np.minimum(far, 1 - rows @ rows[chosen[-1]])
-    centroids = rows[chosen]
-    for _ in range(ROUNDS):
-        best = (rows @ centroids.T).argmax(axis=1)
-        sums = np.zeros_like(centroids)
-        np.add.at(sums, best, rows)
-        sizes = np.linalg.norm(sums, axis=1, keepdims=True)
-        moved = np.where(sizes > 0, sums / np.maximum(sizes, 1e-12), centroids).astype(np.float32)
-        if np.allclose(moved, centroids, atol=1e-6):
+def _keys(rows: np.ndarray, places: np.ndarray, chosen: np.ndarray, attempt: int) -> np.ndarray:
+    """The row with the smallest key is drawn with a chance in proportion to its distance from the seeds ``chosen``; none if infinite."""
+    far = np.ones(len(rows)) if not len(chosen) else 1 - (rows @ chosen.T).max(axis=1).astype(float)
+    x = places.astype(np.uint64) + np.uint64((attempt * 1000 + len(chosen) + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    chance = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / (1 << 53)
+    return np.where(far > APART, -np.log(np.maximum(chance, 1e-300)) / np.maximum(far, APART), np.inf)
+
+
+def _sums(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """For each cluster the sum of its rows, their number, and the sum of their similarities, in parts."""
+    alike = rows @ centroids.T
+    own = np.zeros((len(rows), len(centroids)))
+    own[np.arange(len(rows)), alike.argmax(axis=1)] = 1
+    parts = np.column_stack([np.rint(rows.astype(float) * PARTS), np.ones(len(rows)), np.rint(alike.max(axis=1).astype(float) * PARTS)])
+    return np.rint(own.T @ parts).astype(np.int64)
+
+
+def _clustered(seeds: Callable[[list[np.ndarray]], dict[int, np.ndarray]], sums: Callable[[list[np.ndarray]], np.ndarray], k: int) -> np.ndarray:
+    """Centroids of at most k clusters, largest first. seeds: the next seed of each try; sums: ``_sums`` over all rows for each try."""
+    tries = [np.zeros((0, BUCKETS), np.float32) for _ in range(TRIES)]
+    for _ in range(k):
+        found = seeds(tries)
+        if len(found) < len(tries):
+            tries = [t for i, t in enumerate(tries) if i in found] or tries[:1]
+            if not found:
+                break
+        tries = [np.vstack([t, f]) for t, (_, f) in zip(tries, sorted(found.items()), strict=True)]
+    if not len(tries[0]):
+        return tries[0]
+    for number in range(ROUNDS):
+        got = sums(tries)
+        if number == FIRST:
+            best = int(got[:, :, -1].sum(axis=1).argmax())
+            tries, got = [tries[best]], got[best : best + 1]
+        moved = []
+        for centroids, own in zip(tries, got, strict=True):
+            points = own[:, :BUCKETS].astype(float)
+            sizes = np.linalg.norm(points, axis=1, keepdims=True)
+            moved.append(np.where(sizes > 0, points / np.maximum(sizes, 1e-12), centroids).astype(np.float32))
+        if all(np.allclose(a, b, atol=1e-6) for a, b in zip(tries, moved, strict=True)):
             break
-        centroids = moved
-    return centroids[np.argsort(-np.bincount(best, minlength=k), kind="stable")]
+        tries = moved
+    best = int(got[:, :, -1].sum(axis=1).argmax())
+    return tries[best][np.argsort(-got[best, :, BUCKETS], kind="stable")]
+
 
+def cluster(rows: np.ndarray, k: int) -> np.ndarray:
+    """Centroids of at most k clusters, largest first. rows: of length 1, all different."""
+    places = np.array([zlib.crc32(r.tobytes()) for r in rows], np.uint64)
+
+    def seeds(tries: list[np.ndarray]) -> dict[int, np.ndarray]:
+        keys = [_keys(rows, places, chosen, i) for i, chosen in enumerate(tries)] if len(rows) else []
+        return {i: rows[int(own.argmin())] for i, own in enumerate(keys) if np.isfinite(own.min())}
+
+    return _clustered(seeds, lambda tries: np.stack([_sums(rows, centroids) for centroids in tries]), k)
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows, data, bounds in rolling.chunks(batch):
-            blobs = [v.tobytes() if v.any() else None for v in vectors(data, bounds)]
-            yield pa.RecordBatch.from_arrays([rows.column("place"), pa.array(blobs, pa.binary())], names=["place", "vector"])
+        for _, data, bounds in rolling.chunks(batch):
+            counts = _counts(data, bounds)
+            texts, buckets = np.nonzero(counts)
+            entries = np.zeros(len(texts), ENTRY)
+            entries["bucket"], entries["count"] = buckets, counts[texts, buckets]
+            ends = np.cumsum(np.bincount(texts, minlength=len(counts)))[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.split(entries, ends)], pa.binary())], names=["entries"])
+
+
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    """Vectors of length 1 from stored entries."""
+    blobs = batch.column("entries").to_pylist()
+    entries = np.frombuffer(b"".join(blobs), ENTRY)
+    counts = np.zeros((len(blobs), BUCKETS), np.float32)
+    counts[np.repeat(np.arange(len(blobs)), [len(b) // ENTRY.itemsize for b in blobs]), entries["bucket"]] = entries["count"]
+    return _scaled(counts)
 
 
 def learned(texts: DataFrame, k: int = TOPICS) -> Topics:
-    """Topics of ``texts`` (text), from about ``SAMPLE`` different ones."""
-    rows = texts.filter("text is not null").select("text", F.xxhash64("text").alias("place"))
-    n = rows.count()
-    share = min(1.0, SAMPLE / max(n, 1))
-    drawn = rows.filter(F.pmod(F.xxhash64(F.lit("topics"), "place"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)).dropDuplicates(["place"])
-    found = drawn.mapInArrow(_featured, "place long, vector binary").filter("vector is not null").collect()
-    found.sort(key=lambda r: r["place"])
-    rows = np.array([np.frombuffer(r["vector"], np.float32) for r in found]).reshape(-1, BUCKETS)
-    return Topics(cluster(np.unique(rows, axis=0), k) if len(rows) else np.zeros((0, BUCKETS), np.float32))
+    """Topics of ``texts`` (text), from all different ones."""
+    rows = texts.filter("text is not null").select(F.lit(0).alias("place"), "text")
+    entries = rows.mapInArrow(_counted, "entries binary").filter(F.octet_length("entries") > 0).distinct()
+    stored = materialise(entries.withColumn("place", F.xxhash64("entries")), "topic-rows")
+
+    def seeds(tries: list[np.ndarray]) -> dict[int, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    own, places = _rows(batch), batch.column("place").to_numpy().view(np.uint64)
+                    keys = np.stack([_keys(own, places, chosen, i) for i, chosen in enumerate(tries)])
+                    best = keys.argmin(axis=1)
+                    columns = [pa.array(range(len(tries)), pa.int32()), pa.array(keys.min(axis=1)), batch.column("place").take(pa.array(best)), batch.column("entries").take(pa.array(best))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["attempt", "key", "place", "entries"])
+
+        found = stored.mapInArrow(run, "attempt int, key double, place long, entries binary").filter(F.col("key") < float("inf"))
+        found = found.groupBy("attempt").agg(F.min_by("entries", F.struct("key", "place")).alias("entries")).collect()
+        return {r["attempt"]: _rows(pa.RecordBatch.from_pydict({"entries": [bytes(r["entries"])]}))[0] for r in found}
+
+    def sums(tries: list[np.ndarray]) -> np.ndarray:
+        shape = len(tries), len(tries[0]), BUCKETS + 2
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(shape, np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    own = _rows(batch)
+                    total += np.stack([_sums(own, centroids) for centroids in tries])
+            cells = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total.ravel()[cells])], names=["cell", "n"])
+
+        found = stored.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        total = np.zeros(shape, np.int64)
+        total.ravel()[found["cell"].to_numpy()] = found["n"].to_numpy()
+        return total
+
+    return Topics(_clustered(seeds, sums, k))
