@@ -146,3 +146,9 @@ def test_plain_spelling_reads_like_the_parser(spark, spaces, monkeypatch):
     monkeypatch.setattr(wire_functions, "EXCHANGE_SHAPE", never)
     monkeypatch.setattr(wire_functions, "CANONICAL_SHAPE", wire_functions.Shape(tuple((n, "(?!)x", k) for n, _, k in wire_functions.CANONICAL_SHAPE.members)))
     assert plain == (run(spark, parse_exchange, values), run(spark, parse_canonical, topics))
+
+
+@pytest.mark.parametrize("parser", [parse_exchange, parse_canonical])
+def test_the_pattern_runs_once_a_message(spark, parser):
+    plan = parser(spark.createDataFrame([(0, b"{}")], "seq long, value binary"))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(plan.count(f"regexp_replace(_{name}#") for name in ("text", "apart")) == 1

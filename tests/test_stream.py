@@ -57,6 +57,16 @@ class Setup:
         return sorted((r["symbol"], r["trade_time"], r["price"], r["sample_count"]) for r in table.collect())
 
 
+class SeenJob(Job):
+    """Notes the plans of the records that it parses."""
+
+    plans = []
+
+    def parse(self, records):
+        self.plans.append(records._jdf.queryExecution().optimizedPlan().toString())
+        return super().parse(records)
+
+
 def expected(rows):
     want = simulate(rows, WINDOW.window_us, arrival=True)
     return sorted(
@@ -73,6 +83,15 @@ def test_window_goes_on_across_batches_and_restarts(spark, tmp_path, rows_per_sl
     assert run.counts() == expected(rows)
 
 
+def test_records_of_one_file_are_parsed_by_many_tasks(spark, tmp_path):
+    rows, plans = late_rows(30), SeenJob.plans
+    plans.clear()
+    run = Setup(spark, tmp_path)
+    run.drain(rows, StreamJob(table_sinks(run.out), run.tail, SeenJob(window=WINDOW)))  # drain writes one file
+    assert plans and all("RepartitionByExpression [seq" in plan for plan in plans)
+    assert run.counts() == expected(rows)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = late_rows(60)
     run = Setup(spark, tmp_path)

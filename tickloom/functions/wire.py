@@ -96,10 +96,13 @@ class Shape:
         between = f"(?:, ?{other})*+"
         return rf"^\{{(?:{other}, ?)*+" + f"{between}, ?".join(parts) + between + r"\}$"
 
-    def cut(self, text: Column) -> Column:
-        """The groups of the pattern, from one run of it; null for other texts."""
+    def apart(self, text: Column) -> Column:
+        """The groups of the pattern, joined; other texts as they are. ``cut`` looks at it twice: it should be a column computed once."""
         groups = sum(2 if kind == "NUMBER" else 1 for _, _, kind in self.members)
-        apart = F.regexp_replace(text, self.pattern, "\x01".join(f"${g + 1}" for g in range(groups)))
+        return F.regexp_replace(text, self.pattern, "\x01".join(f"${g + 1}" for g in range(groups)))
+
+    def cut(self, text: Column, apart: Column) -> Column:
+        """The groups of the pattern; null for texts that it doesn't fit."""
         return F.when(apart != text, F.split(apart, "\x01"))
 
     def fields(self, groups: Column) -> dict[str, JsonValue]:

@@ -70,7 +70,8 @@ def _parse(
     parsed = (
         records.withColumn("_utf8", utf8)
         .withColumn("_text", F.when(F.col("_utf8"), F.col("value").cast("string")))
-        .withColumn("_cut", shape.cut(F.col("_text")))
+        .withColumn("_apart", shape.apart(F.col("_text")))
+        .withColumn("_cut", shape.cut(F.col("_text"), F.col("_apart")))
         .withColumn("_plain", F.col("_cut").isNotNull())
         .withColumn("_json", F.when(F.col("_cut").isNull(), F.col("_text")))
         .withColumn("_array", wire.in_brackets(F.col("_json")))

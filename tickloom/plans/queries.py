@@ -24,7 +24,7 @@ from tickloom.plans.pipeline import Job, process, run_batch, table_sinks
 from tickloom.plans.tables import (
     canonical_messages, event_ticks, exchange_messages, order_ticks, read_table, shuffled_event_ticks,
 )
-from tickloom.session import materialise, prepare, scratch
+from tickloom.session import materialise, prepare, scratch, spread
 from tickloom.sinks.table import archive_days, drop_archived, market_ticks, stored_rows, with_iso_time, write_by_symbol, write_days
 from tickloom.sinks.topic import topic_records, write_topic
 from tickloom.sources.messages import read_messages
@@ -299,6 +299,13 @@ class _Stream:
         return _flat(read_day_table(self.spark, f"{self.out}/processed_ticks"))
 
 
+def _spread_events(spark: SparkSession, folder: str) -> str:
+    """A folder with ``events`` in many files, for queries that read it in steps: a table may be one file that one task reads."""
+    stored = scratch(spark, "tables")
+    spread(read_table(spark, folder, "events"), "event_id").write.parquet(f"{stored}/events.parquet")
+    return stored
+
+
 def _by_time(ticks: DataFrame) -> list[DataFrame]:
     at = F.col("trade_time").cast("timestamp_ntz")
     edges = [F.lit(end).cast("timestamp_ntz") for end in CHUNK_ENDS]
@@ -308,7 +315,7 @@ def _by_time(ticks: DataFrame) -> list[DataFrame]:
 def stream_processed(spark, folder):
     """Ticks in three steps, in arrival mode."""
     stream = _Stream(spark, EVENTS_ARRIVAL)
-    for chunk in _by_time(event_ticks(spark, folder)):
+    for chunk in _by_time(event_ticks(spark, _spread_events(spark, folder))):
         stream.add(chunk)
     return stream.stored()
 
@@ -316,7 +323,7 @@ def stream_processed(spark, folder):
 def stream_event_time(spark, folder):
     """Ticks out of order in three steps, put into order; what is held at the end leaves then."""
     stream = _Stream(spark, EVENTS, lateness_seconds=WEEK)
-    for chunk in _by_time(shuffled_event_ticks(spark, folder)):
+    for chunk in _by_time(shuffled_event_ticks(spark, _spread_events(spark, folder))):
         stream.add(chunk)
     stream.job.release(spark)
     return stream.stored()
@@ -329,7 +336,7 @@ def late_event_ticks(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_late(spark, folder):
     """In arrival mode, steps whose ticks are older than those of earlier steps."""
-    stream, ticks = _Stream(spark, EVENTS_ARRIVAL), late_event_ticks(spark, folder)
+    stream, ticks = _Stream(spark, EVENTS_ARRIVAL), late_event_ticks(spark, _spread_events(spark, folder))
     for third in range(3):
         stream.add(ticks.filter(F.floor(F.col("seq") / 1_000_000_000) == third))
     return stream.stored()
@@ -342,7 +349,7 @@ def stream_retry(spark, folder):
         raise RuntimeError("sink down")
 
     stream = _Stream(spark, EVENTS_ARRIVAL)
-    first, second, third = _by_time(event_ticks(spark, folder))
+    first, second, third = _by_time(event_ticks(spark, _spread_events(spark, folder)))
     stream.add(first)
     broken = replace(stream.job, sinks=replace(stream.job.sinks, anomalies=fails))
     try:
@@ -383,14 +390,14 @@ class _Stateful:
 def stream_stateful(spark, folder):
     """Ticks in three steps, each a new query on the same state: in arrival mode every tick counts when it comes."""
     stream = _Stateful(spark, EVENTS_ARRIVAL)
-    for chunk in _by_time(event_ticks(spark, folder)):
+    for chunk in _by_time(event_ticks(spark, _spread_events(spark, folder))):
         stream.add(chunk)
     return stream.stored()
 
 
 def stream_stateful_late(spark, folder):
     """In arrival mode, steps whose ticks are older than those of earlier steps."""
-    stream, ticks = _Stateful(spark, EVENTS_ARRIVAL), late_event_ticks(spark, folder)
+    stream, ticks = _Stateful(spark, EVENTS_ARRIVAL), late_event_ticks(spark, _spread_events(spark, folder))
     for third in range(3):
         stream.add(ticks.filter(F.floor(F.col("seq") / 1_000_000_000) == third))
     return stream.stored()
@@ -398,7 +405,7 @@ def stream_stateful_late(spark, folder):
 
 def snapshot_state(spark, folder):
     """Each symbol's present window as the state holds it after two steps of ticks out of order."""
-    stream, ticks = _Stateful(spark, EVENTS_ARRIVAL), shuffled_event_ticks(spark, folder)
+    stream, ticks = _Stateful(spark, EVENTS_ARRIVAL), shuffled_event_ticks(spark, _spread_events(spark, folder))
     edge = F.lit(CHUNK_ENDS[0]).cast("timestamp_ntz")
     first = ticks.filter(F.col("trade_time").cast("timestamp_ntz") < edge).agg(F.max("seq")).first()[0] or 0
     stream.add(ticks.filter(F.col("seq") <= first))
@@ -421,7 +428,7 @@ def stream_idle(spark, folder):
 def stream_watermark(spark, folder):
     """Ticks in time order behind a watermark of a week, in three steps; the last week is still held."""
     stream = _Stateful(spark, EVENTS, lateness_seconds=WEEK, watermark=True)
-    for chunk in _by_time(shuffled_event_ticks(spark, folder)):
+    for chunk in _by_time(shuffled_event_ticks(spark, _spread_events(spark, folder))):
         stream.add(chunk)
     return stream.stored()
 

@@ -27,7 +27,7 @@ from tickloom.operators.quality import parse_exchange, rejects, valid_ticks
 from tickloom.operators.window import arrival_clock, rolling_by_clock
 from tickloom.params import ARRIVAL, FlushParams, WindowParams
 from tickloom.plans.pipeline import Job, Sink, Sinks
-from tickloom.session import passing_tables
+from tickloom.session import passing_tables, spread
 from tickloom.sinks.topic import keyed_values
 from tickloom.sources.messages import BATCH_SPAN, numbered
 from tickloom.sources.topic import unmoved
@@ -115,7 +115,8 @@ class StreamJob:
                 records = numbered(records, batch_id * BATCH_SPAN)
             if {"key", "partition"} <= set(records.columns) and not unmoved(records):
                 raise ValueError("a key has records in two partitions of one batch; their order isn't known")
-            parsed = self.job.parse(records).persist()
+            # A topic of few partitions or files is read by few tasks; parsing is most of the work.
+            parsed = self.job.parse(spread(records, "seq")).persist()
             try:
                 self._step(parsed, step, now)
             finally:
