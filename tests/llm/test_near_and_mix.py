@@ -386,6 +386,28 @@ def test_clusters_of_words():
     assert topics.cluster(rows[:2], 4).shape[0] == 2 and topics.Topics(topics.cluster(rows[:0], 4)).of(np.zeros(0, np.uint8), np.zeros(2, np.int64)) == [None]
 
 
+def test_sums_of_several_tries():
+    r = np.random.default_rng(3)
+    rows = r.random((500, topics.BUCKETS), np.float32) * (r.random((500, topics.BUCKETS)) < 0.1)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    tries = [rows[:3], rows[10:13]]
+    for centroids, found in zip(tries, topics._sums(rows, tries), strict=True):
+        alike = rows @ centroids.T
+        for cluster, own in enumerate(found):
+            inside = alike.argmax(axis=1) == cluster
+            assert own[: topics.BUCKETS].tolist() == [sum(round(float(x) * topics.PARTS) for x in column) for column in rows[inside].T]
+            assert own[topics.BUCKETS :].tolist() == [inside.sum(), sum(round(float(x) * topics.PARTS) for x in alike[inside].max(axis=1))]
+
+
+def test_topics_without_the_texts(spark):
+    table = spark.createDataFrame([(1, "one two"), (2, None), (None, "three"), (2, "one two")], "doc_id long, text string")
+    own = topics.learned(table, 2)
+    light = mixing.with_topic(table, own, table["doc_id"])
+    assert light.schema["row"].dataType.names == ["doc_id"]
+    key = lambda r: (r["row"]["doc_id"] or 0, r["topic"] or "")
+    assert sorted(map(key, light.collect())) == sorted(map(key, mixing.with_topic(table, own).collect()))
+
+
 def test_topics_come_from_all_texts(spark):
     """The one cluster's centre is the mean direction of all different texts, also of very many."""
     r, own = random.Random(2), words(95, 60)

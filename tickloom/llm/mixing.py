@@ -135,16 +135,20 @@ def _level(column: Column, names: dict[str, float]) -> Column:
     return F.when(column.isin(*[n for n in names if n != OTHER]), column).otherwise(F.lit(OTHER))
 
 
-def with_topic(docs: DataFrame, topics: Topics) -> DataFrame:
-    """``row`` (all columns of ``docs``) and ``topic``."""
+def with_topic(docs: DataFrame, topics: Topics, *kept: Column) -> DataFrame:
+    """``row`` and ``topic``. row: all columns of ``docs``, or only ``kept``, so that tasks need not hand the texts back."""
+
+    apart = bool(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.RecordBatch.from_arrays([batch.column("row"), batch.column("row").field("text")], names=["row", "text"])
+            text = batch.column("text") if apart else batch.column("row").field("text")
+            texts = pa.RecordBatch.from_arrays([batch.column("row"), text], names=["row", "text"])
             for rows, data, bounds in rolling.chunks(texts):
                 yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(topics.of(data, bounds), pa.string())], names=["row", "topic"])
 
-    rows = small_batches(docs).select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    row = F.struct(*(kept or [docs[c] for c in docs.columns])).alias("row")
+    rows = small_batches(docs).select(row, *([docs["text"]] if kept else []))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, topic string"
     return rows.mapInArrow(run, schema)
 
@@ -179,8 +183,9 @@ def corpus(docs: DataFrame, topics: Topics | None = None) -> Corpus:
     """The cells' rows of ``docs``, in one pass over the texts."""
     if topics is None:
         topics = learned(private(docs, text="text"), TOPICS)
-    placed = with_topic(private(docs, doc_id="doc_id", source="source", lang="lang", text="text"), topics)
-    rows = placed.select("row.doc_id", "row.source", "row.lang", "topic", token_weight(F.col("row.text")).alias("tokens"))
+    own = private(docs, doc_id="doc_id", source="source", lang="lang", text="text")
+    placed = with_topic(own, topics, own["doc_id"], own["source"], own["lang"], token_weight(own["text"]).alias("tokens"))
+    rows = placed.select("row.doc_id", "row.source", "row.lang", "topic", "row.tokens")
     return Corpus(materialise(rows, "mixing-rows"), topics)
 
 

@@ -52,7 +52,7 @@ class Topics:
 
 def vectors(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """log(1 + count) of each bucket of words, scaled to length 1; zero for texts without words."""
-    return _scaled(_counts(data, bounds))
+    return _scaled(_weights(_counts(data, bounds)))
 
 
 def _counts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -62,10 +62,15 @@ def _counts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.bincount(texts * BUCKETS + buckets, minlength=(len(bounds) - 1) * BUCKETS).reshape(-1, BUCKETS)
 
 
-def _scaled(counts: np.ndarray) -> np.ndarray:
-    rows = np.log1p(counts).astype(np.float32)
+def _weights(counts: np.ndarray) -> np.ndarray:
+    return np.log1p(counts).astype(np.float32)
+
+
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """``rows`` of weights scaled to length 1, in place; zero stays zero."""
     sizes = np.linalg.norm(rows, axis=1, keepdims=True)
-    return np.divide(rows, sizes, out=np.zeros_like(rows), where=sizes > 0)
+    rows /= np.where(sizes > 0, sizes, np.float32(1))
+    return rows
 
 
 def _keys(rows: np.ndarray, places: np.ndarray, chosen: np.ndarray, attempt: int) -> np.ndarray:
@@ -78,13 +83,19 @@ def _keys(rows: np.ndarray, places: np.ndarray, chosen: np.ndarray, attempt: int
     return np.where(far > APART, -np.log(np.maximum(chance, 1e-300)) / np.maximum(far, APART), np.inf)
 
 
-def _sums(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """For each cluster the sum of its rows, their number, and the sum of their similarities, in parts."""
-    alike = rows @ centroids.T
-    own = np.zeros((len(rows), len(centroids)))
-    own[np.arange(len(rows)), alike.argmax(axis=1)] = 1
-    parts = np.column_stack([np.rint(rows.astype(float) * PARTS), np.ones(len(rows)), np.rint(alike.max(axis=1).astype(float) * PARTS)])
-    return np.rint(own.T @ parts).astype(np.int64)
+def _sums(rows: np.ndarray, tries: list[np.ndarray]) -> np.ndarray:
+    """For each try and cluster the sum of its rows, their number, and the sum of their similarities, in parts."""
+    # Whole numbers of at most PARTS: exact as single floats, and so are their sums as doubles.
+    parts = np.rint(rows * np.float32(PARTS)).astype(float)
+    total = np.zeros((len(tries), len(tries[0]), BUCKETS + 2), np.int64)
+    for centroids, out in zip(tries, total, strict=True):
+        alike = rows @ centroids.T
+        own = np.zeros((len(centroids), len(rows)))
+        own[alike.argmax(axis=1), np.arange(len(rows))] = 1
+        out[:, :BUCKETS] = np.rint(own @ parts)
+        out[:, BUCKETS] = own.sum(axis=1)
+        out[:, BUCKETS + 1] = np.rint(own @ np.rint(alike.max(axis=1).astype(float) * PARTS))
+    return total
 
 
 def _clustered(seeds: Callable[[list[np.ndarray]], dict[int, np.ndarray]], sums: Callable[[list[np.ndarray]], np.ndarray], k: int) -> np.ndarray:
@@ -124,7 +135,7 @@ def cluster(rows: np.ndarray, k: int) -> np.ndarray:
         keys = [_keys(rows, places, chosen, i) for i, chosen in enumerate(tries)] if len(rows) else []
         return {i: rows[int(own.argmin())] for i, own in enumerate(keys) if np.isfinite(own.min())}
 
-    return _clustered(seeds, lambda tries: np.stack([_sums(rows, centroids) for centroids in tries]), k)
+    return _clustered(seeds, lambda tries: _sums(rows, tries), k)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,9 +153,10 @@ def _rows(batch: pa.RecordBatch) -> np.ndarray:
     """Vectors of length 1 from stored entries."""
     blobs = batch.column("entries").to_pylist()
     entries = np.frombuffer(b"".join(blobs), ENTRY)
-    counts = np.zeros((len(blobs), BUCKETS), np.float32)
-    counts[np.repeat(np.arange(len(blobs)), [len(b) // ENTRY.itemsize for b in blobs]), entries["bucket"]] = entries["count"]
-    return _scaled(counts)
+    rows = np.zeros((len(blobs), BUCKETS), np.float32)
+    starts = np.repeat(np.arange(len(blobs)) * BUCKETS, [len(b) // ENTRY.itemsize for b in blobs])
+    rows.ravel()[starts + entries["bucket"]] = _weights(entries["count"].astype(np.float32))
+    return _scaled(rows)
 
 
 def learned(texts: DataFrame, k: int = TOPICS) -> Topics:
@@ -175,7 +187,7 @@ def learned(texts: DataFrame, k: int = TOPICS) -> Topics:
             for batch in batches:
                 if batch.num_rows:
                     own = _rows(batch)
-                    total += np.stack([_sums(own, centroids) for centroids in tries])
+                    total += _sums(own, tries)
             cells = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total.ravel()[cells])], names=["cell", "n"])
 
