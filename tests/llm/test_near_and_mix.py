@@ -399,6 +399,22 @@ def test_sums_of_several_tries():
             assert own[topics.BUCKETS :].tolist() == [inside.sum(), sum(round(float(x) * topics.PARTS) for x in alike[inside].max(axis=1))]
 
 
+def test_passes_read_blocks_of_texts(spark, monkeypatch):
+    """The table that every seed and round reads has a row for each block, and gives the texts' own vectors back."""
+    r, kept = random.Random(5), []
+    texts = [" ".join(f"{w} " * r.randrange(1, 4) for w in words(k, 1 + k % 90)) for k in range(300)] + ["one two " + "two " * 400, "x " * 70_000]
+    materialise = topics.materialise
+    monkeypatch.setattr(topics, "materialise", lambda *a, **options: kept.append(materialise(*a, **options)) or kept[0])
+    topics.learned(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), 2)
+    stored = [b for b in kept[0].toArrow().to_batches() if b.num_rows]
+    opened = np.vstack([rows for rows, _ in topics._opened(stored)])
+    data = [t.encode() for t in texts]
+    want = topics.vectors(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    assert len(opened) == len(texts) and kept[0].count() <= len(texts) / topics.BLOCK + 8
+    order = lambda rows: rows[np.lexsort(np.round(rows, 4).T)]
+    assert np.abs(order(opened) - order(want)).max() < 1e-6
+
+
 def test_topics_without_the_texts(spark):
     table = spark.createDataFrame([(1, "one two"), (2, None), (None, "three"), (2, "one two")], "doc_id long, text string")
     own = topics.learned(table, 2)

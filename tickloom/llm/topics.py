@@ -1,8 +1,8 @@
 """Topics of texts: spherical k-means over hashed words.
 
-Centroids come from all different texts: each text's counts of words by bucket are stored once, and each seed and each
-round is one pass over them, in tasks that send back sums per cluster. Sums are of whole numbers, so centroids don't depend
-on how rows lie. Several sets of seeds start, the best goes on. Every text is then assigned to the nearest
+Centroids come from all different texts: each text's counts of words by bucket are stored once, packed in blocks of texts,
+and each seed and each round is one pass over these, in tasks that send back sums per cluster. Sums are of whole numbers,
+so centroids don't depend on how rows lie. Several sets of seeds start, the best goes on. Every text is then assigned to the nearest
 centroid where it lies, from all of its words. Topics are named by their number of different texts, the largest ``topic0``.
 
 Defined cases: a text without words, or a null one, has no topic (null); texts with equal counts are learned from once;
@@ -29,6 +29,10 @@ TRIES, FIRST, ROUNDS = 4, 4, 30
 #: Parts that a coordinate is counted in, and the distance from which on texts are different.
 PARTS, APART = 1 << 20, 1e-6
 ENTRY = np.dtype([("bucket", "<u2"), ("count", "<u4")])
+#: Texts of a stored block: a pass reads a row for each block, and the vectors of one fit into a processor's cache.
+BLOCK = 64
+#: Bytes of blocks that a task reads at once, as a row group of their table.
+GROUP_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -66,6 +70,10 @@ def _weights(counts: np.ndarray) -> np.ndarray:
     return np.log1p(counts).astype(np.float32)
 
 
+#: Weights of the counts that fit into a byte.
+_FEW = _weights(np.arange(256, dtype=np.float32))
+
+
 def _scaled(rows: np.ndarray) -> np.ndarray:
     """``rows`` of weights scaled to length 1, in place; zero stays zero."""
     sizes = np.linalg.norm(rows, axis=1, keepdims=True)
@@ -145,49 +153,72 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts, buckets = np.nonzero(counts)
             entries = np.zeros(len(texts), ENTRY)
             entries["bucket"], entries["count"] = buckets, counts[texts, buckets]
-            ends = np.cumsum(np.bincount(texts, minlength=len(counts)))[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.split(entries, ends)], pa.binary())], names=["entries"])
+            ends = np.cumsum(np.bincount(texts, minlength=len(counts))) * ENTRY.itemsize
+            buffers = [None, pa.py_buffer(np.append(0, ends).astype("<i4")), pa.py_buffer(entries.tobytes())]
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(counts), buffers)], names=["entries"])
 
 
-def _rows(batch: pa.RecordBatch) -> np.ndarray:
-    """Vectors of length 1 from stored entries."""
-    blobs = batch.column("entries").to_pylist()
-    entries = np.frombuffer(b"".join(blobs), ENTRY)
-    rows = np.zeros((len(blobs), BUCKETS), np.float32)
-    starts = np.repeat(np.arange(len(blobs)) * BUCKETS, [len(b) // ENTRY.itemsize for b in blobs])
-    rows.ravel()[starts + entries["bucket"]] = _weights(entries["count"].astype(np.float32))
-    return _scaled(rows)
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """places, buckets and counts of up to ``BLOCK`` texts in a row: a bit for each bucket, and the counts of those in use, as narrow as they fit."""
+    for batch in batches:
+        blocks = []
+        for at in range(0, batch.num_rows, BLOCK):
+            part = batch.slice(at, BLOCK)
+            data, bounds = rolling.strings(part.column("entries"))
+            entries = data.view(ENTRY)
+            used = np.zeros((part.num_rows, BUCKETS), bool)
+            starts = np.repeat(np.arange(part.num_rows) * BUCKETS, np.diff(bounds) // ENTRY.itemsize)
+            used.ravel()[starts + entries["bucket"]] = True
+            counts = entries["count"].astype(np.min_scalar_type(entries["count"].max()))
+            blocks.append([x.tobytes() for x in (part.column("place").to_numpy(), np.packbits(used), counts)])
+        if blocks:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*blocks, strict=True)], names=["places", "buckets", "counts"])
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts' vectors of length 1 and their places, of each stored block."""
+    for batch in batches:
+        for block in zip(*batch.columns, strict=True):
+            places, used, counts = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(block, (np.int64, np.uint8, np.uint8), strict=True))
+            rows = np.zeros((len(places), BUCKETS), np.float32)
+            cells = np.flatnonzero(np.unpackbits(used))
+            counts = counts.view(f"u{len(counts) // len(cells)}")
+            rows.ravel()[cells] = _FEW[counts] if counts.itemsize == 1 else _weights(counts.astype(np.float32))
+            yield _scaled(rows), places
 
 
 def learned(texts: DataFrame, k: int = TOPICS) -> Topics:
     """Topics of ``texts`` (text), from all different ones."""
     rows = texts.filter("text is not null").select(F.lit(0).alias("place"), "text")
     entries = rows.mapInArrow(_counted, "entries binary").filter(F.octet_length("entries") > 0).distinct()
-    stored = materialise(entries.withColumn("place", F.xxhash64("entries")), "topic-rows")
+    blocks = entries.select(F.xxhash64("entries").alias("place"), "entries").mapInArrow(_blocks, "places binary, buckets binary, counts binary")
+    stored = materialise(blocks, "topic-rows", **{"parquet.block.size": GROUP_BYTES})
 
     def seeds(tries: list[np.ndarray]) -> dict[int, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    own, places = _rows(batch), batch.column("place").to_numpy().view(np.uint64)
-                    keys = np.stack([_keys(own, places, chosen, i) for i, chosen in enumerate(tries)])
-                    best = keys.argmin(axis=1)
-                    columns = [pa.array(range(len(tries)), pa.int32()), pa.array(keys.min(axis=1)), batch.column("place").take(pa.array(best)), batch.column("entries").take(pa.array(best))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["attempt", "key", "place", "entries"])
-
-        found = stored.mapInArrow(run, "attempt int, key double, place long, entries binary").filter(F.col("key") < float("inf"))
-        found = found.groupBy("attempt").agg(F.min_by("entries", F.struct("key", "place")).alias("entries")).collect()
-        return {r["attempt"]: _rows(pa.RecordBatch.from_pydict({"entries": [bytes(r["entries"])]}))[0] for r in found}
+            best: dict[int, tuple[float, int, bytes]] = {}
+            for rows, places in _opened(batches):
+                for i, chosen in enumerate(tries):
+                    keys = _keys(rows, places.view(np.uint64), chosen, i)
+                    at = int(keys.argmin())
+                    if np.isfinite(keys[at]):
+                        found = float(keys[at]), int(places[at]), rows[at].tobytes()
+                        best[i] = min(best.get(i, found), found)
+            if best:
+                columns = [pa.array(x, kind) for x, kind in zip(zip(*((i, *x) for i, x in best.items()), strict=True), (pa.int32(), pa.float64(), pa.int64(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["attempt", "key", "place", "row"])
+
+        found = stored.mapInArrow(run, "attempt int, key double, place long, row binary")
+        found = found.groupBy("attempt").agg(F.min_by("row", F.struct("key", "place")).alias("row")).collect()
+        return {r["attempt"]: np.frombuffer(bytes(r["row"]), np.float32) for r in found}
 
     def sums(tries: list[np.ndarray]) -> np.ndarray:
         shape = len(tries), len(tries[0]), BUCKETS + 2
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(shape, np.int64)
-            for batch in batches:
-                if batch.num_rows:
-                    own = _rows(batch)
-                    total += _sums(own, tries)
+            for rows, _ in _opened(batches):
+                total += _sums(rows, tries)
             cells = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total.ravel()[cells])], names=["cell", "n"])
 
