@@ -386,6 +386,14 @@ def test_clusters_of_words():
     assert topics.cluster(rows[:2], 4).shape[0] == 2 and topics.Topics(topics.cluster(rows[:0], 4)).of(np.zeros(0, np.uint8), np.zeros(2, np.int64)) == [None]
 
 
+def test_seeds_do_not_hang_on_the_last_bit():
+    r = np.random.default_rng(8)
+    rows = r.random((60, topics.BUCKETS), np.float32) * (r.random((60, topics.BUCKETS)) < 0.1)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    other = np.where(rows > 0, np.nextafter(rows, np.float32(1)), rows)
+    assert np.abs(topics.cluster(rows, 6) - topics.cluster(other, 6)).max() < 1e-4
+
+
 def test_sums_of_several_tries():
     r = np.random.default_rng(3)
     rows = r.random((500, topics.BUCKETS), np.float32) * (r.random((500, topics.BUCKETS)) < 0.1)

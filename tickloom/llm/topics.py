@@ -137,7 +137,8 @@ def _clustered(seeds: Callable[[list[np.ndarray]], dict[int, np.ndarray]], sums:
 
 def cluster(rows: np.ndarray, k: int) -> np.ndarray:
     """Centroids of at most k clusters, largest first. rows: of length 1, all different."""
-    places = np.array([zlib.crc32(r.tobytes()) for r in rows], np.uint64)
+    # By the buckets in use: the last bits of weights differ between machines, and seeds must not.
+    places = np.array([zlib.crc32(np.packbits(r > 0).tobytes()) for r in rows], np.uint64)
 
     def seeds(tries: list[np.ndarray]) -> dict[int, np.ndarray]:
         keys = [_keys(rows, places, chosen, i) for i, chosen in enumerate(tries)] if len(rows) else []

@@ -455,7 +455,7 @@ def stream_around(spark, folder):
     """Two streams, anomaly events and ticks, joined over an hour before to half an hour after, in three steps."""
     ticks, events = scratch(spark, "ticks"), scratch(spark, "events")
     out, checkpoint = scratch(spark, "around"), scratch(spark, "checkpoint")
-    processed = materialise(_processed(spark, folder), "processed")
+    processed = materialise(_processed(spark, folder), "around-ticks")
     shapes = processed.schema, anomaly_events(processed, None, "seq").schema
     for chunk in _by_time(processed):
         chunk.write.mode("append").parquet(ticks)
